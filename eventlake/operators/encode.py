@@ -21,6 +21,32 @@ def synthetic_events(rows: DataFrame) -> DataFrame:
     )
 
 
+def sample_telemetry(rows: DataFrame) -> DataFrame:
+    """One telemetry message per number in `id`, differing in the vehicle id only.
+
+    All belong to one flow, and their timestamps are whole seconds.
+    """
+    second = F.date_trunc("second", F.current_timestamp())
+    flow = F.struct(
+        F.lit("flow_123").alias("flow_aui"),
+        F.lit("Sample flow").alias("flow_name"),
+        second.alias("flow_timestamp"),
+    )
+    return rows.select(
+        "id",
+        second.alias("tmc_arrival_timestamp"),
+        F.concat(F.lit("VIN"), "id").alias("vin"),
+        F.array(F.lit("file:///sample")).alias("data_uris"),
+        F.lit("sensor").alias("device_type"),
+        F.lit("US").alias("region"),
+        F.lit("1.0").alias("protocol_version"),
+        flow.alias("flow_metric"),
+        F.array(F.lit("correlation_1")).alias("correlation_ids"),
+        F.lit("asset_1").alias("asset_id"),
+        F.array(F.lit("type1")).alias("expiration_length_types"),
+    )
+
+
 def message_key(number: Column | str) -> Column:
     """The text key of a numbered message."""
     return F.concat(F.lit(KEY_PREFIX), F.col(number) if isinstance(number, str) else number)
@@ -41,15 +67,19 @@ def to_envelope(
 ) -> DataFrame:
     """Rows as topic records, numbered within their partition as a broker would.
 
-    The numbers come from Spark's partition layout, so no shuffle is needed to give them.
+    The numbers come from Spark's partition layout, so no shuffle is needed to give them. Spark
+    cannot number a stream that way; there they stay NULL, and a broker gives its own.
     """
-    within_partition = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    partition = offset = F.lit(None)
+    if not rows.isStreaming:
+        partition = F.spark_partition_id()
+        offset = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
     return rows.select(
         (F.lit(None) if key is None else key).cast("binary").alias("key"),
         payload.cast("binary").alias("value"),
         F.lit(topic).alias("topic"),
-        F.spark_partition_id().alias("partition"),
-        within_partition.alias("offset"),
+        partition.cast("int").alias("partition"),
+        offset.cast("bigint").alias("offset"),
         F.current_timestamp().alias("timestamp"),
         F.lit(0).alias("timestampType"),
     )

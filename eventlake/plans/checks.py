@@ -28,13 +28,13 @@ from eventlake.operators.shape import date_parts, flatten_telemetry, word_rows
 from eventlake.plans.copy import csv_to_parquet
 from eventlake.plans.ingest import flow_rows, ingest_events, ingest_telemetry
 from eventlake.plans.produce import publish_events, publish_telemetry, write_words
-from eventlake.schemas import FLOW_BUCKETS
+from eventlake.schemas import ENVELOPE, FLOW_BUCKETS
 from eventlake.session import scratch_folder
 from eventlake.sinks.tables import ParquetTable, event_table, flow_table
 from eventlake.sinks.topics import publish
 from eventlake.sources.files import widen
 from eventlake.sources.generated import rate_batches
-from eventlake.sources.topics import DirectoryTopic, message_stream
+from eventlake.sources.topics import DirectoryTopic
 from eventlake.streaming.batches import BatchMetric
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -213,7 +213,7 @@ def keyed_envelope(spark: SparkSession, tables: str) -> DataFrame:
     """Telemetry under its message key, published and read back from the topic."""
     work = Workspace(spark)
     publish_telemetry(as_telemetry(events(spark, tables)), work.topic, "event_id")
-    messages = spark.read.parquet(work.topic.path)
+    messages = spark.read.schema(ENVELOPE).parquet(work.topic.path)
     read = decode_telemetry(messages, keep=["key"])
     return read.select(
         F.col("key").cast("string").alias("key"),
@@ -249,10 +249,13 @@ def telemetry_flatten(spark: SparkSession, tables: str) -> DataFrame:
 
 @check(FLOW_SQL + "WHERE event_type <> 'signup'")
 def telemetry_flatten_nonnull(spark: SparkSession, tables: str) -> DataFrame:
-    """Signups arrive without a payload and are dropped."""
+    """Signups arrive without a payload and are dropped where the topic is scanned."""
+    work = Workspace(spark)
     payload = F.when(F.col("event_type") != "signup", F.col("value"))
     messages = telemetry_messages(as_telemetry(events(spark, tables)))
-    return comparable(flow_rows(messages.withColumn("value", payload), pinned(), drop_null=True))
+    publish(to_envelope(messages, payload, message_key("event_id")), work.topic)
+    published = spark.read.schema(ENVELOPE).parquet(work.topic.path)
+    return comparable(flow_rows(published, pinned(), drop_null=True))
 
 
 @check("""

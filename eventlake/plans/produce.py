@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from eventlake.operators.encode import (
@@ -35,12 +34,11 @@ def publish_synthetic_events(rows: DataFrame, topic: Topic) -> None:
 
 
 def publish_telemetry(
-    telemetry: DataFrame, topic: Topic, number: Column | str | None = None, engine: str = "auto"
+    telemetry: DataFrame, topic: Topic, number: Column | str, engine: str = "auto"
 ) -> None:
     """Publish rows with the telemetry columns as Protobuf messages, keyed by their number."""
-    key = message_key(F.monotonically_increasing_id() if number is None else number)
     payload = telemetry_payload(engine)
-    publish(to_envelope(telemetry, payload, key, topic_name(topic)), topic)
+    publish(to_envelope(telemetry, payload, message_key(number), topic_name(topic)), topic)
 
 
 def write_words(

@@ -37,7 +37,18 @@ def scratch_folder(spark: SparkSession) -> str:
     return f"{shared.rstrip('/')}/eventlake-{uuid.uuid4().hex}"
 
 
+def _hadoop_path(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def folder_exists(spark: SparkSession, path: str) -> bool:
     """Whether `path` exists on whichever file system it names."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+    folder, file_system = _hadoop_path(spark, path)
+    return file_system.exists(folder)
+
+
+def full_path(spark: SparkSession, path: str) -> str:
+    """`path` with its file system and without a trailing slash."""
+    folder, file_system = _hadoop_path(spark, path)
+    return file_system.makeQualified(folder).toString()

@@ -1,0 +1,73 @@
+from __future__ import annotations
+
+import pyarrow as pa
+import pytest
+from hypothesis import given
+from hypothesis import strategies as st
+
+from eventlake.functions.buckets import bucket_ids, bucket_of, iceberg_bucket, murmur3
+
+MASK = 0xFFFFFFFF
+# Published vectors of the hash, as signed 32-bit numbers, and the bucket of 16.
+VECTORS = [
+    ("iceberg", 1210000089, 9),
+    ("flow_123", -1983889140, 12),
+    ("", 0, 0),
+    ("ünïcode", -1347515812, 12),
+]
+
+
+def murmur3_one(data: bytes) -> int:
+    """The textbook form, one string at a time."""
+
+    def rotate(x, bits):
+        return ((x << bits) | (x >> (32 - bits))) & MASK
+
+    def scramble(k):
+        return rotate(k * 0xCC9E2D51 & MASK, 15) * 0x1B873593 & MASK
+
+    h = 0
+    whole = len(data) // 4 * 4
+    for i in range(0, whole, 4):
+        h = rotate(h ^ scramble(int.from_bytes(data[i : i + 4], "little")), 13) * 5 + 0xE6546B64
+        h &= MASK
+    if whole < len(data):
+        h ^= scramble(int.from_bytes(data[whole:], "little"))
+    h ^= len(data)
+    h = (h ^ (h >> 16)) * 0x85EBCA6B & MASK
+    h = (h ^ (h >> 13)) * 0xC2B2AE35 & MASK
+    return h ^ (h >> 16)
+
+
+@pytest.mark.parametrize("text, signed, bucket", VECTORS)
+def test_published_vectors(text, signed, bucket):
+    assert murmur3(pa.array([text]))[0] == signed & MASK
+    assert bucket_of(16, text) == bucket
+
+
+def test_null_has_no_bucket():
+    assert bucket_of(16, None) is None
+
+
+@given(st.lists(st.one_of(st.none(), st.text(max_size=40))))
+def test_batches_match_the_textbook_form(texts):
+    expected = [
+        None if t is None else (murmur3_one(t.encode()) & 0x7FFFFFFF) % 16 for t in texts
+    ]
+    assert bucket_ids(16, pa.array(texts, pa.string())).to_pylist() == expected
+
+
+def test_sliced_and_long_strings():
+    texts = ["skip", "a" * 10_001, None, "abcd", "ab"]
+    sliced = pa.array(texts, pa.string()).slice(1)
+    expected = [
+        None if t is None else (murmur3_one(t.encode()) & 0x7FFFFFFF) % 16 for t in texts[1:]
+    ]
+    assert bucket_ids(16, sliced).to_pylist() == expected
+
+
+def test_column_function(spark):
+    texts = [*(text for text, _, _ in VECTORS), None]
+    rows = spark.createDataFrame([(t,) for t in texts], "text string")
+    found = {r.text: r.b for r in rows.select("text", iceberg_bucket(16, "text").alias("b")).collect()}
+    assert found == {**{text: bucket for text, _, bucket in VECTORS}, None: None}

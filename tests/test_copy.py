@@ -1,0 +1,86 @@
+from __future__ import annotations
+
+import pytest
+from pyspark.errors import AnalysisException
+
+from eventlake.plans.copy import csv_to_parquet
+from eventlake.sinks.files import csv_stream, parquet_overwrite
+from eventlake.sources.files import csv_scan, widen
+from eventlake.sources.generated import rate_batches
+
+
+@pytest.fixture
+def people(tmp_path):
+    path = tmp_path / "people.csv"
+    path.write_text('name,age,note\nAda,36,"a, b"\nBob,,""\n"",7,\n')
+    return str(path)
+
+
+def test_all_columns_are_text_and_empty_cells_null(spark, people):
+    rows = csv_scan(spark, people)
+    assert rows.dtypes == [("name", "string"), ("age", "string"), ("note", "string")]
+    assert [tuple(r) for r in rows.collect()] == [
+        ("Ada", "36", "a, b"),
+        ("Bob", None, None),
+        (None, "7", None),
+    ]
+
+
+def test_copy_replaces_the_target(spark, people, tmp_path):
+    target = str(tmp_path / "out")
+    for _ in range(2):
+        csv_to_parquet(spark, people, target)
+    copied = spark.read.parquet(target)
+    assert copied.schema == csv_scan(spark, people).schema and copied.count() == 3
+
+
+@pytest.mark.parametrize("output_files, expected", [(None, 4), (1, 1), (2, 2)])
+def test_output_files(spark, tmp_path, output_files, expected):
+    target = tmp_path / "out"
+    parquet_overwrite(spark.range(100, numPartitions=4), str(target), output_files)
+    assert len(list(target.glob("*.parquet"))) == expected
+
+
+def test_preview_is_optional(spark, people, tmp_path, capsys):
+    csv_to_parquet(spark, people, str(tmp_path / "out"))
+    assert "Ada" not in capsys.readouterr().out
+    csv_to_parquet(spark, people, str(tmp_path / "out"), preview=True)
+    assert "Ada" in capsys.readouterr().out
+
+
+@pytest.mark.parametrize("target", ["", "/", "/people.csv"])
+def test_the_source_is_never_replaced(spark, people, tmp_path, target):
+    with pytest.raises(ValueError, match="another target"):
+        csv_to_parquet(spark, people, f"{tmp_path}{target}")
+    assert csv_scan(spark, people).count() == 3
+
+
+def test_a_sibling_with_a_longer_name_is_another_target(spark, people):
+    csv_to_parquet(spark, people, people.removesuffix(".csv"))
+    assert spark.read.parquet(people.removesuffix(".csv")).count() == 3
+
+
+def test_csv_stream_needs_a_checkpoint_and_resumes(spark, tmp_path):
+    rows = rate_batches(spark, 10).select("value")
+    with pytest.raises(AnalysisException):
+        rows.writeStream.format("csv").start(str(tmp_path / "none"))
+    for _ in range(2):
+        csv_stream(rows, str(tmp_path / "out"), str(tmp_path / "c"), every=None).awaitTermination()
+    values = [int(r[0]) for r in spark.read.csv(str(tmp_path / "out")).collect()]
+    assert len(values) == len(set(values))
+
+
+def test_csv_stream_timestamp_format(spark, tmp_path):
+    for i, (form, digits) in enumerate([(None, 3), ("yyyy-MM-dd'T'HH:mm:ss.SSSSSS", 6)]):
+        path, checkpoint = str(tmp_path / f"out{i}"), str(tmp_path / f"c{i}")
+        rows = rate_batches(spark, 1).selectExpr("TIMESTAMP '2024-01-01 00:00:00.123456' AS t")
+        csv_stream(rows, path, checkpoint, None, form).awaitTermination()
+        (line,) = spark.read.text(path).collect()
+        assert "123456"[:digits] in line[0] and ("123456" in line[0]) == (digits == 6)
+
+
+def test_only_narrow_scans_are_widened(spark):
+    cores = spark.sparkContext.defaultParallelism
+    narrow, wide = spark.range(10, numPartitions=1), spark.range(10, numPartitions=cores)
+    assert widen(narrow).rdd.getNumPartitions() == cores
+    assert widen(wide) is wide

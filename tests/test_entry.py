@@ -1,0 +1,47 @@
+"""Every registered query against its SQL, as the driver compares them."""
+
+from __future__ import annotations
+
+from pathlib import Path
+
+import duckdb
+import pytest
+
+import __spark_entry__ as contract
+from eventlake.plans import checks
+
+TABLES = Path("/root/testdata/sf0.001")
+
+pytestmark = pytest.mark.skipif(not TABLES.is_dir(), reason="no test tables here")
+
+
+@pytest.fixture(scope="module")
+def oracle():
+    connection = duckdb.connect()
+    for table in TABLES.glob("*.parquet"):
+        connection.sql(f"CREATE VIEW {table.stem} AS SELECT * FROM '{table}'")
+    return connection
+
+
+def rows(frame):
+    frame = frame[sorted(frame.columns)].astype(object)
+    return sorted(map(str, frame.where(frame.notna(), None).itertuples(index=False, name=None)))
+
+
+@pytest.mark.parametrize("name", contract.queries())
+def test_query_equals_its_sql(spark, oracle, name):
+    found = contract.queries()[name](spark, str(TABLES)).toPandas()
+    expected = oracle.sql(contract.oracle_sql()[name]).df()
+    assert sorted(found.columns) == sorted(expected.columns)
+    assert len(found) > 0
+    assert rows(found) == rows(expected)
+
+
+def test_every_query_has_sql():
+    assert contract.queries().keys() == contract.oracle_sql().keys() == checks.QUERIES.keys()
+
+
+def test_entry(spark):
+    found = contract.entry(spark)
+    assert found.columns == ["id", "timestamp", "value", "doubled_value", "processing_time"]
+    assert found.count() == 1000

@@ -1,0 +1,103 @@
+from __future__ import annotations
+
+import datetime as dt
+import json
+import math
+
+import pytest
+from pyspark.sql import functions as F
+
+from eventlake.operators.decode import decode_json
+from eventlake.operators.encode import json_payload, synthetic_events, to_envelope
+from eventlake.schemas import ENVELOPE, EVENT
+
+NOON = dt.datetime(2024, 5, 6, 12, 0, 0)
+ALL_NULL = (None, None, None)
+GOOD = '{"id":"a","timestamp":"2024-05-06T12:00:00Z","value":1.5}'
+
+
+def decoded(spark, *texts):
+    payloads = [(i, None if t is None else t.encode()) for i, t in enumerate(texts)]
+    rows = spark.createDataFrame(payloads, "n int, value binary")
+    found = decode_json(rows.withColumnRenamed("value", "payload"), payload="payload", keep=["n"])
+    return [tuple(row)[1:] for row in found.orderBy("n").collect()]
+
+
+@pytest.mark.parametrize(
+    "message, row",
+    [
+        (GOOD, ("a", NOON, 1.5)),
+        ("not json", ALL_NULL),
+        (GOOD[:-8], ALL_NULL),
+        (f"[{GOOD},{GOOD}]", ALL_NULL),
+        (None, ALL_NULL),
+        ("", ALL_NULL),
+        ("   ", ALL_NULL),
+        (GOOD.replace("1.5", '"x"'), ("a", NOON, None)),
+        (GOOD.replace("1.5", '"2.5"'), ("a", NOON, None)),
+        ('{"id":"a"}', ("a", None, None)),
+        (GOOD.replace("{", '{"more":[1],'), ("a", NOON, 1.5)),
+        (GOOD.replace("id", "ID"), (None, NOON, 1.5)),
+        (GOOD.replace("}", ',"value":7}'), ("a", NOON, 7.0)),
+        (GOOD.replace('"a"', "12"), ("12", NOON, 1.5)),
+        ('{"timestamp":86400}', (None, dt.datetime(1970, 1, 2), None)),
+        (
+            '{"timestamp":"2024-05-06T12:00:00.123456789Z"}',
+            (None, NOON.replace(microsecond=123456), None),
+        ),
+        ('{"value":1e400}', (None, None, math.inf)),
+    ],
+)
+def test_decode_rules(spark, message, row):
+    assert decoded(spark, message) == [row]
+
+
+def test_not_a_number_is_kept(spark):
+    assert math.isnan(decoded(spark, '{"value":NaN}')[0][2])
+
+
+def test_no_row_is_dropped(spark):
+    assert len(decoded(spark, GOOD, None, "", "?", GOOD)) == 5
+
+
+def test_text_is_parsed_once_and_pruned_to_what_is_read(spark):
+    rows = decode_json(spark.createDataFrame([(b"{}",)], "value binary"))
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(") == 1
+    narrow = rows.select("id")._jdf.queryExecution().optimizedPlan().toString()
+    assert "TimestampType" not in narrow and "DoubleType" not in narrow
+
+
+def test_encode_keeps_microseconds(spark):
+    row = ("a", NOON.replace(microsecond=1), 0.1)
+    (found,) = spark.createDataFrame([row], EVENT).select(json_payload().alias("v")).collect()
+    assert json.loads(found.v) == {
+        "id": "a",
+        "timestamp": "2024-05-06T12:00:00.000001Z",
+        "value": 0.1,
+    }
+
+
+def test_encode_then_decode_is_the_identity(spark):
+    rows = [("a", NOON.replace(microsecond=9), 1e300), (None, None, None), ('"\\{', NOON, -0.5)]
+    frame = spark.createDataFrame(rows, EVENT)
+    back = decode_json(to_envelope(frame, json_payload()))
+    assert sorted(back.collect(), key=str) == sorted(frame.collect(), key=str)
+
+
+def test_envelope_columns_and_offsets(spark):
+    made = to_envelope(spark.range(100, numPartitions=4), F.lit("x"), F.lit("k"), "news")
+    assert [(f.name, f.dataType) for f in made.schema] == [(f.name, f.dataType) for f in ENVELOPE]
+    found = made.groupBy("topic", "partition").agg(
+        F.sort_array(F.collect_list("offset")).alias("offsets")
+    )
+    assert {tuple(r.offsets) for r in found.collect()} == {tuple(range(25))}
+    assert {r.topic for r in found.collect()} == {"news"}
+
+
+def test_synthetic_events(spark):
+    rows = synthetic_events(spark.range(500)).collect()
+    assert len({r.id for r in rows}) == 500 == len({r.value for r in rows})
+    assert all(0 <= r.value < 100 for r in rows)
+    assert all(len(r.id) == 36 and r.id.count("-") == 4 for r in rows)
+    assert len({r.timestamp for r in rows}) == 1

@@ -1,0 +1,79 @@
+from __future__ import annotations
+
+import datetime as dt
+import math
+
+from pyspark.sql import functions as F
+
+from eventlake.operators.decode import decode_telemetry
+from eventlake.operators.encode import message_key
+from eventlake.operators.shape import date_parts, enrich_events, flatten_telemetry, word_rows
+from eventlake.schemas import EVENT, EVENT_COLUMNS, FLOW_COLUMNS, TELEMETRY
+
+PINNED = dt.datetime(2024, 6, 1, 12, 34, 56)
+
+
+def types(schema):
+    return [(f.name, f.dataType) for f in schema]
+
+
+def test_doubled_value(spark, clock):
+    values = [1.5, None, 1e308, -0.0]
+    rows = spark.createDataFrame([("a", None, v) for v in values], EVENT)
+    found = enrich_events(rows, clock)
+    assert types(found.schema) == types(EVENT_COLUMNS)
+    assert [r.doubled_value for r in found.collect()] == [3.0, None, math.inf, -0.0]
+    assert {r.processing_time for r in found.collect()} == {PINNED}
+
+
+def test_default_clock_is_now(spark):
+    before = dt.datetime.now(dt.UTC).replace(tzinfo=None)
+    row = enrich_events(spark.createDataFrame([("a", None, 1.0)], EVENT)).collect()[0]
+    assert before <= row.processing_time <= dt.datetime.now(dt.UTC).replace(tzinfo=None)
+
+
+def test_date_parts_follow_the_session_zone(spark):
+    clock = F.lit("2023-12-31T23:30:00Z").cast("timestamp")
+    rows = spark.range(1).select(*[part.alias(n) for n, part in date_parts(clock).items()])
+    assert types(rows.schema) == [f for f in types(FLOW_COLUMNS) if f[0] in rows.columns]
+    assert tuple(rows.collect()[0]) == (2023, 12, 31, 23)
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        shifted = spark.range(1).select(*date_parts(F.lit("2023-12-31T23:30:00Z").cast("timestamp")).values())
+        assert tuple(shifted.collect()[0]) == (2024, 1, 1, 8)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_flat_telemetry(spark, clock):
+    when = dt.datetime(2024, 1, 2, 3, 4, 5)
+    message = (
+        when, "V1", ["u1", "u2"], "sensor", "US", "1.0", ("flow_1", "first", when), ["c"], "a", [],
+    )
+    rows = spark.createDataFrame([message], TELEMETRY)
+    found = flatten_telemetry(rows, clock)
+    assert types(found.schema) == types(FLOW_COLUMNS)
+    assert tuple(found.collect()[0]) == (
+        when, "V1", ["u1", "u2"], "sensor", "US", "1.0", "first", when, ["c"], "a", [],
+        2024, 6, 1, 12, "flow_1",
+    )
+
+
+def test_absent_flow_and_null_message(spark, clock):
+    rows = spark.createDataFrame([(b"\x12\x01V",), (None,)], "value binary").coalesce(1)
+    no_flow, no_message = flatten_telemetry(decode_telemetry(rows), clock).collect()
+    assert no_flow.vin_hash == "V" and no_flow.data_uris == []
+    assert no_flow.flow_name is no_flow.flow_timestamp is no_flow.flow_aui is None
+    clock_parts = {"year": 2024, "month": 6, "day": 1, "hour": 12}
+    assert no_message.asDict() == dict.fromkeys(FLOW_COLUMNS.names) | clock_parts
+
+
+def test_words(spark, clock):
+    numbers = spark.createDataFrame([(0,), (None,), (12,)], "value bigint")
+    found = word_rows(numbers, clock).collect()
+    assert [tuple(r) for r in found] == [("word_0", PINNED), (None, PINNED), ("word_12", PINNED)]
+
+
+def test_message_keys(spark):
+    found = spark.range(2).select(message_key("id")).collect()
+    assert [r[0] for r in found] == ["key0", "key1"]
