@@ -32,7 +32,7 @@ from eventlake.schemas import ENVELOPE, FLOW_BUCKETS
 from eventlake.session import scratch_folder
 from eventlake.sinks.tables import ParquetTable, event_table, flow_table
 from eventlake.sinks.topics import publish
-from eventlake.sources.files import widen
+from eventlake.sources.files import table_stream, widen
 from eventlake.sources.generated import rate_batches
 from eventlake.sources.topics import DirectoryTopic
 from eventlake.streaming.batches import BatchMetric
@@ -44,11 +44,12 @@ ORACLE_SQL: dict[str, str] = {}
 
 
 def check(sql: str) -> Callable[[Query], Query]:
-    """Register a query under its function name with the SQL it is compared to."""
+    """Register a query, named by its function without `check_`, with the SQL it is compared to."""
 
     def register(query: Query) -> Query:
-        QUERIES[query.__name__] = query
-        ORACLE_SQL[query.__name__] = sql
+        name = query.__name__.removeprefix("check_")
+        QUERIES[name] = query
+        ORACLE_SQL[name] = sql
         return query
 
     return register
@@ -122,7 +123,8 @@ class Workspace:
     def __init__(self, spark: SparkSession) -> None:
         self.spark = spark
         self.folder = scratch_folder(spark)
-        self.topic = DirectoryTopic(f"{self.folder}/topic")
+        # Bounded micro-batches: what a crash repeats, and what one write shuffles, stays small.
+        self.topic = DirectoryTopic(f"{self.folder}/topic", max_bytes=64 << 30)
         self.checkpoint = f"{self.folder}/checkpoint"
         self.metrics: list[BatchMetric] = []
 
@@ -195,7 +197,7 @@ def json_encode(spark: SparkSession, tables: str) -> DataFrame:
 
 
 @check("SELECT count(*) AS n, count(*) AS ids, TRUE AS in_range FROM events")
-def synthetic_events_bounds(spark: SparkSession, tables: str) -> DataFrame:
+def check_synthetic_events(spark: SparkSession, tables: str) -> DataFrame:
     """One random event per table row: its ids are distinct and its values within bounds."""
     made = synthetic_events(events(spark, tables))
     return made.agg(
@@ -313,7 +315,7 @@ def ingest_date_parts(spark: SparkSession, tables: str) -> DataFrame:
 SELECT concat('word_', event_id) AS word, TIMESTAMP '2024-06-01 12:34:56' AS "timestamp"
 FROM events
 """)
-def word_rows_batch(spark: SparkSession, tables: str) -> DataFrame:
+def check_word_rows(spark: SparkSession, tables: str) -> DataFrame:
     """A word per event number."""
     numbers = events(spark, tables).select(F.col("event_id").alias("value"))
     return comparable(word_rows(numbers, pinned()))
@@ -326,11 +328,7 @@ FROM events
 def word_rows_stream(spark: SparkSession, tables: str) -> DataFrame:
     """Stream the events table through the word job into CSV files, read them back."""
     folder = scratch_folder(spark)
-    stream = (
-        spark.readStream.schema(spark.read.parquet(f"{tables}/events.parquet").schema)
-        .option("pathGlobFilter", "events.parquet")
-        .parquet(tables)
-    )
+    stream = table_stream(spark, tables, "events.parquet")
     numbers = stream.select(F.col("event_id").alias("value"))
     write_words(
         numbers, f"{folder}/words", f"{folder}/checkpoint", every=None, clock=pinned()
@@ -358,7 +356,7 @@ SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_name, p_brand, p_type,
        CAST(p_size AS VARCHAR) AS p_size, CAST(p_retailprice AS VARCHAR) AS p_retailprice
 FROM part
 """)
-def csv_to_parquet_copy(spark: SparkSession, tables: str) -> DataFrame:
+def check_csv_to_parquet(spark: SparkSession, tables: str) -> DataFrame:
     """Headered CSV of the part table, copied to Parquet."""
     folder = scratch_folder(spark)
     spark.read.parquet(f"{tables}/part.parquet").write.csv(f"{folder}/csv", header=True)
@@ -373,9 +371,12 @@ def csv_to_parquet_copy(spark: SparkSession, tables: str) -> DataFrame:
 def batch_metrics(spark: SparkSession, tables: str) -> DataFrame:
     """The counts reported per micro-batch add up to the rows in the table."""
     work = Workspace(spark)
-    work.topic = DirectoryTopic(work.topic.path, max_files=3)
     table = work.table(event_table)
-    publish_events(as_events(events(spark, tables)), work.topic)
+    rows = as_events(events(spark, tables))
+    publish_events(rows, work.topic)
+    # One file per partition was published; a third of them makes a micro-batch.
+    files = max(1, rows.rdd.getNumPartitions() // 3)
+    work.topic = DirectoryTopic(work.topic.path, max_files=files)
     work.land_events(table).awaitTermination()
     counted = sum(metric.rows for metric in work.metrics)
     return table.read(spark).agg(
@@ -453,15 +454,18 @@ def table_ddl(spark: SparkSession, tables: str) -> DataFrame:
 
 @check("""
 SELECT concat('c', event_id) AS correlation_ids, event_type AS flow_name,
-       CAST(day(ts) AS INTEGER) AS day
+       CAST(day(ts) AS INTEGER) AS day, CAST(hour(ts) // 6 * 6 AS INTEGER) AS hour
 FROM events
-WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-08' AND DATE '2024-01-21'
+WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-08' AND DATE '2024-01-21' AND hour(ts) < 12
 """)
 def partitioned_scan(spark: SparkSession, tables: str) -> DataFrame:
-    """Land by day, read two weeks: the other partitions are not listed."""
-    table = land_flows(spark, tables, F.date_trunc("day", "tmc_arrival_timestamp"))
-    rows = table.read(spark, year=2024, month=1).where(F.col("day").between(8, 21))
-    return comparable(rows.select("correlation_ids", "flow_name", "day"))
+    """Land by quarter day, read the mornings of two weeks: no other partition is listed."""
+    arrival = F.unix_seconds("tmc_arrival_timestamp")
+    quarter = 6 * 60 * 60
+    table = land_flows(spark, tables, F.timestamp_seconds(arrival - arrival % quarter))
+    rows = table.read(spark, year=2024, month=1)
+    mornings = rows.where(F.col("day").between(8, 21) & (F.col("hour") < 12))
+    return comparable(mornings.select("correlation_ids", "flow_name", "day", "hour"))
 
 
 @check(FLOW_SQL + "WHERE event_type = 'purchase'")

@@ -153,9 +153,10 @@ class ParquetTable:
             # size over several tasks, so one hot flow does not end up in a single writer.
             rows = rows.hint("rebalance", *dynamic)
         target = [f"{RUN} = '{run}'", f"{BATCH} = {batch}", *(f"`{name}`" for name in dynamic)]
+        # Static mode clears the whole batch, even if this attempt fills fewer partitions.
         rows.sparkSession.sql(
-            f"INSERT OVERWRITE TABLE {self.spec.name} PARTITION ({', '.join(target)}) BY NAME "
-            "SELECT * FROM {rows}",
+            f"INSERT OVERWRITE TABLE {self.spec.name} WITH ('partitionOverwriteMode' = 'static') "
+            f"PARTITION ({', '.join(target)}) BY NAME SELECT * FROM {{rows}}",
             rows=rows,
         )
         return True

@@ -13,6 +13,13 @@ def csv_scan(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.csv(path, header=True)
 
 
+def table_stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """The Parquet file, or the directory of Parquet files, called `name`, as a stream."""
+    # The file stream takes a directory or a glob; this glob matches just the one name.
+    schema = spark.read.parquet(f"{folder}/{name}").schema
+    return spark.readStream.schema(schema).parquet(f"{folder}/{{{name}}}")
+
+
 def widen(rows: DataFrame) -> DataFrame:
     """Spread a scan over all cores when it has fewer partitions than there are cores.
 

@@ -56,7 +56,7 @@ class DirectoryTopic:
 
     path: str
     max_files: int | None = None
-    max_bytes: str | None = None
+    max_bytes: int | None = None
 
     def reader_options(self) -> dict[str, str]:
         chosen = {"maxFilesPerTrigger": self.max_files, "maxBytesPerTrigger": self.max_bytes}

@@ -5,7 +5,7 @@ from pyspark.errors import AnalysisException
 
 from eventlake.plans.copy import csv_to_parquet
 from eventlake.sinks.files import csv_stream, parquet_overwrite
-from eventlake.sources.files import csv_scan, widen
+from eventlake.sources.files import csv_scan, table_stream, widen
 from eventlake.sources.generated import rate_batches
 
 
@@ -84,3 +84,15 @@ def test_only_narrow_scans_are_widened(spark):
     narrow, wide = spark.range(10, numPartitions=1), spark.range(10, numPartitions=cores)
     assert widen(narrow).rdd.getNumPartitions() == cores
     assert widen(wide) is wide
+
+
+def test_a_table_streams_from_a_file_or_a_directory(spark, tmp_path):
+    spark.range(40, numPartitions=4).write.parquet(str(tmp_path / "many.parquet"))
+    spark.range(40, numPartitions=1).write.parquet(str(tmp_path / "staged"))
+    (part,) = (tmp_path / "staged").glob("*.parquet")
+    part.rename(tmp_path / "one.parquet")
+    for name in ("many.parquet", "one.parquet"):
+        rows = table_stream(spark, str(tmp_path), name)
+        target, checkpoint = str(tmp_path / f"csv-{name}"), str(tmp_path / f"c-{name}")
+        csv_stream(rows, target, checkpoint, every=None).awaitTermination()
+        assert sorted(int(r[0]) for r in spark.read.csv(target).collect()) == list(range(40))

@@ -72,6 +72,13 @@ def test_each_batch_is_counted(job):
     assert job.ids() == list(range(40))
 
 
+def test_batches_can_be_bounded_in_bytes(job):
+    job.publish(0, 40, files=4)
+    job.topic = DirectoryTopic(job.topic.path, max_bytes=1000)
+    job.run()
+    assert [m.rows for m in job.metrics] == [10, 10, 10, 10]
+
+
 def test_a_batch_is_evaluated_once(spark, job):
     seen = spark.sparkContext.accumulator(0)
 

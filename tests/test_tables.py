@@ -122,14 +122,17 @@ def test_append_refuses_other_columns(spark, tmp_path, table_name, change):
         table.append(rows, "run", 0)
 
 
-def test_a_replayed_batch_replaces_itself(spark, tmp_path, table_name):
+@pytest.mark.parametrize("mode", ["static", "dynamic"])
+def test_a_replayed_batch_replaces_itself(spark, tmp_path, table_name, mode):
     table = ParquetTable(flow_table(table_name), str(tmp_path / "t"))
     table.create(spark)
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
     table.append(flows(spark, 10, ["a", "b"]), "run", 0)
     table.append(flows(spark, 5, ["c"]), "run", 1)
     table.append(flows(spark, 5, ["c"]), "other run", 0)
     # The replay touches fewer partitions than the first attempt; nothing of that may stay.
     table.append(flows(spark, 4, ["b"]), "run", 0)
+    spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
     assert numbers(table.read(spark)) == sorted([*range(4), *range(5), *range(5)])
     assert table.read(spark, flow_aui="a").isEmpty()
 
