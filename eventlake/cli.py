@@ -51,7 +51,7 @@ def parser() -> argparse.ArgumentParser:
     root.add_argument("--catalog-uri", help="Iceberg REST catalog")
     root.add_argument("--catalog-name", default="spark_catalog")
     root.add_argument("--warehouse", help="warehouse path of the catalog")
-    root.add_argument("--store-endpoint", help="S3-compatible store; keys come from AWS_* variables")
+    root.add_argument("--store-endpoint", help="S3-compatible store; keys: AWS_* variables")
     jobs = root.add_subparsers(dest="job", required=True)
 
     job = jobs.add_parser("ingest-events", help="land JSON events")

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -106,19 +106,29 @@ class IcebergTable:
     def create(self, spark: SparkSession) -> None:
         spark.sql(self.spec.iceberg_ddl())
 
-    def append(self, rows: DataFrame, run: str, batch: int) -> bool:
-        """Commit the batch unless a snapshot already carries its tag; says whether it did."""
-        tags = {RUN.replace("_", "-"): run, BATCH.replace("_", "-"): str(batch)}
-        tagged = rows.sparkSession.table(f"{self.spec.name}.snapshots")
-        for tag, value in tags.items():
-            tagged = tagged.where(F.col("summary")[tag] == value)
-        if not tagged.isEmpty():
-            return False
-        writer = self.spec.conform(rows).writeTo(self.spec.name)
-        for tag, value in tags.items():
-            writer = writer.option(f"snapshot-property.{tag}", value)
-        writer.append()
-        return True
+    def append(self, rows: DataFrame, run: str, batch: int) -> int:
+        """Commit the batch unless a snapshot already carries its tags; gives its row count."""
+        landed = self._landed(rows.sparkSession, run, batch)
+        if landed is None:
+            writer = self.spec.conform(rows).writeTo(self.spec.name)
+            for tag, value in self._tags(run, batch).items():
+                writer = writer.option(f"snapshot-property.{tag}", value)
+            writer.append()
+            landed = self._landed(rows.sparkSession, run, batch)
+        return landed or 0
+
+    @staticmethod
+    def _tags(run: str, batch: int) -> dict[str, str]:
+        return {"ingest-run": run, "ingest-batch": str(batch)}
+
+    def _landed(self, spark: SparkSession, run: str, batch: int) -> int | None:
+        """Rows that the snapshot of this batch added, from the table's metadata alone."""
+        snapshots = spark.table(f"{self.spec.name}.snapshots")
+        for tag, value in self._tags(run, batch).items():
+            snapshots = snapshots.where(F.col("summary")[tag] == value)
+        added = F.coalesce(F.col("summary")["added-records"].cast("bigint"), F.lit(0))
+        found = snapshots.select(added.alias("added")).first()
+        return None if found is None else found["added"]
 
     def read(self, spark: SparkSession, **keys: object) -> DataFrame:
         """The rows with the given column values; Iceberg turns them into partition filters."""
@@ -142,8 +152,12 @@ class ParquetTable:
             if folder_exists(spark, self.location):
                 spark.sql(f"MSCK REPAIR TABLE {self.spec.name}")
 
-    def append(self, rows: DataFrame, run: str, batch: int) -> bool:
-        """Write the batch into its own partition, replacing what a failed attempt left there."""
+    def append(self, rows: DataFrame, run: str, batch: int) -> int:
+        """Write the batch into its own partition, replacing what a failed attempt left there.
+
+        Gives the row count, taken while writing. It is taken after the shuffle, in the stage
+        whose tasks Spark counts once, so that a lost executor does not inflate it.
+        """
         rows = self.spec.conform(rows)
         dynamic = self.spec.parquet_partitions()
         for bucket in self.spec.buckets:
@@ -152,6 +166,8 @@ class ParquetTable:
             # Few, full files per partition. AQE splits a partition that outgrows the advisory
             # size over several tasks, so one hot flow does not end up in a single writer.
             rows = rows.hint("rebalance", *dynamic)
+        counted = Observation()
+        rows = rows.observe(counted, F.count(F.lit(1)).alias("rows"))
         target = [f"{RUN} = '{run}'", f"{BATCH} = {batch}", *(f"`{name}`" for name in dynamic)]
         # Static mode clears the whole batch, even if this attempt fills fewer partitions.
         rows.sparkSession.sql(
@@ -159,7 +175,7 @@ class ParquetTable:
             f"PARTITION ({', '.join(target)}) BY NAME SELECT * FROM {{rows}}",
             rows=rows,
         )
-        return True
+        return counted.get["rows"]
 
     def read(self, spark: SparkSession, **keys: object) -> DataFrame:
         """The rows with the given column values; a bucketed column also prunes by its bucket."""

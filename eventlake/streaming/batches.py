@@ -7,8 +7,7 @@ from collections.abc import Callable
 from concurrent.futures import Future
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from eventlake.sinks.tables import LakeTable
@@ -41,15 +40,12 @@ def append_batches(
 
     The table write and the checkpoint commit are separate steps, so a crash in between replays
     the batch. The table is told the query id, which outlives restarts from the same checkpoint,
-    and the batch id, and lands each pair once. Rows are counted while they are written.
+    and the batch id, and lands each pair once. The table counts the rows while it writes them.
     """
     run: Future[str] = Future()
 
     def land(rows: DataFrame, batch: int) -> None:
-        counted = Observation()
-        observed = rows.observe(counted, F.count(F.lit(1)).alias("rows"))
-        landed = table.append(observed, run.result(), batch)
-        on_batch(BatchMetric(run.result(), batch, counted.get["rows"] if landed else 0))
+        on_batch(BatchMetric(run.result(), batch, table.append(rows, run.result(), batch)))
 
     writer = stream.writeStream.outputMode("append").foreachBatch(land)
     query = writer.option("checkpointLocation", checkpoint).trigger(**trigger(every)).start()

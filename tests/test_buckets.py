@@ -69,5 +69,6 @@ def test_sliced_and_long_strings():
 def test_column_function(spark):
     texts = [*(text for text, _, _ in VECTORS), None]
     rows = spark.createDataFrame([(t,) for t in texts], "text string")
-    found = {r.text: r.b for r in rows.select("text", iceberg_bucket(16, "text").alias("b")).collect()}
+    numbered = rows.select("text", iceberg_bucket(16, "text").alias("bucket"))
+    found = {row.text: row.bucket for row in numbered.collect()}
     assert found == {**{text: bucket for text, _, bucket in VECTORS}, None: None}

@@ -22,9 +22,9 @@ from eventlake.operators.encode import telemetry_payload
 from eventlake.schemas import TELEMETRY, columns
 
 # Hand-assembled wire bytes: field 2 "V", field 3 twice, field 7 {1: "f", 3: {1: 5, 2: 7000}}.
-WIRE = (
-    b"\x12\x01V" + b"\x1a\x01a" + b"\x1a\x01b" + b"\x3a\x0a" + b"\x0a\x01f" + b"\x1a\x05\x08\x05\x10\xd8\x36"
-)
+INSTANT = b"\x08\x05\x10\xd8\x36"
+FLOW = b"\x0a\x01f" + b"\x1a\x05" + INSTANT
+WIRE = b"\x12\x01V" + b"\x1a\x01a" + b"\x1a\x01b" + b"\x3a\x0a" + FLOW
 EMPTY = dict.fromkeys(TELEMETRY.names) | {
     "data_uris": [],
     "correlation_ids": [],

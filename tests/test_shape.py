@@ -39,7 +39,8 @@ def test_date_parts_follow_the_session_zone(spark):
     assert tuple(rows.collect()[0]) == (2023, 12, 31, 23)
     spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
     try:
-        shifted = spark.range(1).select(*date_parts(F.lit("2023-12-31T23:30:00Z").cast("timestamp")).values())
+        clock = F.lit("2023-12-31T23:30:00Z").cast("timestamp")
+        shifted = spark.range(1).select(*date_parts(clock).values())
         assert tuple(shifted.collect()[0]) == (2024, 1, 1, 8)
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")

@@ -29,7 +29,8 @@ FLOW_DECLARED = (
 
 def flows(spark, count, keys, hours=1):
     """`count` landed rows over the given flow ids and ingest hours."""
-    key = F.element_at(F.array(*[F.lit(k) for k in keys]), (F.col("id") % len(keys) + 1).cast("int"))
+    turn = (F.col("id") % len(keys) + 1).cast("int")
+    key = F.element_at(F.array(*[F.lit(k) for k in keys]), turn)
     filled = {
         "correlation_ids": F.array(F.col("id").cast("string")),
         "year": F.lit(2024),
@@ -163,7 +164,8 @@ def test_partition_directories_hold_the_bucket(spark, tmp_path, table_name):
     table = ParquetTable(flow_table(table_name), str(tmp_path / "t"))
     table.create(spark)
     table.append(flows(spark, 10, ["flow_123", None]), "run", 0)
-    buckets = {p.name for p in (tmp_path / "t/ingest_run=run/ingest_batch=0").iterdir() if p.is_dir()}
+    batch = tmp_path / "t/ingest_run=run/ingest_batch=0"
+    buckets = {path.name for path in batch.iterdir() if path.is_dir()}
     assert buckets == {"flow_aui_bucket=12", "flow_aui_bucket=__HIVE_DEFAULT_PARTITION__"}
 
 
@@ -171,9 +173,11 @@ def test_a_hot_partition_is_split_over_writers(spark, tmp_path, table_name):
     spec = TableSpec(table_name, columns(key=TEXT, part=INT, pad=TEXT), (Bucket("key", 16), "part"))
     table = ParquetTable(spec, str(tmp_path / "t"))
     table.create(spark)
-    hot = F.when(F.col("id") % 3 < 2, F.lit("hot")).otherwise(F.concat(F.lit("k"), F.col("id") % 97))
+    other = F.concat(F.lit("k"), F.col("id") % 97)
     rows = spark.range(60_000, numPartitions=8).select(
-        hot.alias("key"), F.lit(1).alias("part"), F.sha2(F.col("id").cast("string"), 512).alias("pad")
+        F.when(F.col("id") % 3 < 2, F.lit("hot")).otherwise(other).alias("key"),
+        F.lit(1).alias("part"),
+        F.sha2(F.col("id").cast("string"), 512).alias("pad"),
     )
     size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
     spark.conf.set(size, "500k")
@@ -186,29 +190,68 @@ def test_a_hot_partition_is_split_over_writers(spark, tmp_path, table_name):
     assert table.read(spark).count() == 60_000
 
 
-class Recorder:
-    """Stands in for the session and writer of an Iceberg append."""
+@pytest.mark.parametrize("spec", [event_table, flow_table])
+def test_append_counts_rows_and_takes_empty_batches(spark, tmp_path, table_name, spec):
+    table = ParquetTable(spec(table_name), str(tmp_path / "t"))
+    table.create(spark)
+    nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in table.spec.columns]
+    filtered_away = spark.range(10).where("id * 2 = 7").select(*nulls)
+    assert table.append(spark.range(12).select(*nulls), "run", 0) == 12
+    assert table.append(filtered_away, "run", 1) == 0
+    assert table.append(spark.createDataFrame([], table.spec.columns), "run", 2) == 0
+    assert table.read(spark).count() == 12
+
+
+def test_rows_are_counted_above_the_shuffle(spark, tmp_path, table_name, monkeypatch):
+    table = ParquetTable(flow_table(table_name), str(tmp_path / "t"))
+    table.create(spark)
+    plans, run_sql = [], type(spark).sql
+
+    def watched(session, text, **frames):
+        plans.extend(f._jdf.queryExecution().executedPlan().toString() for f in frames.values())
+        return run_sql(session, text, **frames)
+
+    monkeypatch.setattr(type(spark), "sql", watched)
+    table.append(flows(spark, 10, ["a"]), "run", 0)
+    (plan,) = plans
+    assert plan.index("CollectMetrics") < plan.index("REBALANCE_PARTITIONS_BY_COL")
 
-    def __init__(self, landed: bool) -> None:
-        self.landed, self.calls = landed, []
+
+class Snapshots:
+    """Stands in for the session, the frame and the writer of an Iceberg append."""
+
+    def __init__(self, spark, landed):
+        self.spark, self.landed, self.calls = spark, landed, []
         self.sparkSession, self.columns = self, EVENT_COLUMNS.names
 
+    def table(self, name):
+        self.calls.append(("table", name))
+        rows = [({"ingest-run": "run", "ingest-batch": "6", "added-records": "1"},), *self.landed]
+        return self.spark.createDataFrame(rows, "summary map<string, string>")
+
+    def append(self):
+        self.calls.append(("append",))
+        options = [call for call in self.calls if call[0] == "option"]
+        tags = {name.removeprefix("snapshot-property."): value for _, name, value in options}
+        self.landed.append((tags | {"added-records": "5"},))
+
     def __getattr__(self, name):
-        def call(*args):
-            self.calls.append((name, *map(str, args)))
-            return (not self.landed) if name == "isEmpty" else self
-
-        return call
-
-
-@pytest.mark.parametrize("landed", [False, True])
-def test_iceberg_append_lands_a_tagged_batch_once(spark, landed):
-    rows = Recorder(landed)
-    assert IcebergTable(event_table("lake.db.events")).append(rows, "run", 7) is not landed
-    names = [call[0] for call in rows.calls]
-    assert rows.calls[0] == ("table", "lake.db.events.snapshots")
-    assert ("append" in names) is not landed
-    if not landed:
-        assert ("writeTo", "lake.db.events") in rows.calls
-        assert ("option", "snapshot-property.ingest-run", "run") in rows.calls
-        assert ("option", "snapshot-property.ingest-batch", "7") in rows.calls
+        return lambda *args: self.calls.append((name, *args)) or self
+
+
+def test_iceberg_append_lands_a_tagged_batch_once(spark):
+    rows = Snapshots(spark, [])
+    table = IcebergTable(event_table("lake.db.events"))
+    assert [table.append(rows, "run", 7) for _ in range(2)] == [5, 5]
+    assert rows.calls.count(("append",)) == 1
+    assert ("writeTo", "lake.db.events") in rows.calls
+    tables = {call[1] for call in rows.calls if call[0] == "table"}
+    assert tables == {"lake.db.events.snapshots"}
+
+
+def test_iceberg_reads_by_key(spark):
+    name = f"v_{id(spark)}"
+    flows(spark, 9, ["a", "b", None]).createOrReplaceTempView(name)
+    table = IcebergTable(flow_table(name))
+    assert numbers(table.read(spark, flow_aui="b", hour=0)) == [1, 4, 7]
+    assert numbers(table.read(spark, flow_aui=None)) == [2, 5, 8]

@@ -2,8 +2,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from eventlake.operators.encode import sample_telemetry, to_envelope
 from eventlake.operators.decode import decode_json, decode_telemetry
+from eventlake.operators.encode import sample_telemetry, to_envelope
 from eventlake.plans.produce import publish_synthetic_events, publish_telemetry, topic_name
 from eventlake.schemas import ENVELOPE
 from eventlake.sinks.topics import publish, publish_stream
@@ -63,7 +63,8 @@ def test_random_events_reach_the_topic(spark, tmp_path):
     publish_synthetic_events(spark.range(50), topic)
     messages = read(spark, topic)
     assert messages.where("key IS NOT NULL").isEmpty()
-    assert decode_json(messages).where("id IS NOT NULL AND value >= 0 AND value < 100").count() == 50
+    decoded = decode_json(messages)
+    assert decoded.where("id IS NOT NULL AND value >= 0 AND value < 100").count() == 50
 
 
 def test_sample_telemetry_reaches_the_topic(spark, tmp_path):
