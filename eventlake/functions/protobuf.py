@@ -7,8 +7,10 @@ layout from one descriptor set, which is derived from the Spark schema of the pa
 
 from __future__ import annotations
 
+import gc
 import sys
 from collections.abc import Callable, Iterator, Mapping
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -82,6 +84,16 @@ def message_class(message: str, descriptors: bytes):
     return message_factory.GetMessageClass(pool.FindMessageTypeByName(message))
 
 
+@contextmanager
+def collector_paused() -> Iterator[None]:
+    """A batch makes many objects and no cycles, so searching them for cycles is wasted time."""
+    gc.disable()
+    try:
+        yield
+    finally:
+        gc.enable()
+
+
 def messages_to_column(messages: list, name: str, kind: DataType) -> pa.Array:
     """One field of every message, as an Arrow column."""
     if isinstance(kind, ArrayType):
@@ -155,9 +167,11 @@ def _decode_udf(message: str, schema: StructType) -> Callable[..., Column]:
         cls = message_class(message, descriptors)
         for batch in payloads:
             unset = batch.is_null().to_numpy(zero_copy_only=False)
-            # A NULL payload is parsed as an empty message and masked out again.
-            messages = [cls.FromString(payload or b"") for payload in to_objects(batch)]
-            yield messages_to_struct(messages, schema, unset)
+            with collector_paused():
+                # A NULL payload is parsed as an empty message and masked out again.
+                messages = [cls.FromString(payload or b"") for payload in to_objects(batch)]
+                decoded = messages_to_struct(messages, schema, unset)
+            yield decoded
 
     return protobuf_decode
 
@@ -169,10 +183,10 @@ def _encode_udf(message: str, schema: StructType) -> Callable[..., Column]:
     def protobuf_encode(rows: Iterator[pa.Array]) -> Iterator[pa.Array]:
         cls = message_class(message, descriptors)
         for batch in rows:
-            values = column_to_values(batch, schema)
-            yield pa.array(
-                [None if v is None else cls(**v).SerializeToString() for v in values], pa.binary()
-            )
+            with collector_paused():
+                values = column_to_values(batch, schema)
+                payloads = [None if v is None else cls(**v).SerializeToString() for v in values]
+            yield pa.array(payloads, pa.binary())
 
     return protobuf_encode
 

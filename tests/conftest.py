@@ -16,7 +16,7 @@ def spark(tmp_path_factory):
     session = build_session(
         "tests",
         {
-            "spark.master": "local[4]",
+            "spark.master": "local[4, 2]",  # a failed task gets a second attempt
             "spark.sql.shuffle.partitions": "8",
             "spark.ui.showConsoleProgress": "false",
             "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),

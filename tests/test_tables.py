@@ -217,6 +217,29 @@ def test_rows_are_counted_above_the_shuffle(spark, tmp_path, table_name, monkeyp
     assert plan.index("CollectMetrics") < plan.index("REBALANCE_PARTITIONS_BY_COL")
 
 
+@F.udf(TEXT)
+def fails_at_first(text):
+    from pyspark import TaskContext
+
+    if TaskContext.get().attemptNumber() == 0:
+        raise RuntimeError("lost")
+    return text
+
+
+@pytest.mark.parametrize("spec", [event_table, flow_table])
+def test_lost_tasks_neither_drop_nor_repeat_rows(spark, tmp_path, table_name, spec):
+    table = ParquetTable(spec(table_name), str(tmp_path / "t"))
+    table.create(spark)
+    text = table.spec.columns.names[-1] if spec is flow_table else "id"
+    nulls = {f.name: F.lit(None).cast(f.dataType) for f in table.spec.columns}
+    number = fails_at_first(F.col("number").cast("string"))
+    rows = spark.range(100, numPartitions=4).withColumnRenamed("id", "number")
+    rows = rows.withColumns(nulls | {text: number}).drop("number")
+    assert table.append(rows, "run", 0) == 100
+    landed = [int(row[0]) for row in table.read(spark).select(text).collect()]
+    assert sorted(landed) == list(range(100))
+
+
 class Snapshots:
     """Stands in for the session, the frame and the writer of an Iceberg append."""
 
