@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import argparse
 from collections.abc import Sequence
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
+from eventlake.functions.protobuf import MessageFormat
 from eventlake.operators.encode import sample_telemetry
 from eventlake.plans.copy import csv_to_parquet
 from eventlake.plans.ingest import ingest_events, ingest_telemetry
@@ -46,6 +48,11 @@ def add_table(job: argparse.ArgumentParser) -> None:
     job.add_argument("--max-per-batch", type=int, help="messages (or files) per micro-batch")
 
 
+def add_message(job: argparse.ArgumentParser) -> None:
+    job.add_argument("--message", help="full name of your Protobuf message type or its JVM class")
+    job.add_argument("--descriptors", help="local file with the descriptor set of --message")
+
+
 def parser() -> argparse.ArgumentParser:
     root = argparse.ArgumentParser(prog="eventlake", description=__doc__)
     root.add_argument("--catalog-uri", help="Iceberg REST catalog")
@@ -63,6 +70,7 @@ def parser() -> argparse.ArgumentParser:
     add_topic(job)
     add_table(job)
     add_stream(job, TELEMETRY_INTERVAL)
+    add_message(job)
     job.add_argument("--drop-null", action="store_true", help="skip messages without a payload")
 
     job = jobs.add_parser("write-words", help="write generated words to CSV files")
@@ -83,6 +91,7 @@ def parser() -> argparse.ArgumentParser:
     job = jobs.add_parser("publish-telemetry", help="publish sample telemetry")
     job.add_argument("--count", type=int, default=2)
     add_topic(job)
+    add_message(job)
     return root
 
 
@@ -95,6 +104,15 @@ def chosen_topic(args: argparse.Namespace) -> Topic:
     return KafkaTopic(args.servers, args.topic, max_offsets=limit)
 
 
+def chosen_format(args: argparse.Namespace) -> MessageFormat | None:
+    if args.message is None:
+        if args.descriptors:
+            raise SystemExit("--descriptors needs --message")
+        return None
+    descriptors = Path(args.descriptors).read_bytes() if args.descriptors else None
+    return MessageFormat(args.message, descriptors=descriptors)
+
+
 def chosen_conf(args: argparse.Namespace) -> dict[str, str]:
     catalog = store = None
     if args.store_endpoint:
@@ -131,6 +149,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
             args.checkpoint,
             args.every,
             drop_null=args.drop_null,
+            form=chosen_format(args),
             on_batch=print_batch,
         ).awaitTermination()
     elif args.job == "write-words":
@@ -141,7 +160,8 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
     elif args.job == "publish-events":
         publish_synthetic_events(spark.range(args.count), chosen_topic(args))
     else:
-        publish_telemetry(sample_telemetry(spark.range(args.count)), chosen_topic(args), "id")
+        rows = sample_telemetry(spark.range(args.count))
+        publish_telemetry(rows, chosen_topic(args), "id", chosen_format(args))
 
 
 def main(arguments: Sequence[str] | None = None) -> None:

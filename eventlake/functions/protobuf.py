@@ -2,7 +2,7 @@
 
 With the `spark-protobuf` package on the classpath both directions run in the JVM. Without it the
 same columns come from Arrow UDFs over the `google.protobuf` runtime. Both read the message
-layout from one descriptor set, which is derived from the Spark schema of the payload.
+layout from one descriptor set: the caller's own, or one derived from the payload's Spark schema.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ import gc
 import sys
 from collections.abc import Callable, Iterator, Mapping
 from contextlib import contextmanager
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -75,6 +76,25 @@ def descriptor_set(message: str, schema: StructType) -> bytes:
     return files.SerializeToString()
 
 
+@dataclass(frozen=True)
+class MessageFormat:
+    """A Protobuf message type and the columns to read from it.
+
+    Without `descriptors`, `name` is a message class on the JVM's class path.
+    """
+
+    name: str
+    schema: StructType = TELEMETRY
+    descriptors: bytes | None = None
+
+
+def telemetry_format() -> MessageFormat:
+    """Telemetry with field numbers in schema order."""
+    return MessageFormat(
+        TELEMETRY_MESSAGE, TELEMETRY, descriptor_set(TELEMETRY_MESSAGE, TELEMETRY)
+    )
+
+
 def message_class(message: str, descriptors: bytes):
     from google.protobuf import descriptor_pb2, descriptor_pool, message_factory
 
@@ -94,14 +114,19 @@ def collector_paused() -> Iterator[None]:
         gc.enable()
 
 
-def messages_to_column(messages: list, name: str, kind: DataType) -> pa.Array:
-    """One field of every message, as an Arrow column."""
+def messages_to_column(messages: list, field, kind: DataType) -> pa.Array:
+    """One field of every message, as an Arrow column; `field` is its Protobuf descriptor."""
+    name = field.name
     if isinstance(kind, ArrayType):
         return pa.array([getattr(m, name)[:] for m in messages], pa.list_(pa.string()))
     if isinstance(kind, StringType):
-        # Only empty text leaves open whether the field was set.
+        # Only empty text leaves open whether the field was set; proto3 may not record it.
+        known = field.has_presence
         return pa.array(
-            [text if (text := getattr(m, name)) or m.HasField(name) else None for m in messages],
+            [
+                text if (text := getattr(m, name)) or (known and m.HasField(name)) else None
+                for m in messages
+            ],
             pa.string(),
         )
     unset = np.array([not m.HasField(name) for m in messages], dtype=bool)
@@ -112,12 +137,12 @@ def messages_to_column(messages: list, name: str, kind: DataType) -> pa.Array:
         return pa.array(seconds * 1_000_000 + nanos // 1_000, mask=unset).cast(
             pa.timestamp("us", tz="UTC")
         )
-    return messages_to_struct(children, kind, unset)
+    return messages_to_struct(children, field.message_type, kind, unset)
 
 
-def messages_to_struct(messages: list, schema: StructType, unset: np.ndarray) -> pa.Array:
+def messages_to_struct(messages: list, layout, schema: StructType, unset: np.ndarray) -> pa.Array:
     return pa.StructArray.from_arrays(
-        [messages_to_column(messages, f.name, f.dataType) for f in schema.fields],
+        [messages_to_column(messages, layout.fields_by_name[f.name], f.dataType) for f in schema],
         names=schema.fieldNames(),
         mask=pa.array(unset),
     )
@@ -159,29 +184,29 @@ def column_to_values(column: pa.Array, kind: DataType) -> list:
     return to_objects(column)
 
 
-def _decode_udf(message: str, schema: StructType) -> Callable[..., Column]:
-    descriptors = descriptor_set(message, schema)
+def _decode_udf(form: MessageFormat) -> Callable[..., Column]:
+    name, schema, descriptors = form.name, form.schema, form.descriptors
 
-    @F.arrow_udf(schema)
+    @F.arrow_udf(form.schema)
     def protobuf_decode(payloads: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        cls = message_class(message, descriptors)
+        cls = message_class(name, descriptors)
         for batch in payloads:
             unset = batch.is_null().to_numpy(zero_copy_only=False)
             with collector_paused():
                 # A NULL payload is parsed as an empty message and masked out again.
                 messages = [cls.FromString(payload or b"") for payload in to_objects(batch)]
-                decoded = messages_to_struct(messages, schema, unset)
+                decoded = messages_to_struct(messages, cls.DESCRIPTOR, schema, unset)
             yield decoded
 
     return protobuf_decode
 
 
-def _encode_udf(message: str, schema: StructType) -> Callable[..., Column]:
-    descriptors = descriptor_set(message, schema)
+def _encode_udf(form: MessageFormat) -> Callable[..., Column]:
+    name, schema, descriptors = form.name, form.schema, form.descriptors
 
     @F.arrow_udf("binary")
     def protobuf_encode(rows: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        cls = message_class(message, descriptors)
+        cls = message_class(name, descriptors)
         for batch in rows:
             with collector_paused():
                 values = column_to_values(batch, schema)
@@ -200,45 +225,39 @@ def jvm_protobuf(spark: SparkSession) -> bool:
     return True
 
 
-def _in_jvm(engine: str) -> bool:
-    if engine == "auto":
-        return jvm_protobuf(SparkSession.active())
-    if engine not in ("jvm", "python"):
+def _in_jvm(engine: str, form: MessageFormat) -> bool:
+    if engine not in ("auto", "jvm", "python"):
         raise ValueError(f"engine must be auto, jvm or python, not {engine!r}")
-    return engine == "jvm"
+    in_jvm = engine == "jvm" or (engine == "auto" and jvm_protobuf(SparkSession.active()))
+    if not in_jvm and form.descriptors is None:
+        raise ValueError(f"{form.name}: without spark-protobuf a descriptor set is needed")
+    return in_jvm
 
 
 def decode_message(
     payload: Column | str,
-    message: str = TELEMETRY_MESSAGE,
-    schema: StructType = TELEMETRY,
+    form: MessageFormat | None = None,
     engine: str = "auto",
     options: Mapping[str, str] = READ_OPTIONS,
 ) -> Column:
     """Payload bytes to a struct; malformed bytes fail the query."""
-    if _in_jvm(engine):
-        from pyspark.sql.protobuf.functions import from_protobuf
-
-        return from_protobuf(
-            payload,
-            message,
-            options=dict(options),
-            binaryDescriptorSet=descriptor_set(message, schema),
-        )
-    return _decode_udf(message, schema)(payload)
+    form = form or telemetry_format()
+    if not _in_jvm(engine, form):
+        return _decode_udf(form)(payload)
+    from pyspark.sql.protobuf.functions import from_protobuf
+
+    return from_protobuf(
+        payload, form.name, options=dict(options), binaryDescriptorSet=form.descriptors
+    )
 
 
 def encode_message(
-    row: Column | str,
-    message: str = TELEMETRY_MESSAGE,
-    schema: StructType = TELEMETRY,
-    engine: str = "auto",
+    row: Column | str, form: MessageFormat | None = None, engine: str = "auto"
 ) -> Column:
     """A struct to payload bytes; NULL fields stay unset, a NULL struct gives NULL."""
-    if _in_jvm(engine):
-        from pyspark.sql.protobuf.functions import to_protobuf
+    form = form or telemetry_format()
+    if not _in_jvm(engine, form):
+        return _encode_udf(form)(row)
+    from pyspark.sql.protobuf.functions import to_protobuf
 
-        return to_protobuf(
-            row, message, binaryDescriptorSet=descriptor_set(message, schema)
-        )
-    return _encode_udf(message, schema)(row)
+    return to_protobuf(row, form.name, binaryDescriptorSet=form.descriptors)

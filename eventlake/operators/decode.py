@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from eventlake.functions.protobuf import decode_message
+from eventlake.functions.protobuf import MessageFormat, decode_message
 from eventlake.schemas import EVENT
 
 
@@ -32,14 +32,17 @@ def decode_telemetry(
     payload: str = "value",
     keep: Sequence[str] = (),
     drop_null: bool = False,
+    form: MessageFormat | None = None,
     engine: str = "auto",
 ) -> DataFrame:
     """Parse Protobuf telemetry in `payload`; malformed bytes fail the query.
 
+    `form` describes the messages, if their field numbers are not this library's own.
+
     A NULL payload yields an all-NULL row, or none with `drop_null`: decoding gives NULL only
     for a NULL payload, so the filter runs before it and reaches the scan.
     """
     if drop_null:
         messages = messages.where(F.col(payload).isNotNull())
-    event = decode_message(payload, engine=engine)
+    event = decode_message(payload, form, engine)
     return messages.select(*keep, event.alias("event")).select(*keep, "event.*")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventlake.functions.protobuf import encode_message
+from eventlake.functions.protobuf import MessageFormat, encode_message
 from eventlake.schemas import EVENT, KEY_PREFIX, TELEMETRY
 
 # Spark writes JSON timestamps in milliseconds unless told otherwise; sources carry microseconds.
@@ -57,9 +57,9 @@ def json_payload() -> Column:
     return F.to_json(F.struct(*EVENT.names), {"timestampFormat": MICROSECONDS})
 
 
-def telemetry_payload(engine: str = "auto") -> Column:
+def telemetry_payload(form: MessageFormat | None = None, engine: str = "auto") -> Column:
     """The telemetry columns of the current row as Protobuf bytes."""
-    return encode_message(F.struct(*TELEMETRY.names), engine=engine)
+    return encode_message(F.struct(*TELEMETRY.names), form, engine)
 
 
 def to_envelope(

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from eventlake.functions.protobuf import MessageFormat
 from eventlake.operators.decode import decode_json, decode_telemetry
 from eventlake.operators.shape import enrich_events, flatten_telemetry
 from eventlake.sinks.tables import LakeTable
@@ -24,10 +25,11 @@ def flow_rows(
     messages: DataFrame,
     clock: Column | None = None,
     drop_null: bool = False,
+    form: MessageFormat | None = None,
     engine: str = "auto",
 ) -> DataFrame:
     """Telemetry messages as rows of the flow table."""
-    decoded = decode_telemetry(messages, drop_null=drop_null, engine=engine)
+    decoded = decode_telemetry(messages, drop_null=drop_null, form=form, engine=engine)
     return flatten_telemetry(decoded, clock)
 
 
@@ -54,10 +56,11 @@ def ingest_telemetry(
     every: str | None = TELEMETRY_INTERVAL,
     clock: Column | None = None,
     drop_null: bool = False,
+    form: MessageFormat | None = None,
     engine: str = "auto",
     on_batch: Callable[[BatchMetric], None] = log_batch,
 ) -> StreamingQuery:
     """Land Protobuf telemetry; the caller waits on the query it returns."""
     table.create(spark)
-    rows = flow_rows(message_stream(spark, topic), clock, drop_null, engine)
+    rows = flow_rows(message_stream(spark, topic), clock, drop_null, form, engine)
     return append_batches(rows, table, checkpoint, every, on_batch)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+from eventlake.functions.protobuf import MessageFormat
 from eventlake.operators.encode import (
     json_payload,
     message_key,
@@ -34,10 +35,14 @@ def publish_synthetic_events(rows: DataFrame, topic: Topic) -> None:
 
 
 def publish_telemetry(
-    telemetry: DataFrame, topic: Topic, number: Column | str, engine: str = "auto"
+    telemetry: DataFrame,
+    topic: Topic,
+    number: Column | str,
+    form: MessageFormat | None = None,
+    engine: str = "auto",
 ) -> None:
     """Publish rows with the telemetry columns as Protobuf messages, keyed by their number."""
-    payload = telemetry_payload(engine)
+    payload = telemetry_payload(form, engine)
     publish(to_envelope(telemetry, payload, message_key(number), topic_name(topic)), topic)
 
 

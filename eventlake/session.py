@@ -42,10 +42,10 @@ def _hadoop_path(spark: SparkSession, path: str):
     return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
-def folder_exists(spark: SparkSession, path: str) -> bool:
-    """Whether `path` exists on whichever file system it names."""
+def make_folder(spark: SparkSession, path: str) -> None:
+    """Create `path`, if absent, on whichever file system it names."""
     folder, file_system = _hadoop_path(spark, path)
-    return file_system.exists(folder)
+    file_system.mkdirs(folder)
 
 
 def full_path(spark: SparkSession, path: str) -> str:

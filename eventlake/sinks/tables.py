@@ -16,7 +16,7 @@ from pyspark.sql.types import StructType
 
 from eventlake.functions.buckets import bucket_of, iceberg_bucket
 from eventlake.schemas import EVENT_COLUMNS, FLOW_BUCKETS, FLOW_COLUMNS
-from eventlake.session import folder_exists
+from eventlake.session import make_folder
 
 RUN, BATCH = "ingest_run", "ingest_batch"
 
@@ -148,9 +148,9 @@ class ParquetTable:
     def create(self, spark: SparkSession) -> None:
         """Create the table if absent, picking up partitions that an earlier session landed."""
         if not spark.catalog.tableExists(self.spec.name):
+            make_folder(spark, self.location)
             spark.sql(self.spec.parquet_ddl(self.location))
-            if folder_exists(spark, self.location):
-                spark.sql(f"MSCK REPAIR TABLE {self.spec.name}")
+            spark.sql(f"MSCK REPAIR TABLE {self.spec.name}")
 
     def append(self, rows: DataFrame, run: str, batch: int) -> int:
         """Write the batch into its own partition, replacing what a failed attempt left there.

@@ -3,7 +3,8 @@ from __future__ import annotations
 import pytest
 
 from eventlake import cli
-from eventlake.cli import chosen_conf, chosen_topic, parser, run
+from eventlake.cli import chosen_conf, chosen_format, chosen_topic, parser, run
+from eventlake.functions.protobuf import MessageFormat
 from eventlake.operators.decode import decode_json
 from eventlake.schemas import ENVELOPE
 from eventlake.sources.topics import DirectoryTopic, KafkaTopic
@@ -71,6 +72,17 @@ def test_telemetry_jobs_end_to_end(spark, tmp_path, table_name):
     assert sorted(map(tuple, landed)) == [("VIN0", 12), ("VIN1", 12)]
 
 
+def test_own_message_type(tmp_path):
+    (tmp_path / "d").write_bytes(b"set")
+    topic = ["publish-telemetry", "--directory", "/d"]
+    assert chosen_format(parse(*topic)) is None
+    named = parse(*topic, "--message", "a.B", "--descriptors", tmp_path / "d")
+    assert chosen_format(named) == MessageFormat("a.B", descriptors=b"set")
+    assert chosen_format(parse(*topic, "--message", "a.B")) == MessageFormat("a.B")
+    with pytest.raises(SystemExit):
+        chosen_format(parse(*topic, "--descriptors", "d"))
+
+
 def test_copy_job(spark, tmp_path):
     (tmp_path / "in.csv").write_text("a,b\n1,2\n")
     copy = ["copy-csv", "--source", tmp_path / "in.csv", "--target", tmp_path / "out"]

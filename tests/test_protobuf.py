@@ -3,6 +3,7 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
+from google.protobuf import descriptor_pb2
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.errors import PythonException
@@ -11,11 +12,13 @@ from pyspark.sql.types import DoubleType
 
 from eventlake.functions.protobuf import (
     TELEMETRY_MESSAGE,
+    MessageFormat,
     decode_message,
     descriptor_set,
     encode_message,
     jvm_protobuf,
     message_class,
+    telemetry_format,
 )
 from eventlake.operators.decode import decode_telemetry
 from eventlake.operators.encode import telemetry_payload
@@ -138,10 +141,41 @@ def test_the_payload_is_decoded_once(spark):
     assert plan.count("protobuf_decode(") == 1
 
 
+def renumbered(syntax):
+    """The telemetry message as another party may define it: other numbers, other syntax."""
+    files = descriptor_pb2.FileDescriptorSet.FromString(telemetry_format().descriptors)
+    file = files.file[-1]
+    file.syntax = syntax
+    file.package = "party"
+    for message in file.message_type:
+        for field in message.field:
+            field.number += 100
+            if field.type_name:
+                field.type_name = field.type_name.replace(".eventlake.", ".party.")
+    return MessageFormat("party.Telemetry", TELEMETRY, files.SerializeToString())
+
+
+@pytest.mark.parametrize("syntax", ["proto2", "proto3"])
+def test_the_callers_own_message_type(spark, syntax):
+    form = renumbered(syntax)
+    values = (None, "V", ["a"], "", None, "1.0", (None, "f", None), [], "x", [])
+    frame = spark.createDataFrame([values], TELEMETRY)
+    published = frame.select(telemetry_payload(form).alias("value"))
+    assert bytes(published.first().value).startswith(b"\xb2\x06\x01V")  # field 102, text
+    (row,) = decode_telemetry(published, form=form).collect()
+    # Proto3 does not send empty text, so it cannot be told from an unset field.
+    device = "" if syntax == "proto2" else None
+    assert row.asDict(recursive=True) == frame.first().asDict(recursive=True) | {
+        "device_type": device
+    }
+
+
 def test_engine_choice(spark):
     assert not jvm_protobuf(spark)
     with pytest.raises(ValueError, match="engine"):
         decode_message("value", engine="other")
+    with pytest.raises(ValueError, match="descriptor set"):
+        decode_message("value", MessageFormat("com.example.Telemetry"))
 
 
 def test_jvm_engine_passes_the_descriptors(spark, monkeypatch):
@@ -155,10 +189,14 @@ def test_jvm_engine_passes_the_descriptors(spark, monkeypatch):
 
     monkeypatch.setattr(functions, "from_protobuf", stand_in)
     monkeypatch.setattr(functions, "to_protobuf", stand_in)
+    by_class = MessageFormat("com.example.Telemetry")
     decode_message("value", engine="jvm")
     encode_message("row", engine="jvm")
+    decode_message("value", by_class, engine="jvm")
+    depth = {"recursive.fields.max.depth": "10"}
     descriptors = descriptor_set(TELEMETRY_MESSAGE, TELEMETRY)
     assert calls == [
-        ("value", TELEMETRY_MESSAGE, {"recursive.fields.max.depth": "10"}, descriptors),
+        ("value", TELEMETRY_MESSAGE, depth, descriptors),
         ("row", TELEMETRY_MESSAGE, None, descriptors),
+        ("value", "com.example.Telemetry", depth, None),
     ]

@@ -1,0 +1,34 @@
+from __future__ import annotations
+
+from types import SimpleNamespace
+
+import pytest
+
+from eventlake.session import full_path, make_folder, scratch_folder
+
+
+def session(master, **conf):
+    return SimpleNamespace(
+        conf=SimpleNamespace(get=lambda key, default: conf.get(key, default)),
+        sparkContext=SimpleNamespace(master=master),
+    )
+
+
+def test_scratch_is_below_the_shared_folder():
+    shared = session("yarn", **{"spark.checkpoint.dir": "s3a://lake/scratch/"})
+    first, second = scratch_folder(shared), scratch_folder(shared)
+    assert first.startswith("s3a://lake/scratch/eventlake-") and first != second
+
+
+def test_only_a_local_session_may_go_without_a_shared_folder():
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_folder(session("yarn"))
+    assert scratch_folder(session("local[2]")).startswith("/")
+
+
+def test_folders(spark, tmp_path):
+    folder = tmp_path / "a" / "b"
+    for _ in range(2):
+        make_folder(spark, str(folder))
+    assert folder.is_dir()
+    assert full_path(spark, f"{folder}/") == f"file:{folder}"

@@ -202,9 +202,9 @@ def test_append_counts_rows_and_takes_empty_batches(spark, tmp_path, table_name,
     assert table.read(spark).count() == 12
 
 
-def test_rows_are_counted_above_the_shuffle(spark, tmp_path, table_name, monkeypatch):
-    table = ParquetTable(flow_table(table_name), str(tmp_path / "t"))
-    table.create(spark)
+@pytest.fixture
+def written_plans(spark, monkeypatch):
+    """The physical plans of the frames that SQL statements are given."""
     plans, run_sql = [], type(spark).sql
 
     def watched(session, text, **frames):
@@ -212,11 +212,29 @@ def test_rows_are_counted_above_the_shuffle(spark, tmp_path, table_name, monkeyp
         return run_sql(session, text, **frames)
 
     monkeypatch.setattr(type(spark), "sql", watched)
+    return plans
+
+
+def test_rows_are_counted_above_the_shuffle(spark, tmp_path, table_name, written_plans):
+    table = ParquetTable(flow_table(table_name), str(tmp_path / "t"))
+    table.create(spark)
     table.append(flows(spark, 10, ["a"]), "run", 0)
-    (plan,) = plans
+    (plan,) = written_plans
     assert plan.index("CollectMetrics") < plan.index("REBALANCE_PARTITIONS_BY_COL")
 
 
+def test_without_aqe_there_is_no_skewed_shuffle(spark, tmp_path, table_name, written_plans):
+    table = ParquetTable(flow_table(table_name), str(tmp_path / "t"))
+    table.create(spark)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        assert table.append(flows(spark, 10, ["a"]), "run", 0) == 10
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    (plan,) = written_plans
+    assert "Exchange" not in plan
+
+
 @F.udf(TEXT)
 def fails_at_first(text):
     from pyspark import TaskContext
