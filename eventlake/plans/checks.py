@@ -454,15 +454,15 @@ def table_ddl(spark: SparkSession, tables: str) -> DataFrame:
 
 @check("""
 SELECT concat('c', event_id) AS correlation_ids, event_type AS flow_name,
-       CAST(day(ts) AS INTEGER) AS day, CAST(hour(ts) // 6 * 6 AS INTEGER) AS hour
+       CAST(day(ts) AS INTEGER) AS day, CAST(hour(ts) // 12 * 12 AS INTEGER) AS hour
 FROM events
 WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-08' AND DATE '2024-01-21' AND hour(ts) < 12
 """)
 def partitioned_scan(spark: SparkSession, tables: str) -> DataFrame:
-    """Land by quarter day, read the mornings of two weeks: no other partition is listed."""
+    """Land by half day, read the mornings of two weeks: no other partition is listed."""
     arrival = F.unix_seconds("tmc_arrival_timestamp")
-    quarter = 6 * 60 * 60
-    table = land_flows(spark, tables, F.timestamp_seconds(arrival - arrival % quarter))
+    half_day = 12 * 60 * 60
+    table = land_flows(spark, tables, F.timestamp_seconds(arrival - arrival % half_day))
     rows = table.read(spark, year=2024, month=1)
     mornings = rows.where(F.col("day").between(8, 21) & (F.col("hour") < 12))
     return comparable(mornings.select("correlation_ids", "flow_name", "day", "hour"))
