@@ -5,6 +5,8 @@ import json
 import math
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from eventlake.operators.decode import decode_json
@@ -85,6 +87,24 @@ def test_encode_then_decode_is_the_identity(spark):
     assert sorted(back.collect(), key=str) == sorted(frame.collect(), key=str)
 
 
+events = st.tuples(
+    st.one_of(st.none(), st.text(max_size=12)),
+    st.one_of(
+        st.none(),
+        st.datetimes(min_value=dt.datetime(1, 1, 3), max_value=dt.datetime(9999, 12, 28)),
+    ),
+    st.one_of(st.none(), st.floats()),
+)
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(events, min_size=1, max_size=30))
+def test_any_event_survives_the_round_trip(spark, rows):
+    frame = spark.createDataFrame(rows, EVENT)
+    back = decode_json(to_envelope(frame, json_payload()))
+    assert sorted(map(repr, back.collect())) == sorted(map(repr, frame.collect()))
+
+
 def test_envelope_columns_and_offsets(spark):
     made = to_envelope(spark.range(100, numPartitions=4), F.lit("x"), F.lit("k"), "news")
     assert [(f.name, f.dataType) for f in made.schema] == [(f.name, f.dataType) for f in ENVELOPE]
