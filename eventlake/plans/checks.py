@@ -123,8 +123,9 @@ class Workspace:
     def __init__(self, spark: SparkSession) -> None:
         self.spark = spark
         self.folder = scratch_folder(spark)
-        # Bounded micro-batches: what a crash repeats, and what one write shuffles, stays small.
-        self.topic = DirectoryTopic(f"{self.folder}/topic", max_bytes=64 << 30)
+        # Bounded micro-batches bound what a crash repeats and what one write shuffles; a
+        # terabyte still gives thousands of cores a few tasks each.
+        self.topic = DirectoryTopic(f"{self.folder}/topic", max_bytes=1 << 40)
         self.checkpoint = f"{self.folder}/checkpoint"
         self.metrics: list[BatchMetric] = []
 

@@ -95,6 +95,15 @@ def test_create_twice_keeps_rows_and_columns(spark, tmp_path, table_name):
     assert found.count() == 10
 
 
+def test_fully_qualified_names(spark, tmp_path, table_name):
+    spec = flow_table(f"spark_catalog.default.{table_name}")
+    table = open_table(spark, spec, str(tmp_path / "t"))
+    for _ in range(2):
+        table.create(spark)
+        table.append(flows(spark, 10, ["a"]), "run", 0)
+    assert numbers(table.read(spark, flow_aui="a")) == list(range(10))
+
+
 def test_a_new_catalog_finds_landed_rows(spark, tmp_path, table_name):
     table = ParquetTable(flow_table(table_name), str(tmp_path / "t"))
     table.create(spark)
