@@ -6,16 +6,23 @@ import logging
 from collections.abc import Callable
 from concurrent.futures import Future
 from dataclasses import dataclass
+from typing import Protocol
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from eventlake.sinks.tables import LakeTable
 from eventlake.streaming.control import trigger
 
 log = logging.getLogger(__name__)
 
 
+class BatchSink(Protocol):
+    """What a stream can be appended to: the lake tables, or the caller's own code."""
+
+    def append(self, rows: DataFrame, run: str, batch: int) -> int:
+        """Land `rows` once per `(run, batch)`, however often it is called; gives their number."""
+
+
 @dataclass(frozen=True)
 class BatchMetric:
     """What one micro-batch landed."""
@@ -31,21 +38,21 @@ def log_batch(metric: BatchMetric) -> None:
 
 def append_batches(
     stream: DataFrame,
-    table: LakeTable,
+    sink: BatchSink,
     checkpoint: str,
     every: str | None,
     on_batch: Callable[[BatchMetric], None] = log_batch,
 ) -> StreamingQuery:
-    """Append each micro-batch of `stream` to `table`, then report it to `on_batch`.
+    """Append each micro-batch of `stream` to `sink`, then report it to `on_batch`.
 
-    The table write and the checkpoint commit are separate steps, so a crash in between replays
-    the batch. The table is told the query id, which outlives restarts from the same checkpoint,
-    and the batch id, and lands each pair once. The table counts the rows while it writes them.
+    The append and the checkpoint commit are separate steps, so a crash in between replays the
+    batch. The sink is told the query id, which outlives restarts from the same checkpoint, and
+    the batch id, and lands each pair once. It counts the rows while it writes them.
     """
     run: Future[str] = Future()
 
     def land(rows: DataFrame, batch: int) -> None:
-        on_batch(BatchMetric(run.result(), batch, table.append(rows, run.result(), batch)))
+        on_batch(BatchMetric(run.result(), batch, sink.append(rows, run.result(), batch)))
 
     writer = stream.writeStream.outputMode("append").foreachBatch(land)
     query = writer.option("checkpointLocation", checkpoint).trigger(**trigger(every)).start()

@@ -1,5 +1,9 @@
 from __future__ import annotations
 
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
@@ -16,7 +20,8 @@ from eventlake.schemas import ENVELOPE, EVENT
 from eventlake.sinks.tables import ParquetTable, event_table, flow_table
 from eventlake.sinks.topics import publish
 from eventlake.sources.generated import rate_batches
-from eventlake.sources.topics import DirectoryTopic
+from eventlake.sources.topics import DirectoryTopic, message_stream
+from eventlake.streaming.batches import append_batches
 from eventlake.streaming.control import trigger
 
 
@@ -125,6 +130,60 @@ def test_a_crash_after_the_write_lands_rows_once(job):
     assert job.ids() == list(range(30))
 
 
+def test_a_sink_may_be_the_callers_own(spark, job):
+    class Shapes:
+        def __init__(self):
+            self.seen = []
+
+        def append(self, rows, run, batch):
+            self.seen.append((batch, rows.isStreaming, rows.columns))
+            return rows.count()
+
+    shapes = Shapes()
+    job.publish(0, 20, files=2)
+    stream = message_stream(spark, job.topic).select("value")
+    append_batches(
+        stream, shapes, str(job.folder / "c"), None, job.metrics.append
+    ).awaitTermination()
+    assert shapes.seen == [(0, False, ["value"]), (1, False, ["value"])]
+    assert [m.rows for m in job.metrics] == [10, 10]
+
+
+DYING_DRIVER = """
+import os, sys
+from eventlake.plans.ingest import ingest_events
+from eventlake.session import build_session
+from eventlake.sinks.tables import ParquetTable, event_table
+from eventlake.sources.topics import DirectoryTopic
+
+folder, name = sys.argv[1:]
+spark = build_session("dying", {"spark.master": "local[2]"})
+ingest_events(
+    spark,
+    DirectoryTopic(f"{folder}/topic", max_files=1),
+    ParquetTable(event_table(name), f"{folder}/table"),
+    f"{folder}/checkpoint",
+    every=None,
+    on_batch=lambda metric: os._exit(9) if metric.batch == 1 else None,
+).awaitTermination()
+"""
+
+
+def test_a_killed_driver_is_followed_up_by_another(job):
+    """The second driver knows neither the catalog of the first nor how far its batch got."""
+    job.publish(0, 30, files=3)
+    died = subprocess.run(
+        [sys.executable, "-c", DYING_DRIVER, str(job.folder), job.table.spec.name],
+        cwd=Path(__file__).parents[1],
+        capture_output=True,
+        timeout=120,
+    )
+    assert died.returncode == 9
+    job.run()
+    assert [(m.batch, m.rows) for m in job.metrics] == [(1, 10), (2, 10)]
+    assert job.ids() == list(range(30))
+
+
 def test_a_new_checkpoint_does_not_replace_landed_batches(job):
     """Batch numbers restart with a new checkpoint; the messages are then landed again."""
     job.publish(0, 10)
