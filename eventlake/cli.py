@@ -12,7 +12,12 @@ from eventlake.functions.protobuf import MessageFormat
 from eventlake.operators.encode import sample_telemetry
 from eventlake.plans.copy import csv_to_parquet
 from eventlake.plans.ingest import ingest_events, ingest_telemetry
-from eventlake.plans.produce import publish_synthetic_events, publish_telemetry, write_words
+from eventlake.plans.produce import (
+    publish_synthetic_events,
+    publish_telemetry,
+    stream_synthetic_events,
+    write_words,
+)
 from eventlake.session import build_session
 from eventlake.settings import ObjectStore, RestCatalog, session_conf
 from eventlake.sinks.tables import LakeTable, event_table, flow_table, open_table
@@ -21,6 +26,7 @@ from eventlake.sources.topics import DirectoryTopic, KafkaTopic, Topic
 from eventlake.streaming.batches import BatchMetric
 from eventlake.streaming.control import (
     JSON_EVENT_INTERVAL,
+    PUBLISH_INTERVAL,
     TELEMETRY_INTERVAL,
     WORD_INTERVAL,
 )
@@ -85,7 +91,11 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("--output-files", type=int)
 
     job = jobs.add_parser("publish-events", help="publish random JSON events")
-    job.add_argument("--count", type=int, default=1)
+    amount = job.add_mutually_exclusive_group()
+    amount.add_argument("--count", type=int, default=1)
+    amount.add_argument("--per-second", type=int, help="keep publishing; needs --checkpoint")
+    job.add_argument("--checkpoint")
+    job.add_argument("--every", default=PUBLISH_INTERVAL, help="micro-batch interval")
     add_topic(job)
 
     job = jobs.add_parser("publish-telemetry", help="publish sample telemetry")
@@ -157,6 +167,13 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         write_words(numbers, args.output, args.checkpoint, args.every).awaitTermination()
     elif args.job == "copy-csv":
         csv_to_parquet(spark, args.source, args.target, args.preview, args.output_files)
+    elif args.job == "publish-events" and args.per_second:
+        if not args.checkpoint:
+            raise SystemExit("--per-second needs --checkpoint")
+        numbers = rate_rows(spark, args.per_second)
+        stream_synthetic_events(
+            numbers, chosen_topic(args), args.checkpoint, args.every
+        ).awaitTermination()
     elif args.job == "publish-events":
         publish_synthetic_events(spark.range(args.count), chosen_topic(args))
     else:

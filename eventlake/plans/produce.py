@@ -15,7 +15,7 @@ from eventlake.operators.encode import (
 )
 from eventlake.operators.shape import word_rows
 from eventlake.sinks.files import csv_stream
-from eventlake.sinks.topics import publish
+from eventlake.sinks.topics import publish, publish_stream
 from eventlake.sources.topics import KafkaTopic, Topic
 from eventlake.streaming.control import WORD_INTERVAL
 
@@ -34,6 +34,14 @@ def publish_synthetic_events(rows: DataFrame, topic: Topic) -> None:
     publish_events(synthetic_events(rows), topic)
 
 
+def stream_synthetic_events(
+    rows: DataFrame, topic: Topic, checkpoint: str, every: str | None = None
+) -> StreamingQuery:
+    """Publish one random event per streamed row; the caller waits on the query."""
+    events = to_envelope(synthetic_events(rows), json_payload(), topic=topic_name(topic))
+    return publish_stream(events, topic, checkpoint, every)
+
+
 def publish_telemetry(
     telemetry: DataFrame,
     topic: Topic,

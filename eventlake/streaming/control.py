@@ -6,6 +6,7 @@ from __future__ import annotations
 JSON_EVENT_INTERVAL = "30 seconds"
 TELEMETRY_INTERVAL = "1 minute"
 WORD_INTERVAL = "5 minutes"
+PUBLISH_INTERVAL = "1 second"
 
 
 def trigger(every: str | None) -> dict[str, object]:

@@ -72,6 +72,13 @@ def test_telemetry_jobs_end_to_end(spark, tmp_path, table_name):
     assert sorted(map(tuple, landed)) == [("VIN0", 12), ("VIN1", 12)]
 
 
+def test_continuous_publishing_needs_a_checkpoint(spark):
+    with pytest.raises(SystemExit):
+        run(spark, parse("publish-events", "--per-second", 5, "--directory", "/d"))
+    paced = parse("publish-events", "--per-second", 5, "--directory", "/d", "--checkpoint", "c")
+    assert paced.every == "1 second"
+
+
 def test_own_message_type(tmp_path):
     (tmp_path / "d").write_bytes(b"set")
     topic = ["publish-telemetry", "--directory", "/d"]

@@ -4,7 +4,12 @@ from pyspark.sql import functions as F
 
 from eventlake.operators.decode import decode_json, decode_telemetry
 from eventlake.operators.encode import sample_telemetry, to_envelope
-from eventlake.plans.produce import publish_synthetic_events, publish_telemetry, topic_name
+from eventlake.plans.produce import (
+    publish_synthetic_events,
+    publish_telemetry,
+    stream_synthetic_events,
+    topic_name,
+)
 from eventlake.schemas import ENVELOPE
 from eventlake.sinks.topics import publish, publish_stream
 from eventlake.sources.generated import rate_batches, rate_rows
@@ -67,6 +72,18 @@ def test_random_events_reach_the_topic(spark, tmp_path):
     assert decoded.where("id IS NOT NULL AND value >= 0 AND value < 100").count() == 50
 
 
+def test_streamed_random_events_differ_between_batches(spark, tmp_path):
+    spark.range(40, numPartitions=4).write.parquet(str(tmp_path / "numbers"))
+    reader = spark.readStream.schema("id bigint").option("maxFilesPerTrigger", 1)
+    topic = DirectoryTopic(str(tmp_path / "events"))
+    rows = reader.parquet(str(tmp_path / "numbers"))
+    query = stream_synthetic_events(rows, topic, str(tmp_path / "checkpoint"))
+    query.awaitTermination()
+    made = decode_json(read(spark, topic)).collect()
+    assert len({r.id for r in made}) == len({r.value for r in made}) == len(made) == 40
+    assert len({r.timestamp for r in made}) == 4
+
+
 def test_sample_telemetry_reaches_the_topic(spark, tmp_path):
     topic = DirectoryTopic(str(tmp_path / "telemetry"))
     publish_telemetry(sample_telemetry(spark.range(2)), topic, "id")
