@@ -51,6 +51,11 @@ def add_stream(job: argparse.ArgumentParser, every: str) -> None:
 def add_table(job: argparse.ArgumentParser) -> None:
     job.add_argument("--table", required=True)
     job.add_argument("--location", help="folder of a Parquet table, without an Iceberg catalog")
+    job.add_argument(
+        "--rebalance",
+        action=argparse.BooleanOptionalAction,
+        help="shuffle each batch into few, full files (default: for partitioned Parquet tables)",
+    )
     job.add_argument("--max-per-batch", type=int, help="messages (or files) per micro-batch")
 
 
@@ -140,7 +145,7 @@ def print_batch(metric: BatchMetric) -> None:
 
 def run(spark: SparkSession, args: argparse.Namespace) -> None:
     def table(spec) -> LakeTable:
-        return open_table(spark, spec(args.table), args.location)
+        return open_table(spark, spec(args.table), args.location, args.rebalance)
 
     if args.job == "ingest-events":
         ingest_events(

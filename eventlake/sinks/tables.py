@@ -140,10 +140,16 @@ class IcebergTable:
 
 @dataclass(frozen=True)
 class ParquetTable:
-    """A partitioned Parquet table in the session catalog."""
+    """A partitioned Parquet table in the session catalog.
+
+    `rebalance` shuffles a batch before it is written, for few, full files. By default only a
+    table with partitions of its own does so. Asking for it pays off where frequent small
+    batches come from many topic partitions; denying it, where a batch fills all partitions.
+    """
 
     spec: TableSpec
     location: str
+    rebalance: bool | None = None
 
     def create(self, spark: SparkSession) -> None:
         """Create the table if absent, picking up partitions that an earlier session landed."""
@@ -162,9 +168,9 @@ class ParquetTable:
         dynamic = self.spec.parquet_partitions()
         for bucket in self.spec.buckets:
             rows = rows.withColumn(bucket.derived, iceberg_bucket(bucket.count, bucket.column))
-        if dynamic:
-            # Few, full files per partition. AQE splits a partition that outgrows the advisory
-            # size over several tasks, so one hot flow does not end up in a single writer.
+        if self.rebalance or (self.rebalance is None and dynamic):
+            # AQE merges small partitions, and splits one that outgrows the advisory size over
+            # several tasks, so that one hot flow does not end up in a single writer.
             rows = rows.hint("rebalance", *dynamic)
         counted = Observation()
         rows = rows.observe(counted, F.count(F.lit(1)).alias("rows"))
@@ -193,7 +199,12 @@ class ParquetTable:
 LakeTable = IcebergTable | ParquetTable
 
 
-def open_table(spark: SparkSession, spec: TableSpec, location: str | None = None) -> LakeTable:
+def open_table(
+    spark: SparkSession,
+    spec: TableSpec,
+    location: str | None = None,
+    rebalance: bool | None = None,
+) -> LakeTable:
     """The Iceberg table where the catalog of `spec.name` is Iceberg, else a Parquet one."""
     catalog = spec.name.split(".")[0] if spec.name.count(".") > 1 else "spark_catalog"
     implementation = spark.conf.get(f"spark.sql.catalog.{catalog}", "")
@@ -201,4 +212,4 @@ def open_table(spark: SparkSession, spec: TableSpec, location: str | None = None
         return IcebergTable(spec)
     if location is None:
         raise ValueError(f"{catalog} is not an Iceberg catalog: a Parquet table needs a location")
-    return ParquetTable(spec, location)
+    return ParquetTable(spec, location, rebalance)

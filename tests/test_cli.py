@@ -25,6 +25,13 @@ def test_intervals():
     assert parse("write-words", "--output", "o", "--checkpoint", "c").every == "5 minutes"
 
 
+def test_rebalancing():
+    ingest = [*INGEST, "--directory", "/d"]
+    assert parse(*ingest).rebalance is None
+    assert parse(*ingest, "--rebalance").rebalance is True
+    assert parse(*ingest, "--no-rebalance").rebalance is False
+
+
 def test_topics():
     limited = ["--max-per-batch", "9"]
     kafka = parse(*INGEST, "--servers", "a:1", "--topic", "news", *limited)

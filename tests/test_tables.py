@@ -244,6 +244,18 @@ def test_without_aqe_there_is_no_skewed_shuffle(spark, tmp_path, table_name, wri
     assert "Exchange" not in plan
 
 
+@pytest.mark.parametrize(
+    "spec, rebalance, files",
+    [(event_table, None, 8), (event_table, True, 1), (flow_table, None, 1), (flow_table, False, 8)],
+)
+def test_rebalancing_is_a_choice(spark, tmp_path, table_name, spec, rebalance, files):
+    table = ParquetTable(spec(table_name), str(tmp_path / "t"), rebalance)
+    table.create(spark)
+    nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in table.spec.columns]
+    assert table.append(spark.range(80, numPartitions=8).select(*nulls), "run", 0) == 80
+    assert len(list((tmp_path / "t").rglob("*.parquet"))) == files
+
+
 @F.udf(TEXT)
 def fails_at_first(text):
     from pyspark import TaskContext
