@@ -373,10 +373,10 @@ def batch_metrics(spark: SparkSession, tables: str) -> DataFrame:
     """The counts reported per micro-batch add up to the rows in the table."""
     work = Workspace(spark)
     table = work.table(event_table)
-    rows = as_events(events(spark, tables))
-    publish_events(rows, work.topic)
-    # One file per partition was published; a third of them makes a micro-batch.
-    files = max(1, rows.rdd.getNumPartitions() // 3)
+    publish_events(as_events(events(spark, tables)), work.topic)
+    # One file was published per partition of the widened scan; a third makes a micro-batch.
+    scanned = spark.read.parquet(f"{tables}/events.parquet").rdd.getNumPartitions()
+    files = max(1, max(scanned, spark.sparkContext.defaultParallelism) // 3)
     work.topic = DirectoryTopic(work.topic.path, max_files=files)
     work.land_events(table).awaitTermination()
     counted = sum(metric.rows for metric in work.metrics)
