@@ -107,11 +107,13 @@ def message_class(message: str, descriptors: bytes):
 @contextmanager
 def collector_paused() -> Iterator[None]:
     """A batch makes many objects and no cycles, so searching them for cycles is wasted time."""
+    enabled = gc.isenabled()
     gc.disable()
     try:
         yield
     finally:
-        gc.enable()
+        if enabled:
+            gc.enable()
 
 
 def messages_to_column(messages: list, field, kind: DataType) -> pa.Array:

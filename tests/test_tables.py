@@ -122,6 +122,18 @@ def test_append_matches_by_name(spark, tmp_path, table_name):
     assert tuple(table.read(spark).collect()[0]) == row
 
 
+def test_landed_times_carry_statistics(spark, tmp_path, table_name):
+    table = ParquetTable(event_table(table_name), str(tmp_path / "t"))
+    table.create(spark)
+    when = dt.datetime(2024, 1, 1, 0, 0, 0, 7)
+    rows = spark.createDataFrame([("a", when, 1.0, 2.0, when)], EVENT_COLUMNS).coalesce(1)
+    table.append(rows, "run", 0)
+    (file,) = (tmp_path / "t").rglob("*.parquet")
+    column = pq.read_metadata(file).row_group(0).column(1)
+    assert column.path_in_schema == "timestamp" and column.physical_type == "INT64"
+    assert column.statistics.min.replace(tzinfo=None) == when
+
+
 @pytest.mark.parametrize("change", ["drop", "add"])
 def test_append_refuses_other_columns(spark, tmp_path, table_name, change):
     table = ParquetTable(event_table(table_name), str(tmp_path / "t"))
