@@ -8,13 +8,17 @@ from collections.abc import Mapping
 
 from pyspark.sql import SparkSession
 
+from eventlake.schemas import FLOW_BUCKETS
+
 # UTC makes landed date parts independent of the machine. AQE splits hot write partitions. Parquet
 # timestamps in microseconds carry the statistics that Spark's default type lacks, so filters on
-# time skip row groups.
+# time skip row groups. A task of a partitioned write keeps a file open per bucket of the hour, and
+# sorts only what goes beyond that.
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
+    "spark.sql.maxConcurrentOutputFileWriters": str(FLOW_BUCKETS + 1),
     "spark.ui.enabled": "false",
 }
 
