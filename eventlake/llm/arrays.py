@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import sys
 import types
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def worker_cache(name: str) -> dict:
@@ -69,3 +72,78 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The positions start, start + 1 … of every run, one after the other."""
     ends = np.cumsum(lengths)
     return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - lengths), lengths)
+
+
+def ragged_sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Sum of the values between each two offsets; 0 where there are none."""
+    sums = np.concatenate((np.zeros(1, np.int64), np.cumsum(values, dtype=np.int64)))
+    return sums[offsets[1:]] - sums[offsets[:-1]]
+
+
+def add_columns(
+    rows: DataFrame,
+    fields: str,
+    make: Callable[[pa.Array], list[pa.Array]],
+    text: str,
+    most: int = 1 << 22,
+) -> DataFrame:
+    """`rows` and the columns that `make` gives for their texts; columns of the same names go.
+
+    `make` gets at most `most` bytes of text at a time, or one row, and its results go on at once,
+    so a worker's memory does not grow with Spark's batches.
+    """
+    new = T.StructType.fromDDL(fields)
+    taken = {field.name.lower() for field in new}
+    kept = [name for name in rows.columns if name.lower() not in taken]
+    source = F.col(text) if text in kept else F.col(text).alias("_text")
+    asked = rows if text in kept else rows.select(*kept, source)
+    read_as = text if text in kept else "_text"
+    names = [field.name for field in new]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            whole = text_array(batch.column(read_as))
+            for start, end in slices(whole, most):
+                part = batch.slice(start, end - start)
+                made = make(whole.slice(start, end - start))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(name) for name in kept] + made, kept + names
+                )
+
+    schema = T.StructType([field for field in rows.schema if field.name in kept] + new.fields)
+    return asked.select(*dict.fromkeys([*kept, read_as])).mapInArrow(run, schema)
+
+
+class Memo:
+    """Token ids of pieces of text, kept until there are too many of them.
+
+    `encode` gives the ids of a list of new pieces, one after the other, and how many each has.
+    """
+
+    def __init__(self, encode, most: int = 300_000):
+        self.encode, self.most = encode, most
+        self.forget()
+
+    def forget(self) -> None:
+        self.place: dict[str, int] = {}
+        self.flat = np.zeros(0, np.int32)
+        self.starts = self.lengths = np.zeros(0, np.int64)
+
+    def find(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Start and length in `flat` of each of these distinct pieces."""
+        new = [piece for piece in pieces if piece not in self.place]
+        if self.place and (
+            len(self.place) + len(new) > self.most or len(self.flat) > 16 * self.most
+        ):
+            self.forget()
+            new = pieces
+        if new:
+            ids, lengths = self.encode(new)
+            first = len(self.place)
+            self.place.update(zip(new, range(first, first + len(new)), strict=True))
+            starts = len(self.flat) + np.cumsum(lengths) - lengths
+            self.flat = np.concatenate((self.flat, ids.astype(np.int32)))
+            self.starts = np.concatenate((self.starts, starts))
+            self.lengths = np.concatenate((self.lengths, lengths))
+        at = np.fromiter(map(self.place.__getitem__, pieces), np.int64, len(pieces))
+        return self.starts[at], self.lengths[at]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from eventlake.llm import langid, quality
+from eventlake.llm import bpe, langid, quality
 from eventlake.llm.tables import read_table
 
 
@@ -14,12 +14,26 @@ def op1_quality(spark: SparkSession, tables: str) -> DataFrame:
     )
 
 
+def vocabulary_file(name: str) -> str:
+    """Place of a public tokenizer's file on this machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op8_bpe(spark: SparkSession, tables: str) -> DataFrame:
+    return bpe.bpe_report(
+        read_table(spark, tables, "documents"), vocabulary_file("byte_bpe_50k.json")
+    )
+
+
 def op9_language(spark: SparkSession, tables: str) -> DataFrame:
     return langid.language_report(read_table(spark, tables, "documents"))
 
 
 QUERIES = {
     "op1_quality": op1_quality,
+    "op8_bpe": op8_bpe,
     "op9_language": op9_language,
 }
 
