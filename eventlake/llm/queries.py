@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from eventlake.llm import bpe, langid, quality
+from eventlake.llm import bpe, langid, quality, wavelet
 from eventlake.llm.tables import read_table
 
 
@@ -14,6 +14,12 @@ def op1_quality(spark: SparkSession, tables: str) -> DataFrame:
     )
 
 
+def op3_wavelet(spark: SparkSession, tables: str) -> DataFrame:
+    return wavelet.wavelet_report(
+        read_table(spark, tables, "documents"), vocabulary_file("word_bpe_49k.json")
+    )
+
+
 def vocabulary_file(name: str) -> str:
     """Place of a public tokenizer's file on this machine."""
     import public_tokenizers
@@ -33,6 +39,7 @@ def op9_language(spark: SparkSession, tables: str) -> DataFrame:
 
 QUERIES = {
     "op1_quality": op1_quality,
+    "op3_wavelet": op3_wavelet,
     "op8_bpe": op8_bpe,
     "op9_language": op9_language,
 }
