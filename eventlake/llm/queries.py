@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from eventlake.llm import bpe, langid, quality, wavelet
+from eventlake.llm import bpe, langid, quality, secrets, wavelet
 from eventlake.llm.tables import read_table
 
 
@@ -20,6 +20,10 @@ def op3_wavelet(spark: SparkSession, tables: str) -> DataFrame:
     )
 
 
+def op4_secrets(spark: SparkSession, tables: str) -> DataFrame:
+    return secrets.secret_report(read_table(spark, tables, "documents"))
+
+
 def vocabulary_file(name: str) -> str:
     """Place of a public tokenizer's file on this machine."""
     import public_tokenizers
@@ -40,6 +44,7 @@ def op9_language(spark: SparkSession, tables: str) -> DataFrame:
 QUERIES = {
     "op1_quality": op1_quality,
     "op3_wavelet": op3_wavelet,
+    "op4_secrets": op4_secrets,
     "op8_bpe": op8_bpe,
     "op9_language": op9_language,
 }
