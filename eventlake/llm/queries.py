@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from eventlake.llm import bpe, langid, quality, secrets, wavelet
+from eventlake.llm import bpe, langid, mixing, quality, secrets, sharding, wavelet
 from eventlake.llm.tables import read_table
 
 
@@ -24,6 +24,14 @@ def op4_secrets(spark: SparkSession, tables: str) -> DataFrame:
     return secrets.secret_report(read_table(spark, tables, "documents"))
 
 
+def op6_shards(spark: SparkSession, tables: str) -> DataFrame:
+    return sharding.shard_report(read_table(spark, tables, "documents"))
+
+
+def op7_mix(spark: SparkSession, tables: str) -> DataFrame:
+    return mixing.mix_report(read_table(spark, tables, "documents"))
+
+
 def vocabulary_file(name: str) -> str:
     """Place of a public tokenizer's file on this machine."""
     import public_tokenizers
@@ -45,6 +53,8 @@ QUERIES = {
     "op1_quality": op1_quality,
     "op3_wavelet": op3_wavelet,
     "op4_secrets": op4_secrets,
+    "op6_shards": op6_shards,
+    "op7_mix": op7_mix,
     "op8_bpe": op8_bpe,
     "op9_language": op9_language,
 }
