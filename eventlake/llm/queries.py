@@ -4,7 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from eventlake.llm import bpe, langid, mixing, quality, secrets, sharding, wavelet
+from eventlake.llm import (
+    bpe,
+    jaccard,
+    kdtree,
+    langid,
+    mixing,
+    onebit,
+    quality,
+    secrets,
+    sharding,
+    wavelet,
+)
 from eventlake.llm.tables import read_table
 
 
@@ -14,6 +25,10 @@ def op1_quality(spark: SparkSession, tables: str) -> DataFrame:
     )
 
 
+def op2_top_products(spark: SparkSession, tables: str) -> DataFrame:
+    return kdtree.top_products(read_table(spark, tables, "embeddings"))
+
+
 def op3_wavelet(spark: SparkSession, tables: str) -> DataFrame:
     return wavelet.wavelet_report(
         read_table(spark, tables, "documents"), vocabulary_file("word_bpe_49k.json")
@@ -24,6 +39,12 @@ def op4_secrets(spark: SparkSession, tables: str) -> DataFrame:
     return secrets.secret_report(read_table(spark, tables, "documents"))
 
 
+def op5_jaccard(spark: SparkSession, tables: str) -> DataFrame:
+    return jaccard.similar_groups(
+        read_table(spark, tables, "documents"), jaccard.Settings(words=4, percent=85)
+    )
+
+
 def op6_shards(spark: SparkSession, tables: str) -> DataFrame:
     return sharding.shard_report(read_table(spark, tables, "documents"))
 
@@ -49,14 +70,40 @@ def op9_language(spark: SparkSession, tables: str) -> DataFrame:
     return langid.language_report(read_table(spark, tables, "documents"))
 
 
+def op10_nearest(spark: SparkSession, tables: str) -> DataFrame:
+    return onebit.nearest(read_table(spark, tables, "embeddings"))
+
+
 QUERIES = {
     "op1_quality": op1_quality,
+    "op2_top_products": op2_top_products,
     "op3_wavelet": op3_wavelet,
     "op4_secrets": op4_secrets,
+    "op5_jaccard": op5_jaccard,
     "op6_shards": op6_shards,
     "op7_mix": op7_mix,
     "op8_bpe": op8_bpe,
     "op9_language": op9_language,
+    "op10_nearest": op10_nearest,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op2_top_products": """
+        WITH rows AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+            FROM embeddings
+            WHERE embedding IS NOT NULL AND len(embedding) > 0
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id,
+                   list_inner_product(q.v, c.v)::BIGINT AS score
+            FROM rows q JOIN rows c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+            WHERE q.vec_id % 50 = 0
+        ), ranked AS (
+            SELECT query_id, vec_id, score,
+                   row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank
+            FROM scored
+        )
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+    """,
+}
