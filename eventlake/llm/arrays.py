@@ -70,8 +70,13 @@ def words_of(column: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
 
 def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The positions start, start + 1 … of every run, one after the other."""
-    ends = np.cumsum(lengths)
-    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - lengths), lengths)
+    ends = np.cumsum(lengths, dtype=np.int64)
+    size = int(ends[-1]) if len(ends) else 0
+    small = size < 1 << 31 and int(starts.max(initial=0)) + size < 1 << 31
+    kind = np.int32 if small else np.int64
+    positions = np.repeat((starts - (ends - lengths)).astype(kind), lengths)
+    positions += np.arange(size, dtype=kind)
+    return positions
 
 
 def ragged_sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:

@@ -17,11 +17,12 @@ from __future__ import annotations
 import json
 import os
 import uuid
-import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -48,13 +49,15 @@ SEPARATOR = "<|endoftext|>"
 
 
 def pack(raw: bytes) -> bytes:
-    """Deflate, unless that does not help."""
-    small = zlib.compress(raw, 1)
+    """Zstandard, unless that does not help."""
+    small = pa.Codec("zstd", compression_level=1).compress(raw, asbytes=True)
     return small if len(small) < len(raw) else raw
 
 
 def unpack(stored: bytes, size: int) -> bytes:
-    return stored if len(stored) == size else zlib.decompress(stored)
+    if len(stored) == size:
+        return stored
+    return pa.Codec("zstd").decompress(stored, size, asbytes=True)
 
 
 def build(tokens: np.ndarray, documents: np.ndarray, lengths: np.ndarray) -> bytes:
@@ -210,50 +213,74 @@ class WaveletMatrix:
             bits = np.unpackbits(
                 np.frombuffer(raw, np.uint8), count=self.size, bitorder="little"
             ).view(bool)
+            zeros = self.zeros[plane]
+            row[zeros:] |= kind(1 << (self.width - 1 - plane))
             above = np.empty_like(row)
-            np.place(above, ~bits, row[: self.zeros[plane]])
-            np.place(above, bits, row[self.zeros[plane] :])
-            above |= bits.astype(kind) << kind(self.width - 1 - plane)
+            above[np.flatnonzero(~bits)] = row[:zeros]
+            above[np.flatnonzero(bits)] = row[zeros:]
             row = above
         return row
 
 
 def library_ids(tokenizer) -> Memo:
-    """Ids of words by the tokenizers library, many words a call.
+    """Ids of pieces of text by the tokenizers library.
 
-    Words go in joined by a special token, where the library cuts before anything else, and come
-    out cut there. A word that may hold a special token goes in alone.
+    Pieces of plain letters are words to the library's model as they are. Others go through all of
+    the library, many a call: letters with spaces between them, cut where a word ends, and the rest
+    joined by a special token, where the library cuts before anything else. What may hold a special
+    token, or more than one word against expectation, goes alone.
     """
     separator = tokenizer.token_to_id(SEPARATOR)
+    word_ids = tokenizer.model.tokenize
+    suffix = tokenizer.model.end_of_word_suffix
+    ends_word = {number for token, number in tokenizer.get_vocab().items() if token.endswith(suffix)}
+
+    def together(pieces: list[str], places: list[int], joint: str, cut, ids: list) -> list[int]:
+        """Encode the pieces at these places; returns the places where that did not work."""
+        groups = [places[at : at + 64] for at in range(0, len(places), 64)]
+        joined = [joint.join([pieces[place] for place in group]) for group in groups]
+        left = []
+        for group, found in zip(
+            groups, tokenizer.encode_batch_fast(joined, add_special_tokens=False), strict=True
+        ):
+            flat = found.ids
+            parts = cut(flat)
+            if len(parts) != len(group):
+                left += group
+                continue
+            for place, (low, high) in zip(group, parts, strict=True):
+                ids[place] = flat[low:high]
+        return left
+
+    def at_ends(flat: list[int]) -> list[tuple[int, int]]:
+        ends = [at for at, number in enumerate(flat, 1) if number in ends_word]
+        return list(zip([0, *ends], ends, strict=False))
+
+    def at_separators(flat: list[int]) -> list[tuple[int, int]]:
+        cuts = [at for at, number in enumerate(flat) if number == separator]
+        return list(zip([0, *(at + 1 for at in cuts)], [*cuts, len(flat)], strict=True))
+
+    def encode(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids: list[list[int]] = [[]] * len(pieces)
+        letters, others, alone = [], [], []
+        for place, piece in enumerate(pieces):
+            if piece.isalpha():
+                if piece.isascii() and piece.islower():
+                    ids[place] = [token.id for token in word_ids(piece)]
+                else:
+                    letters.append(place)
+            elif separator is None or "<" in piece:
+                alone.append(place)
+            else:
+                others.append(place)
+        alone += together(pieces, letters, " ", at_ends, ids)
+        alone += together(pieces, others, SEPARATOR, at_separators, ids)
+        for place in alone:
+            ids[place] = tokenizer.encode(pieces[place], add_special_tokens=False).ids
+        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
+        return np.fromiter(chain.from_iterable(ids), np.int32, int(lengths.sum())), lengths
 
-    def encode(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        plain = [place for place, word in enumerate(words) if "<" not in word]
-        ids: list[np.ndarray] = [np.zeros(0, np.int32)] * len(words)
-        if separator is None:
-            plain = []
-        for start in range(0, len(plain), 4096):
-            some = plain[start : start + 4096]
-            joined = [
-                SEPARATOR.join([words[place] for place in some[at : at + 64]])
-                for at in range(0, len(some), 64)
-            ]
-            for at, found in enumerate(
-                tokenizer.encode_batch_fast(joined, add_special_tokens=False)
-            ):
-                flat = np.array(found.ids, np.int32)
-                cuts = np.flatnonzero(flat == separator).tolist()
-                group = some[at * 64 : at * 64 + 64]
-                for place, low, high in zip(
-                    group, [0, *(cut + 1 for cut in cuts)], [*cuts, len(flat)], strict=True
-                ):
-                    ids[place] = flat[low:high]
-        for place in set(range(len(words))).difference(plain):
-            ids[place] = np.array(
-                tokenizer.encode(words[place], add_special_tokens=False).ids, np.int32
-            )
-        return np.concatenate(ids), np.array([len(found) for found in ids], np.int64)
-
-    return Memo(encode)
+    return Memo(encode, most=500_000)
 
 
 def memo_of(tokenizer_json: str) -> Memo:
@@ -267,6 +294,34 @@ def memo_of(tokenizer_json: str) -> Memo:
     return memos[tokenizer_json]
 
 
+#: Letters that stay letters in lower case and composed form, and marks but apostrophe and "<".
+LETTER = r"[A-Za-z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{12F}\x{131}-\x{17F}]"
+MARK = r"[!-&(-/:;=-@\[-`{-~]"
+
+
+def pieces_of(words: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Distinct pieces of words, the index of each word's pieces, and how many each word has.
+
+    Words of ASCII go to lower case, as the tokenizer takes them. A run of letters with marks behind
+    it is two pieces, as the tokenizer cuts there.
+    """
+    special = pc.match_substring(words, "<")
+    plain = pc.and_(pc.string_is_ascii(words), pc.invert(special))
+    folded = pc.if_else(plain, pc.ascii_lower(words), words)
+    cut = pc.extract_regex(folded, f"^(?P<letters>{LETTER}+)(?P<marks>{MARK}+)$")
+    is_cut = pc.is_valid(cut)
+    heads = pc.if_else(is_cut, pc.struct_field(cut, "letters"), folded)
+    tails = pc.struct_field(cut, "marks").filter(is_cut)
+    coded = pa.concat_arrays([heads, tails]).dictionary_encode()
+    codes = coded.indices.to_numpy(zero_copy_only=False)
+    counts = 1 + is_cut.to_numpy(zero_copy_only=False).astype(np.int64)
+    ends = np.cumsum(counts)
+    index = np.zeros(len(codes), np.int64)
+    index[ends - counts] = codes[: len(words)]
+    index[ends[counts == 2] - 1] = codes[len(words) :]
+    return coded.dictionary, index, counts
+
+
 def encode_texts(tokenizer_json: str, texts: pa.Array, end_id: int):
     """Ids of all texts of a `text_array`, each followed by `end_id`, and how many each has.
 
@@ -275,26 +330,38 @@ def encode_texts(tokenizer_json: str, texts: pa.Array, end_id: int):
     """
     memo = memo_of(tokenizer_json)
     vocabulary, index, bounds = words_of(texts)
-    start, length = memo.find(vocabulary.to_pylist())
-    flat = np.append(memo.flat, end_id)
-    end = len(vocabulary)
-    start, length = np.append(start, len(flat) - 1), np.append(length, 1)
-    index = np.insert(index.astype(np.int64), bounds[1:], end)
+    pieces, piece_index, counts = pieces_of(vocabulary)
+    starts, lengths = memo.find(pieces.to_pylist())
+    # The ids of all distinct words, and of the end.
+    starts, lengths = starts[piece_index], lengths[piece_index]
+    flat = np.append(memo.flat[ragged(starts, lengths)], end_id).astype(np.uint32)
+    piece_ends = np.concatenate(([0], np.cumsum(counts)))
+    length = np.append(ragged_sums(lengths, piece_ends), 1)
+    start = np.cumsum(length) - length
+    index = np.insert(index, bounds[1:], len(vocabulary))
     bounds = bounds + np.arange(len(bounds))
-    counts = ragged_sums(length[index], bounds)
-    return flat[ragged(start[index], length[index])], counts
+    taken = length[index]
+    return flat[ragged(start[index], taken)], ragged_sums(taken, bounds)
+
+
+#: Fixed value: how the tokenizer cuts text; what is between the matches is dropped.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
-def drops_white_space(tokenizer_json: str) -> bool:
-    """Whether a tokenizer cuts text into runs without white space and drops the rest."""
+def cuts_words(tokenizer_json: str) -> bool:
+    """Whether a tokenizer lowers its text, cuts it by `PATTERN`, and then works word by word."""
     parsed = json.loads(tokenizer_json)
     cut = parsed["pre_tokenizer"] or {}
     steps = cut.get("pretokenizers", [cut])
-    split = steps[0]
+    lowers = [step["type"] for step in (parsed["normalizer"] or {}).get("normalizers", [])]
     return (
-        split.get("type") == "Split" and split["behavior"] == "Removed" and split["invert"]
-        and all(t["content"].split() == [t["content"]] for t in parsed["added_tokens"])
-        and not any(t["lstrip"] or t["rstrip"] for t in parsed["added_tokens"])
+        steps[0].get("type") == "Split" and steps[0]["pattern"] == {"Regex": PATTERN}
+        and steps[0]["behavior"] == "Removed" and steps[0]["invert"]
+        and [step["type"] for step in steps[1:]] == ["ByteLevel"]
+        and not steps[1]["add_prefix_space"] and not steps[1]["use_regex"]
+        and lowers == ["NFC", "Replace", "Lowercase"]
+        and not any(t["lstrip"] or t["rstrip"] or "<" not in t["content"] or " " in t["content"]
+                    for t in parsed["added_tokens"])
     )
 
 
@@ -314,8 +381,8 @@ def write_shards(
     first; rows of one id are ordered by a hash of their text, by which a frequent id is also dealt
     to several tasks. NULL text is empty text.
     """
-    if not drops_white_space(tokenizer_json):
-        raise ValueError("the tokenizer must split off and drop white space")
+    if not cuts_words(tokenizer_json):
+        raise ValueError("the tokenizer must lower and cut its text as `PATTERN` does")
     make_folder(documents.sparkSession, folder)
     ordered = documents.select(
         F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")
