@@ -8,7 +8,7 @@ from pathlib import Path
 
 from pyspark.sql import SparkSession
 
-from eventlake.functions.protobuf import MessageFormat
+from eventlake.functions.protobuf import READ_OPTIONS, MessageFormat
 from eventlake.operators.encode import sample_telemetry
 from eventlake.plans.copy import csv_to_parquet
 from eventlake.plans.ingest import ingest_events, ingest_telemetry
@@ -32,11 +32,32 @@ from eventlake.streaming.control import (
 )
 
 
+def named_value(text: str) -> tuple[str, str]:
+    name, equal, value = text.partition("=")
+    if not (name and equal):
+        raise argparse.ArgumentTypeError(f"{text} is not NAME=VALUE")
+    return name, value
+
+
 def add_topic(job: argparse.ArgumentParser) -> None:
     where = job.add_mutually_exclusive_group(required=True)
     where.add_argument("--servers", help="Kafka bootstrap servers; needs --topic")
     where.add_argument("--directory", help="directory of envelope files, without a broker")
     job.add_argument("--topic", help="Kafka topic")
+    job.add_argument(
+        "--option", type=named_value, action="append", default=[], metavar="NAME=VALUE",
+        help="Kafka option of the job, such as kafka.security.protocol=SSL; may be repeated",
+    )
+
+
+def add_reading(job: argparse.ArgumentParser) -> None:
+    job.add_argument(
+        "--starting", default="earliest", help="Kafka offsets of the first run (default earliest)"
+    )
+    job.add_argument("--min-partitions", type=int, help="tasks that read Kafka, at least")
+    limit = job.add_mutually_exclusive_group()
+    limit.add_argument("--max-per-batch", type=int, help="messages (or files) per micro-batch")
+    limit.add_argument("--max-bytes", type=int, help="bytes of files per micro-batch")
 
 
 def add_stream(job: argparse.ArgumentParser, every: str) -> None:
@@ -56,7 +77,6 @@ def add_table(job: argparse.ArgumentParser) -> None:
         action=argparse.BooleanOptionalAction,
         help="shuffle each batch into few, full files (default: for partitioned Parquet tables)",
     )
-    job.add_argument("--max-per-batch", type=int, help="messages (or files) per micro-batch")
 
 
 def add_message(job: argparse.ArgumentParser) -> None:
@@ -64,6 +84,13 @@ def add_message(job: argparse.ArgumentParser) -> None:
     job.add_argument("--descriptors", help="local file with the descriptor set of --message")
 
 
+def add_decoding(job: argparse.ArgumentParser) -> None:
+    job.add_argument(
+        "--decode-option", type=named_value, action="append", default=[], metavar="NAME=VALUE",
+        help="Protobuf reader option, such as mode=PERMISSIVE; may be repeated",
+    )
+
+
 def parser() -> argparse.ArgumentParser:
     root = argparse.ArgumentParser(prog="eventlake", description=__doc__)
     root.add_argument("--catalog-uri", help="Iceberg REST catalog")
@@ -74,11 +101,14 @@ def parser() -> argparse.ArgumentParser:
 
     job = jobs.add_parser("ingest-events", help="land JSON events")
     add_topic(job)
+    add_reading(job)
     add_table(job)
     add_stream(job, JSON_EVENT_INTERVAL)
 
     job = jobs.add_parser("ingest-telemetry", help="land Protobuf telemetry")
     add_topic(job)
+    add_reading(job)
+    add_decoding(job)
     add_table(job)
     add_stream(job, TELEMETRY_INTERVAL)
     add_message(job)
@@ -111,12 +141,23 @@ def parser() -> argparse.ArgumentParser:
 
 
 def chosen_topic(args: argparse.Namespace) -> Topic:
-    limit = getattr(args, "max_per_batch", None)
+    limit, size = getattr(args, "max_per_batch", None), getattr(args, "max_bytes", None)
     if args.directory:
-        return DirectoryTopic(args.directory, max_files=limit)
+        if args.option:
+            raise SystemExit("--option needs --servers")
+        return DirectoryTopic(args.directory, max_files=limit, max_bytes=size)
     if not args.topic:
         raise SystemExit("--servers needs --topic")
-    return KafkaTopic(args.servers, args.topic, max_offsets=limit)
+    if size is not None:
+        raise SystemExit("--max-bytes needs --directory")
+    return KafkaTopic(
+        args.servers,
+        args.topic,
+        starting_offsets=getattr(args, "starting", "earliest"),
+        max_offsets=limit,
+        min_partitions=getattr(args, "min_partitions", None),
+        options=dict(args.option),
+    )
 
 
 def chosen_format(args: argparse.Namespace) -> MessageFormat | None:
@@ -165,6 +206,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
             args.every,
             drop_null=args.drop_null,
             form=chosen_format(args),
+            options={**READ_OPTIONS, **dict(args.decode_option)},
             on_batch=print_batch,
         ).awaitTermination()
     elif args.job == "write-words":

@@ -95,6 +95,32 @@ def telemetry_format() -> MessageFormat:
     )
 
 
+#: Reader options that the Python engine takes; its columns fix how deep messages nest.
+PYTHON_OPTIONS = ("mode", "recursive.fields.max.depth")
+MODES = ("FAILFAST", "PERMISSIVE")
+
+
+def check_types(schema: StructType, path: str = "") -> None:
+    """Refuse columns that the Python engine has no field type for."""
+    for column in schema.fields:
+        kind, name = column.dataType, path + column.name
+        if isinstance(kind, StructType):
+            check_types(kind, f"{name}.")
+        elif isinstance(kind, ArrayType) and isinstance(kind.elementType, StringType):
+            continue
+        elif not isinstance(kind, (StringType, TimestampType)):
+            raise TypeError(f"the Python engine has no Protobuf type for {name}: {kind}")
+
+
+def permissive(options: Mapping[str, str]) -> bool:
+    """Whether malformed messages become NULL; an option without effect here is refused."""
+    unknown = sorted(set(options) - set(PYTHON_OPTIONS))
+    mode = options.get("mode", "FAILFAST").upper()
+    if unknown or mode not in MODES:
+        raise ValueError(f"the Python engine does not take {unknown or f'mode {mode}'}")
+    return mode == "PERMISSIVE"
+
+
 def message_class(message: str, descriptors: bytes):
     from google.protobuf import descriptor_pb2, descriptor_pool, message_factory
 
@@ -155,11 +181,13 @@ def to_objects(column: pa.Array) -> list:
     return column.to_numpy(zero_copy_only=False).tolist()
 
 
-def column_to_values(column: pa.Array, kind: DataType) -> list:
+def column_to_values(column: pa.Array, kind: DataType, name: str) -> list:
     """Arrow column to the Python values a message constructor takes; None leaves a field unset."""
     if isinstance(kind, ArrayType):
         # The offsets of a NULL slot are equal in Arrow data from Spark, so it reads as empty.
         flat, offsets = to_objects(column.values), column.offsets.to_numpy().tolist()
+        if None in flat[offsets[0] : offsets[-1]]:
+            raise ValueError(f"{name}: a repeated field cannot hold NULL")
         return [flat[start:end] for start, end in zip(offsets, offsets[1:], strict=False)]
     if isinstance(kind, TimestampType):
         valid = column.is_valid().to_numpy(zero_copy_only=False).tolist()
@@ -174,7 +202,7 @@ def column_to_values(column: pa.Array, kind: DataType) -> list:
     if isinstance(kind, StructType):
         # flatten() applies the parent's slice and NULLs to the children.
         children = [
-            column_to_values(child, f.dataType)
+            column_to_values(child, f.dataType, f.name)
             for child, f in zip(column.flatten(), kind.fields, strict=True)
         ]
         names = kind.fieldNames()
@@ -186,17 +214,31 @@ def column_to_values(column: pa.Array, kind: DataType) -> list:
     return to_objects(column)
 
 
-def _decode_udf(form: MessageFormat) -> Callable[..., Column]:
+def _decode_udf(form: MessageFormat, lenient: bool) -> Callable[..., Column]:
     name, schema, descriptors = form.name, form.schema, form.descriptors
+    check_types(schema)
 
     @F.arrow_udf(form.schema)
     def protobuf_decode(payloads: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        from google.protobuf.message import DecodeError
+
         cls = message_class(name, descriptors)
+
+        def parsed(payloads: list, unset: np.ndarray) -> Iterator:
+            # A NULL payload is parsed as an empty message and masked out again.
+            for place, payload in enumerate(payloads):
+                try:
+                    yield cls.FromString(payload or b"")
+                except DecodeError:
+                    if not lenient:
+                        raise
+                    unset[place] = True
+                    yield cls()
+
         for batch in payloads:
-            unset = batch.is_null().to_numpy(zero_copy_only=False)
+            unset = batch.is_null().to_numpy(zero_copy_only=False).copy()
             with collector_paused():
-                # A NULL payload is parsed as an empty message and masked out again.
-                messages = [cls.FromString(payload or b"") for payload in to_objects(batch)]
+                messages = list(parsed(to_objects(batch), unset))
                 decoded = messages_to_struct(messages, cls.DESCRIPTOR, schema, unset)
             yield decoded
 
@@ -205,13 +247,14 @@ def _decode_udf(form: MessageFormat) -> Callable[..., Column]:
 
 def _encode_udf(form: MessageFormat) -> Callable[..., Column]:
     name, schema, descriptors = form.name, form.schema, form.descriptors
+    check_types(schema)
 
     @F.arrow_udf("binary")
     def protobuf_encode(rows: Iterator[pa.Array]) -> Iterator[pa.Array]:
         cls = message_class(name, descriptors)
         for batch in rows:
             with collector_paused():
-                values = column_to_values(batch, schema)
+                values = column_to_values(batch, schema, name)
                 payloads = [None if v is None else cls(**v).SerializeToString() for v in values]
             yield pa.array(payloads, pa.binary())
 
@@ -242,15 +285,21 @@ def decode_message(
     engine: str = "auto",
     options: Mapping[str, str] = READ_OPTIONS,
 ) -> Column:
-    """Payload bytes to a struct; malformed bytes fail the query."""
+    """Payload bytes to a struct of the format's columns.
+
+    Malformed bytes fail the query, or give NULL with the option `mode` set to PERMISSIVE.
+    """
     form = form or telemetry_format()
     if not _in_jvm(engine, form):
-        return _decode_udf(form)(payload)
+        return _decode_udf(form, permissive(options))(payload)
     from pyspark.sql.protobuf.functions import from_protobuf
 
-    return from_protobuf(
+    whole = from_protobuf(
         payload, form.name, options=dict(options), binaryDescriptorSet=form.descriptors
     )
+    # The message may have more fields than the format asks for.
+    chosen = F.struct(*(whole[name].alias(name) for name in form.schema.fieldNames()))
+    return F.when(whole.isNotNull(), chosen)
 
 
 def encode_message(

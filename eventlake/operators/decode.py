@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from eventlake.functions.protobuf import MessageFormat, decode_message
+from eventlake.functions.protobuf import READ_OPTIONS, MessageFormat, decode_message
 from eventlake.schemas import EVENT
 
 
@@ -34,15 +34,17 @@ def decode_telemetry(
     drop_null: bool = False,
     form: MessageFormat | None = None,
     engine: str = "auto",
+    options: Mapping[str, str] = READ_OPTIONS,
 ) -> DataFrame:
-    """Parse Protobuf telemetry in `payload`; malformed bytes fail the query.
+    """Parse Protobuf telemetry in `payload`.
 
-    `form` describes the messages, if their field numbers are not this library's own.
+    `form` describes the messages, if their field numbers are not this library's own. Malformed
+    bytes fail the query, or yield an all-NULL row with the option `mode` set to PERMISSIVE.
 
-    A NULL payload yields an all-NULL row, or none with `drop_null`: decoding gives NULL only
-    for a NULL payload, so the filter runs before it and reaches the scan.
+    A NULL payload yields an all-NULL row, or none with `drop_null`, which drops NULL payloads
+    before they are decoded, so that the filter reaches the scan.
     """
     if drop_null:
         messages = messages.where(F.col(payload).isNotNull())
-    event = decode_message(payload, form, engine)
+    event = decode_message(payload, form, engine, options)
     return messages.select(*keep, event.alias("event")).select(*keep, "event.*")

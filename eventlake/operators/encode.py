@@ -21,29 +21,43 @@ def synthetic_events(rows: DataFrame) -> DataFrame:
     )
 
 
+# How many vehicles, regions and flows the sample messages are spread over.
+SAMPLE_VEHICLES, SAMPLE_REGIONS, SAMPLE_FLOWS = 1000, 7, 40
+
+
 def sample_telemetry(rows: DataFrame) -> DataFrame:
-    """One telemetry message per number in `id`, differing in the vehicle id only.
+    """One telemetry message per number in `id`, every field derived from the number.
 
-    All belong to one flow, and their timestamps are whole seconds.
+    Messages spread over flows, regions and vehicles, arrive a second apart and up to now, and hold
+    one to three links. Every fourth has no asset, every ninth no flow.
     """
-    second = F.date_trunc("second", F.current_timestamp())
+    number = F.col("id")
+
+    def numbered(prefix: str, value: Column) -> Column:
+        return F.concat(F.lit(prefix), value.cast("string"))
+
+    arrival = F.timestamp_seconds(F.unix_seconds(F.current_timestamp()) - number % 86_400)
+    flow_number = number % SAMPLE_FLOWS
     flow = F.struct(
-        F.lit("flow_123").alias("flow_aui"),
-        F.lit("Sample flow").alias("flow_name"),
-        second.alias("flow_timestamp"),
+        F.sha1(numbered("flow", flow_number).cast("binary")).alias("flow_aui"),
+        numbered("route ", flow_number).alias("flow_name"),
+        F.timestamp_seconds(F.unix_seconds(arrival) - flow_number).alias("flow_timestamp"),
     )
+    links = F.sequence(F.lit(0).cast("bigint"), number % 3)
     return rows.select(
         "id",
-        second.alias("tmc_arrival_timestamp"),
-        F.concat(F.lit("VIN"), "id").alias("vin"),
-        F.array(F.lit("file:///sample")).alias("data_uris"),
-        F.lit("sensor").alias("device_type"),
-        F.lit("US").alias("region"),
-        F.lit("1.0").alias("protocol_version"),
-        flow.alias("flow_metric"),
-        F.array(F.lit("correlation_1")).alias("correlation_ids"),
-        F.lit("asset_1").alias("asset_id"),
-        F.array(F.lit("type1")).alias("expiration_length_types"),
+        arrival.alias("tmc_arrival_timestamp"),
+        numbered("VIN", number % SAMPLE_VEHICLES).alias("vin"),
+        F.transform(links, lambda i: F.concat_ws("/", F.lit("data:"), number, i)).alias(
+            "data_uris"
+        ),
+        F.when(number % 2 == 0, "camera").otherwise("lidar").alias("device_type"),
+        numbered("zone-", number % SAMPLE_REGIONS).alias("region"),
+        F.concat_ws(".", F.lit("2"), number % 4).alias("protocol_version"),
+        F.when(number % 9 != 8, flow).alias("flow_metric"),
+        F.array(numbered("trace-", number)).alias("correlation_ids"),
+        F.when(number % 4 != 3, numbered("rig-", number % 50)).alias("asset_id"),
+        F.array(numbered("days-", number % 30)).alias("expiration_length_types"),
     )
 
 
@@ -65,15 +79,19 @@ def telemetry_payload(form: MessageFormat | None = None, engine: str = "auto") -
 def to_envelope(
     rows: DataFrame, payload: Column, key: Column | None = None, topic: str = ""
 ) -> DataFrame:
-    """Rows as topic records, numbered within their partition as a broker would.
+    """Rows as topic records, numbered within their partition.
 
-    The numbers come from Spark's partition layout, so no shuffle is needed to give them. Spark
-    cannot number a stream that way; there they stay NULL, and a broker gives its own.
+    The numbers come from the time of the publish and Spark's partition layout, so no shuffle is
+    needed to give them, and a later publish goes on above an earlier one; two that start in the
+    same millisecond may share numbers. They have gaps, which a broker's have not. Spark cannot
+    number a stream that way; there they stay NULL, and a broker gives its own.
     """
     partition = offset = F.lit(None)
     if not rows.isStreaming:
         partition = F.spark_partition_id()
-        offset = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+        place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+        # No publish gets further than 2 ** 22 rows of a partition in a millisecond.
+        offset = F.shiftleft(F.unix_millis(F.current_timestamp()), 22) + place
     return rows.select(
         (F.lit(None) if key is None else key).cast("binary").alias("key"),
         payload.cast("binary").alias("value"),

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from typing import ClassVar
 
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,17 +29,19 @@ from eventlake.operators.shape import date_parts, flatten_telemetry, word_rows
 from eventlake.plans.copy import csv_to_parquet
 from eventlake.plans.ingest import flow_rows, ingest_events, ingest_telemetry
 from eventlake.plans.produce import publish_events, publish_telemetry, write_words
-from eventlake.schemas import ENVELOPE, FLOW_BUCKETS
-from eventlake.session import scratch_folder
+from eventlake.schemas import EVENT, FLOW_BUCKETS
+from eventlake.session import remove_folder, scratch_folder
 from eventlake.sinks.tables import ParquetTable, event_table, flow_table
-from eventlake.sinks.topics import publish
-from eventlake.sources.files import table_stream, widen
-from eventlake.sources.generated import rate_batches
-from eventlake.sources.topics import DirectoryTopic
+from eventlake.sinks.topics import publish, publish_stream
+from eventlake.sources.files import table_stream
+from eventlake.sources.topics import DirectoryTopic, messages
 from eventlake.streaming.batches import BatchMetric
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+#: What one micro-batch of a streamed table may hold.
+STREAM_BYTES = 1 << 40
+
 QUERIES: dict[str, Query] = {}
 ORACLE_SQL: dict[str, str] = {}
 
@@ -64,7 +67,7 @@ def pinned() -> Column:
 
 def events(spark: SparkSession, tables: str) -> DataFrame:
     rows = spark.read.parquet(f"{tables}/events.parquet")
-    return widen(rows.withColumn("ts", F.col("ts").cast("timestamp")))
+    return rows.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
 def as_events(rows: DataFrame) -> DataFrame:
@@ -118,19 +121,41 @@ def comparable(rows: DataFrame) -> DataFrame:
 
 
 class Workspace:
-    """One run's topic, table and checkpoint, in a new shared folder."""
+    """One run's topic, table and checkpoint, in a new shared folder.
+
+    A result is read from the table after its query returns, so the table stays until `close`, or
+    `close_workspaces` for all of them.
+    """
+
+    open: ClassVar[list[Workspace]] = []
 
     def __init__(self, spark: SparkSession) -> None:
         self.spark = spark
         self.folder = scratch_folder(spark)
+        self.tables: list[str] = []
+        self.open.append(self)
         # Bounded micro-batches bound what a crash repeats and what one write shuffles; a
         # terabyte still gives thousands of cores a few tasks each.
-        self.topic = DirectoryTopic(f"{self.folder}/topic", max_bytes=1 << 40)
+        self.topic = DirectoryTopic(f"{self.folder}/topic", max_bytes=STREAM_BYTES)
         self.checkpoint = f"{self.folder}/checkpoint"
         self.metrics: list[BatchMetric] = []
 
     def table(self, spec: Callable) -> ParquetTable:
-        return ParquetTable(spec(f"landed_{uuid.uuid4().hex}"), f"{self.folder}/table")
+        name = f"landed_{uuid.uuid4().hex}"
+        self.tables.append(name)
+        return ParquetTable(spec(name), f"{self.folder}/table")
+
+    def landed(self) -> None:
+        """Remove what was only needed to land the table."""
+        remove_folder(self.spark, self.topic.path)
+        remove_folder(self.spark, self.checkpoint)
+
+    def close(self) -> None:
+        """Remove the table and all files; results that were not read yet are lost."""
+        for name in self.tables:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        remove_folder(self.spark, self.folder)
+        self.open.remove(self)
 
     def land_events(self, table: ParquetTable, on_batch=None) -> StreamingQuery:
         return ingest_events(
@@ -144,6 +169,12 @@ class Workspace:
         )
 
 
+def close_workspaces() -> None:
+    """Remove what all queries so far have written, once their results are read."""
+    for work in list(Workspace.open):
+        work.close()
+
+
 # --- JSON events ------------------------------------------------------------------------------
 
 EVENT_TABLE_SQL = """
@@ -160,9 +191,31 @@ def json_event_ingest(spark: SparkSession, tables: str) -> DataFrame:
     table = work.table(event_table)
     publish_events(as_events(events(spark, tables)), work.topic)
     work.land_events(table).awaitTermination()
+    work.landed()
     return comparable(table.read(spark))
 
 
+@check("SELECT CAST(event_id AS VARCHAR) AS id, ts AS \"timestamp\", value FROM events")
+def mixed_publishers(spark: SparkSession, tables: str) -> DataFrame:
+    """Purchases published as a batch, the rest as a stream, signups as a later batch; all land."""
+    work = Workspace(spark)
+    table = work.table(event_table)
+    rows = as_events(events(spark, tables))
+    kind = F.coalesce("event_type", F.lit(""))
+    publish_events(rows.where(kind == "purchase"), work.topic)
+    streamed = table_stream(spark, tables, "events.parquet", STREAM_BYTES)
+    streamed = as_events(streamed.withColumn("ts", F.col("ts").cast("timestamp")))
+    publish_stream(
+        to_envelope(streamed.where(~kind.isin("purchase", "signup")), json_payload()),
+        work.topic,
+        f"{work.folder}/publisher",
+    ).awaitTermination()
+    publish_events(rows.where(kind == "signup"), work.topic)
+    work.land_events(table).awaitTermination()
+    work.landed()
+    return comparable(table.read(spark).select(*EVENT.names))
+
+
 @check("""
 SELECT event_id,
        CASE WHEN event_type = 'error' THEN NULL ELSE CAST(event_id AS VARCHAR) END AS id,
@@ -216,8 +269,7 @@ def keyed_envelope(spark: SparkSession, tables: str) -> DataFrame:
     """Telemetry under its message key, published and read back from the topic."""
     work = Workspace(spark)
     publish_telemetry(as_telemetry(events(spark, tables)), work.topic, "event_id")
-    messages = spark.read.schema(ENVELOPE).parquet(work.topic.path)
-    read = decode_telemetry(messages, keep=["key"])
+    read = decode_telemetry(messages(spark, work.topic), keep=["key"])
     return read.select(
         F.col("key").cast("string").alias("key"),
         F.substring_index(F.col("correlation_ids")[0], "c", -1).cast("bigint").alias("event_id"),
@@ -246,8 +298,29 @@ def telemetry_messages(rows: DataFrame) -> DataFrame:
 @check(FLOW_SQL)
 def telemetry_flatten(spark: SparkSession, tables: str) -> DataFrame:
     """Encode, decode and flatten in one plan."""
-    messages = telemetry_messages(as_telemetry(events(spark, tables)))
-    return comparable(flow_rows(messages, pinned()))
+    encoded = telemetry_messages(as_telemetry(events(spark, tables)))
+    return comparable(flow_rows(encoded, pinned()))
+
+
+@check("""
+SELECT event_id, CASE WHEN event_type = 'error' THEN NULL ELSE event_type END AS flow_name,
+       CASE WHEN event_type = 'error' THEN NULL ELSE concat('VIN', user_id) END AS vin_hash,
+       CASE WHEN event_type = 'error' THEN NULL ELSE concat('u/', event_id, ';k/', user_id) END
+         AS data_uris
+FROM events
+""")
+def telemetry_permissive(spark: SparkSession, tables: str) -> DataFrame:
+    """Errors arrive cut short and land as rows of NULLs."""
+    encoded = telemetry_messages(as_telemetry(events(spark, tables)))
+    cut = F.when(
+        F.col("event_type") == "error", F.expr("substring(value, 1, length(value) - 1)")
+    ).otherwise(F.col("value"))
+    decoded = decode_telemetry(
+        encoded.withColumn("value", cut), keep=["event_id"], options={"mode": "PERMISSIVE"}
+    )
+    flat = flatten_telemetry(decoded, pinned(), keep=["event_id"])
+    uris = F.when(F.col("data_uris").isNotNull(), F.concat_ws(";", "data_uris")).alias("data_uris")
+    return flat.select("event_id", "flow_name", "vin_hash", uris)
 
 
 @check(FLOW_SQL + "WHERE event_type <> 'signup'")
@@ -255,10 +328,9 @@ def telemetry_flatten_nonnull(spark: SparkSession, tables: str) -> DataFrame:
     """Signups arrive without a payload and are dropped where the topic is scanned."""
     work = Workspace(spark)
     payload = F.when(F.col("event_type") != "signup", F.col("value"))
-    messages = telemetry_messages(as_telemetry(events(spark, tables)))
-    publish(to_envelope(messages, payload, message_key("event_id")), work.topic)
-    published = spark.read.schema(ENVELOPE).parquet(work.topic.path)
-    return comparable(flow_rows(published, pinned(), drop_null=True))
+    encoded = telemetry_messages(as_telemetry(events(spark, tables)))
+    publish(to_envelope(encoded, payload, message_key("event_id")), work.topic)
+    return comparable(flow_rows(messages(spark, work.topic), pinned(), drop_null=True))
 
 
 @check("""
@@ -295,6 +367,7 @@ def telemetry_ingest(spark: SparkSession, tables: str) -> DataFrame:
         spark, work.topic, table, work.checkpoint, every=None, clock=pinned()
     )
     query.awaitTermination()
+    work.landed()
     return comparable(table.read(spark))
 
 
@@ -328,25 +401,14 @@ FROM events
 """)
 def word_rows_stream(spark: SparkSession, tables: str) -> DataFrame:
     """Stream the events table through the word job into CSV files, read them back."""
-    folder = scratch_folder(spark)
-    stream = table_stream(spark, tables, "events.parquet")
+    folder = Workspace(spark).folder
+    stream = table_stream(spark, tables, "events.parquet", STREAM_BYTES)
     numbers = stream.select(F.col("event_id").alias("value"))
     write_words(
         numbers, f"{folder}/words", f"{folder}/checkpoint", every=None, clock=pinned()
     ).awaitTermination()
-    return comparable(spark.read.csv(f"{folder}/words", schema="word string, timestamp timestamp"))
-
-
-@check("SELECT concat('word_', row_number() OVER () - 1) AS word FROM events")
-def rate_words(spark: SparkSession, tables: str) -> DataFrame:
-    """The rate source makes as many words as the events table has rows."""
-    folder = scratch_folder(spark)
-    count = spark.read.parquet(f"{tables}/events.parquet").count()
-    numbers = rate_batches(spark, count)
-    write_words(numbers, f"{folder}/words", f"{folder}/checkpoint", every=None).awaitTermination()
-    return spark.read.csv(f"{folder}/words", schema="word string, timestamp timestamp").select(
-        "word"
-    )
+    reader = spark.read.schema("word string, timestamp timestamp").option("timeZone", "UTC")
+    return comparable(reader.csv(f"{folder}/words"))
 
 
 # --- files ------------------------------------------------------------------------------------
@@ -359,7 +421,7 @@ FROM part
 """)
 def check_csv_to_parquet(spark: SparkSession, tables: str) -> DataFrame:
     """Headered CSV of the part table, copied to Parquet."""
-    folder = scratch_folder(spark)
+    folder = Workspace(spark).folder
     spark.read.parquet(f"{tables}/part.parquet").write.csv(f"{folder}/csv", header=True)
     csv_to_parquet(spark, f"{folder}/csv", f"{folder}/parquet")
     return spark.read.parquet(f"{folder}/parquet")
@@ -373,12 +435,14 @@ def batch_metrics(spark: SparkSession, tables: str) -> DataFrame:
     """The counts reported per micro-batch add up to the rows in the table."""
     work = Workspace(spark)
     table = work.table(event_table)
-    publish_events(as_events(events(spark, tables)), work.topic)
-    # One file was published per partition of the widened scan; a third makes a micro-batch.
-    scanned = spark.read.parquet(f"{tables}/events.parquet").rdd.getNumPartitions()
-    files = max(1, max(scanned, spark.sparkContext.defaultParallelism) // 3)
-    work.topic = DirectoryTopic(work.topic.path, max_files=files)
+    # Three publishes are three files at least, and each file a micro-batch.
+    rows = as_events(events(spark, tables))
+    kind = F.coalesce("event_type", F.lit(""))
+    for some in (kind == "purchase", kind == "view", ~kind.isin("purchase", "view")):
+        publish_events(rows.where(some), work.topic)
+    work.topic = DirectoryTopic(work.topic.path, max_files=1)
     work.land_events(table).awaitTermination()
+    work.landed()
     counted = sum(metric.rows for metric in work.metrics)
     return table.read(spark).agg(
         F.lit(counted).cast("bigint").alias("n_counted"), F.count(F.lit(1)).alias("n_landed")
@@ -397,12 +461,19 @@ def checkpoint_resume(spark: SparkSession, tables: str) -> DataFrame:
     work.land_events(table).awaitTermination()
     publish_events(rows.where(late), work.topic)
     work.land_events(table).awaitTermination()
+    work.landed()
     return table.read(spark).select("id", "value")
 
 
-@check("SELECT CAST(event_id AS VARCHAR) AS id, value FROM events")
+@check("""
+SELECT CAST(event_id AS VARCHAR) AS id, value, (SELECT count(*) FROM events) AS landed_at_crash
+FROM events
+""")
 def replay_safe_append(spark: SparkSession, tables: str) -> DataFrame:
-    """A crash after the write and before the checkpoint commit; the restart replays the batch."""
+    """A crash after the write and before the checkpoint commit; the restart replays the batch.
+
+    What had landed at the crash is part of the result: all rows, so the restart wrote them again.
+    """
     work = Workspace(spark)
     table = work.table(event_table)
     publish_events(as_events(events(spark, tables)), work.topic)
@@ -412,9 +483,19 @@ def replay_safe_append(spark: SparkSession, tables: str) -> DataFrame:
 
     try:
         work.land_events(table, on_batch=crash).awaitTermination()
-    except StreamingQueryException:
-        work.land_events(table).awaitTermination()
-    return table.read(spark).select("id", "value")
+    except StreamingQueryException as error:
+        if "crash after batch 0" not in str(error):
+            raise
+    else:
+        raise AssertionError("the crash did not stop the stream")
+    at_crash = table.read(spark).count()
+    work.land_events(table).awaitTermination()
+    if [metric.batch for metric in work.metrics] != [0]:
+        raise AssertionError(f"batch 0 was not replayed: {work.metrics}")
+    work.landed()
+    return table.read(spark).select(
+        "id", "value", F.lit(at_crash).cast("bigint").alias("landed_at_crash")
+    )
 
 
 # --- table layout -----------------------------------------------------------------------------

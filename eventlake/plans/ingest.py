@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from eventlake.functions.protobuf import MessageFormat
+from eventlake.functions.protobuf import READ_OPTIONS, MessageFormat
 from eventlake.operators.decode import decode_json, decode_telemetry
 from eventlake.operators.shape import enrich_events, flatten_telemetry
 from eventlake.sinks.tables import LakeTable
@@ -27,9 +27,12 @@ def flow_rows(
     drop_null: bool = False,
     form: MessageFormat | None = None,
     engine: str = "auto",
+    options: Mapping[str, str] = READ_OPTIONS,
 ) -> DataFrame:
     """Telemetry messages as rows of the flow table."""
-    decoded = decode_telemetry(messages, drop_null=drop_null, form=form, engine=engine)
+    decoded = decode_telemetry(
+        messages, drop_null=drop_null, form=form, engine=engine, options=options
+    )
     return flatten_telemetry(decoded, clock)
 
 
@@ -59,8 +62,12 @@ def ingest_telemetry(
     form: MessageFormat | None = None,
     engine: str = "auto",
     on_batch: Callable[[BatchMetric], None] = log_batch,
+    options: Mapping[str, str] = READ_OPTIONS,
 ) -> StreamingQuery:
-    """Land Protobuf telemetry; the caller waits on the query it returns."""
+    """Land Protobuf telemetry; the caller waits on the query it returns.
+
+    `options` are those of the decoder, `mode` among them.
+    """
     table.create(spark)
-    rows = flow_rows(message_stream(spark, topic), clock, drop_null, form, engine)
+    rows = flow_rows(message_stream(spark, topic), clock, drop_null, form, engine, options)
     return append_batches(rows, table, checkpoint, every, on_batch)

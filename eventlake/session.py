@@ -55,6 +55,24 @@ def make_folder(spark: SparkSession, path: str) -> None:
     file_system.mkdirs(folder)
 
 
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    folder, file_system = _hadoop_path(spark, path)
+    return file_system.exists(folder)
+
+
+def move_folder(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a folder; one step where the file system renames in one step."""
+    folder, file_system = _hadoop_path(spark, source)
+    if not file_system.rename(folder, _hadoop_path(spark, target)[0]):
+        raise OSError(f"{source} could not be renamed to {target}")
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder and what is in it, if it exists."""
+    folder, file_system = _hadoop_path(spark, path)
+    file_system.delete(folder, True)
+
+
 def full_path(spark: SparkSession, path: str) -> str:
     """`path` with its file system and without a trailing slash."""
     folder, file_system = _hadoop_path(spark, path)

@@ -8,7 +8,9 @@ micro-batch once.
 
 from __future__ import annotations
 
+from concurrent.futures import Future
 from dataclasses import dataclass
+from threading import Thread
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +22,27 @@ from eventlake.session import make_folder
 
 RUN, BATCH = "ingest_run", "ingest_batch"
 
+#: Seconds that an append waits for its count once the rows have landed.
+METRIC_WAIT = 10.0
+
+
+def observed(observation: Observation, seconds: float) -> dict | None:
+    """What was observed, or None if Spark does not say within that time."""
+    answer: Future[dict] = Future()
+
+    def ask() -> None:
+        try:
+            answer.set_result(observation.get)
+        except Exception as error:
+            answer.set_exception(error)
+
+    # Asking may never return, so it must not keep the process alive either.
+    Thread(target=ask, daemon=True).start()
+    try:
+        return answer.result(seconds)
+    except TimeoutError:
+        return None
+
 
 @dataclass(frozen=True)
 class Bucket:
@@ -162,7 +185,8 @@ class ParquetTable:
         """Write the batch into its own partition, replacing what a failed attempt left there.
 
         Gives the row count, taken while writing. It is taken after the shuffle, in the stage
-        whose tasks Spark counts once, so that a lost executor does not inflate it.
+        whose tasks Spark counts once, so that a lost executor does not inflate it. Spark may drop
+        the event that carries the count; the landed files are counted then.
         """
         rows = self.spec.conform(rows)
         dynamic = self.spec.parquet_partitions()
@@ -181,7 +205,13 @@ class ParquetTable:
             f"PARTITION ({', '.join(target)}) BY NAME SELECT * FROM {{rows}}",
             rows=rows,
         )
-        return counted.get["rows"]
+        rows_counted = observed(counted, METRIC_WAIT)
+        if rows_counted is None:
+            spark = rows.sparkSession
+            spark.catalog.refreshTable(self.spec.name)
+            landed = spark.table(self.spec.name).where((F.col(RUN) == run) & (F.col(BATCH) == batch))
+            return landed.count()
+        return rows_counted["rows"]
 
     def read(self, spark: SparkSession, **keys: object) -> DataFrame:
         """The rows with the given column values; a bucketed column also prunes by its bucket."""

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from concurrent.futures import Future
+
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from eventlake.sources.topics import KafkaTopic, Topic
+from eventlake.session import folder_exists, make_folder, move_folder
+from eventlake.sources.topics import DirectoryTopic, KafkaTopic, Topic, refuse_sink_log
 from eventlake.streaming.control import trigger
 
 
@@ -15,17 +18,47 @@ def publish(envelopes: DataFrame, topic: Topic) -> None:
         records = envelopes.select("key", "value")
         records.write.format("kafka").options(**topic.writer_options()).save()
     else:
+        refuse_sink_log(envelopes.sparkSession, topic)
         envelopes.write.mode("append").parquet(topic.path)
 
 
+def publish_micro_batch(envelopes: DataFrame, topic: DirectoryTopic, run: str, batch: int) -> None:
+    """Publish a micro-batch as a folder that appears whole, unless it is there already.
+
+    A replayed batch changes nothing, so a running reader never meets its messages again.
+    """
+    spark = envelopes.sparkSession
+    name = f"{run}-{batch:010d}"
+    if folder_exists(spark, f"{topic.path}/{name}"):
+        return
+    # Readers do not look into folders that start with an underscore.
+    staging = f"{topic.path}/_staging"
+    envelopes.write.mode("overwrite").parquet(f"{staging}/{name}")
+    move_folder(spark, f"{staging}/{name}", f"{topic.path}/{name}")
+
+
 def publish_stream(
     envelopes: DataFrame, topic: Topic, checkpoint: str, every: str | None = None
 ) -> StreamingQuery:
-    """Append a stream of envelope rows to the topic."""
+    """Append a stream of envelope rows to the topic.
+
+    A directory topic takes batches and any number of streams. A stream started again from its
+    checkpoint publishes each micro-batch once, where the file system renames folders in one step.
+    """
+    run: Future[str] = Future()
     if isinstance(topic, KafkaTopic):
         writer = envelopes.select("key", "value").writeStream.format("kafka")
         writer = writer.options(**topic.writer_options())
     else:
-        writer = envelopes.writeStream.format("parquet").option("path", topic.path)
+        refuse_sink_log(envelopes.sparkSession, topic)
+        make_folder(envelopes.sparkSession, topic.path)
+
+        def land(rows: DataFrame, batch: int) -> None:
+            publish_micro_batch(rows, topic, run.result(), batch)
+
+        writer = envelopes.writeStream.foreachBatch(land)
     writer = writer.outputMode("append").option("checkpointLocation", checkpoint)
-    return writer.trigger(**trigger(every)).start()
+    query = writer.trigger(**trigger(every)).start()
+    # The query id is known only now; the first batch waits for it.
+    run.set_result(query.id)
+    return query

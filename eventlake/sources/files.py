@@ -13,17 +13,16 @@ def csv_scan(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.csv(path, header=True)
 
 
-def table_stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """The Parquet file, or the directory of Parquet files, called `name`, as a stream."""
-    # The file stream takes a directory or a glob; this glob matches just the one name.
-    schema = spark.read.parquet(f"{folder}/{name}").schema
-    return spark.readStream.schema(schema).parquet(f"{folder}/{{{name}}}")
-
+def table_stream(
+    spark: SparkSession, folder: str, name: str, max_bytes: int | None = None
+) -> DataFrame:
+    """The Parquet file, or the directory of Parquet files, called `name`, as a stream.
 
-def widen(rows: DataFrame) -> DataFrame:
-    """Spread a scan over all cores when it has fewer partitions than there are cores.
-
-    Large inputs already split finely and pass through untouched, without a shuffle.
+    `max_bytes` bounds a micro-batch, and so what one failure repeats; a file is never split.
     """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+    # The file stream takes a directory or a glob; this glob matches just the one name.
+    schema = spark.read.parquet(f"{folder}/{name}").schema
+    reader = spark.readStream.schema(schema)
+    if max_bytes is not None:
+        reader = reader.option("maxBytesPerTrigger", str(max_bytes))
+    return reader.parquet(f"{folder}/{{{name}}}")

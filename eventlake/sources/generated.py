@@ -13,7 +13,10 @@ def rate_rows(spark: SparkSession, per_second: int = 1) -> DataFrame:
 def rate_batches(
     spark: SparkSession, per_batch: int, partitions: int | None = None
 ) -> DataFrame:
-    """The same rows, a fixed number per micro-batch instead of per second."""
+    """The same rows, a fixed number per micro-batch instead of per second.
+
+    `partitions` is the number of tasks that make a batch; Spark's default parallelism if left out.
+    """
     reader = spark.readStream.format("rate-micro-batch").option("rowsPerBatch", per_batch)
     if partitions is not None:
         reader = reader.option("numPartitions", partitions)

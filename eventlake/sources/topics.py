@@ -12,6 +12,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from eventlake.schemas import ENVELOPE
+from eventlake.session import folder_exists, make_folder
 
 
 @dataclass(frozen=True)
@@ -19,7 +20,8 @@ class KafkaTopic:
     """A broker topic; needs the `spark-sql-kafka` package.
 
     `max_offsets` bounds a micro-batch, which a first run over a long backlog wants.
-    `min_partitions` splits a hot broker partition over several tasks.
+    `min_partitions` splits a hot broker partition over several tasks. `options` go to reader and
+    writer alike, as those of a secured broker do; `reading` and `writing` to one of them.
     """
 
     servers: str
@@ -28,6 +30,8 @@ class KafkaTopic:
     max_offsets: int | None = None
     min_partitions: int | None = None
     options: Mapping[str, str] = field(default_factory=dict)
+    reading: Mapping[str, str] = field(default_factory=dict)
+    writing: Mapping[str, str] = field(default_factory=dict)
 
     def reader_options(self) -> dict[str, str]:
         chosen = {
@@ -37,6 +41,7 @@ class KafkaTopic:
             "maxOffsetsPerTrigger": self.max_offsets,
             "minPartitions": self.min_partitions,
             **self.options,
+            **self.reading,
         }
         return {name: str(value) for name, value in chosen.items() if value is not None}
 
@@ -47,28 +52,56 @@ class KafkaTopic:
             "topic": self.topic,
             "kafka.acks": "all",
             **self.options,
+            **self.writing,
         }
 
 
 @dataclass(frozen=True)
 class DirectoryTopic:
-    """Envelope rows in Parquet files; files already there count as the earliest messages."""
+    """Envelope rows in Parquet files; files already there count as the earliest messages.
+
+    Batches are files in the folder itself, a streamed micro-batch is a folder of its own below it.
+    """
 
     path: str
     max_files: int | None = None
     max_bytes: int | None = None
 
     def reader_options(self) -> dict[str, str]:
-        chosen = {"maxFilesPerTrigger": self.max_files, "maxBytesPerTrigger": self.max_bytes}
+        chosen = {
+            "recursiveFileLookup": "true",
+            "maxFilesPerTrigger": self.max_files,
+            "maxBytesPerTrigger": self.max_bytes,
+        }
         return {name: str(value) for name, value in chosen.items() if value is not None}
 
 
 Topic = KafkaTopic | DirectoryTopic
 
 
+#: The log that Spark's file sink leaves; who reads its folder sees only the files it lists.
+SINK_LOG = "_spark_metadata"
+
+
+def refuse_sink_log(spark: SparkSession, topic: DirectoryTopic) -> None:
+    if folder_exists(spark, f"{topic.path}/{SINK_LOG}"):
+        raise ValueError(
+            f"{topic.path} was written by Spark's file sink, whose log hides other messages"
+        )
+
+
+def messages(spark: SparkSession, topic: DirectoryTopic) -> DataFrame:
+    """All messages that are in a directory topic now."""
+    refuse_sink_log(spark, topic)
+    reader = spark.read.schema(ENVELOPE).option("recursiveFileLookup", "true")
+    return reader.parquet(topic.path)
+
+
 def message_stream(spark: SparkSession, topic: Topic) -> DataFrame:
     """The messages of a topic from the earliest on, as a streaming DataFrame."""
     reader = spark.readStream.options(**topic.reader_options())
     if isinstance(topic, KafkaTopic):
         return reader.format("kafka").load()
+    refuse_sink_log(spark, topic)
+    make_folder(spark, topic.path)
     return reader.schema(ENVELOPE).parquet(topic.path)

@@ -4,10 +4,10 @@ import pytest
 
 from eventlake import cli
 from eventlake.cli import chosen_conf, chosen_format, chosen_topic, parser, run
+from eventlake.functions.buckets import iceberg_bucket
 from eventlake.functions.protobuf import MessageFormat
 from eventlake.operators.decode import decode_json
-from eventlake.schemas import ENVELOPE
-from eventlake.sources.topics import DirectoryTopic, KafkaTopic
+from eventlake.sources.topics import DirectoryTopic, KafkaTopic, messages
 
 INGEST = ["ingest-events", "--table", "t", "--checkpoint", "c"]
 
@@ -38,12 +38,35 @@ def test_topics():
     assert chosen_topic(kafka) == KafkaTopic("a:1", "news", max_offsets=9)
     folder = parse(*INGEST, "--directory", "/d", *limited)
     assert chosen_topic(folder) == DirectoryTopic("/d", max_files=9)
+    bytes_ = parse(*INGEST, "--directory", "/d", "--max-bytes", 5)
+    assert chosen_topic(bytes_) == DirectoryTopic("/d", max_bytes=5)
     with pytest.raises(SystemExit):
         chosen_topic(parse(*INGEST, "--servers", "a:1"))
+    with pytest.raises(SystemExit):
+        parse(*INGEST, "--directory", "/d", "--max-bytes", 5, "--max-per-batch", 5)
+    with pytest.raises(SystemExit):
+        chosen_topic(parse(*INGEST, "--servers", "a:1", "--topic", "t", "--max-bytes", 5))
+    with pytest.raises(SystemExit):
+        chosen_topic(parse(*INGEST, "--directory", "/d", "--option", "a=b"))
+    with pytest.raises(SystemExit):
+        parse(*INGEST, "--directory", "/d", "--option", "nothing")
     with pytest.raises(SystemExit):
         parse(*INGEST)
 
 
+def test_topic_options():
+    kafka = ["--servers", "a:1", "--topic", "news"]
+    secured = ["--option", "kafka.security.protocol=SSL", "--option", "a=b=c"]
+    reader = chosen_topic(
+        parse(*INGEST, *kafka, *secured, "--starting", "latest", "--min-partitions", 64)
+    ).reader_options()
+    assert reader["kafka.security.protocol"] == "SSL" and reader["a"] == "b=c"
+    assert (reader["startingOffsets"], reader["minPartitions"]) == ("latest", "64")
+    writer = chosen_topic(parse("publish-events", *kafka, *secured)).writer_options()
+    assert writer["kafka.security.protocol"] == "SSL"
+    assert "startingOffsets" not in writer
+
+
 def test_catalog_settings(monkeypatch):
     monkeypatch.setenv("AWS_ACCESS_KEY_ID", "reader")
     monkeypatch.setenv("AWS_SECRET_ACCESS_KEY", "hidden")
@@ -62,8 +85,8 @@ def test_catalog_settings(monkeypatch):
 def test_jobs_end_to_end(spark, tmp_path, table_name, capsys):
     topic, folder = tmp_path / "topic", tmp_path / "table"
     run(spark, parse("publish-events", "--count", 20, "--directory", topic))
-    messages = spark.read.schema(ENVELOPE).parquet(str(topic))
-    assert decode_json(messages).select("id").distinct().count() == 20
+    found = messages(spark, DirectoryTopic(str(topic)))
+    assert decode_json(found).select("id").distinct().count() == 20
     ingest = ["--table", table_name, "--location", folder, "--directory", topic]
     run(spark, parse("ingest-events", *ingest, "--checkpoint", tmp_path / "c", "--drain"))
     assert "batch 0: 20 rows landed" in capsys.readouterr().out
@@ -75,8 +98,10 @@ def test_telemetry_jobs_end_to_end(spark, tmp_path, table_name):
     run(spark, parse("publish-telemetry", "--directory", topic))
     ingest = ["--table", table_name, "--location", folder, "--directory", topic, "--drop-null"]
     run(spark, parse("ingest-telemetry", *ingest, "--checkpoint", tmp_path / "c", "--drain"))
-    landed = spark.table(table_name).select("vin_hash", "flow_aui_bucket").collect()
-    assert sorted(map(tuple, landed)) == [("VIN0", 12), ("VIN1", 12)]
+    landed = spark.table(table_name)
+    assert {r.vin_hash for r in landed.collect()} == {"VIN0", "VIN1"}
+    buckets = landed.select("flow_aui_bucket", iceberg_bucket(16, "flow_aui")).collect()
+    assert all(stored == bucket for stored, bucket in buckets)
 
 
 def test_continuous_publishing_needs_a_checkpoint(spark):

@@ -5,7 +5,7 @@ from pyspark.errors import AnalysisException
 
 from eventlake.plans.copy import csv_to_parquet
 from eventlake.sinks.files import csv_stream, parquet_overwrite
-from eventlake.sources.files import csv_scan, table_stream, widen
+from eventlake.sources.files import csv_scan, table_stream
 from eventlake.sources.generated import rate_batches
 
 
@@ -79,13 +79,6 @@ def test_csv_stream_timestamp_format(spark, tmp_path):
         assert "123456"[:digits] in line[0] and ("123456" in line[0]) == (digits == 6)
 
 
-def test_only_narrow_scans_are_widened(spark):
-    cores = spark.sparkContext.defaultParallelism
-    narrow, wide = spark.range(10, numPartitions=1), spark.range(10, numPartitions=cores)
-    assert widen(narrow).rdd.getNumPartitions() == cores
-    assert widen(wide) is wide
-
-
 def test_a_table_streams_from_a_file_or_a_directory(spark, tmp_path):
     spark.range(40, numPartitions=4).write.parquet(str(tmp_path / "many.parquet"))
     spark.range(40, numPartitions=1).write.parquet(str(tmp_path / "staged"))
@@ -96,3 +89,23 @@ def test_a_table_streams_from_a_file_or_a_directory(spark, tmp_path):
         target, checkpoint = str(tmp_path / f"csv-{name}"), str(tmp_path / f"c-{name}")
         csv_stream(rows, target, checkpoint, every=None).awaitTermination()
         assert sorted(int(r[0]) for r in spark.read.csv(target).collect()) == list(range(40))
+
+
+def test_a_target_inside_the_source_is_not_read_back(spark, people, tmp_path):
+    source = tmp_path / "in"
+    source.mkdir()
+    (source / "people.csv").write_text("a,b\n1,2\n3,4\n")
+    for _ in range(2):
+        csv_to_parquet(spark, str(source), str(source / "out"))
+        found = spark.read.parquet(str(source / "out")).collect()
+        assert sorted(map(tuple, found)) == [("1", "2"), ("3", "4")]
+
+
+def test_streamed_tables_can_be_bounded(spark, tmp_path):
+    spark.range(40, numPartitions=4).write.parquet(str(tmp_path / "numbers"))
+    for bound, batches in ((None, 1), (1, 4)):
+        stream = table_stream(spark, str(tmp_path), "numbers", bound)
+        writer = stream.writeStream.format("noop").trigger(availableNow=True)
+        query = writer.option("checkpointLocation", str(tmp_path / f"c{batches}")).start()
+        query.awaitTermination()
+        assert len([p for p in query.recentProgress if p["numInputRows"]]) == batches

@@ -6,11 +6,13 @@ from pathlib import Path
 
 import duckdb
 import pytest
+from pyspark.errors import StreamingQueryException
 
 import __spark_entry__ as contract
 from eventlake.plans import checks
 
 TABLES = Path("/root/testdata/sf0.001")
+LAND_EVENTS = checks.Workspace.land_events
 
 pytestmark = pytest.mark.skipif(not TABLES.is_dir(), reason="no test tables here")
 
@@ -28,7 +30,7 @@ def rows(frame):
     return sorted(map(str, frame.where(frame.notna(), None).itertuples(index=False, name=None)))
 
 
-@pytest.mark.parametrize("name", contract.queries())
+@pytest.mark.parametrize("name", contract.oracle_sql())
 def test_query_equals_its_sql(spark, oracle, name):
     found = contract.queries()[name](spark, str(TABLES)).toPandas()
     expected = oracle.sql(contract.oracle_sql()[name]).df()
@@ -38,7 +40,58 @@ def test_query_equals_its_sql(spark, oracle, name):
 
 
 def test_every_query_has_sql():
-    assert contract.queries().keys() == contract.oracle_sql().keys() == checks.QUERIES.keys()
+    assert checks.QUERIES.keys() == checks.ORACLE_SQL.keys()
+    assert contract.queries().keys() >= contract.oracle_sql().keys() >= checks.QUERIES.keys()
+
+
+def test_the_callers_settings_come_back(spark, oracle):
+    zone = "spark.sql.session.timeZone"
+    spark.conf.set(zone, "Asia/Tokyo")
+    try:
+        for name in ("json_event_ingest", "ingest_date_parts", "word_rows_stream"):
+            found = contract.queries()[name](spark, str(TABLES))
+            assert spark.conf.get(zone) == "Asia/Tokyo"
+            assert rows(found.toPandas()) == rows(oracle.sql(contract.oracle_sql()[name]).df())
+    finally:
+        spark.conf.set(zone, "UTC")
+
+
+def test_closed_workspaces_leave_nothing(spark):
+    before = {t.name for t in spark.catalog.listTables()}
+    names = ("json_event_ingest", "keyed_envelope", "table_ddl", "word_rows_stream")
+    checks.close_workspaces()
+    for name in names:
+        contract.queries()[name](spark, str(TABLES)).count()
+    folders = [Path(work.folder) for work in checks.Workspace.open]
+    assert len(folders) == len(names)
+    landed = [Path(f"{folder}/topic") for folder in folders if (folder / "table").is_dir()]
+    assert not any(topic.exists() for topic in landed)
+    checks.close_workspaces()
+    assert checks.Workspace.open == [] and not any(folder.exists() for folder in folders)
+    assert {t.name for t in spark.catalog.listTables()} <= before
+
+
+def test_the_replay_check_fails_without_a_crash(spark, monkeypatch):
+    monkeypatch.setattr(
+        checks.Workspace, "land_events",
+        lambda work, table, on_batch=None: LAND_EVENTS(work, table),
+    )
+    with pytest.raises(AssertionError, match="crash"):
+        contract.queries()["replay_safe_append"](spark, str(TABLES))
+
+
+def test_the_replay_check_fails_if_nothing_was_written_before_the_crash(spark, monkeypatch):
+    append, calls = checks.ParquetTable.append, []
+
+    def fails_first(table, rows, run, batch):
+        calls.append(batch)
+        if len(calls) == 1:
+            raise RuntimeError("nothing written")
+        return append(table, rows, run, batch)
+
+    monkeypatch.setattr(checks.ParquetTable, "append", fails_first)
+    with pytest.raises(StreamingQueryException, match="nothing written"):
+        contract.queries()["replay_safe_append"](spark, str(TABLES))
 
 
 def test_entry(spark):

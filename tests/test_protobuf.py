@@ -8,7 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.errors import PythonException
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
+from pyspark.sql.types import DoubleType, StructType
 
 from eventlake.functions.protobuf import (
     TELEMETRY_MESSAGE,
@@ -185,7 +185,7 @@ def test_jvm_engine_passes_the_descriptors(spark, monkeypatch):
 
     def stand_in(column, message, options=None, binaryDescriptorSet=None):
         calls.append((column, message, options, binaryDescriptorSet))
-        return F.lit(None)
+        return F.lit(None).cast(TELEMETRY)
 
     monkeypatch.setattr(functions, "from_protobuf", stand_in)
     monkeypatch.setattr(functions, "to_protobuf", stand_in)
@@ -200,3 +200,44 @@ def test_jvm_engine_passes_the_descriptors(spark, monkeypatch):
         ("row", TELEMETRY_MESSAGE, None, descriptors),
         ("value", "com.example.Telemetry", depth, None),
     ]
+
+
+def test_both_engines_give_the_columns_of_the_format(spark, monkeypatch):
+    from pyspark.sql.protobuf import functions
+
+    whole = StructType([*TELEMETRY.fields]).add("extra", "string")
+    monkeypatch.setattr(
+        functions, "from_protobuf", lambda *_, **__: F.lit(None).cast(whole)
+    )
+    rows = spark.createDataFrame([(WIRE,)], "value binary")
+    for engine in ("jvm", "python"):
+        assert decode_telemetry(rows, engine=engine).columns == TELEMETRY.names
+
+
+def test_malformed_messages_become_null_on_demand(spark):
+    rows = spark.createDataFrame([(1, b"\xff\xff"), (2, b"\x12\x01V"), (3, None)], "n int, value binary")
+    found = decode_telemetry(rows, keep=["n"], options={"mode": "permissive"}).collect()
+    assert {r.n: r.vin for r in found} == {1: None, 2: "V", 3: None}
+    assert next(r for r in found if r.n == 1).data_uris is None
+
+
+def test_options_without_effect_are_refused(spark):
+    for options in ({"mode": "DROPMALFORMED"}, {"enums.as.ints": "true"}):
+        with pytest.raises(ValueError, match="Python engine"):
+            decode_message("value", engine="python", options=options)
+
+
+@pytest.mark.parametrize("kind", ["long", "array<int>", "struct<a: string, b: double>"])
+def test_types_without_a_field_are_refused_when_the_column_is_built(spark, kind):
+    schema = StructType.fromDDL(f"a string, b {kind}")
+    form = MessageFormat("party.Telemetry", schema, b"")
+    for build in (decode_message, encode_message):
+        with pytest.raises(TypeError, match=r"no Protobuf type for b(\.b)?:"):
+            build("value", form, engine="python")
+
+
+def test_a_null_in_an_array_is_named(spark):
+    values = (None, "V", ["a", None], "", None, "1.0", None, [], "x", [])
+    frame = spark.createDataFrame([values], TELEMETRY).select(telemetry_payload().alias("value"))
+    with pytest.raises(PythonException, match="data_uris: a repeated field cannot hold NULL"):
+        frame.collect()

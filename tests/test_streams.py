@@ -4,10 +4,12 @@ import subprocess
 import sys
 from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
+from eventlake.functions.buckets import bucket_of
 from eventlake.operators.encode import (
     json_payload,
     sample_telemetry,
@@ -16,11 +18,11 @@ from eventlake.operators.encode import (
 )
 from eventlake.plans.ingest import event_rows, flow_rows, ingest_events, ingest_telemetry
 from eventlake.plans.produce import publish_events, publish_telemetry, write_words
-from eventlake.schemas import ENVELOPE, EVENT
+from eventlake.schemas import EVENT
 from eventlake.sinks.tables import ParquetTable, event_table, flow_table
 from eventlake.sinks.topics import publish
 from eventlake.sources.generated import rate_batches
-from eventlake.sources.topics import DirectoryTopic, message_stream
+from eventlake.sources.topics import DirectoryTopic, message_stream, messages
 from eventlake.streaming.batches import append_batches
 from eventlake.streaming.control import trigger
 
@@ -232,8 +234,8 @@ def test_stream_equals_batch_for_events(spark, job, clock):
     ingest_events(
         spark, job.topic, job.table, str(job.folder / "c"), every=None, clock=clock
     ).awaitTermination()
-    messages = spark.read.schema(ENVELOPE).parquet(job.topic.path)
-    assert same_rows(job.table.read(spark), event_rows(messages, clock))
+    published = messages(spark, job.topic)
+    assert same_rows(job.table.read(spark), event_rows(published, clock))
     made.unpersist()
 
 
@@ -244,9 +246,9 @@ def test_stream_equals_batch_for_telemetry(spark, tmp_path, table_name, clock):
     ingest_telemetry(
         spark, topic, table, str(tmp_path / "c"), every=None, clock=clock
     ).awaitTermination()
-    messages = spark.read.schema(ENVELOPE).parquet(topic.path)
+    published = messages(spark, topic)
     assert table.read(spark).count() == 50
-    assert same_rows(table.read(spark), flow_rows(messages, clock))
+    assert same_rows(table.read(spark), flow_rows(published, clock))
 
 
 def test_malformed_telemetry_stops_the_job(spark, tmp_path, table_name):
@@ -259,6 +261,38 @@ def test_malformed_telemetry_stops_the_job(spark, tmp_path, table_name):
     assert table.read(spark).isEmpty()
 
 
+def test_malformed_telemetry_can_land_as_nulls(spark, tmp_path, table_name):
+    topic = DirectoryTopic(str(tmp_path / "topic"))
+    payloads = spark.createDataFrame([(b"\x12\x01V",), (b"\xff\xff",)], "value binary")
+    publish(to_envelope(payloads, F.col("value")), topic)
+    table = ParquetTable(flow_table(table_name), str(tmp_path / "table"))
+    ingest_telemetry(
+        spark, topic, table, str(tmp_path / "c"), every=None, options={"mode": "PERMISSIVE"}
+    ).awaitTermination()
+    assert {r.vin_hash for r in table.read(spark).collect()} == {None, "V"}
+
+
+def test_a_hot_flow_of_a_stream_is_split_over_writers(spark, tmp_path, table_name):
+    topic = DirectoryTopic(str(tmp_path / "topic"))
+    rows = sample_telemetry(spark.range(30_000, numPartitions=8))
+    hot = F.when(F.col("id") % 3 < 2, F.lit("hot")).otherwise(F.col("flow_metric.flow_aui"))
+    flow = F.struct(hot.alias("flow_aui"), "flow_metric.flow_name", "flow_metric.flow_timestamp")
+    publish_telemetry(rows.withColumn("flow_metric", flow), topic, "id")
+    table = ParquetTable(flow_table(table_name), str(tmp_path / "table"))
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(size, "300k")
+    try:
+        ingest_telemetry(
+            spark, topic, table, str(tmp_path / "c"), every=None
+        ).awaitTermination()
+    finally:
+        spark.conf.unset(size)
+    pattern = f"**/flow_aui_bucket={bucket_of(16, 'hot')}/**/*.parquet"
+    sizes = [pq.read_metadata(f).num_rows for f in (tmp_path / "table").glob(pattern)]
+    assert sum(sizes) >= 20_000 and max(sizes) <= 7_000
+    assert table.read(spark).count() == 30_000
+
+
 @pytest.mark.parametrize("drop_null, landed", [(False, 2), (True, 1)])
 def test_null_telemetry(spark, tmp_path, table_name, drop_null, landed):
     topic = DirectoryTopic(str(tmp_path / "topic"))

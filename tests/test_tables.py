@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from threading import Event
 
 import pyarrow.parquet as pq
 import pytest
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 
 from eventlake.functions.buckets import bucket_of
 from eventlake.schemas import EVENT_COLUMNS, FLOW_COLUMNS, INT, TEXT, columns
+from eventlake.sinks import tables
 from eventlake.sinks.tables import (
     Bucket,
     IcebergTable,
@@ -329,3 +331,21 @@ def test_iceberg_reads_by_key(spark):
     table = IcebergTable(flow_table(name))
     assert numbers(table.read(spark, flow_aui="b", hour=0)) == [1, 4, 7]
     assert numbers(table.read(spark, flow_aui=None)) == [2, 5, 8]
+
+
+def test_an_observation_that_never_comes_does_not_stop_the_append(
+    spark, tmp_path, table_name, monkeypatch
+):
+    class Silent(tables.Observation):
+        @property
+        def get(self):
+            Event().wait()
+
+    monkeypatch.setattr(tables, "Observation", Silent)
+    monkeypatch.setattr(tables, "METRIC_WAIT", 0.2)
+    table = ParquetTable(flow_table(table_name), str(tmp_path / "t"))
+    table.create(spark)
+    assert table.append(flows(spark, 12, ["a", "b", None]), "run", 0) == 12
+    assert table.append(flows(spark, 5, ["a"]), "run", 1) == 5
+    assert table.append(flows(spark, 4, ["b"]), "run", 1) == 4
+    assert table.read(spark).count() == 16
