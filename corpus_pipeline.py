@@ -4,24 +4,76 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from eventlake.llm import langid
+from eventlake.llm import bpe, jaccard, langid, mixing, secrets
+from eventlake.llm.queries import vocabulary_file
 from eventlake.llm.tables import committed, read_table
 
 
-def keep_known_languages(spark: SparkSession, docs: DataFrame, tables: str) -> DataFrame:
+def whole(docs: DataFrame, *needed: Column | str) -> DataFrame:
+    """The rows as one column, which results of any name cannot clash with, and what is needed."""
+    return docs.select(F.struct(*docs.columns).alias("_row"), *needed)
+
+
+def known_languages(spark: SparkSession, docs: DataFrame, tables: str) -> DataFrame:
     """Documents whose language the identifier accepts; it learns from the labels at hand."""
-    found = langid.identify(docs, langid.train(docs))
-    return found.where("accepted").select(docs.columns)
+    found = langid.identify(whole(docs, "text"), langid.train(docs))
+    return found.where("accepted").select("_row.*")
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, tables: str) -> DataFrame:
+    """Of each group of near duplicates (five words, 80 %) the document with the smallest id.
+
+    Of several rows of that id one stays. Rows without an id are in no group and all stay.
+    """
+    groups = jaccard.similar_groups(docs)
+    kept = groups.where("doc_id = component_id").select("doc_id").distinct()
+    first = (
+        docs.join(kept, "doc_id", "left_semi")
+        .groupBy("doc_id")
+        .agg(F.min_by(F.struct(*docs.columns), F.xxhash64(*docs.columns)).alias("row"))
+        .select("row.*")
+    )
+    return first.unionByName(docs.where("doc_id IS NULL")).select(docs.columns)
+
+
+def without_secrets(spark: SparkSession, docs: DataFrame, tables: str) -> DataFrame:
+    """All documents, with the secrets in their texts replaced."""
+    return secrets.redact(docs).withColumn("n_chars", F.length("text").cast("long"))
+
+
+def mixed_sources(spark: SparkSession, docs: DataFrame, tables: str) -> DataFrame:
+    """What the mix takes, as often as it takes it."""
+    mixed = mixing.mix(whole(docs, "source", mixing.word_count("text").alias("size")))
+    copies = F.explode(F.sequence(F.lit(1), F.col("copies")))
+    return mixed.where("copies > 0").select("_row", copies.alias("_copy")).select("_row.*")
+
+
+def token_ids(spark: SparkSession, docs: DataFrame, tables: str) -> DataFrame:
+    """Token ids of every document, and whether they decode to its text."""
+    found = bpe.round_trip(docs, bpe.load(vocabulary_file("byte_bpe_50k.json")))
+    return found.select(
+        "doc_id",
+        "lang",
+        "source",
+        (F.length("ids") / 4).cast("long").alias("n_tokens"),
+        "ids",
+        F.col("decoded").eqNullSafe(F.coalesce("text", F.lit(""))).alias("exact"),
+    )
 
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 STAGES: list[tuple[str, Stage]] = [
-    ("language", keep_known_languages),
+    ("language", known_languages),
+    ("near_duplicates", one_of_each_group),
+    ("secrets", without_secrets),
+    ("mix", mixed_sources),
+    ("tokens", token_ids),
 ]
 
-#: No stage of these can be expressed in SQL.
+#: SQL cannot express these stages.
 ORACLE_SQL = None
 
 

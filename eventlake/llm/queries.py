@@ -106,4 +106,39 @@ ORACLE_SQL: dict[str, str] = {
         )
         SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
     """,
+    "op5_jaccard": r"""
+        WITH RECURSIVE split AS (
+            SELECT doc_id, list_filter(
+                string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                             'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'),
+                lambda word: word <> '') AS words
+            FROM documents
+        ), shingles AS (
+            SELECT doc_id, CASE
+                WHEN words IS NULL OR len(words) = 0 THEN []::VARCHAR[]
+                WHEN len(words) < 4 THEN [array_to_string(words, ' ')]
+                ELSE list_distinct(list_transform(range(1, len(words) - 2),
+                                                  lambda i: array_to_string(words[i:i + 3], ' ')))
+                END AS grams
+            FROM split
+        ), sizes AS (
+            SELECT doc_id, len(grams)::BIGINT AS n_shingles FROM shingles
+        ), spread AS (
+            SELECT doc_id, unnest(grams) AS gram FROM shingles
+        ), shared AS (
+            SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+            FROM spread a JOIN spread b ON a.gram = b.gram AND a.doc_id <> b.doc_id
+            GROUP BY ALL
+        ), links AS (
+            SELECT shared.a, shared.b FROM shared
+            JOIN sizes x ON x.doc_id = shared.a JOIN sizes y ON y.doc_id = shared.b
+            WHERE 100 * n >= 85 * (x.n_shingles + y.n_shingles - n)
+        ), reached AS (
+            SELECT doc_id, doc_id AS other FROM documents
+            UNION
+            SELECT reached.doc_id, links.b FROM reached JOIN links ON links.a = reached.other
+        )
+        SELECT doc_id, n_shingles, min(other) AS component_id
+        FROM reached JOIN sizes USING (doc_id) GROUP BY ALL
+    """,
 }

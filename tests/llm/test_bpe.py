@@ -1,0 +1,105 @@
+"""Ids and texts against the tokenizers library."""
+
+import hashlib
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from eventlake.llm import bpe
+from eventlake.llm.arrays import text_array
+from eventlake.llm.queries import QUERIES, vocabulary_file
+
+tokenizers = pytest.importorskip("tokenizers")
+PATH = vocabulary_file("byte_bpe_50k.json")
+
+
+@pytest.fixture(scope="module")
+def library():
+    return tokenizers.Tokenizer.from_file(PATH)
+
+
+@pytest.fixture(scope="module")
+def vocabulary():
+    return bpe.load(PATH)
+
+
+def ids_of(library, texts):
+    return [e.ids for e in library.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+
+
+def split(ids, counts):
+    return [part.tolist() for part in np.split(ids, np.cumsum(counts)[:-1])]
+
+
+def test_odd_texts(library, vocabulary, odd_texts):
+    found = bpe.encode_texts(vocabulary, text_array(pa.array(odd_texts, pa.string())))
+    assert split(*found) == ids_of(library, odd_texts)
+    assert bpe.decode_ids(vocabulary, *found) == [text or "" for text in odd_texts]
+
+
+def test_every_character(library, vocabulary):
+    points = [chr(i) for i in range(1, 0x30000) if not 0xD800 <= i < 0xE000]
+    texts = [
+        "a " + "x ".join(points[at : at + 64]) + " b" + points[at]
+        for at in range(0, len(points), 64)
+    ]
+    found = bpe.encode_texts(vocabulary, text_array(pa.array(texts)))
+    assert split(*found) == ids_of(library, texts)
+
+
+def test_long_words_merge_alike(library, vocabulary):
+    draw = np.random.default_rng(3)
+    texts = ["".join(draw.choice(list("abcdeth"), 6000)), "a" * 100_000]
+    found = bpe.encode_texts(vocabulary, text_array(pa.array(texts)))
+    assert split(*found) == ids_of(library, texts)
+
+
+def test_forgetting_changes_nothing(library, vocabulary, odd_texts):
+    memo = bpe.memo_of(vocabulary)
+    memo.forget()
+    most, memo.most = memo.most, 10
+    try:
+        for at in range(0, 120, 8):
+            some = odd_texts[at : at + 8]
+            found = bpe.encode_texts(vocabulary, text_array(pa.array(some, pa.string())))
+            assert split(*found) == ids_of(library, some)
+    finally:
+        memo.most = most
+
+
+def test_columns(documents, vocabulary, library):
+    rows = [(1, "a b"), (1, "a b"), (2, None), (None, ""), (3, "<|endoftext|>")]
+    docs = documents(rows).withColumn("IDS", F.lit("old")).withColumn("Decoded", F.lit(1))
+    out = bpe.round_trip(docs, vocabulary)
+    assert out.columns == ["doc_id", "text", "lang", "source", "n_chars", "ids", "decoded"]
+    got = sorted((r.doc_id or 0, r.text or "", bytes(r.ids), r.decoded) for r in out.collect())
+    want = sorted(
+        (i or 0, t or "", np.array(ids, "<u4").tobytes(), t or "")
+        for (i, t), ids in zip(rows, ids_of(library, [t for _, t in rows]), strict=True)
+    )
+    assert got == want
+    encoded = bpe.encode(docs, vocabulary)
+    back = bpe.decode(encoded, vocabulary).collect()
+    assert all(r.decoded == (r.text or "") for r in back)
+    assert bpe.round_trip(docs.where("doc_id = 77"), vocabulary).collect() == []
+
+
+def test_vocabularies_of_another_kind_are_refused():
+    with pytest.raises(ValueError, match="byte-level"):
+        bpe.load(vocabulary_file("word_bpe_49k.json"))
+
+
+def test_query(spark, tables, library):
+    rows = spark.read.parquet(f"{tables}/documents.parquet").select("doc_id", "text").collect()
+    want = {}
+    for row, ids in zip(rows, ids_of(library, [row.text for row in rows]), strict=True):
+        text = library.decode(ids, skip_special_tokens=False)
+        want[row.doc_id] = (
+            len(ids),
+            hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(),
+            hashlib.sha256(text.encode()).hexdigest(),
+        )
+    got = {r.doc_id: tuple(r)[1:] for r in QUERIES["op8_bpe"](spark, tables).collect()}
+    assert got == want
