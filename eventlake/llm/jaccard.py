@@ -1,17 +1,19 @@
 """N-gram Jaccard join by T-occurrence search.
 
 A document is the set of its distinct word n-grams, each hashed to 64 bits. Documents of one set are
-one class. Two sets that reach the similarity share at least one n-gram among the first few of each,
-in whatever order all sets agree on (the prefix filter); rare n-grams come first here, so passages
-that many documents share hardly ever lead two documents to each other.
+one class, named by its smallest document. Two sets that reach the similarity have some n-grams in
+common among the first of each, in whatever order all sets agree on (the prefix filter): prefixes that
+are `more` longer than one common n-gram takes have `more` in common. N-grams that are known to be
+frequent come last here, and a passage that many documents share seldom makes up enough of a prefix,
+so it hardly ever leads two documents to each other.
 
 1. One pass over all texts gives each document its set's size and fingerprint, and n-grams that are
    frequent somewhere. The most frequent ones are kept in a table of bounded size that only decides
    the order: any order finds the same links.
-2. A second pass sends each class's prefix, as packed postings, to a bucket of the n-gram. What is
-   alone there, or cannot reach the similarity by size and position, is dropped.
+2. A second pass sends each class's prefix, as packed postings, to a bucket of the n-gram. What meets
+   no set of a fitting size there is dropped, and then classes of which too little is left.
 3. A class lives in the shard of its most shared n-gram; a shard with many classes is split. It asks
-   every shard where a class lives that shares an n-gram of its prefix.
+   every shard to whose classes enough n-grams of its prefix lead.
 4. In a shard, inverted lists over the whole sets of its classes answer each question by DivideSkip:
    with T n-grams required, the longest L lists are set aside, the short ones are merged through a
    heap that skips, and what occurs T - L times is looked up in the long lists by binary search.
@@ -40,13 +42,11 @@ from eventlake.llm.arrays import ragged, slices, text_array, words_of
 from eventlake.llm.components import connected_components
 from eventlake.llm.tables import committed
 
-POSTING = np.dtype([("token", "<i8"), ("set", "S16"), ("size", "<i4"), ("place", "<i4")])
+POSTING = np.dtype([("token", "<i8"), ("high", "<u8"), ("low", "<u8"), ("size", "<i4")])
 #: N-grams that are counted at once in a task.
 COUNTED = 1 << 22
 #: Postings that a task holds back before it sends them.
 HELD = 1 << 20
-#: Lists of up to so many classes are checked pair by pair for size and position.
-SMALL_LIST = 64
 #: How DivideSkip weighs merging against looking up.
 DIVIDE = 0.01
 
@@ -55,8 +55,9 @@ DIVIDE = 0.01
 class Settings:
     words: int = 5  # of an n-gram
     percent: int = 80  # of the union that two linked sets share at least
-    frequent: int = 16  # documents of a task's share from which on an n-gram is frequent
-    ordered: int = 1 << 16  # frequent n-grams that the order knows; decides speed only
+    more: int = 8  # per cent of a set by which its prefix is longer; decides speed only
+    frequent: int = 5  # documents of a task's share from which on an n-gram is frequent
+    ordered: int = 1 << 17  # frequent n-grams that the order knows; decides speed only
     bucket_postings: int = 400_000  # of a bucket, about
     shard_sets: int = 2000  # classes of a shard, about
 
@@ -111,6 +112,20 @@ def least_share(size: np.ndarray | int, settings: Settings):
     return -(-settings.percent * size // 100)
 
 
+def least_common(size, settings: Settings):
+    """N-grams that the prefix of a set this large has in common with any that it links to.
+
+    A linked set may be smaller, and the smaller prefix of the two decides.
+    """
+    return np.maximum(1, least_share(size, settings) * settings.more // 100)
+
+
+def prefix_length(size, settings: Settings):
+    return np.minimum(
+        size, size - least_share(size, settings) + np.maximum(1, size * settings.more // 100)
+    )
+
+
 def least_overlap(one, other, settings: Settings):
     """Common members that sets of these sizes need."""
     return -(-settings.percent * (one + other) // (100 + settings.percent))
@@ -196,18 +211,16 @@ def prefixes(sets: list[np.ndarray], order: np.ndarray, often: np.ndarray, setti
         place[rows] = (
             (sizes - heavies)[owner[rows]] + np.arange(len(rows)) - first[owner[rows]]
         )
-    length = sizes - least_share(sizes, settings) + 1
-    kept = place < length[owner]
+    kept = place < prefix_length(sizes, settings)[owner]
     found = np.zeros(int(kept.sum()), POSTING)
-    found["token"], found["place"] = flat[kept], place[kept]
-    found["size"] = sizes[owner[kept]]
+    found["token"], found["size"] = flat[kept], sizes[owner[kept]]
     return found, owner[kept]
 
 
 def live_postings(
     documents: DataFrame, order: np.ndarray, often: np.ndarray, buckets: int, settings: Settings
 ) -> DataFrame:
-    """token, set and shared (how many sets the n-gram leads to) of all prefixes worth a look."""
+    """token, set, size and shared (how many sets have the n-gram) of what others' prefixes share."""
 
     def is_frequent(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if not len(order):
@@ -222,9 +235,8 @@ def live_postings(
             rows = np.concatenate(held)
             # Frequent n-grams are dealt by set: they need not meet to be known as shared.
             heavy, _ = is_frequent(rows["token"])
-            by_set = np.ndarray((len(rows),), "<u4", rows["set"].astype("S16").tobytes(), 0, (16,))
-            by_token = rows["token"].view("<u8") >> np.uint64(32)
-            bucket = np.where(heavy, by_set, by_token).astype(np.uint64) % np.uint64(buckets)
+            by_token = rows["token"].astype(np.uint64) >> np.uint64(32)
+            bucket = np.where(heavy, rows["low"], by_token) % np.uint64(buckets)
             by_bucket = np.argsort(bucket, kind="stable")
             rows, bucket = rows[by_bucket], bucket[by_bucket]
             cuts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
@@ -243,7 +255,8 @@ def live_postings(
                     names.append(name)
             rows, owner = prefixes(new, order, often, settings)
             if len(rows):
-                rows["set"] = np.array(names, "S16")[owner]
+                halves = np.frombuffer(b"".join(names), "<u8").reshape(-1, 2)
+                rows["high"], rows["low"] = halves[owner].T
                 held.append(rows)
                 count += len(rows)
             if count >= HELD:
@@ -267,38 +280,39 @@ def live_postings(
             yield met_postings(np.concatenate(parts))
 
     def met_postings(rows: np.ndarray) -> pa.RecordBatch:
-        halves = np.frombuffer(rows["set"].astype("S16").tobytes(), "<u8").reshape(-1, 2)
-        rows = rows[np.lexsort((halves[:, 1], halves[:, 0], rows["token"]))]
-        twin = (rows["token"][1:] == rows["token"][:-1]) & (rows["set"][1:] == rows["set"][:-1])
+        rows = rows[np.lexsort((rows["low"], rows["high"], rows["size"], rows["token"]))]
+        same = rows["token"][1:] == rows["token"][:-1]
+        twin = same & (rows["high"][1:] == rows["high"][:-1])
+        twin &= rows["low"][1:] == rows["low"][:-1]
         rows = rows[np.append(True, ~twin)]
-        starts = np.flatnonzero(np.append(True, rows["token"][1:] != rows["token"][:-1]))
+        same = rows["token"][1:] == rows["token"][:-1]
+        starts = np.flatnonzero(np.append(True, ~same))
         lengths = np.diff(np.append(starts, len(rows)))
-        shared = np.repeat(lengths, lengths)
         heavy, seen = is_frequent(rows["token"])
-        keep = (shared > 1) | heavy
-        for start, length in zip(starts.tolist(), lengths.tolist(), strict=True):
-            if 1 < length <= SMALL_LIST and not heavy[start]:
-                some = rows[start : start + length]
-                size = some["size"].astype(np.int64)
-                left = size - some["place"]
-                need = least_overlap(size[:, None], size[None, :], settings)
-                match = np.minimum(left[:, None], left[None, :]) >= need
-                np.fill_diagonal(match, False)
-                keep[start : start + length] = match.any(axis=1)
-        rows, shared = rows[keep], np.where(heavy, seen, shared)[keep]
-        names = np.frombuffer(rows["set"].astype("S16").tobytes(), "V16")
+        # The nearest size above or below fits if any does.
+        size = rows["size"].astype(np.int64)
+        fits = same & (100 * size[:-1] >= settings.percent * size[1:])
+        keep = heavy | np.append(fits, False) | np.append(False, fits)
+        shared = np.where(heavy, seen, np.repeat(lengths, lengths))[keep]
+        rows = rows[keep]
+        halves = np.stack([rows["high"], rows["low"]], axis=1)
+        ends = (np.arange(len(rows) + 1) * 16).astype(np.int32)
+        names = pa.Array.from_buffers(
+            pa.binary(), len(rows), [None, pa.py_buffer(ends), pa.py_buffer(halves.tobytes())]
+        )
         return pa.RecordBatch.from_arrays(
             [
                 pa.array(rows["token"]),
-                pa.array([name.tobytes() for name in names], pa.binary()),
+                names,
+                pa.array(rows["size"]),
                 pa.array(shared.astype(np.int64)),
             ],
-            ["token", "set", "shared"],
+            ["token", "set", "size", "shared"],
         )
 
     sent = documents.select("text").mapInArrow(send, "bucket int, postings binary")
     dealt = sent.repartition(buckets, "bucket").sortWithinPartitions("bucket")
-    return committed(dealt.mapInArrow(meet, "token long, set binary, shared long"))
+    return committed(dealt.mapInArrow(meet, "token long, set binary, size int, shared long"))
 
 
 def merge_skip(lists: list[list[int]], need: int) -> Iterator[tuple[int, int]]:
@@ -402,137 +416,185 @@ def by_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, int, pa
                 yield (home, part), asks, batch.slice(start, end - start)
 
 
-def searched(rows: DataFrame, settings: Settings) -> DataFrame:
+class Links:
+    """The links that one shard finds, at most one for each two labels that it joins."""
+
+    def __init__(self, settings: Settings):
+        self.settings = settings
+        self.sets: list[np.ndarray] = []
+        self.labels: list[int] = []
+        self.shard: Shard | None = None
+        self.met: set[bytes] = set()
+        self.now: dict[int, int] = {}  # labels that were joined, and to which
+
+    def checked(self, part: pa.RecordBatch) -> Iterator[tuple[np.ndarray, int]]:
+        """Sets and labels; a row whose text is not the set's, or that came before, goes."""
+        names = part.column("set").to_pylist()
+        own = part.column("label").to_pylist()
+        done = 0
+        for piece, found in sets_of(iter([part]), self.settings.words):
+            for one, name, label in zip(found, names[done:], own[done:], strict=False):
+                if name not in self.met and len(one) and fingerprint(one) == name:
+                    self.met.add(name)
+                    yield one, label
+            done += len(piece)
+
+    def live(self, part: pa.RecordBatch) -> None:
+        for one, label in self.checked(part):
+            self.sets.append(one)
+            self.labels.append(label)
+
+    def ask(self, asking) -> Iterator[tuple[int, int]]:
+        if self.shard is None and self.sets:
+            self.shard = Shard(self.sets, self.labels, self.settings)
+        for one, label in asking if self.shard else ():
+            own = label
+            while own in self.now:
+                own = self.now[own]
+            for other in self.shard.partners(one, own):
+                theirs = int(self.shard.labels[other])
+                if theirs != own:
+                    yield label, self.labels[other]
+                    self.now[theirs] = own
+                    self.shard.join(theirs, own)
+
+    def ask_all(self, part: pa.RecordBatch) -> Iterator[tuple[int, int]]:
+        if self.shard is None:
+            self.met = set()
+        yield from self.ask(self.checked(part))
+
+    def ask_each_other(self) -> Iterator[tuple[int, int]]:
+        yield from self.ask(zip(self.sets, self.labels, strict=True))
+
+
+def searched(rows: DataFrame, settings: Settings, each_other: bool) -> DataFrame:
     """Links that the shards find: a and b, the labels that two linked sets came with.
 
-    `rows` are home, part, asks (0: lives there, 1: asks), set, label and text.
+    `rows` are home, part, asks (0: lives there, 1: asks), set, label and text. With `each_other`
+    what lives in a shard asks there, too.
     """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, shard, links = None, None, []
-        sets: list[np.ndarray] = []
-        labels: list[bytes] = []
-        number: dict[bytes, int] = {}
-        met: set[bytes] = set()
-
-        def checked(part: pa.RecordBatch) -> Iterator[tuple[np.ndarray, bytes]]:
-            """Sets and labels; a row whose text is not the set's, or that came before, goes."""
-            names = part.column("set").to_pylist()
-            own = part.column("label").to_pylist()
-            done = 0
-            for piece, found in sets_of(iter([part]), settings.words):
-                for offset, one in enumerate(found):
-                    name = names[done + offset]
-                    if name not in met and len(one) and fingerprint(one) == name:
-                        met.add(name)
-                        yield one, own[done + offset]
-                done += len(piece)
-
-        def ask(one: np.ndarray, label: bytes) -> None:
-            own = number.setdefault(label, len(number))
-            # A label that was joined to another goes by the other's number.
-            while own in alias:
-                own = alias[own]
-            for other in list(shard.partners(one, own)):
-                theirs = int(shard.labels[other])
-                if theirs != own:
-                    links.append((label, labels[other]))
-                    alias[theirs] = own
-                    shard.join(theirs, own)
+    def link_batch(links: list[tuple[int, int]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array([link[side] for link in links], pa.int64()) for side in (0, 1)], ["a", "b"]
+        )
 
-        alias: dict[int, int] = {}
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, links = None, Links(settings)
         for now, asks, part in by_shard(batches):
             if key != now:
-                key, shard, sets, labels = now, None, [], []
-                number, alias, met = {}, {}, set()
-            if not asks:
-                for one, label in checked(part):
-                    sets.append(one)
-                    labels.append(label)
-                continue
-            if shard is None:
-                if not sets:
-                    continue
-                numbers = [number.setdefault(label, len(number)) for label in labels]
-                shard, met = Shard(sets, numbers, settings), set()
-            for one, label in checked(part):
-                ask(one, label)
-            if links:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(side, pa.binary()) for side in zip(*links, strict=True)], ["a", "b"]
-                )
-                links = []
+                if each_other:
+                    yield link_batch(list(links.ask_each_other()))
+                key, links = now, Links(settings)
+            if asks:
+                yield link_batch(list(links.ask_all(part)))
+            else:
+                links.live(part)
+        if each_other:
+            yield link_batch(list(links.ask_each_other()))
 
     dealt = rows.repartition("home", "part").sortWithinPartitions("home", "part", "asks", "set")
     return dealt.select("home", "part", "asks", "set", "label", "text").mapInArrow(
-        run, "a binary, b binary"
+        run, "a long, b long"
     )
 
 
 def relabelled(labels: DataFrame, links: DataFrame) -> DataFrame:
-    """set and label with linked labels joined."""
+    """node and label with linked labels joined."""
     roots = connected_components(links).withColumnRenamed("node", "label")
     return committed(
         labels.join(roots, "label", "left").select(
-            "set", F.coalesce("root", "label").alias("label")
+            "node", F.coalesce("root", "label").alias("label")
         )
     )
 
 
-def joined_labels(live: DataFrame, texts: DataFrame, settings: Settings) -> DataFrame:
-    """set and label of all classes in `live`: equal labels for connected classes.
+def joined_labels(
+    shared: DataFrame, documents: DataFrame, classes: DataFrame, settings: Settings
+) -> DataFrame:
+    """node and label of classes: equal labels for connected ones.
 
-    `texts` holds set and text of these classes.
+    `shared` holds token, node, size and shared of what classes share; a class that is not in the
+    result is not linked. `classes` holds node and set.
     """
-    homes = committed(
-        live.groupBy("set")
-        .agg(F.max(F.struct("shared", "token")).alias("best"))
-        .select("set", F.col("best.token").alias("home"))
+    size = F.col("size").cast("long")
+    smaller = F.ceil(size * settings.percent / 100)
+    needed = F.greatest(F.lit(1).cast("long"), F.floor(smaller * settings.more / 100))
+    homes = (
+        shared.groupBy("node")
+        .agg(
+            F.max(F.struct("shared", "token")).alias("best"),
+            F.count(F.lit(1)).alias("left"),
+            F.max("size").alias("size"),
+        )
+        .where(F.col("left") >= needed)
+        .select("node", F.col("best.token").alias("home"), needed.alias("needed"))
     )
+    homes = committed(homes)
+    known = committed(shared.join(homes, "node").select("token", "node", "home", "needed"))
+    # To whose homes the n-grams lead: to a class's own only if another lives there.
+    leads = known.groupBy("token", F.col("home").alias("to")).agg(
+        F.count(F.lit(1)).alias("living")
+    )
+    routes = committed(
+        known.join(leads, "token")
+        .where((F.col("to") != F.col("home")) | (F.col("living") > 1))
+        .groupBy("node", "to", "needed")
+        .count()
+        .where(F.col("count") >= F.col("needed"))
+        .select("node", F.col("to").alias("home"))
+    )
+    # What is linked has a route to its partner's home, so what has no route is not linked.
+    homes = homes.join(routes.select("node").distinct(), "node", "left_semi").select("node", "home")
     parts = homes.groupBy("home").agg(
         F.ceil(F.count(F.lit(1)) / settings.shard_sets).cast("int").alias("parts")
     )
     placed = committed(
         homes.join(parts, "home").select(
-            "set", "home", F.pmod(F.xxhash64("set"), F.col("parts")).cast("int").alias("part")
+            "node", "home", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("part")
         )
     )
-    # Every shard joins the classes that live there: they live there and ask.
-    alone = placed.select("set", F.col("set").alias("label"))
-    both = F.explode(F.array(F.lit(0), F.lit(1))).alias("asks")
-    first = placed.join(texts, "set").select(
-        "home", "part", both, "set", F.col("set").alias("label"), "text"
+    # Only now texts move, and only those of classes that may be linked.
+    wanted = classes.join(placed.select("node"), "node", "left_semi")
+    texts = committed(
+        documents.join(wanted.withColumnRenamed("node", "doc_id"), "doc_id").select(
+            F.col("doc_id").alias("node"), "set", "text"
+        )
     )
-    labels = relabelled(alone, committed(searched(first, settings)))
-
-    # Where else to ask: all shards of the homes that a class's n-grams lead to.
-    known_homes = live.join(homes, "set").select("token", F.col("home")).distinct()
-    routes = committed(
-        live.select("token", "set").join(known_homes, "token").select("set", "home").distinct()
+    # Every shard joins the classes that live there.
+    living = placed.join(routes, ["node", "home"], "left_semi")
+    first = living.join(texts, "node").select(
+        "home", "part", F.lit(0).alias("asks"), "set", F.col("node").alias("label"), "text"
+    )
+    labels = relabelled(
+        placed.select("node", F.col("node").alias("label")),
+        committed(searched(first, settings, each_other=True)),
     )
+    # Then the other shards are asked: first by one class of each component.
     for one_of_each in (True, False):
-        living = placed.join(labels, "set")
-        shards = living.groupBy("home", "part").agg(
+        there = placed.join(labels, "node")
+        shards = there.groupBy("home", "part").agg(
             F.min("label").alias("low"), F.max("label").alias("high")
         )
         asking = (
-            routes.join(labels, "set")
+            routes.join(labels, "node")
             .join(shards, "home")
-            .where(~((F.col("label") == F.col("low")) & (F.col("label") == F.col("high"))))
-            .select("set", "label", "home", "part")
+            .where((F.col("label") != F.col("low")) | (F.col("label") != F.col("high")))
+            .join(placed, ["node", "home", "part"], "left_anti")
+            .select("node", "label", "home", "part")
         )
-        asking = asking.join(placed, ["set", "home", "part"], "left_anti")
         if one_of_each:
-            asking = asking.groupBy("label", "home", "part").agg(F.min("set").alias("set"))
-        asking = committed(asking.select("home", "part", F.lit(1).alias("asks"), "set", "label"))
+            asking = asking.groupBy("label", "home", "part").agg(F.min("node").alias("node"))
+        asking = committed(asking.select("home", "part", F.lit(1).alias("asks"), "node", "label"))
         if asking.isEmpty():
             break
         asked = asking.select("home", "part").distinct()
-        there = living.join(asked, ["home", "part"], "left_semi").select(
-            "home", "part", F.lit(0).alias("asks"), "set", "label"
+        living = there.join(asked, ["home", "part"], "left_semi").select(
+            "home", "part", F.lit(0).alias("asks"), "node", "label"
         )
-        rows = there.unionByName(asking).join(texts, "set")
-        labels = relabelled(labels, committed(searched(rows, settings)))
+        rows = living.unionByName(asking).join(texts, "node")
+        links = committed(searched(rows, settings, each_other=False))
+        labels = relabelled(labels, links)
     return labels
 
 
@@ -567,19 +629,24 @@ def similar_groups(
     often = np.array([row["seen"] for row in frequent], np.int64)
     often, order = often[np.argsort(order)], np.sort(order)
     size = F.col("size")
-    prefix = size - F.ceil(size * settings.percent / 100) + 1
-    posted = sets.where(size > 0).agg(F.sum(prefix)).first()[0] or 0
-    buckets = max(64, int(posted) // settings.bucket_postings)
+    posted = sets.agg(F.sum(size)).first()[0] or 0
+    posted = posted * (100 - settings.percent + settings.more) // 100
+    buckets = max(64, posted // settings.bucket_postings)
     live = live_postings(rows, order, often, buckets, settings)
-    classes = sets.where(size > 0).groupBy("set").agg(F.min("doc_id").alias("least"))
-    wanted = live.select("set").distinct().join(classes, "set").where("least IS NOT NULL")
-    texts = committed(
-        rows.join(wanted.withColumnRenamed("least", "doc_id"), "doc_id").select("set", "text")
+    # A class goes by its smallest document.
+    classes = committed(
+        sets.where(size > 0).groupBy("set").agg(F.min("doc_id").alias("node"))
+    )
+    shared = committed(
+        live.join(classes.where("node IS NOT NULL"), "set").select(
+            "token", "node", "size", "shared"
+        )
+    )
+    labels = joined_labels(shared, rows, classes, settings)
+    # Labels are smallest nodes, so they are the smallest documents of their components.
+    members = classes.join(labels, "node", "left").select(
+        "set", F.coalesce("label", "node").alias("component_id")
     )
-    labels = joined_labels(live, texts, settings)
-    named = classes.join(labels, "set", "left").withColumn("label", F.coalesce("label", "set"))
-    groups = named.groupBy("label").agg(F.min("least").alias("component_id"))
-    members = named.join(groups, "label").select("set", "component_id")
     return sets.join(members, "set", "left").select(
         "doc_id",
         size.alias("n_shingles"),
