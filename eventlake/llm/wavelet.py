@@ -422,14 +422,20 @@ def write_shards(
                 flat, count = encode_texts(
                     tokenizer_json, whole.slice(start, end - start), end_id
                 )
-                ids.append(
-                    batch.column("doc_id").slice(start, end - start).fill_null(null_id).to_numpy()
-                )
-                counts.append(count)
-                tokens.append(flat)
-                held += len(flat)
-                if held >= shard_tokens:
-                    yield close()
+                names = batch.column("doc_id").slice(start, end - start)
+                names, through = names.fill_null(null_id).to_numpy(), np.cumsum(count)
+                done = 0
+                while done < len(count):
+                    before = int(through[done] - count[done])
+                    upto = int(np.searchsorted(through, before + shard_tokens - held)) + 1
+                    upto = min(upto, len(count))
+                    ids.append(names[done:upto])
+                    counts.append(count[done:upto])
+                    tokens.append(flat[before : through[upto - 1]])
+                    held += len(tokens[-1])
+                    done = upto
+                    if held >= shard_tokens:
+                        yield close()
         if ids:
             yield close()
 
