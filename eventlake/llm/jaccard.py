@@ -598,6 +598,22 @@ def joined_labels(
     return labels
 
 
+def with_shared_ids(sets: DataFrame, members: DataFrame) -> DataFrame:
+    """`members` (set, component_id) with components joined that rows of one id are in."""
+    named = sets.join(members, "set").where("doc_id IS NOT NULL").groupBy("doc_id")
+    ends = named.agg(F.min("component_id").alias("b"), F.max("component_id").alias("a"))
+    split = committed(ends.where("a > b").select("doc_id", "b"))
+    if split.isEmpty():
+        return members
+    links = sets.join(members, "set").join(split, "doc_id").select(
+        F.col("component_id").alias("a"), "b"
+    )
+    roots = connected_components(links).withColumnRenamed("node", "component_id")
+    return members.join(roots, "component_id", "left").select(
+        "set", F.coalesce("root", "component_id").alias("component_id")
+    )
+
+
 def similar_groups(
     documents: DataFrame,
     settings: Settings = Settings(),
@@ -643,10 +659,11 @@ def similar_groups(
         )
     )
     labels = joined_labels(shared, rows, classes, settings)
-    # Labels are smallest nodes, so they are the smallest documents of their components.
     members = classes.join(labels, "node", "left").select(
         "set", F.coalesce("label", "node").alias("component_id")
     )
+    members = with_shared_ids(sets.where(size > 0), members)
+    # Labels are smallest nodes, so they are the smallest documents of their components.
     return sets.join(members, "set", "left").select(
         "doc_id",
         size.alias("n_shingles"),
