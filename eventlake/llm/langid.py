@@ -3,8 +3,9 @@
 A text is the mean of the embeddings of its hashed byte n-grams (all of them, over the whole
 lower-cased text); a linear softmax over that mean gives a probability per language. Both tables are
 trained by stochastic gradient descent in NumPy on the driver, over a sample of labelled rows whose
-size is `Settings.per_language` times at most `Settings.languages`. Mean and softmax input are
-linear, so for scoring the two tables fold into one row of class scores per n-gram bucket.
+size is `Settings.per_language` times at most `Settings.languages`. Of each the driver gets the shares
+of its n-gram buckets, which are bounded however long the text is. Mean and softmax input are linear,
+so for scoring the two tables fold into one row of class scores per bucket.
 
 Part of the sample is not trained on. It sets the temperature of the softmax, so that scores are
 probabilities, and the score below which a prediction is rejected: the highest at which no more than
@@ -86,15 +87,29 @@ def softmax(x: np.ndarray) -> np.ndarray:
     return x / x.sum(axis=-1, keepdims=True)
 
 
-def fit(rows: list[tuple[str, str]], settings: Settings = Settings()) -> Model | None:
-    """Train on (text, language) pairs; None without any. Every fifth pair calibrates."""
+def packed(text: str, settings: Settings) -> bytes:
+    """A text's bag as bytes: its buckets, then their shares."""
+    buckets, shares = bag(text, settings)
+    return buckets.astype("<u4").tobytes() + shares.astype("<f4").tobytes()
+
+
+def unpacked(stored: bytes) -> tuple[np.ndarray, np.ndarray]:
+    half = len(stored) // 2
+    return (
+        np.frombuffer(stored[:half], "<u4").astype(np.int64),
+        np.frombuffer(stored[half:], "<f4"),
+    )
+
+
+def fit(rows: list[tuple[bytes, str]], settings: Settings = Settings()) -> Model | None:
+    """Train on pairs of a packed bag and a language; None without any. Every fifth calibrates."""
     languages = sorted({language for _, language in rows})
     if not languages:
         return None
     draw = np.random.default_rng(settings.seed)
     rows = sorted(rows)
     rows = [rows[i] for i in draw.permutation(len(rows))]
-    bags = [bag(text, settings) for text, _ in rows]
+    bags = [unpacked(stored) for stored, _ in rows]
     wanted = np.array([languages.index(language) for _, language in rows])
     size, width = len(languages), settings.width
     embedding = draw.uniform(-1, 1, (1 << settings.bits, width)).astype(np.float32) / width
@@ -137,8 +152,11 @@ def fit(rows: list[tuple[str, str]], settings: Settings = Settings()) -> Model |
 
 def sample(
     documents: DataFrame, settings: Settings, text: str, language: str, doc_id: str
-) -> list[tuple[str, str]]:
-    """About `per_language` whole texts of each of the most frequent labels, held-out rows aside."""
+) -> list[tuple[bytes, str]]:
+    """Bags of about `per_language` whole texts of each of the most frequent labels.
+
+    Held-out rows and texts without a letter are left aside.
+    """
     labelled = documents.where(trained_on(doc_id) & F.col(language).isNotNull()).select(
         F.col(text).alias("text"), F.col(language).alias("language")
     )
@@ -155,7 +173,13 @@ def sample(
     drawn = labelled.sampleBy("language", fractions, settings.seed).where(
         F.col("text").rlike(r"\p{L}")
     )
-    return [(row["text"], row["language"]) for row in drawn.collect()]
+
+    @F.arrow_udf("binary")
+    def bag_of(texts: pa.Array) -> pa.Array:
+        return pa.array([packed(text, settings) for text in texts.to_pylist()], pa.binary())
+
+    rows = drawn.select(bag_of("text").alias("bag"), "language").collect()
+    return [(bytes(row["bag"]), row["language"]) for row in rows]
 
 
 def train(

@@ -125,6 +125,11 @@ def spoken(count):
     ]
 
 
+def fitted(rows):
+    settings = langid.Settings()
+    return langid.fit([(langid.packed(text, settings), name) for text, name in rows])
+
+
 def test_language_of_odd_rows(documents, odd_texts):
     rows = spoken(200)
     rows += [(1000 + i, text, None, None, None) for i, text in enumerate(odd_texts)]
@@ -150,7 +155,7 @@ def test_language_of_odd_rows(documents, odd_texts):
 
 
 def test_language_scores_do_not_depend_on_the_batch():
-    model = langid.fit([(text, name) for _, text, name, _, _ in spoken(200)])
+    model = fitted([(text, name) for _, text, name, _, _ in spoken(200)])
     texts = [*SAMPLES.values(), "", "a", "der", "é", "x" * 3000]
     names, scores = langid.predict(pa.array(texts), model)
     for place, text in enumerate(texts):
@@ -160,13 +165,13 @@ def test_language_scores_do_not_depend_on_the_batch():
 
 
 def test_one_language_and_one_row():
-    model = langid.fit([("hello there", "en")])
+    model = fitted([("hello there", "en")])
     assert langid.predict(pa.array(["something", None]), model)[0] == ["en", "und"]
 
 
 def test_rejection_is_calibrated():
     """Text of no language scores lower than text of one; the threshold keeps right predictions."""
-    model = langid.fit([(text, name) for _, text, name, _, _ in spoken(600)])
+    model = fitted([(text, name) for _, text, name, _, _ in spoken(600)])
     _, scores = langid.predict(pa.array([text for _, text, _, _, _ in spoken(300)]), model)
     assert (scores >= model.threshold).mean() > 0.99
     assert 0 < model.threshold <= 0.5 and model.temperature >= 1
