@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from eventlake.llm import bpe, jaccard, langid, mixing, secrets
 from eventlake.llm.queries import vocabulary_file
-from eventlake.llm.tables import committed, read_table
+from eventlake.llm.tables import FOLDERS, committed, read_table, remove_folders
 
 
 def whole(docs: DataFrame, *needed: Column | str) -> DataFrame:
@@ -78,8 +78,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, tables: str) -> DataFrame:
-    """Apply the stages to the documents; each result is written and read again by the next."""
-    docs = read_table(spark, tables, "documents")
+    """Apply the stages to the documents; each result is written and read again by the next.
+
+    What a stage has read and written on its way goes once its result is written.
+    """
+    docs, first = read_table(spark, tables, "documents"), len(FOLDERS)
     for _, stage in STAGES:
         docs = committed(stage(spark, docs, tables))
+        remove_folders(spark, first, -1)
     return docs

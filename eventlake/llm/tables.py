@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlake.session import scratch_folder
+from eventlake.session import remove_folder, scratch_folder
 
 #: Documents whose id hashes to this remainder are kept out of all training.
 FOLDS, HELD_OUT = 5, 0
@@ -30,12 +30,28 @@ def trained_on(doc_id: str) -> Column:
     return F.coalesce(fold(doc_id) != HELD_OUT, F.lit(False))
 
 
+#: Folders that operators of this process have written, oldest first.
+FOLDERS: list[str] = []
+
+
+def new_folder(spark: SparkSession) -> str:
+    FOLDERS.append(scratch_folder(spark))
+    return FOLDERS[-1]
+
+
+def remove_folders(spark: SparkSession, first: int = 0, last: int | None = None) -> None:
+    """Delete these of `FOLDERS`; results that still read them are lost."""
+    for path in FOLDERS[first:last]:
+        remove_folder(spark, path)
+    del FOLDERS[first:last]
+
+
 def committed(rows: DataFrame) -> DataFrame:
     """`rows`, written below the shared scratch folder and read back.
 
     Later steps then read one fixed copy: a lost executor neither repeats the work before it nor
     changes what a second reader sees.
     """
-    path = scratch_folder(rows.sparkSession)
+    path = new_folder(rows.sparkSession)
     rows.write.parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)

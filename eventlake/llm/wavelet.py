@@ -37,8 +37,8 @@ from eventlake.llm.arrays import (
     words_of,
     worker_cache,
 )
-from eventlake.llm.tables import committed
-from eventlake.session import make_folder, scratch_folder
+from eventlake.llm.tables import committed, new_folder
+from eventlake.session import make_folder
 
 MAGIC, VERSION = int.from_bytes(b"WAVELETM", "little"), 1
 #: Bits in a block: what one look-up decompresses.
@@ -502,7 +502,7 @@ def wavelet_report(documents: DataFrame, path: str, end_id: int = 2) -> DataFram
     """Write all documents' ids to shard files, read the files back, and digest what they hold."""
     with open(path, encoding="utf-8") as file:
         tokenizer_json = file.read()
-    folder = scratch_folder(documents.sparkSession)
+    folder = new_folder(documents.sparkSession)
     manifest = write_shards(documents, tokenizer_json, folder, end_id)
     return read_shards(manifest, folder).select(
         "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from eventlake.llm import bpe, jaccard, mixing, secrets
+from eventlake.llm.tables import FOLDERS
 from tests.llm.test_jaccard import brute
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -103,7 +104,9 @@ def test_odd_documents_pass_every_stage(spark, documents, tables, odd_texts):
 
 
 def test_run(spark, tables):
+    before = len(FOLDERS)
     out = corpus_pipeline.run(spark, tables)
+    assert len(FOLDERS) == before + 1
     assert out.columns == ["doc_id", "lang", "source", "n_tokens", "ids", "exact"]
     rows = out.drop("ids").collect()
     assert rows and all(r.exact for r in rows)
