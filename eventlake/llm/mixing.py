@@ -32,7 +32,7 @@ class Settings:
     weights: tuple[int, ...] = (1, 2, 3)  # of the sources in code point order, repeating
     share: float = 1.0  # of all words: the budget
     repeats: int = 3  # of a document, at most
-    chunk_rows: int = 20_000  # of a source, about
+    chunk_rows: int = 2_000  # of a source, about
     seed: int = 23
 
 
