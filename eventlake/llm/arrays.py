@@ -90,7 +90,7 @@ def add_columns(
     fields: str,
     make: Callable[[pa.Array], list[pa.Array]],
     text: str,
-    most: int = 1 << 22,
+    most: int = 1 << 21,
 ) -> DataFrame:
     """`rows` and the columns that `make` gives for their texts; columns of the same names go.
 
@@ -125,7 +125,7 @@ class Memo:
     `encode` gives the ids of a list of new pieces, one after the other, and how many each has.
     """
 
-    def __init__(self, encode, most: int = 300_000):
+    def __init__(self, encode, most: int = 200_000):
         self.encode, self.most = encode, most
         self.forget()
 

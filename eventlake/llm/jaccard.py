@@ -44,9 +44,9 @@ from eventlake.llm.tables import committed
 
 POSTING = np.dtype([("token", "<i8"), ("high", "<u8"), ("low", "<u8"), ("size", "<i4")])
 #: N-grams that are counted at once in a task.
-COUNTED = 1 << 22
+COUNTED = 1 << 21
 #: Postings that a task holds back before it sends them.
-HELD = 1 << 20
+HELD = 1 << 19
 #: How DivideSkip weighs merging against looking up.
 DIVIDE = 0.01
 
@@ -56,7 +56,7 @@ class Settings:
     words: int = 5  # of an n-gram
     percent: int = 80  # of the union that two linked sets share at least
     more: int = 8  # per cent of a set by which its prefix is longer; decides speed only
-    frequent: int = 5  # documents of a task's share from which on an n-gram is frequent
+    frequent: int = 3  # documents of a task's share from which on an n-gram is frequent
     ordered: int = 1 << 17  # frequent n-grams that the order knows; decides speed only
     bucket_postings: int = 400_000  # of a bucket, about
     shard_sets: int = 2000  # classes of a shard, about
@@ -131,7 +131,7 @@ def least_overlap(one, other, settings: Settings):
     return -(-settings.percent * (one + other) // (100 + settings.percent))
 
 
-def sets_of(batches: Iterator[pa.RecordBatch], words: int, most: int = 1 << 22):
+def sets_of(batches: Iterator[pa.RecordBatch], words: int, most: int = 1 << 21):
     """Per slice of the batches: the batch's slice and its texts' sets."""
     for batch in batches:
         whole = text_array(batch.column("text"))
