@@ -209,7 +209,7 @@ class ParquetTable:
         if rows_counted is None:
             spark = rows.sparkSession
             spark.catalog.refreshTable(self.spec.name)
-            landed = spark.table(self.spec.name).where((F.col(RUN) == run) & (F.col(BATCH) == batch))
+            landed = spark.table(self.spec.name).where(equals(RUN, run) & equals(BATCH, batch))
             return landed.count()
         return rows_counted["rows"]
 

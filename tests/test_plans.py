@@ -13,6 +13,7 @@ from eventlake.operators.encode import (
     to_envelope,
 )
 from eventlake.operators.shape import word_rows
+from eventlake.plans.checks import QUERIES
 from eventlake.plans.ingest import event_rows, flow_rows
 from eventlake.schemas import ENVELOPE
 
@@ -49,3 +50,23 @@ def test_decoding_and_encoding_do_not_shuffle(spark, messages):
     ]
     for rows in shaped:
         assert "Exchange" not in plan(rows) and "Sort" not in plan(rows)
+
+
+MAP_ONLY = (
+    "bucket16", "ingest_date_parts", "json_decode_permissive", "json_encode", "telemetry_flatten",
+    "telemetry_optional_fields", "telemetry_permissive", "word_rows",
+)
+
+
+@pytest.mark.parametrize("name", MAP_ONLY)
+def test_map_only_queries_do_not_shuffle(spark, tmp_path, name):
+    """Whatever the size of the table: one file and one row, or more files than cores."""
+    event = ("timestamp_ntz'2024-01-01 00:00:00' AS ts", "id AS event_id", "id AS user_id")
+    for rows, files in ((1, 1), (200, 40)):
+        events = spark.range(rows, numPartitions=files).selectExpr(
+            *event, "'view' AS event_type", "1.5D AS value"
+        )
+        folder = tmp_path / str(files)
+        events.write.parquet(str(folder / "events.parquet"))
+        found = QUERIES[name](spark, str(folder))
+        assert "Exchange" not in plan(found) and found.count() == rows
