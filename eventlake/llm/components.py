@@ -19,7 +19,8 @@ def _large_star(edges: DataFrame) -> DataFrame:
     """Every node's larger neighbours move to the smallest of the node and its neighbours."""
     both = edges.union(edges.select("b", "a"))
     least = both.groupBy("a").agg(F.least("a", F.min("b")).alias("least"))
-    return both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("least").alias("b"))
+    larger = both.where("b > a").join(least, "a")
+    return larger.select(F.col("b").alias("a"), F.col("least").alias("b"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:

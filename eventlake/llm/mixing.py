@@ -87,7 +87,9 @@ def source_targets(sized: DataFrame, settings: Settings) -> DataFrame:
     )
 
 
-def running_total(rows: DataFrame, group: str, chunk: str, order: list[str], value: str) -> DataFrame:
+def running_total(
+    rows: DataFrame, group: str, chunk: str, order: list[str], value: str
+) -> DataFrame:
     """Add `_total`, the sum of `value` in the group up to each row; chunks are in group order."""
     earlier = Window.partitionBy(group).orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1)
     before = committed(

@@ -148,9 +148,8 @@ def best_k(
         "_shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int")
     )
     asking = placed.where(F.col("vec_id") % every == 0)
-    at_home = committed(
-        searched(placed, asking.withColumn("_least", F.lit(None).cast("double")), k, make_index, kind)
-    )
+    unbounded = asking.withColumn("_least", F.lit(None).cast("double"))
+    at_home = committed(searched(placed, unbounded, k, make_index, kind))
     best_at_home = at_home.groupBy("query_id").agg(
         F.when(F.count(F.lit(1)) >= k, F.min("score").cast("double")).alias("_least")
     )
