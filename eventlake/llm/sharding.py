@@ -23,8 +23,8 @@ from pyspark.sql.window import Window
 
 from eventlake.llm.tables import committed
 
-#: Rows that one task permutes after the exchange, about.
-BLOCK_ROWS = 20_000
+#: Rows of a block that is permuted after the exchange, about. Many small blocks even out the tasks.
+BLOCK_ROWS = 1_000
 
 
 def let(value: Column, use: Callable[[Column], Column]) -> Column:
