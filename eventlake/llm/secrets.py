@@ -11,8 +11,8 @@ from, and what is found in a layer is reported as a span of the original.
 from __future__ import annotations
 
 import base64
-import binascii
 import bz2
+import hashlib
 import lzma
 import re
 import zlib
@@ -46,8 +46,19 @@ ESCAPE = re.compile(
 )
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 SAFE_ALPHABET = str.maketrans("-_", "+/")
-#: Bytes that one compressed layer may inflate to. A layer beyond it is a bomb and stays closed.
-MOST_INFLATED = 1 << 24
+#: How compressed streams start: gzip, zlib, bzip2, xz, and Zstandard with its skippable frames.
+COMPRESSED = re.compile(
+    r"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]|BZh[1-9](?:1AY&SY|\x17rE8P\x90)|\xfd7zXZ\x00"
+    r"|\x28\xb5\x2f\xfd|[\x50-\x5f]\x2a\x4d\x18"
+)
+#: Bytes that a compressed layer may inflate to; beyond it the layer stays closed. None: any number.
+MOST_INFLATED: int | None = None
+#: Bytes of an inflated layer that are scanned at once, and those that the next window sees again.
+WINDOW, OVERLAP = 1 << 20, 1 << 16
+#: Bytes that a decompressor gets at once, which bounds what zlib and Zstandard return at once.
+STEP = 64
+#: Where spaces are allowed any number is, so long runs of them are shortened between windows.
+SPACES, FEW_SPACES = re.compile(rb"\x20{1025,}"), b" " * 1024
 
 
 @dataclass(frozen=True)
@@ -56,6 +67,7 @@ class Layer:
     starts: np.ndarray | None = None  # of each character in the original; None: the original
     ends: np.ndarray | None = None
     depth: int = 0
+    close: int | None = None  # of decoded bytes: the end, with padding, of what they come from
 
     def span(self, start: int, end: int) -> tuple[int, int]:
         if self.starts is None:
@@ -143,91 +155,197 @@ def without_escapes(layer: Layer) -> Iterator[Layer]:
         yield spliced(layer, parts)
 
 
-def inflated(data: bytes) -> bytes | None:
-    """The content of a compressed stream; None if it is none or too large."""
-    try:
-        if data[:2] == b"\x1f\x8b":
-            opened = zlib.decompressobj(31)
-        elif data[:1] == b"\x78" and int.from_bytes(data[:2]) % 31 == 0:
-            opened = zlib.decompressobj()
-        elif data[:3] == b"BZh":
-            opened = bz2.BZ2Decompressor()
-        elif data[:6] == b"\xfd7zXZ\x00":
-            opened = lzma.LZMADecompressor()
-        elif data[:4] == b"\x28\xb5\x2f\xfd":
-            import zstandard
-
-            reader = zstandard.ZstdDecompressor(max_window_size=1 << 24).stream_reader(data)
-            content = reader.read(MOST_INFLATED + 1)
-            return content if len(content) <= MOST_INFLATED else None
-        else:
-            return None
-        content = opened.decompress(data, MOST_INFLATED + 1)
-        return content if opened.eof and len(content) <= MOST_INFLATED else None
-    except (zlib.error, OSError, ValueError, EOFError, lzma.LZMAError, RuntimeError):
+def opener(head: bytes):
+    """A decompressor for the stream that starts so, or None."""
+    if head[:2] == b"\x1f\x8b":
+        return zlib.decompressobj(31)
+    if head[:1] == b"\x78" and len(head) > 1 and int.from_bytes(head[:2]) % 31 == 0:
+        return zlib.decompressobj()
+    if head[:3] == b"BZh":
+        return bz2.BZ2Decompressor()
+    if head[:6] == b"\xfd7zXZ\x00":
+        return lzma.LZMADecompressor()
+    if head[:4] == b"\x28\xb5\x2f\xfd" or re.match(rb"[\x50-\x5f]\x2a\x4d\x18", head):
+        import zstandard
+
+        return zstandard.ZstdDecompressor(max_window_size=1 << 31).decompressobj()
+    return None
+
+
+def drained(opened, data: bytes) -> Iterator[bytes]:
+    """What a decompressor makes of some bytes, in bounded pieces."""
+    if not hasattr(opened, "needs_input"):
+        yield opened.decompress(data)
+        return
+    yield opened.decompress(data, WINDOW)
+    while not opened.eof and not opened.needs_input:
+        yield opened.decompress(b"", WINDOW)
+
+
+def member(data: memoryview, step: int, at: int = 0) -> Iterator[bytes]:
+    """The content of one stream, which gets `step` bytes at once, from where `at` of it are in.
+
+    Returns how many bytes it takes, and whether it ends early; None if it is no stream.
+    """
+    if (opened := opener(bytes(data[:8]))) is None:
         return None
+    try:
+        for low in range(0, at, STEP):
+            for _ in drained(opened, bytes(data[low : min(at, low + STEP)])):
+                pass
+        while at < len(data) and not opened.eof:
+            given = bytes(data[at : at + step])
+            yield from drained(opened, given)
+            at += len(given)
     except Exception as error:
-        if type(error).__name__ == "ZstdError":
-            return None
-        raise
+        kinds = (zlib.error, OSError, ValueError, EOFError, lzma.LZMAError, RuntimeError)
+        if not isinstance(error, kinds) and type(error).__name__ != "ZstdError":
+            raise
+        if step > 1:
+            # What came before the fault may have been lost with it.
+            return (yield from member(data, 1, at))
+        return max(at, 1), False
+    return at - len(opened.unused_data), not opened.eof
+
+
+def inflated(source: list[memoryview]) -> Iterator[bytes]:
+    """The content of the compressed stream at the start, in bounded pieces.
+
+    Returns how many bytes the stream takes, and whether it ends early.
+    """
+    (data,) = source
+    return (yield from member(data, STEP))
 
 
-def as_text(data: bytes) -> str | None:
-    """UTF-8 text without control characters other than white space, or None."""
+def content(data: memoryview, within: frozenset) -> tuple[dict[str, int], int, bool]:
+    """Least depth of each kind in an inflated layer, its bytes, and whether its end is missing.
+
+    The layer is scanned in overlapping windows. One that ends within another compressed stream is
+    made larger until that stream ends.
+    """
+    kinds: dict[str, int] = {}
+    if MOST_INFLATED is not None and sum(map(len, inflated([data]))) > MOST_INFLATED:
+        return kinds, len(data), False
+    pieces, held, size, ended = iter(inflated([data])), bytearray(), WINDOW, None
+    while True:
+        while len(held) < size and ended is None:
+            try:
+                held += next(pieces)
+            except StopIteration as stop:
+                ended = stop.value or (len(data), False)
+        held = bytearray(SPACES.sub(FEW_SPACES, held))
+        if len(held) < size and ended is None:
+            continue
+        found, early = layers_of(held.decode("latin-1"), within)
+        if early and ended is None:
+            size = 2 * len(held)
+            continue
+        for (kind, _, _), depth in found.items():
+            kinds[kind] = min(depth, kinds.get(kind, depth))
+        if ended is not None:
+            return kinds, *ended
+        cut = len(held) - OVERLAP
+        # A window starts with a line if one starts nearby.
+        cut = held.find(b"\n", cut, cut + OVERLAP // 2) + 1 or cut
+        held, size = held[cut:], WINDOW
+
+
+def opens(head: memoryview) -> bool:
+    """Whether a stream seems to start here: its first bytes give something, or want for more."""
+    pieces = iter(inflated([head]))
+    while True:
+        try:
+            if next(pieces):
+                return True
+        except StopIteration as stop:
+            return stop.value is not None and stop.value[1]
+
+
+def compressed(layer: Layer, within: frozenset):
+    """Start, end, least depths by kind, and whether the end is missing, of compressed streams."""
+    if layer.close is None or not (found := COMPRESSED.search(layer.text)):
+        return
+    data = memoryview(layer.text.encode("latin-1"))
+    digest = hashlib.sha256(data).digest()
+    while found:
+        start = at = found.start()
+        name = (digest, start)
+        if name not in within and opens(data[start : start + STEP]):
+            kinds, used, early = content(data[start:], within | {name})
+            at += used
+            low, high = layer.span(start, max(at, start + 1))
+            if at == len(data):
+                high = max(high, layer.close)
+            yield low, high, kinds, early
+        found = COMPRESSED.search(layer.text, max(at, start + 1))
+
+
+def is_text(data: bytes) -> bool:
+    """Whether bytes are UTF-8 text without control characters other than white space."""
     try:
         text = data.decode()
     except UnicodeDecodeError:
-        return None
-    return None if re.search(r"[\x00-\x08\x0e-\x1f\x7f]", text) else text
+        return False
+    return not re.search(r"[\x00-\x08\x0e-\x1f\x7f]", text)
 
 
 def from_base64(layer: Layer) -> Iterator[Layer]:
-    """The text in each base64 run, inflated as often as it is a compressed stream."""
+    """The text or the compressed bytes in each base64 run."""
     for found in BASE64.finditer(layer.text):
         start, end = found.span()
         run = found.group().rstrip("=").translate(SAFE_ALPHABET)
         if len(run) % 4 == 1:
             continue
-        try:
-            data = base64.b64decode(run + "=" * (-len(run) % 4))
-        except binascii.Error:
-            continue
-        text, depth = as_text(data), layer.depth + 1
-        if text:
-            # Byte i comes from the characters that hold its eight bits.
-            width = np.array([len(character.encode()) for character in text])
-            last = np.cumsum(width)
-            low, high = (last - width) * 4 // 3, np.minimum(-(-last * 4 // 3), len(run))
-            starts, ends = layer.places(start, end)
-            # Characters of the run keep their order in the original.
-            yield Layer(text, starts[low], ends[high - 1], depth)
+        data = base64.b64decode(run + "=" * (-len(run) % 4))
+        if not (is_text(data) or opener(data[:8])):
             continue
-        met = {data}
-        while (data := inflated(data)) is not None and data not in met:
-            met.add(data)
-            depth += 1
-            if text := as_text(data):
-                low, high = layer.span(start, end)
-                size = len(text)
-                yield Layer(text, np.full(size, low), np.full(size, high), depth)
+        # Byte i comes from the characters that hold its eight bits.
+        last = np.arange(1, len(data) + 1)
+        low, high = (last - 1) * 4 // 3, np.minimum(-(-last * 4 // 3), len(run))
+        starts, ends = layer.places(start, end)
+        # Characters of the run keep their order in the original.
+        yield Layer(
+            data.decode("latin-1"), starts[low], ends[high - 1], layer.depth + 1, int(ends[-1])
+        )
 
 
-def scan(text: str) -> list[tuple[str, int, int, int]]:
-    """Kind, start, end and depth of every secret, by start, kind and end; depth 0 is plain.
+UNWRAP = (without_percent, without_escapes, from_base64)
 
-    A span that more than one layer shows is listed once, with its least depth.
+
+def layers_of(
+    text: str, within: frozenset = frozenset()
+) -> tuple[dict[tuple[str, int, int], int], bool]:
+    """Least depth by kind, start and end, and whether a compressed stream is cut by the end.
+
+    `within` names the compressed streams that the text was inflated from.
     """
     found: dict[tuple[str, int, int], int] = {}
-    work, met = deque([Layer(text)]), {(text, 0, len(text))}
+    early = False
+    work, met = deque([Layer(text, close=len(text) if within else None)]), {(text, 0, len(text))}
     while work:
         layer = work.popleft()
         for kind, start, end in matches(layer.text):
-            found.setdefault((kind, *layer.span(start, end)), layer.depth)
-        for unwrap in (without_percent, without_escapes, from_base64):
+            name = (kind, *layer.span(start, end))
+            found[name] = min(layer.depth, found.get(name, layer.depth))
+        for low, high, kinds, cut in compressed(layer, within):
+            early |= cut and high >= len(text) - 4
+            for kind, depth in kinds.items():
+                name, depth = (kind, low, high), layer.depth + 1 + depth
+                found[name] = min(depth, found.get(name, depth))
+        for unwrap in UNWRAP:
             for new in unwrap(layer):
                 if new.text and (name := (new.text, *new.span(0, len(new.text)))) not in met:
                     met.add(name)
                     work.append(new)
+    return found, early
+
+
+def scan(text: str) -> list[tuple[str, int, int, int]]:
+    """Kind, start, end and depth of every secret, by start, kind and end; depth 0 is plain.
+
+    A span that more than one layer shows is listed once, with its least depth.
+    """
+    found, _ = layers_of(text)
     order = {kind: place for place, kind in enumerate(KINDS)}
     return sorted(
         ((*span, depth) for span, depth in found.items()),

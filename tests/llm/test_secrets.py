@@ -114,6 +114,22 @@ def test_bombs_stay_closed(monkeypatch):
     assert secrets.scan(wrapped(gzip.compress(SECRET.encode()))) != []
 
 
+def kinds_of(text):
+    return {span[0] for span in secrets.scan(text)}
+
+
+@pytest.mark.parametrize("pack", [gzip.compress, zlib.compress, bz2.compress, lzma.compress])
+def test_every_inflated_byte_is_scanned(monkeypatch, pack):
+    large = b" " * (17 << 20) + SECRET.encode()
+    assert kinds_of(wrapped(pack(large))) == {"assign"}
+    monkeypatch.setattr(secrets, "WINDOW", 1 << 12)
+    monkeypatch.setattr(secrets, "OVERLAP", 1 << 10)
+    lines = b"".join(b"%d a line of a log\n" % i for i in range(5000))
+    for place in range(len(lines) // 2, len(lines) // 2 + 8000, 997):
+        text = lines[:place] + b"\n" + SECRET.encode() + b"\n" + lines[place:]
+        assert kinds_of(wrapped(pack(text))) == {"assign"}, place
+
+
 def test_long_texts():
     text = "word " * 200_000 + SECRET + " " + LAYERS["gzip"]
     found = secrets.scan(text)
