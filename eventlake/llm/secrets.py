@@ -209,12 +209,20 @@ def member(data: memoryview, step: int, at: int = 0) -> Iterator[bytes]:
 
 
 def inflated(source: list[memoryview]) -> Iterator[bytes]:
-    """The content of the compressed stream at the start, in bounded pieces.
+    """The content of the compressed streams that stand one after another, in bounded pieces.
 
-    Returns how many bytes the stream takes, and whether it ends early.
+    Returns how many bytes the streams take, and whether the last ends early. What a damaged or
+    cut stream gave before its fault is content, too.
     """
     (data,) = source
-    return (yield from member(data, STEP))
+    at = used = 0
+    early = False
+    while not early and (taken := (yield from member(data[at:], STEP))):
+        used, early = at + taken[0], taken[1]
+        at = used
+        while data[at : at + 1] == b"\0":
+            at += 1
+    return used, early
 
 
 def content(data: memoryview, within: frozenset) -> tuple[dict[str, int], int, bool]:

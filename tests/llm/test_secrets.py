@@ -5,6 +5,7 @@ import bz2
 import gzip
 import hashlib
 import lzma
+import random
 import re
 import urllib.parse
 import zlib
@@ -130,6 +131,22 @@ def test_every_inflated_byte_is_scanned(monkeypatch, pack):
         assert kinds_of(wrapped(pack(text))) == {"assign"}, place
 
 
+@pytest.mark.parametrize("pack", [gzip.compress, zlib.compress, bz2.compress, lzma.compress])
+def test_every_member_of_a_compressed_layer(pack):
+    zstd = pytest.importorskip("zstandard").ZstdCompressor().compress
+    for one in (pack, zstd):
+        members = one(b"first") + one(b"second") + one(SECRET.encode())
+        assert kinds_of(wrapped(members)) == {"assign"}
+        text = SECRET.encode() + b"\n" + random.Random(7).randbytes(250_000)
+        # What bzip2 makes of a block needs the whole block.
+        cut = bz2.compress(text, 1) if one is bz2.compress else one(text)
+        cut = cut[: len(cut) - 100]
+        assert kinds_of(wrapped(cut)) == {"assign"}
+    damaged = bytearray(gzip.compress(SECRET.encode()))
+    damaged[-5] ^= 255
+    assert kinds_of(wrapped(damaged)) == {"assign"}
+
+
 def test_long_texts():
     text = "word " * 200_000 + SECRET + " " + LAYERS["gzip"]
     found = secrets.scan(text)
