@@ -16,9 +16,10 @@ import hashlib
 import lzma
 import re
 import zlib
+from bisect import bisect_left
 from collections import deque
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -46,6 +47,10 @@ ESCAPE = re.compile(
 )
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 SAFE_ALPHABET = str.maketrans("-_", "+/")
+#: Characters of two or four bytes of which all but one are NUL.
+WIDE = re.compile(r"(?:[\x01-\xff]\x00){8,}[\x01-\xff]?|(?:[\x01-\xff]\x00{3}){8,}[\x01-\xff]?")
+#: What percent escapes of bytes stand in.
+PERCENT_RUN = re.compile(r"[!-~]+")
 #: How compressed streams start: gzip, zlib, bzip2, xz, and Zstandard with its skippable frames.
 COMPRESSED = re.compile(
     r"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]|BZh[1-9](?:1AY&SY|\x17rE8P\x90)|\xfd7zXZ\x00"
@@ -116,19 +121,34 @@ def spliced(layer: Layer, parts: list[tuple[int, int, str, list[int]]]) -> Layer
 
 
 def without_percent(layer: Layer) -> Iterator[Layer]:
-    """Percent escapes undone, as far as their bytes are UTF-8."""
+    """Percent escapes undone, each a byte; runs around compressed bytes also as a layer each."""
     if "%" not in layer.text:
         return
     parts = []
     for found in PERCENT.finditer(layer.text):
-        try:
-            new = bytes.fromhex(found.group().replace("%", "")).decode()
-        except UnicodeDecodeError:
+        new = bytes.fromhex(found.group().replace("%", "")).decode("latin-1")
+        parts.append((*found.span(), new, list(range(0, 3 * len(new) + 1, 3))))
+    if not parts:
+        return
+    yield spliced(layer, parts)
+    end = 0
+    for place, (start, *_) in enumerate(parts):
+        if start < end:
             continue
-        widths = [3 * len(character.encode()) for character in new]
-        parts.append((*found.span(), new, [0, *np.cumsum(widths).tolist()]))
-    if parts:
-        yield spliced(layer, parts)
+        before, end = end, PERCENT_RUN.match(layer.text, start).end()
+        while start > before and "!" <= layer.text[start - 1] <= "~":
+            start -= 1
+        run = layer.text[start:end]
+        inner = [
+            (low - start, high - start, new, offsets)
+            for low, high, new, offsets in parts[place : bisect_left(parts, (end,))]
+        ]
+        starts, ends = layer.places(start, end)
+        # A plus that is not escaped may be a space.
+        for text in {run, run.replace("+", " ")}:
+            new = spliced(Layer(text, starts, ends, layer.depth), inner)
+            if COMPRESSED.search(new.text):
+                yield replace(new, close=int(ends[-1]))
 
 
 def without_escapes(layer: Layer) -> Iterator[Layer]:
@@ -288,25 +308,25 @@ def compressed(layer: Layer, within: frozenset):
         found = COMPRESSED.search(layer.text, max(at, start + 1))
 
 
-def is_text(data: bytes) -> bool:
-    """Whether bytes are UTF-8 text without control characters other than white space."""
-    try:
-        text = data.decode()
-    except UnicodeDecodeError:
-        return False
-    return not re.search(r"[\x00-\x08\x0e-\x1f\x7f]", text)
+def without_nuls(layer: Layer) -> Iterator[Layer]:
+    """Text in characters of two or four bytes, as UTF-16 and UTF-32 write ASCII."""
+    if "\0" not in layer.text:
+        return
+    for found in WIDE.finditer(layer.text):
+        start, end = found.span()
+        width = 2 if found.group()[2] != "\0" else 4
+        starts, ends = layer.places(start, end)
+        yield Layer(found.group()[::width], starts[::width], ends[::width], layer.depth + 1)
 
 
 def from_base64(layer: Layer) -> Iterator[Layer]:
-    """The text or the compressed bytes in each base64 run."""
+    """The bytes in each base64 run, as Latin-1: every secret and every escape is ASCII."""
     for found in BASE64.finditer(layer.text):
         start, end = found.span()
         run = found.group().rstrip("=").translate(SAFE_ALPHABET)
         if len(run) % 4 == 1:
             continue
         data = base64.b64decode(run + "=" * (-len(run) % 4))
-        if not (is_text(data) or opener(data[:8])):
-            continue
         # Byte i comes from the characters that hold its eight bits.
         last = np.arange(1, len(data) + 1)
         low, high = (last - 1) * 4 // 3, np.minimum(-(-last * 4 // 3), len(run))
@@ -317,7 +337,7 @@ def from_base64(layer: Layer) -> Iterator[Layer]:
         )
 
 
-UNWRAP = (without_percent, without_escapes, from_base64)
+UNWRAP = (without_percent, without_escapes, without_nuls, from_base64)
 
 
 def layers_of(

@@ -147,6 +147,23 @@ def test_every_member_of_a_compressed_layer(pack):
     assert kinds_of(wrapped(damaged)) == {"assign"}
 
 
+def test_layers_of_any_bytes():
+    layers = [
+        SECRET.encode("utf-16"), SECRET.encode("utf-16-le"), SECRET.encode("utf-16-be"),
+        SECRET.encode("utf-32-le"), b"caf\xe9 " + SECRET.encode(), b"\x1b[31m" + SECRET.encode(),
+        b"\0user\0" + SECRET.encode(), b"\0\1\2 " + SECRET.encode() + b'"\0\xff',
+    ]
+    for layer in layers:
+        assert kinds_of(wrapped(layer)) == {"assign"}, layer
+        assert kinds_of(wrapped(gzip.compress(layer))) == {"assign"}, layer
+    assert kinds_of("%E9%70%61%73%73%77%6F%72%64%3D%61%62%63%64%65%66%67%68") == {"assign"}
+    packed = gzip.compress(SECRET.encode())
+    for text in (urllib.parse.quote(packed), urllib.parse.quote_plus(packed + b" ")):
+        found = secrets.scan("data=" + text + " and more")
+        assert {span[0] for span in found} == {"assign"}
+        assert all(5 <= start < end <= 5 + len(text) for _, start, end, _ in found)
+
+
 def test_long_texts():
     text = "word " * 200_000 + SECRET + " " + LAYERS["gzip"]
     found = secrets.scan(text)
