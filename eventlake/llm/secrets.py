@@ -47,6 +47,12 @@ ESCAPE = re.compile(
 )
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 SAFE_ALPHABET = str.maketrans("-_", "+/")
+#: Lines of base64 that only line breaks, real or written as escapes, keep apart.
+FOLDED = re.compile(
+    r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}+"
+    r"(?:(?:[\x20\t]*+(?:\r\n|\r|\n)[\x20\t]*+|\\r\\n|\\n)[A-Za-z0-9+/_-]++)++={0,2}"
+)
+FOLD = re.compile(r"[\x20\t]*[\r\n]+[\x20\t]*|\\r\\n|\\n")
 #: Characters of two or four bytes of which all but one are NUL.
 WIDE = re.compile(r"(?:[\x01-\xff]\x00){8,}[\x01-\xff]?|(?:[\x01-\xff]\x00{3}){8,}[\x01-\xff]?")
 #: What percent escapes of bytes stand in.
@@ -320,21 +326,40 @@ def without_nuls(layer: Layer) -> Iterator[Layer]:
 
 
 def from_base64(layer: Layer) -> Iterator[Layer]:
-    """The bytes in each base64 run, as Latin-1: every secret and every escape is ASCII."""
-    for found in BASE64.finditer(layer.text):
-        start, end = found.span()
-        run = found.group().rstrip("=").translate(SAFE_ALPHABET)
-        if len(run) % 4 == 1:
-            continue
-        data = base64.b64decode(run + "=" * (-len(run) % 4))
-        # Byte i comes from the characters that hold its eight bits.
-        last = np.arange(1, len(data) + 1)
-        low, high = (last - 1) * 4 // 3, np.minimum(-(-last * 4 // 3), len(run))
-        starts, ends = layer.places(start, end)
-        # Characters of the run keep their order in the original.
-        yield Layer(
-            data.decode("latin-1"), starts[low], ends[high - 1], layer.depth + 1, int(ends[-1])
-        )
+    """The bytes in each base64 run, and in runs that line breaks fold, from each of four offsets.
+
+    Bytes are taken as Latin-1: every secret and every escape is ASCII.
+    """
+    for pattern in (BASE64, FOLDED):
+        for found in pattern.finditer(layer.text):
+            start, end = found.span()
+            starts, ends = layer.places(start, end)
+            close = int(ends[-1])
+            run = found.group()
+            if pattern is FOLDED:
+                keep = np.ones(len(run), bool)
+                for fold in FOLD.finditer(run):
+                    keep[slice(*fold.span())] = False
+                run, starts, ends = FOLD.sub("", run), starts[: len(keep)][keep], ends[keep]
+            run = run.rstrip("=").translate(SAFE_ALPHABET)
+            for offset in range(4):
+                part = run[offset:]
+                # One character alone is less than a byte.
+                part = part[: len(part) - (len(part) % 4 == 1)]
+                data = base64.b64decode(part + "=" * (-len(part) % 4))
+                if not data:
+                    continue
+                # Byte i comes from the characters that hold its eight bits.
+                last = np.arange(1, len(data) + 1)
+                low, high = (last - 1) * 4 // 3, np.minimum(-(-last * 4 // 3), len(part))
+                # Characters of the run keep their order in the original.
+                yield Layer(
+                    data.decode("latin-1"),
+                    starts[offset + low],
+                    ends[offset + high - 1],
+                    layer.depth + 1,
+                    close,
+                )
 
 
 UNWRAP = (without_percent, without_escapes, without_nuls, from_base64)

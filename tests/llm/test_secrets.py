@@ -129,6 +129,10 @@ def test_every_inflated_byte_is_scanned(monkeypatch, pack):
     for place in range(len(lines) // 2, len(lines) // 2 + 8000, 997):
         text = lines[:place] + b"\n" + SECRET.encode() + b"\n" + lines[place:]
         assert kinds_of(wrapped(pack(text))) == {"assign"}, place
+    # A stream that is longer than a window, within a stream.
+    noise = random.Random(7).randbytes(20_000)
+    inner = wrapped(gzip.compress(noise + SECRET.encode())).encode()
+    assert kinds_of(wrapped(pack(lines + inner + b"\n" + lines))) == {"assign"}
 
 
 @pytest.mark.parametrize("pack", [gzip.compress, zlib.compress, bz2.compress, lzma.compress])
@@ -164,6 +168,21 @@ def test_layers_of_any_bytes():
         assert all(5 <= start < end <= 5 + len(text) for _, start, end, _ in found)
 
 
+def test_base64_at_any_offset_and_over_lines():
+    packed = wrapped(gzip.compress(random.Random(7).randbytes(300) + SECRET.encode()))
+    for run in (wrapped(SECRET.encode()), packed):
+        bare = run.rstrip("=")
+        for before in ("https://a.example/com/d/", "key_", "x\\n", "ab-", "abc/", "/"):
+            assert kinds_of(before + run) == {"assign"}, (before, run)
+        for after in ("", "a", "ab", "abc", "abcd"):
+            assert kinds_of(bare + after) == {"assign"}, (after, run)
+        for width, fold in ((76, "\n"), (64, "\r\n"), (20, "\n  "), (64, "\\n"), (20, "\\r\\n")):
+            text = fold.join(run[at : at + width] for at in range(0, len(run), width))
+            found = secrets.scan("a: " + text + " b")
+            assert {span[0] for span in found} == {"assign"}, (width, fold)
+            assert all(3 <= low < high <= 3 + len(text) for _, low, high, _ in found)
+
+
 def test_long_texts():
     text = "word " * 200_000 + SECRET + " " + LAYERS["gzip"]
     found = secrets.scan(text)
