@@ -142,18 +142,18 @@ def sets_of(batches: Iterator[pa.RecordBatch], words: int, most: int = 1 << 21):
 
 
 def summarise(documents: DataFrame, settings: Settings) -> DataFrame:
-    """doc_id, size and set (NULL for size 0) of every document; and frequent n-grams: token, seen.
+    """doc_id, key, size and set (NULL for size 0) of every document; frequent n-grams: token, seen.
 
     A set that a task has met before does not count again.
     """
-    schema = "doc_id long, size long, set binary, token long, seen long"
+    schema = "doc_id long, key long, size long, set binary, token long, seen long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         met, held, count = set(), [], 0
 
         def row_batch(*columns: pa.Array) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays(
-                list(columns), ["doc_id", "size", "set", "token", "seen"]
+                list(columns), ["doc_id", "key", "size", "set", "token", "seen"]
             )
 
         def frequent() -> pa.RecordBatch:
@@ -162,7 +162,7 @@ def summarise(documents: DataFrame, settings: Settings) -> DataFrame:
             size = int(often.sum())
             none = pa.nulls(size, pa.int64())
             return row_batch(
-                none, none, pa.nulls(size, pa.binary()),
+                none, none, none, pa.nulls(size, pa.binary()),
                 pa.array(tokens[often]), pa.array(seen[often]),
             )
 
@@ -175,7 +175,8 @@ def summarise(documents: DataFrame, settings: Settings) -> DataFrame:
                     count += len(found)
             none = pa.nulls(len(part), pa.int64())
             yield row_batch(
-                part.column("doc_id"), pa.array([len(found) for found in sets], pa.int64()),
+                part.column("doc_id"), part.column("key"),
+                pa.array([len(found) for found in sets], pa.int64()),
                 pa.array(prints, pa.binary()), none, none,
             )
             if count >= COUNTED:
@@ -515,7 +516,7 @@ def joined_labels(
     """node and label of classes: equal labels for connected ones.
 
     `shared` holds token, node, size and shared of what classes share; a class that is not in the
-    result is not linked. `classes` holds node and set.
+    result is not linked. `classes` holds node, set, and doc_id and key of a document with that set.
     """
     size = F.col("size").cast("long")
     smaller = F.ceil(size * settings.percent / 100)
@@ -556,11 +557,7 @@ def joined_labels(
     )
     # Only now texts move, and only those of classes that may be linked.
     wanted = classes.join(placed.select("node"), "node", "left_semi")
-    texts = committed(
-        documents.join(wanted.withColumnRenamed("node", "doc_id"), "doc_id").select(
-            F.col("doc_id").alias("node"), "set", "text"
-        )
-    )
+    texts = committed(documents.join(wanted, ["doc_id", "key"]).select("node", "set", "text"))
     # Every shard joins the classes that live there.
     living = placed.join(routes, ["node", "home"], "left_semi")
     first = living.join(texts, "node").select(
@@ -629,10 +626,12 @@ def similar_groups(
     table gives an empty one.
     """
     rows = documents.select(
-        F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")
+        F.col(doc_id).cast("long").alias("doc_id"),
+        F.xxhash64(F.col(text)).alias("key"),
+        F.col(text).alias("text"),
     )
     summary = summarise(rows, settings)
-    sets = summary.where("token IS NULL").select("doc_id", "size", "set")
+    sets = summary.where("token IS NULL").select("doc_id", "key", "size", "set")
     frequent = (
         summary.where("token IS NOT NULL")
         .groupBy("token")
@@ -649,10 +648,21 @@ def similar_groups(
     posted = posted * (100 - settings.percent + settings.more) // 100
     buckets = max(64, posted // settings.bucket_postings)
     live = live_postings(rows, order, often, buckets, settings)
-    # A class goes by its smallest document.
+    # A class goes by its smallest document, or by a number if texts of one id are in several.
+    first = F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "key"))
     classes = committed(
-        sets.where(size > 0).groupBy("set").agg(F.min("doc_id").alias("node"))
+        sets.where(size > 0)
+        .groupBy("set")
+        .agg(F.min(first).alias("first"))
+        .select("set", "first.doc_id", "first.key")
     )
+    by_id = classes.where("doc_id IS NOT NULL").groupBy("doc_id").count()
+    numbered = not by_id.where("count > 1").isEmpty()
+    if numbered:
+        number = F.when(F.col("doc_id").isNotNull(), F.monotonically_increasing_id())
+        classes = committed(classes.withColumn("node", number))
+    else:
+        classes = classes.withColumn("node", F.col("doc_id"))
     shared = committed(
         live.join(classes.where("node IS NOT NULL"), "set").select(
             "token", "node", "size", "shared"
@@ -660,10 +670,16 @@ def similar_groups(
     )
     labels = joined_labels(shared, rows, classes, settings)
     members = classes.join(labels, "node", "left").select(
-        "set", F.coalesce("label", "node").alias("component_id")
+        "set", "doc_id", F.coalesce("label", "node").alias("component_id")
     )
+    if numbered:
+        least = members.groupBy("component_id").agg(F.min("doc_id").alias("least"))
+        members = members.join(least, "component_id", "left").select(
+            "set", F.col("least").alias("component_id")
+        )
+    members = members.select("set", "component_id")
     members = with_shared_ids(sets.where(size > 0), members)
-    # Labels are smallest nodes, so they are the smallest documents of their components.
+    # Labels are the smallest documents of their components.
     return sets.join(members, "set", "left").select(
         "doc_id",
         size.alias("n_shingles"),

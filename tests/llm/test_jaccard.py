@@ -115,6 +115,15 @@ def test_rows_of_one_id_and_none(documents):
     assert similar_groups(docs.where("doc_id = 77")).collect() == []
 
 
+def test_different_texts_of_one_id(documents):
+    short = " ".join(f"s{i}" for i in range(24))
+    long = " ".join(f"l{i}" for i in range(1004))
+    # What the long text shares with another is far from what links need.
+    other = " ".join(f"l{i}" for i in range(40)) + " " + " ".join(f"o{i}" for i in range(1000))
+    rows = [(5, long), (5, short), (9, short + " tail"), (7, other)]
+    assert grouped(documents(rows), Settings()) == brute(rows, 5, 80)
+
+
 def test_long_texts(documents):
     text = " ".join(f"w{i}" for i in range(60_000))
     rows = [(1, text), (2, text + " end"), (3, "start " + text[: len(text) // 2]), (4, "a " * 50_000)]
