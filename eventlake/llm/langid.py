@@ -3,7 +3,8 @@
 A text is the mean of the embeddings of its hashed byte n-grams (all of them, over the whole
 lower-cased text); a linear softmax over that mean gives a probability per language. Both tables are
 trained by stochastic gradient descent in NumPy on the driver, over a sample of labelled rows whose
-size is `Settings.per_language` times at most `Settings.languages`. Of each the driver gets the shares
+size is `Settings.per_language` times at most `Settings.languages`; of more labels each gets fewer rows,
+but all are learned. Of each row the driver gets the shares
 of its n-gram buckets, which are bounded however long the text is. Mean and softmax input are linear,
 so for scoring the two tables fold into one row of class scores per bucket.
 
@@ -32,7 +33,8 @@ PAD = "\x00\x00\x00"
 @dataclass(frozen=True)
 class Settings:
     per_language: int = 700  # documents sampled per language, on average
-    languages: int = 200  # the most frequent labels that are learned
+    languages: int = 200  # labels that get so many; with more of them each gets fewer
+    least: int = 20  # documents sampled per language, however many there are
     orders: tuple[int, ...] = (1, 2, 3)  # lengths of the byte n-grams
     bits: int = 14  # 2 ** bits n-gram buckets
     width: int = 16  # of an embedding
@@ -115,6 +117,8 @@ def fit(rows: list[tuple[bytes, str]], settings: Settings = Settings()) -> Model
     embedding = draw.uniform(-1, 1, (1 << settings.bits, width)).astype(np.float32) / width
     output, bias = np.zeros((width, size), np.float32), np.zeros(size, np.float32)
     checks = np.arange(len(rows)) % 5 == 4
+    # A language whose rows would all be checks is trained on instead.
+    checks &= ~np.isin(wanted, np.setdiff1d(np.arange(size), wanted[~checks]))
     if checks.sum() == 0:
         checks[:] = True
         training = np.arange(len(rows))
@@ -153,21 +157,17 @@ def fit(rows: list[tuple[bytes, str]], settings: Settings = Settings()) -> Model
 def sample(
     documents: DataFrame, settings: Settings, text: str, language: str, doc_id: str
 ) -> list[tuple[bytes, str]]:
-    """Bags of about `per_language` whole texts of each of the most frequent labels.
+    """Bags of about `per_language` whole texts of each label, or fewer where there are many labels.
 
     Held-out rows and texts without a letter are left aside.
     """
     labelled = documents.where(trained_on(doc_id) & F.col(language).isNotNull()).select(
         F.col(text).alias("text"), F.col(language).alias("language")
     )
-    counts = (
-        labelled.groupBy("language")
-        .count()
-        .orderBy(F.desc("count"), "language")
-        .limit(settings.languages)
-        .collect()
-    )
-    fractions = {row["language"]: min(1.0, settings.per_language / row["count"]) for row in counts}
+    counts = labelled.groupBy("language").count().collect()
+    share = min(1.0, settings.languages / max(1, len(counts)))
+    wanted = max(min(settings.least, settings.per_language), settings.per_language * share)
+    fractions = {row["language"]: min(1.0, wanted / row["count"]) for row in counts}
     if not fractions:
         return []
     drawn = labelled.sampleBy("language", fractions, settings.seed).where(

@@ -154,6 +154,20 @@ def test_language_of_odd_rows(documents, odd_texts):
     assert Counter(r.lang_pred for r in langid.identify(docs, None).collect()) == {"und": len(rows)}
 
 
+def test_every_label_is_learned(documents):
+    texts = {"de": "der Hund und die Katze", "en": "the dog and the cat",
+             "fr": "le chien et le chat", "es": "el perro y el gato"}
+    rows = [
+        (i, f"{text} {i}", language, "src", 30)
+        for i in range(60)
+        for language, text in texts.items()
+    ] + [(70, "um cachorro", "pt", "src", 11)]
+    settings = langid.Settings(per_language=40, languages=2, least=5)
+    docs = documents(rows)
+    assert len(langid.sample(docs, settings, "text", "lang", "doc_id")) < 120
+    assert langid.train(docs, settings).languages == ["de", "en", "es", "fr", "pt"]
+
+
 def test_language_scores_do_not_depend_on_the_batch():
     model = fitted([(text, name) for _, text, name, _, _ in spoken(200)])
     texts = [*SAMPLES.values(), "", "a", "der", "é", "x" * 3000]
