@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from eventlake.llm import (
     bpe,
+    exact,
     jaccard,
     kdtree,
     langid,
@@ -14,6 +15,7 @@ from eventlake.llm import (
     quality,
     secrets,
     sharding,
+    spelling,
     wavelet,
 )
 from eventlake.llm.tables import read_table
@@ -74,6 +76,14 @@ def op10_nearest(spark: SparkSession, tables: str) -> DataFrame:
     return onebit.nearest(read_table(spark, tables, "embeddings"))
 
 
+def op12_exact_copies(spark: SparkSession, tables: str) -> DataFrame:
+    return exact.duplicate_report(read_table(spark, tables, "documents"))
+
+
+def op13_spelling(spark: SparkSession, tables: str) -> DataFrame:
+    return spelling.spelling_report(read_table(spark, tables, "documents"))
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_top_products": op2_top_products,
@@ -85,6 +95,8 @@ QUERIES = {
     "op8_bpe": op8_bpe,
     "op9_language": op9_language,
     "op10_nearest": op10_nearest,
+    "op12_exact_copies": op12_exact_copies,
+    "op13_spelling": op13_spelling,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -141,4 +153,16 @@ ORACLE_SQL: dict[str, str] = {
         SELECT doc_id, n_shingles, min(other) AS component_id
         FROM reached JOIN sizes USING (doc_id) GROUP BY ALL
     """,
+    "op12_exact_copies": r"""
+        WITH texts AS (
+            SELECT doc_id, length(coalesce(text, '')) AS size,
+                   regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS content
+            FROM documents
+        )
+        SELECT doc_id, first_value(doc_id) OVER best AS keep_id,
+               count(*) OVER (PARTITION BY content) AS group_size,
+               row_number() OVER best = 1 AS kept, sha256(content) AS text_sha256
+        FROM texts
+        WINDOW best AS (PARTITION BY content ORDER BY size DESC, doc_id NULLS LAST)
+    """,
 }

@@ -1,0 +1,91 @@
+"""Exact duplicates against a plain grouping of whole texts."""
+
+import hashlib
+import re
+from collections import Counter, defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from eventlake.llm import exact
+
+
+def plain(rows):
+    """(doc_id, keep_id, group_size, kept, text_sha256) of (doc_id, text) rows."""
+    groups = defaultdict(list)
+    for n, (doc_id, text) in enumerate(rows):
+        content = re.sub(r"[\x20\x09-\x0D]", "", text or "")
+        groups[content].append((-len(text or ""), doc_id is None, doc_id or 0, n, doc_id))
+    found = []
+    for content, members in groups.items():
+        keep = min(members)
+        sha = hashlib.sha256(content.encode()).hexdigest()
+        found += [(m[4], keep[4], len(members), m is keep, sha) for m in members]
+    return Counter(found)
+
+
+def odd_rows():
+    rows = [(7, "a b"), (3, "ab"), (5, "a\tb"), (1, "a\x0b\nb "), (2, " a\rb\x0c "), (9, "a\xa0b"),
+            (None, "ab     "), (None, "same"), (None, "same"), (4, "same"), (4, "same"), (4, "sa me"),
+            (10, None), (11, ""), (12, " \n"), (-5, "\t"), (13, "é" * 3), (14, "é é é"),
+            (15, "x" * 300_000), (16, "x" * 300_000 + " "), (2**63 - 1, "big"), (-(2**63), "big")]
+    return rows + [(100 + i, f"t {i % 7}" + " " * (i % 3)) for i in range(200)]
+
+
+def found_rows(report):
+    return Counter(
+        (r.doc_id, r.keep_id, r.group_size, r.kept, r.text_sha256) for r in report.collect()
+    )
+
+
+def test_report(documents):
+    rows = odd_rows()
+    assert found_rows(exact.duplicate_report(documents(rows).repartition(5))) == plain(rows)
+
+
+@pytest.mark.parametrize("hot", [False, True])
+def test_texts_of_one_digest_stay_apart(documents, monkeypatch, hot):
+    """A digest of the first letter: texts are told apart by their content at every stage."""
+    if hot:
+        monkeypatch.setattr(exact, "FEW", 1)
+        monkeypatch.setattr(exact, "SALTS", 3)
+    rows = odd_rows()
+    weak = exact.with_outcome(
+        documents(rows).repartition(6),
+        digest=lambda content: exact.sha256(F.substring(content, 1, 1)),
+    )
+    got = Counter((r._row.doc_id, r._keep_id, r._size, r._kept) for r in weak.collect())
+    want = Counter()
+    for (doc_id, keep_id, size, kept, _), n in plain(rows).items():
+        want[doc_id, keep_id, size, kept] += n
+    assert got == want
+
+
+def test_hot_groups_are_salted(documents, monkeypatch):
+    monkeypatch.setattr(exact, "FEW", 10)
+    rows = [(i, "hot" + " " * (i % 5)) for i in range(500)] + [(i, f"t{i % 90}") for i in range(500)]
+    assert found_rows(exact.duplicate_report(documents(rows).repartition(7))) == plain(rows)
+
+
+def test_whole_rows_stay_as_they_are(spark):
+    rows = spark.createDataFrame(
+        [(1, "a", {"k": 1}, 1, 2), (2, "a ", {"k": 2}, 3, 4), (3, None, None, 5, 6)],
+        "doc_id long, text string, _row map<string,int>, _n int, _digest int",
+    )
+    kept = exact.without_copies(rows)
+    assert kept.columns == rows.columns
+    assert sorted(tuple(r) for r in kept.collect()) == [(2, "a ", {"k": 2}, 3, 4), (3, None, None, 5, 6)]
+
+
+def test_empty_table(documents):
+    report = exact.duplicate_report(documents([]))
+    assert report.collect() == []
+    assert report.dtypes == [
+        ("doc_id", "bigint"), ("keep_id", "bigint"), ("group_size", "bigint"),
+        ("kept", "boolean"), ("text_sha256", "string"),
+    ]
+
+
+def test_no_python_worker(documents):
+    plan = exact.duplicate_report(documents([(1, "a")]))._jdf.queryExecution().executedPlan()
+    assert "Python" not in plan.toString() and "Arrow" not in plan.toString()
