@@ -16,6 +16,7 @@ from eventlake.llm import (
     secrets,
     sharding,
     spelling,
+    trie,
     wavelet,
 )
 from eventlake.llm.tables import read_table
@@ -76,6 +77,10 @@ def op10_nearest(spark: SparkSession, tables: str) -> DataFrame:
     return onebit.nearest(read_table(spark, tables, "embeddings"))
 
 
+def op11_prefix_trie(spark: SparkSession, tables: str) -> DataFrame:
+    return trie.trie_report(read_table(spark, tables, "conversations"))
+
+
 def op12_exact_copies(spark: SparkSession, tables: str) -> DataFrame:
     return exact.duplicate_report(read_table(spark, tables, "documents"))
 
@@ -95,6 +100,7 @@ QUERIES = {
     "op8_bpe": op8_bpe,
     "op9_language": op9_language,
     "op10_nearest": op10_nearest,
+    "op11_prefix_trie": op11_prefix_trie,
     "op12_exact_copies": op12_exact_copies,
     "op13_spelling": op13_spelling,
 }
@@ -153,6 +159,62 @@ ORACLE_SQL: dict[str, str] = {
         SELECT doc_id, n_shingles, min(other) AS component_id
         FROM reached JOIN sizes USING (doc_id) GROUP BY ALL
     """,
+    "op11_prefix_trie": r"""
+        WITH crc AS (
+            SELECT list_transform(range(0, 256), lambda n: list_reduce(range(0, 8),
+                lambda c, i: xor(c >> 1, 3988292384 * (c & 1)), n)) AS t
+        ), convs AS (
+            SELECT conv_id, conv_id - conv_id % 20 AS stock,
+                   xor(list_reduce(
+                       list_transform(range(1, strlen(conv_id::VARCHAR) + 1),
+                                      lambda i: ord(substr(conv_id::VARCHAR, i, 1))::BIGINT),
+                       lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295
+                   ), 4294967295) % 4 AS cut
+            FROM (SELECT DISTINCT conv_id FROM conversations WHERE conv_id IS NOT NULL), crc
+        ), turns AS (
+            SELECT conv_id, row_number() OVER
+                       (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i,
+                   struct_pack(role := coalesce(role, ''), text := coalesce(text, '')) AS item
+            FROM conversations WHERE conv_id IS NOT NULL
+        ), rebuilt AS (
+            SELECT c.conv_id, 0 AS own, t.i, item
+            FROM convs c JOIN turns t ON t.conv_id = c.stock AND t.i <= c.cut
+            UNION ALL
+            SELECT c.conv_id, 1, t.i, item
+            FROM convs c JOIN turns t ON t.conv_id = c.conv_id AND t.i > c.cut
+        ), paths AS (
+            SELECT conv_id, list(item ORDER BY own, i) FILTER (item IS NOT NULL) AS items
+            FROM convs LEFT JOIN rebuilt USING (conv_id) GROUP BY conv_id
+        ), spread AS (
+            SELECT conv_id, unnest(range(0, coalesce(len(items), 0) + 1)) AS depth,
+                   coalesce(items, []) AS items
+            FROM paths
+        ), members AS (
+            SELECT conv_id, depth, items[:depth] AS prefix, len(items) = depth AS ends FROM spread
+        ), nodes AS (
+            SELECT prefix, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+                   sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id)
+                                   FILTER (ends), '')) AS ends_sha256,
+                   (count(*) - 1) * CASE WHEN depth = 0 THEN 0 ELSE len(list_filter(
+                       string_split_regex(prefix[depth].text, '[\x20\x09-\x0D]+'),
+                       lambda word: word <> '')) END AS saved
+            FROM members GROUP BY prefix, depth
+        ), children AS (
+            SELECT prefix[:depth - 1] AS prefix, count(*) AS n_children
+            FROM nodes WHERE depth > 0 GROUP BY ALL
+        ), counted AS (
+            SELECT nodes.*, coalesce(n_children, 0) AS n_children
+            FROM nodes LEFT JOIN children USING (prefix)
+        ), below AS (
+            SELECT prefix[:d] AS prefix, sum((n_children = 0)::BIGINT)::BIGINT AS n_leaves,
+                   sum(saved)::BIGINT AS saved_tokens
+            FROM (SELECT *, unnest(range(0, depth + 1)) AS d FROM counted) GROUP BY ALL
+        )
+        SELECT c.conv_id, c.depth, p.conv_id AS parent_conv_id, c.n_convs, c.n_children,
+               n_leaves, saved_tokens, c.ends_sha256
+        FROM counted c JOIN below USING (prefix)
+        LEFT JOIN nodes p ON c.depth > 0 AND p.prefix = c.prefix[:c.depth - 1]
+    """,
     "op12_exact_copies": r"""
         WITH texts AS (
             SELECT doc_id, length(coalesce(text, '')) AS size,
