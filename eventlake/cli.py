@@ -20,7 +20,13 @@ from eventlake.plans.produce import (
 )
 from eventlake.session import build_session
 from eventlake.settings import ObjectStore, RestCatalog, session_conf
-from eventlake.sinks.tables import LakeTable, event_table, flow_table, open_table
+from eventlake.sinks.tables import (
+    LakeTable,
+    event_table,
+    flow_table,
+    open_table,
+    quarantine_table,
+)
 from eventlake.sources.generated import rate_rows
 from eventlake.sources.topics import DirectoryTopic, KafkaTopic, Topic
 from eventlake.streaming.batches import BatchMetric
@@ -79,6 +85,11 @@ def add_table(job: argparse.ArgumentParser) -> None:
     )
 
 
+def add_quarantine(job: argparse.ArgumentParser) -> None:
+    job.add_argument("--quarantine", help="table for messages that cannot be read")
+    job.add_argument("--quarantine-location", help="folder of that table, if it is a Parquet one")
+
+
 def add_message(job: argparse.ArgumentParser) -> None:
     job.add_argument("--message", help="full name of your Protobuf message type or its JVM class")
     job.add_argument("--descriptors", help="local file with the descriptor set of --message")
@@ -103,6 +114,7 @@ def parser() -> argparse.ArgumentParser:
     add_topic(job)
     add_reading(job)
     add_table(job)
+    add_quarantine(job)
     add_stream(job, JSON_EVENT_INTERVAL)
 
     job = jobs.add_parser("ingest-telemetry", help="land Protobuf telemetry")
@@ -110,6 +122,7 @@ def parser() -> argparse.ArgumentParser:
     add_reading(job)
     add_decoding(job)
     add_table(job)
+    add_quarantine(job)
     add_stream(job, TELEMETRY_INTERVAL)
     add_message(job)
     job.add_argument("--drop-null", action="store_true", help="skip messages without a payload")
@@ -181,13 +194,19 @@ def chosen_conf(args: argparse.Namespace) -> dict[str, str]:
 
 
 def print_batch(metric: BatchMetric) -> None:
-    print(f"batch {metric.batch}: {metric.rows} rows landed", flush=True)
+    aside = f", {metric.quarantined} messages set aside" if metric.quarantined else ""
+    print(f"batch {metric.batch}: {metric.rows} rows landed{aside}", flush=True)
 
 
 def run(spark: SparkSession, args: argparse.Namespace) -> None:
     def table(spec) -> LakeTable:
         return open_table(spark, spec(args.table), args.location, args.rebalance)
 
+    def quarantine() -> LakeTable | None:
+        if not args.quarantine:
+            return None
+        return open_table(spark, quarantine_table(args.quarantine), args.quarantine_location)
+
     if args.job == "ingest-events":
         ingest_events(
             spark,
@@ -196,6 +215,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
             args.checkpoint,
             args.every,
             on_batch=print_batch,
+            quarantine=quarantine(),
         ).awaitTermination()
     elif args.job == "ingest-telemetry":
         ingest_telemetry(
@@ -208,6 +228,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
             form=chosen_format(args),
             options={**READ_OPTIONS, **dict(args.decode_option)},
             on_batch=print_batch,
+            quarantine=quarantine(),
         ).awaitTermination()
     elif args.job == "write-words":
         numbers = rate_rows(spark, args.per_second)

@@ -31,7 +31,8 @@ from eventlake.plans.ingest import flow_rows, ingest_events, ingest_telemetry
 from eventlake.plans.produce import publish_events, publish_telemetry, write_words
 from eventlake.schemas import EVENT, FLOW_BUCKETS
 from eventlake.session import remove_folder, scratch_folder
-from eventlake.sinks.tables import ParquetTable, event_table, flow_table
+from eventlake.sinks.quarantine import as_messages
+from eventlake.sinks.tables import ParquetTable, event_table, flow_table, quarantine_table
 from eventlake.sinks.topics import publish, publish_stream
 from eventlake.sources.files import table_stream
 from eventlake.sources.topics import DirectoryTopic, messages
@@ -140,10 +141,10 @@ class Workspace:
         self.checkpoint = f"{self.folder}/checkpoint"
         self.metrics: list[BatchMetric] = []
 
-    def table(self, spec: Callable) -> ParquetTable:
+    def table(self, spec: Callable, folder: str = "table") -> ParquetTable:
         name = f"landed_{uuid.uuid4().hex}"
         self.tables.append(name)
-        return ParquetTable(spec(name), f"{self.folder}/table")
+        return ParquetTable(spec(name), f"{self.folder}/{folder}")
 
     def landed(self) -> None:
         """Remove what was only needed to land the table."""
@@ -157,7 +158,9 @@ class Workspace:
         remove_folder(self.spark, self.folder)
         self.open.remove(self)
 
-    def land_events(self, table: ParquetTable, on_batch=None) -> StreamingQuery:
+    def land_events(
+        self, table: ParquetTable, on_batch=None, quarantine: ParquetTable | None = None
+    ) -> StreamingQuery:
         return ingest_events(
             self.spark,
             self.topic,
@@ -166,8 +169,26 @@ class Workspace:
             every=None,
             clock=pinned(),
             on_batch=on_batch or self.metrics.append,
+            quarantine=quarantine,
         )
 
+    def crash_first(self, land: Callable[[Callable | None], StreamingQuery]) -> None:
+        """Run `land(on_batch)` until it crashes behind its first batch, and again to the end."""
+
+        def crash(metric: BatchMetric) -> None:
+            raise RuntimeError(f"crash after batch {metric.batch}")
+
+        try:
+            land(crash).awaitTermination()
+        except StreamingQueryException as error:
+            if "crash after batch 0" not in str(error):
+                raise
+        else:
+            raise AssertionError("the crash did not stop the stream")
+        land(self.metrics.append).awaitTermination()
+        if [metric.batch for metric in self.metrics] != [0]:
+            raise AssertionError(f"batch 0 was not replayed: {self.metrics}")
+
 
 def close_workspaces() -> None:
     """Remove what all queries so far have written, once their results are read."""
@@ -225,19 +246,61 @@ FROM events
 """)
 def json_decode_permissive(spark: SparkSession, tables: str) -> DataFrame:
     """Truncated text for error events, a wrongly typed field for views; no row is lost."""
+    messages = (
+        as_events(events(spark, tables))
+        .withColumn("text", json_payload())
+        .withColumn("value", broken_text().cast("binary"))
+    )
+    return comparable(decode_json(messages, keep=["event_id"]))
+
+
+def broken_text() -> Column:
+    """The JSON in `text`, cut short for errors, with a field of the wrong type for views."""
     text = F.col("text")
     quoted = F.regexp_replace(text, r'"value":([^}]*)\}', r'"value":"v$1"}')
-    broken = (
+    return (
         F.when(F.col("event_type") == "error", F.substring_index(text, ",", 2))
         .when(F.col("event_type") == "view", quoted)
         .otherwise(text)
     )
-    messages = (
-        as_events(events(spark, tables))
-        .withColumn("text", json_payload())
-        .withColumn("value", broken.cast("binary"))
+
+
+@check("""
+WITH texts AS (
+  SELECT *, concat('{"id":"', event_id, '","timestamp":"', strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ'), '"')
+    AS start FROM events
+)
+SELECT CASE WHEN event_type IN ('error', 'view') THEN 'quarantine' ELSE 'table' END AS place,
+       CASE WHEN event_type IN ('error', 'view') THEN concat('key', event_id)
+            WHEN event_type <> 'signup' THEN CAST(event_id AS VARCHAR) END AS id,
+       CASE WHEN event_type NOT IN ('error', 'view', 'signup') THEN value END AS value,
+       CASE WHEN event_type = 'error' THEN start
+            WHEN event_type = 'view' THEN concat(start, ',"value":"v', value, '"}') END AS message
+FROM texts
+""")
+def json_quarantine(spark: SparkSession, tables: str) -> DataFrame:
+    """Broken messages land in a table of their own, in a batch that crashes and is replayed.
+
+    Errors are cut short and views have a field of the wrong type, while signups are blank and land
+    as rows of NULLs. Quarantined messages are told by their key.
+    """
+    work = Workspace(spark)
+    table, aside = work.table(event_table), work.table(quarantine_table, "quarantine")
+    rows = as_events(events(spark, tables)).withColumn("text", json_payload())
+    payload = F.when(F.col("event_type") == "signup", F.lit(" ")).otherwise(broken_text())
+    publish(to_envelope(rows, payload, message_key("event_id")), work.topic)
+    work.crash_first(lambda on_batch: work.land_events(table, on_batch, aside))
+    work.landed()
+    landed = table.read(spark).select(
+        F.lit("table").alias("place"), "id", "value", F.lit(None).cast("string").alias("message")
     )
-    return comparable(decode_json(messages, keep=["event_id"]))
+    quarantined = aside.read(spark).select(
+        F.lit("quarantine").alias("place"),
+        F.col("key").cast("string").alias("id"),
+        F.lit(None).cast("double").alias("value"),
+        F.col("payload").cast("string").alias("message"),
+    )
+    return landed.unionByName(quarantined)
 
 
 @check("""
@@ -323,6 +386,59 @@ def telemetry_permissive(spark: SparkSession, tables: str) -> DataFrame:
     return flat.select("event_id", "flow_name", "vin_hash", uris)
 
 
+@check("""
+SELECT CASE WHEN event_type = 'error' THEN 'quarantine' ELSE 'table' END AS place,
+       CASE WHEN event_type = 'error' THEN concat('key', event_id) END AS key,
+       CASE WHEN event_type NOT IN ('error', 'signup') THEN concat('VIN', user_id) END AS vin_hash,
+       CASE WHEN event_type NOT IN ('error', 'signup') THEN concat('c', event_id) END
+         AS correlation_ids,
+       CASE WHEN event_type = 'error' THEN concat('c', event_id) END AS mended
+FROM events
+""")
+def telemetry_quarantine(spark: SparkSession, tables: str) -> DataFrame:
+    """Errors arrive cut short and are set aside; their bytes are kept, so they can be mended.
+
+    The cut takes the last byte, and the check puts it back. Signups have no payload and land as rows of NULLs.
+    """
+    work = Workspace(spark)
+    table, aside = work.table(flow_table), work.table(quarantine_table, "quarantine")
+    kind = F.col("event_type")
+    cut = F.when(kind == "error", F.expr("substring(value, 1, length(value) - 1)")).when(
+        kind != "signup", F.col("value")
+    )
+    encoded = telemetry_messages(as_telemetry(events(spark, tables)))
+    publish(to_envelope(encoded, cut, message_key("event_id")), work.topic)
+    work.crash_first(
+        lambda on_batch: ingest_telemetry(
+            spark, work.topic, table, work.checkpoint,
+            every=None, clock=pinned(), on_batch=on_batch, quarantine=aside,
+        )
+    )
+    work.landed()
+    none = F.lit(None).cast("string")
+    landed = table.read(spark).select(
+        F.lit("table").alias("place"),
+        none.alias("key"),
+        "vin_hash",
+        F.when(F.col("correlation_ids").isNotNull(), F.concat_ws(";", "correlation_ids")).alias(
+            "correlation_ids"
+        ),
+        none.alias("mended"),
+    )
+    # Every message ends in the text "type1".
+    lost = as_messages(aside.read(spark)).withColumn(
+        "value", F.concat("value", F.lit("1").cast("binary"))
+    )
+    mended = decode_telemetry(lost, keep=["key"]).select(
+        F.lit("quarantine").alias("place"),
+        F.col("key").cast("string").alias("key"),
+        none.alias("vin_hash"),
+        none.alias("correlation_ids"),
+        F.concat_ws(";", "correlation_ids").alias("mended"),
+    )
+    return landed.unionByName(mended)
+
+
 @check(FLOW_SQL + "WHERE event_type <> 'signup'")
 def telemetry_flatten_nonnull(spark: SparkSession, tables: str) -> DataFrame:
     """Signups arrive without a payload and are dropped where the topic is scanned."""

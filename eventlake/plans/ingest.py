@@ -5,22 +5,67 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from eventlake.functions.protobuf import READ_OPTIONS, MessageFormat
 from eventlake.operators.decode import decode_json, decode_telemetry
 from eventlake.operators.shape import enrich_events, flatten_telemetry
+from eventlake.schemas import ENVELOPE, EVENT_COLUMNS, FLOW_COLUMNS
+from eventlake.sinks.quarantine import SET_ASIDE, Quarantine, message_to_keep
 from eventlake.sinks.tables import LakeTable
 from eventlake.sources.topics import Topic, message_stream
 from eventlake.streaming.batches import BatchMetric, append_batches, log_batch
 from eventlake.streaming.control import JSON_EVENT_INTERVAL, TELEMETRY_INTERVAL
 
 
+CORRUPT, WHOLE = "corrupt_message", "whole_message"
+
+
 def event_rows(messages: DataFrame, clock: Column | None = None) -> DataFrame:
     """JSON event messages as rows of the event table."""
     return enrich_events(decode_json(messages), clock)
 
 
+def set_aside(decoded: DataFrame, names: list[str], clock: Column | None) -> DataFrame:
+    """The columns of a table, and the message where the row could not be read."""
+    message = F.when(F.col(CORRUPT).isNotNull(), message_to_keep(WHOLE, clock))
+    return decoded.select(*names, message.alias(SET_ASIDE))
+
+
+def with_envelope(messages: DataFrame) -> DataFrame:
+    return messages.withColumn(WHOLE, F.struct(*ENVELOPE.names))
+
+
+def event_rows_or_messages(messages: DataFrame, clock: Column | None = None) -> DataFrame:
+    """Rows of the event table, those of messages that cannot be read with `SET_ASIDE`."""
+    decoded = decode_json(with_envelope(messages), keep=[WHOLE], corrupt=CORRUPT)
+    return set_aside(enrich_events(decoded, clock), EVENT_COLUMNS.names, clock)
+
+
+def flow_rows_or_messages(
+    messages: DataFrame,
+    clock: Column | None = None,
+    drop_null: bool = False,
+    form: MessageFormat | None = None,
+    engine: str = "auto",
+    options: Mapping[str, str] = READ_OPTIONS,
+) -> DataFrame:
+    """Rows of the flow table, those of messages that cannot be read with `SET_ASIDE`."""
+    decoded = decode_telemetry(
+        with_envelope(messages),
+        keep=[WHOLE],
+        drop_null=drop_null,
+        form=form,
+        engine=engine,
+        options={**options, "mode": "PERMISSIVE"},
+        corrupt=CORRUPT,
+    )
+    return set_aside(
+        flatten_telemetry(decoded, clock, keep=[WHOLE, CORRUPT]), FLOW_COLUMNS.names, clock
+    )
+
+
 def flow_rows(
     messages: DataFrame,
     clock: Column | None = None,
@@ -44,11 +89,20 @@ def ingest_events(
     every: str | None = JSON_EVENT_INTERVAL,
     clock: Column | None = None,
     on_batch: Callable[[BatchMetric], None] = log_batch,
+    quarantine: LakeTable | None = None,
 ) -> StreamingQuery:
-    """Land JSON events; the caller waits on the query it returns."""
+    """Land JSON events; the caller waits on the query it returns.
+
+    Messages that do not parse, or have a field of the wrong type, land as rows with NULLs, or as
+    they came in the `quarantine` table, if there is one.
+    """
     table.create(spark)
-    rows = event_rows(message_stream(spark, topic), clock)
-    return append_batches(rows, table, checkpoint, every, on_batch)
+    messages = message_stream(spark, topic)
+    if quarantine is None:
+        return append_batches(event_rows(messages, clock), table, checkpoint, every, on_batch)
+    quarantine.create(spark)
+    rows = event_rows_or_messages(messages, clock)
+    return append_batches(rows, Quarantine(table, quarantine), checkpoint, every, on_batch)
 
 
 def ingest_telemetry(
@@ -63,11 +117,18 @@ def ingest_telemetry(
     engine: str = "auto",
     on_batch: Callable[[BatchMetric], None] = log_batch,
     options: Mapping[str, str] = READ_OPTIONS,
+    quarantine: LakeTable | None = None,
 ) -> StreamingQuery:
     """Land Protobuf telemetry; the caller waits on the query it returns.
 
-    `options` are those of the decoder, `mode` among them.
+    `options` are those of the decoder, `mode` among them. With a `quarantine` table malformed
+    messages land there as they came, whatever the mode.
     """
     table.create(spark)
-    rows = flow_rows(message_stream(spark, topic), clock, drop_null, form, engine, options)
-    return append_batches(rows, table, checkpoint, every, on_batch)
+    messages = message_stream(spark, topic)
+    if quarantine is None:
+        rows = flow_rows(messages, clock, drop_null, form, engine, options)
+        return append_batches(rows, table, checkpoint, every, on_batch)
+    quarantine.create(spark)
+    rows = flow_rows_or_messages(messages, clock, drop_null, form, engine, options)
+    return append_batches(rows, Quarantine(table, quarantine), checkpoint, every, on_batch)

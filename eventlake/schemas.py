@@ -78,6 +78,17 @@ FLOW_COLUMNS = columns(
     flow_aui=TEXT,
 )
 
+#: A message that could not be read: its envelope, its bytes, and the ingest clock.
+QUARANTINE_COLUMNS = columns(
+    key=BYTES,
+    payload=BYTES,
+    topic=TEXT,
+    partition=INT,
+    offset=LONG,
+    timestamp=TIME,
+    processing_time=TIME,
+)
+
 #: Number of flow-id buckets of the landed telemetry table.
 FLOW_BUCKETS = 16
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from eventlake.functions.buckets import bucket_of, iceberg_bucket
-from eventlake.schemas import EVENT_COLUMNS, FLOW_BUCKETS, FLOW_COLUMNS
+from eventlake.schemas import EVENT_COLUMNS, FLOW_BUCKETS, FLOW_COLUMNS, QUARANTINE_COLUMNS
 from eventlake.session import make_folder
 
 RUN, BATCH = "ingest_run", "ingest_batch"
@@ -116,6 +116,10 @@ def flow_table(name: str) -> TableSpec:
     return TableSpec(name, FLOW_COLUMNS, partitions)
 
 
+def quarantine_table(name: str) -> TableSpec:
+    return TableSpec(name, QUARANTINE_COLUMNS)
+
+
 def equals(name: str, value: object) -> Column:
     return F.col(name).isNull() if value is None else F.col(name) == F.lit(value)
 

@@ -16,10 +16,18 @@ from eventlake.streaming.control import trigger
 log = logging.getLogger(__name__)
 
 
+@dataclass(frozen=True)
+class Landed:
+    """Rows of a micro-batch that landed in its table, and messages that were set aside instead."""
+
+    rows: int
+    quarantined: int = 0
+
+
 class BatchSink(Protocol):
     """What a stream can be appended to: the lake tables, or the caller's own code."""
 
-    def append(self, rows: DataFrame, run: str, batch: int) -> int:
+    def append(self, rows: DataFrame, run: str, batch: int) -> int | Landed:
         """Land `rows` once per `(run, batch)`, however often it is called; gives their number."""
 
 
@@ -30,10 +38,15 @@ class BatchMetric:
     run: str
     batch: int
     rows: int
+    quarantined: int = 0
 
 
 def log_batch(metric: BatchMetric) -> None:
     log.info("run %s batch %d: %d rows landed", metric.run, metric.batch, metric.rows)
+    if metric.quarantined:
+        log.warning(
+            "run %s batch %d: %d messages set aside", metric.run, metric.batch, metric.quarantined
+        )
 
 
 def append_batches(
@@ -52,7 +65,10 @@ def append_batches(
     run: Future[str] = Future()
 
     def land(rows: DataFrame, batch: int) -> None:
-        on_batch(BatchMetric(run.result(), batch, sink.append(rows, run.result(), batch)))
+        landed = sink.append(rows, run.result(), batch)
+        if not isinstance(landed, Landed):
+            landed = Landed(landed)
+        on_batch(BatchMetric(run.result(), batch, landed.rows, landed.quarantined))
 
     writer = stream.writeStream.outputMode("append").foreachBatch(land)
     query = writer.option("checkpointLocation", checkpoint).trigger(**trigger(every)).start()

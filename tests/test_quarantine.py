@@ -1,0 +1,173 @@
+"""Messages that cannot be read: capture, and the table they are set aside in."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import functions as F
+
+from eventlake.cli import parser, run
+from eventlake.operators.decode import decode_json, decode_telemetry
+from eventlake.operators.encode import sample_telemetry, telemetry_payload, to_envelope
+from eventlake.plans.ingest import event_rows_or_messages, ingest_events, ingest_telemetry
+from eventlake.schemas import ENVELOPE, QUARANTINE_COLUMNS
+from eventlake.sinks.quarantine import SET_ASIDE, Quarantine, as_messages
+from eventlake.sinks.tables import ParquetTable, event_table, flow_table, quarantine_table
+from eventlake.sinks.topics import publish
+from eventlake.sources.topics import DirectoryTopic, messages
+
+GOOD = '{"id":"a","timestamp":"2024-05-06T12:00:00Z","value":1.5}'
+#: Text of a message, and whether it is captured.
+TEXTS = [
+    (GOOD, False), (None, False), ("", False), ("  \n", False), ('{"id":"a"}', False),
+    (GOOD.replace("{", '{"more":[1],'), False), (GOOD.replace("id", "ID"), False),
+    ("not json", True), (GOOD[:-8], True), (f"[{GOOD},{GOOD}]", True),
+    (GOOD.replace("1.5", '"x"'), True), (GOOD.replace("1.5", '"2.5"'), True),
+]
+
+
+@pytest.fixture
+def texts(spark):
+    rows = [(str(i), text) for i, (text, _) in enumerate(TEXTS)]
+    return to_envelope(spark.createDataFrame(rows, "n string, text string"), F.col("text"), F.col("n"))
+
+
+def test_captured_texts(texts):
+    found = decode_json(texts, keep=["key"], corrupt="bad").collect()
+    assert {int(r.key): r.bad for r in found} == {
+        i: text if bad else None for i, (text, bad) in enumerate(TEXTS)
+    }
+    plain = decode_json(texts, keep=["key"]).collect()
+    assert sorted(tuple(r)[:-1] for r in found) == sorted(map(tuple, plain))
+
+
+@pytest.mark.parametrize("name", ["value", "Value", "key"])
+def test_the_name_of_the_capture_must_be_free(texts, name):
+    with pytest.raises(ValueError, match="column already"):
+        decode_json(texts, keep=["key"], corrupt=name)
+    with pytest.raises(ValueError, match="column already"):
+        decode_telemetry(texts, keep=["key", "value"], corrupt=name)
+
+
+def test_captured_telemetry(spark):
+    rows = sample_telemetry(spark.range(6)).select("id", telemetry_payload().alias("value"))
+    cut = F.when(F.col("id") == 3, F.substring("value", 1, 5)).when(F.col("id") != 4, F.col("value"))
+    sent = rows.withColumn("value", cut)
+    found = decode_telemetry(sent, keep=["id"], options={"mode": "PERMISSIVE"}, corrupt="bad")
+    lost = {r.id: r.bad for r in found.collect()}
+    assert {i for i, bad in lost.items() if bad is not None} == {3}
+    assert len(lost[3]) == 5 and lost[3].startswith(b"\n\x06\x08")
+
+
+class Job:
+    def __init__(self, spark, folder, name):
+        self.spark, self.folder = spark, folder
+        self.topic = DirectoryTopic(str(folder / "topic"))
+        self.table = ParquetTable(event_table(name), str(folder / "table"))
+        self.aside = ParquetTable(quarantine_table(f"{name}_q"), str(folder / "aside"))
+        self.metrics = []
+
+    def run(self, on_batch=None):
+        ingest_events(
+            self.spark, self.topic, self.table, str(self.folder / "checkpoint"), every=None,
+            on_batch=on_batch or self.metrics.append, quarantine=self.aside,
+        ).awaitTermination()
+
+    def keys(self):
+        return sorted(int(r.key) for r in self.aside.read(self.spark).collect())
+
+
+def test_each_message_is_in_one_place_after_a_crash_between_both(spark, tmp_path, table_name, texts, monkeypatch):
+    """The quarantine has landed, the table has not; then both have, but not the checkpoint."""
+    job = Job(spark, tmp_path, table_name)
+    publish(texts, job.topic)
+    bad = [i for i, (_, captured) in enumerate(TEXTS) if captured]
+    append = ParquetTable.append
+
+    def crashes(table, rows, run, batch):
+        if table.location == job.table.location:
+            raise RuntimeError("before the table")
+        return append(table, rows, run, batch)
+
+    def crash(metric):
+        raise RuntimeError("before the checkpoint")
+
+    monkeypatch.setattr(ParquetTable, "append", crashes)
+    with pytest.raises(StreamingQueryException, match="before the table"):
+        job.run()
+    assert job.keys() == bad and job.table.read(spark).count() == 0
+    monkeypatch.setattr(ParquetTable, "append", append)
+    with pytest.raises(StreamingQueryException, match="before the checkpoint"):
+        job.run(crash)
+    job.run()
+    assert job.keys() == bad
+    assert job.table.read(spark).count() == len(TEXTS) - len(bad)
+    assert [(m.batch, m.rows, m.quarantined) for m in job.metrics] == [(0, len(TEXTS) - len(bad), len(bad))]
+    # A later batch adds to both.
+    publish(texts, job.topic)
+    job.run()
+    assert job.keys() == sorted(bad * 2)
+
+
+def test_a_batch_is_decoded_once(spark, tmp_path, table_name, texts):
+    decoded = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            decoded.add(batch.num_rows)
+            yield batch
+
+    table = ParquetTable(event_table(table_name), str(tmp_path / "table"))
+    aside = ParquetTable(quarantine_table(f"{table_name}_q"), str(tmp_path / "aside"))
+    for each in (table, aside):
+        each.create(spark)
+    rows = event_rows_or_messages(texts.mapInArrow(seen, ENVELOPE))
+    landed = Quarantine(table, aside).append(rows, "run", 0)
+    assert (landed.rows, landed.quarantined) == (7, 5)
+    assert decoded.value == len(TEXTS)
+    assert not rows.is_cached
+
+
+def test_quarantined_bytes_can_be_published_again(spark, tmp_path, table_name, texts):
+    job = Job(spark, tmp_path, table_name)
+    publish(texts, job.topic)
+    job.run()
+    again = DirectoryTopic(str(tmp_path / "again"))
+    publish(as_messages(job.aside.read(spark)), again)
+    sent = {r.key: r.value for r in messages(spark, job.topic).collect()}
+    found = messages(spark, again).collect()
+    assert len(found) == 5 and all(sent[r.key] == r.value for r in found)
+    assert messages(spark, again).schema.names == ENVELOPE.names
+
+
+def test_no_bad_messages(spark, tmp_path, table_name, texts):
+    rows = event_rows_or_messages(texts.where("CAST(key AS STRING) = '0'"))
+    assert rows.where(F.col(SET_ASIDE).isNotNull()).count() == 0
+    assert rows.schema[SET_ASIDE].dataType.names == QUARANTINE_COLUMNS.names
+
+
+def test_telemetry_job(spark, tmp_path, table_name):
+    topic = DirectoryTopic(str(tmp_path / "topic"))
+    table = ParquetTable(flow_table(table_name), str(tmp_path / "table"))
+    aside = ParquetTable(quarantine_table(f"{table_name}_q"), str(tmp_path / "aside"))
+    sample = sample_telemetry(spark.range(20))
+    payload = F.when(F.col("id") % 4 == 0, F.lit("junk")).otherwise(telemetry_payload())
+    publish(to_envelope(sample, payload, F.col("id").cast("string")), topic)
+    metrics = []
+    ingest_telemetry(
+        spark, topic, table, str(tmp_path / "checkpoint"), every=None, on_batch=metrics.append,
+        quarantine=aside,
+    ).awaitTermination()
+    assert (metrics[0].rows, metrics[0].quarantined) == (15, 5)
+    assert {bytes(r.payload) for r in aside.read(spark).collect()} == {b"junk"}
+    assert table.read(spark).where("vin_hash IS NULL").count() == 0
+
+
+def test_command_line(spark, tmp_path, table_name, texts, capsys):
+    publish(texts, DirectoryTopic(str(tmp_path / "topic")))
+    words = ["ingest-events", "--directory", tmp_path / "topic", "--table", table_name, "--location",
+             tmp_path / "t", "--checkpoint", tmp_path / "c", "--drain", "--quarantine", f"{table_name}_q",
+             "--quarantine-location", tmp_path / "q"]
+    run(spark, parser().parse_args([str(word) for word in words]))
+    assert "7 rows landed, 5 messages set aside" in capsys.readouterr().out
+    assert spark.table(f"{table_name}_q").count() == 5
