@@ -29,7 +29,7 @@ from eventlake.llm.tables import committed, new_folder
 
 #: Nodes with more members than a share of all rows, and than a few, are the top: fewer than this.
 TOP_NODES = 20_000
-FEW_MEMBERS = 1_000
+FEW_MEMBERS = 50
 
 #: Parents that wait in a shard's memory, and rows of a block of a run that is written out.
 QUEUE_ROWS, RUN_BLOCK = 1_000_000, 65_536
