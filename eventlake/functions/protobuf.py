@@ -8,6 +8,7 @@ layout from one descriptor set: the caller's own, or one derived from the payloa
 from __future__ import annotations
 
 import gc
+import math
 import sys
 from collections.abc import Callable, Iterator, Mapping
 from contextlib import contextmanager
@@ -19,8 +20,36 @@ from pyspark import cloudpickle
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DataType, StringType, StructType, TimestampType
-
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import (
+    ArrayType,
+    BinaryType,
+    DataType,
+    DayTimeIntervalType,
+    DecimalType,
+    DoubleType,
+    FloatType,
+    IntegerType,
+    LongType,
+    MapType,
+    StringType,
+    StructType,
+    TimestampType,
+)
+
+from eventlake.functions.descriptors import (
+    DEPTH,
+    ENUMS_AS_INTS,
+    UPCAST_UNSIGNED,
+    check_columns,
+    check_types,
+    columns_of,
+    descriptor_set,
+    is_map,
+    is_set,
+    message_class,
+    message_layout,
+)
 from eventlake.schemas import TELEMETRY
 
 # Ship this module's functions inside the UDF, so executors need no installed copy.
@@ -28,52 +57,15 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 PACKAGE = "eventlake"
 TELEMETRY_MESSAGE = f"{PACKAGE}.Telemetry"
-TIMESTAMP_MESSAGE = "google.protobuf.Timestamp"
 
 #: Reader options that telemetry topics are decoded with.
-READ_OPTIONS = {"recursive.fields.max.depth": "10"}
-
-
-def camel(name: str) -> str:
-    return "".join(part.capitalize() for part in name.split("_"))
+READ_OPTIONS = {DEPTH: "10"}
 
+EMIT_DEFAULTS = "emit.default.values"
 
-def descriptor_set(message: str, schema: StructType) -> bytes:
-    """A serialized `FileDescriptorSet` for `schema`, numbering fields in schema order from 1.
-
-    The syntax is proto2: there an unset scalar can be told from an empty one, as NULL needs.
-    """
-    from google.protobuf import descriptor_pb2, timestamp_pb2
-
-    files = descriptor_pb2.FileDescriptorSet()
-    timestamp_pb2.DESCRIPTOR.CopyToProto(files.file.add())
-    package, _, name = message.rpartition(".")
-    file = files.file.add(name=f"{message}.proto", package=package, syntax="proto2")
-    file.dependency.append(timestamp_pb2.DESCRIPTOR.name)
-    kinds = descriptor_pb2.FieldDescriptorProto
-
-    def declare(message_name: str, struct: StructType) -> None:
-        declared = file.message_type.add(name=message_name)
-        for number, column in enumerate(struct.fields, start=1):
-            field = declared.field.add(
-                name=column.name, number=number, label=kinds.LABEL_OPTIONAL
-            )
-            kind = column.dataType
-            if isinstance(kind, ArrayType):
-                field.label, kind = kinds.LABEL_REPEATED, kind.elementType
-            if isinstance(kind, StringType):
-                field.type = kinds.TYPE_STRING
-            elif isinstance(kind, TimestampType):
-                field.type, field.type_name = kinds.TYPE_MESSAGE, f".{TIMESTAMP_MESSAGE}"
-            elif isinstance(kind, StructType):
-                nested = camel(column.name)
-                field.type, field.type_name = kinds.TYPE_MESSAGE, f".{package}.{nested}"
-                declare(nested, kind)
-            else:
-                raise TypeError(f"no Protobuf field type for {column.simpleString()}")
-
-    declare(name, schema)
-    return files.SerializeToString()
+#: Reader options that the Python engine takes.
+PYTHON_OPTIONS = ("mode", DEPTH, ENUMS_AS_INTS, UPCAST_UNSIGNED, EMIT_DEFAULTS)
+MODES = ("FAILFAST", "PERMISSIVE")
 
 
 @dataclass(frozen=True)
@@ -95,21 +87,11 @@ def telemetry_format() -> MessageFormat:
     )
 
 
-#: Reader options that the Python engine takes; its columns fix how deep messages nest.
-PYTHON_OPTIONS = ("mode", "recursive.fields.max.depth")
-MODES = ("FAILFAST", "PERMISSIVE")
-
-
-def check_types(schema: StructType, path: str = "") -> None:
-    """Refuse columns that the Python engine has no field type for."""
-    for column in schema.fields:
-        kind, name = column.dataType, path + column.name
-        if isinstance(kind, StructType):
-            check_types(kind, f"{name}.")
-        elif isinstance(kind, ArrayType) and isinstance(kind.elementType, StringType):
-            continue
-        elif not isinstance(kind, (StringType, TimestampType)):
-            raise TypeError(f"the Python engine has no Protobuf type for {name}: {kind}")
+def described_format(
+    name: str, descriptors: bytes, options: Mapping[str, str] = READ_OPTIONS
+) -> MessageFormat:
+    """A message type with all the columns that its descriptors give; see `columns_of`."""
+    return MessageFormat(name, columns_of(message_layout(name, descriptors), options), descriptors)
 
 
 def permissive(options: Mapping[str, str]) -> bool:
@@ -121,15 +103,6 @@ def permissive(options: Mapping[str, str]) -> bool:
     return mode == "PERMISSIVE"
 
 
-def message_class(message: str, descriptors: bytes):
-    from google.protobuf import descriptor_pb2, descriptor_pool, message_factory
-
-    pool = descriptor_pool.DescriptorPool()
-    for file in descriptor_pb2.FileDescriptorSet.FromString(descriptors).file:
-        pool.AddSerializedFile(file.SerializeToString())
-    return message_factory.GetMessageClass(pool.FindMessageTypeByName(message))
-
-
 @contextmanager
 def collector_paused() -> Iterator[None]:
     """A batch makes many objects and no cycles, so searching them for cycles is wasted time."""
@@ -142,57 +115,159 @@ def collector_paused() -> Iterator[None]:
             gc.enable()
 
 
-def messages_to_column(messages: list, field, kind: DataType) -> pa.Array:
-    """One field of every message, as an Arrow column; `field` is its Protobuf descriptor."""
+# --- messages to columns ------------------------------------------------------------------------
+
+
+def enum_names(numbers: list, enum) -> list:
+    """Names of an enum's numbers; a number that the enum does not know keeps a made-up one."""
+    known = {number: value.name for number, value in enum.values_by_number.items()}
+    return [
+        None if n is None else known.get(n) or f"UNKNOWN_ENUM_VALUE_{enum.name}_{n}"
+        for n in numbers
+    ]
+
+
+def wrapped(numbers: list, bits: int) -> list:
+    """Unsigned numbers as the signed ones of the same bits."""
+    half = 1 << (bits - 1)
+    return [n if n is None or n < half else n - (1 << bits) for n in numbers]
+
+
+def instants(children: list, unset: np.ndarray, kind: pa.DataType) -> pa.Array:
+    """Timestamp or Duration messages in microseconds."""
+    seconds = np.array([c.seconds for c in children], dtype=np.int64)
+    nanos = np.array([c.nanos for c in children], dtype=np.int64)
+    # A negative duration has negative nanoseconds, which are cut towards zero.
+    micros = seconds * 1_000_000 + np.trunc(nanos / 1_000).astype(np.int64)
+    return pa.array(micros, mask=unset).cast(kind)
+
+
+def values_to_array(
+    values: list, field, kind: DataType, defaults: bool, unset: np.ndarray | None = None
+) -> pa.Array:
+    """Values of a field, or of its elements, as an Arrow column; None is NULL."""
+    if field.message_type is not None:
+        if unset is None:
+            unset = np.zeros(len(values), bool)
+        if isinstance(kind, TimestampType):
+            return instants(values, unset, pa.timestamp("us", tz="UTC"))
+        if isinstance(kind, DayTimeIntervalType):
+            return instants(values, unset, pa.duration("us"))
+        return messages_to_struct(values, field.message_type, kind, unset, defaults)
+    if field.enum_type is not None and isinstance(kind, StringType):
+        values = enum_names(values, field.enum_type)
+    elif isinstance(kind, IntegerType) and field.cpp_type == field.CPPTYPE_UINT32:
+        values = wrapped(values, 32)
+    elif isinstance(kind, LongType) and field.cpp_type == field.CPPTYPE_UINT64:
+        values = wrapped(values, 64)
+    return pa.array(values, to_arrow_type(kind))
+
+
+def known_values(messages: list, field, kind: DataType, defaults: bool) -> list:
+    """Values of a field of one value, None where it was not sent.
+
+    A field without presence (most of proto3) cannot tell that from its default value.
+    """
     name = field.name
-    if isinstance(kind, ArrayType):
-        return pa.array([getattr(m, name)[:] for m in messages], pa.list_(pa.string()))
-    if isinstance(kind, StringType):
-        # Only empty text leaves open whether the field was set; proto3 may not record it.
-        known = field.has_presence
-        return pa.array(
-            [
-                text if (text := getattr(m, name)) or (known and m.HasField(name)) else None
-                for m in messages
-            ],
-            pa.string(),
+    values = [getattr(m, name) for m in messages]
+    if field.has_presence:
+        if field.has_default_value:
+            return values
+        # Only an empty value leaves open whether the field was set.
+        return [
+            v if v or m.HasField(name) else None for v, m in zip(values, messages, strict=True)
+        ]
+    if defaults:
+        return values
+    if isinstance(kind, (FloatType, DoubleType)):
+        return [v if v or math.copysign(1, v) < 0 else None for v in values]
+    return [v or None for v in values]
+
+
+def messages_to_column(messages: list, field, kind: DataType, defaults: bool) -> pa.Array:
+    """One field of every message, as an Arrow column; `field` is its Protobuf descriptor.
+
+    `defaults` gives unset fields without presence their default value instead of NULL.
+    """
+    name = field.name
+    if field.is_repeated:
+        held = [getattr(m, name) for m in messages]
+        offsets = pa.array(np.cumsum([0, *map(len, held)]), pa.int32())
+        if is_map(field):
+            entry = field.message_type.fields_by_name
+            keys = [key for one in held for key in one]
+            values = [one[key] for one in held for key in one]
+            return pa.MapArray.from_arrays(
+                offsets,
+                values_to_array(keys, entry["key"], kind.keyType, defaults),
+                values_to_array(values, entry["value"], kind.valueType, defaults),
+            )
+        flat = [value for one in held for value in one]
+        return pa.ListArray.from_arrays(
+            offsets, values_to_array(flat, field, kind.elementType, defaults)
         )
+    if field.message_type is None:
+        values = known_values(messages, field, kind, defaults)
+        return values_to_array(values, field, kind, defaults)
     unset = np.array([not m.HasField(name) for m in messages], dtype=bool)
-    children = [getattr(m, name) for m in messages]
-    if isinstance(kind, TimestampType):
-        seconds = np.array([c.seconds for c in children], dtype=np.int64)
-        nanos = np.array([c.nanos for c in children], dtype=np.int64)
-        return pa.array(seconds * 1_000_000 + nanos // 1_000, mask=unset).cast(
-            pa.timestamp("us", tz="UTC")
-        )
-    return messages_to_struct(children, field.message_type, kind, unset)
+    return values_to_array([getattr(m, name) for m in messages], field, kind, defaults, unset)
 
 
-def messages_to_struct(messages: list, layout, schema: StructType, unset: np.ndarray) -> pa.Array:
+def messages_to_struct(
+    messages: list, layout, schema: StructType, unset: np.ndarray, defaults: bool
+) -> pa.Array:
+    if not len(schema):
+        raise ValueError(f"{layout.full_name} has no columns")
     return pa.StructArray.from_arrays(
-        [messages_to_column(messages, layout.fields_by_name[f.name], f.dataType) for f in schema],
+        [
+            messages_to_column(messages, layout.fields_by_name[f.name], f.dataType, defaults)
+            for f in schema
+        ],
         names=schema.fieldNames(),
         mask=pa.array(unset),
     )
 
 
+# --- columns to messages ------------------------------------------------------------------------
+
+
 def to_objects(column: pa.Array) -> list:
     """Text or bytes of a column as Python objects; much faster than `to_pylist`."""
     return column.to_numpy(zero_copy_only=False).tolist()
 
 
-def column_to_values(column: pa.Array, kind: DataType, name: str) -> list:
+def elements(column: pa.Array, flat: list, what: str, name: str) -> list[list]:
+    """The flat values of a list or map column, row by row; a NULL row is an empty one."""
+    # The offsets of a NULL slot are equal in Arrow data from Spark, so it reads as empty.
+    offsets = column.offsets.to_numpy().tolist()
+    if None in flat[offsets[0] : offsets[-1]]:
+        raise ValueError(f"{name}: {what} cannot hold NULL")
+    return [flat[start:end] for start, end in zip(offsets, offsets[1:], strict=False)]
+
+
+def column_to_values(column: pa.Array, kind: DataType, field, name: str) -> list:
     """Arrow column to the Python values a message constructor takes; None leaves a field unset."""
+    if isinstance(kind, MapType):
+        entry = field.message_type.fields_by_name
+        keys = column_to_values(column.keys, kind.keyType, entry["key"], name)
+        items = column_to_values(column.items, kind.valueType, entry["value"], name)
+        rows = elements(column, items, "a map", name)
+        return [
+            dict(zip(some, values, strict=True))
+            for some, values in zip(elements(column, keys, "a map", name), rows, strict=True)
+        ]
     if isinstance(kind, ArrayType):
-        # The offsets of a NULL slot are equal in Arrow data from Spark, so it reads as empty.
-        flat, offsets = to_objects(column.values), column.offsets.to_numpy().tolist()
-        if None in flat[offsets[0] : offsets[-1]]:
-            raise ValueError(f"{name}: a repeated field cannot hold NULL")
-        return [flat[start:end] for start, end in zip(offsets, offsets[1:], strict=False)]
-    if isinstance(kind, TimestampType):
+        flat = column_to_values(column.values, kind.elementType, field, name)
+        return elements(column, flat, "a repeated field", name)
+    if isinstance(kind, (TimestampType, DayTimeIntervalType)):
         valid = column.is_valid().to_numpy(zero_copy_only=False).tolist()
-        micros = column.cast(pa.timestamp("us", tz="UTC")).cast(pa.int64()).fill_null(0)
-        seconds, rest = np.divmod(micros.to_numpy(), 1_000_000)
+        unit = pa.timestamp("us", tz="UTC") if isinstance(kind, TimestampType) else pa.duration("us")
+        micros = column.cast(unit).cast(pa.int64()).fill_null(0).to_numpy()
+        seconds, rest = np.divmod(micros, 1_000_000)
+        if isinstance(kind, DayTimeIntervalType):
+            # Both parts of a duration have its sign.
+            low = (seconds < 0) & (rest > 0)
+            seconds, rest = seconds + low, rest - low * 1_000_000
         return [
             {"seconds": second, "nanos": nano} if known else None
             for known, second, nano in zip(
@@ -200,23 +275,46 @@ def column_to_values(column: pa.Array, kind: DataType, name: str) -> list:
             )
         ]
     if isinstance(kind, StructType):
-        # flatten() applies the parent's slice and NULLs to the children.
-        children = [
-            column_to_values(child, f.dataType, f.name)
-            for child, f in zip(column.flatten(), kind.fields, strict=True)
-        ]
-        names = kind.fieldNames()
-        valid = column.is_valid().to_numpy(zero_copy_only=False).tolist()
-        return [
-            dict(zip(names, row, strict=True)) if known else None
-            for known, row in zip(valid, zip(*children, strict=True), strict=True)
-        ]
-    return to_objects(column)
-
-
-def _decode_udf(form: MessageFormat, lenient: bool) -> Callable[..., Column]:
+        return column_to_rows(column, kind, field.message_type)
+    if isinstance(kind, (StringType, BinaryType)):
+        return to_objects(column)
+    values = column.to_pylist()
+    if isinstance(kind, DecimalType):
+        values = [None if v is None else int(v) for v in values]
+    bits = {field.CPPTYPE_UINT32: 32, field.CPPTYPE_UINT64: 64}.get(field.cpp_type)
+    if bits and isinstance(kind, (IntegerType, LongType)):
+        values = [v if v is None or v >= 0 else v + (1 << bits) for v in values]
+    return values
+
+
+def column_to_rows(column: pa.Array, kind: StructType, layout) -> list:
+    """The messages of a struct column as dicts, None for NULL."""
+    # flatten() applies the parent's slice and NULLs to the children.
+    children = [
+        column_to_values(child, f.dataType, layout.fields_by_name[f.name], f.name)
+        for child, f in zip(column.flatten(), kind.fields, strict=True)
+    ]
+    names = kind.fieldNames()
+    valid = column.is_valid().to_numpy(zero_copy_only=False).tolist()
+    return [
+        dict(zip(names, row, strict=True)) if known else None
+        for known, row in zip(valid, zip(*children, strict=True), strict=True)
+    ]
+
+
+# --- engines ------------------------------------------------------------------------------------
+
+
+def checked(form: MessageFormat, options: Mapping[str, str] | None = None) -> None:
+    """Refuse columns that the message does not have, while the query is built."""
+    check_types(form.schema)
+    check_columns(message_layout(form.name, form.descriptors), form.schema, options)
+
+
+def _decode_udf(form: MessageFormat, options: Mapping[str, str]) -> Callable[..., Column]:
     name, schema, descriptors = form.name, form.schema, form.descriptors
-    check_types(schema)
+    lenient, defaults = permissive(options), is_set(options, EMIT_DEFAULTS)
+    checked(form, options)
 
     @F.arrow_udf(form.schema)
     def protobuf_decode(payloads: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -239,7 +337,7 @@ def _decode_udf(form: MessageFormat, lenient: bool) -> Callable[..., Column]:
             unset = batch.is_null().to_numpy(zero_copy_only=False).copy()
             with collector_paused():
                 messages = list(parsed(to_objects(batch), unset))
-                decoded = messages_to_struct(messages, cls.DESCRIPTOR, schema, unset)
+                decoded = messages_to_struct(messages, cls.DESCRIPTOR, schema, unset, defaults)
             yield decoded
 
     return protobuf_decode
@@ -247,14 +345,14 @@ def _decode_udf(form: MessageFormat, lenient: bool) -> Callable[..., Column]:
 
 def _encode_udf(form: MessageFormat) -> Callable[..., Column]:
     name, schema, descriptors = form.name, form.schema, form.descriptors
-    check_types(schema)
+    checked(form)
 
     @F.arrow_udf("binary")
     def protobuf_encode(rows: Iterator[pa.Array]) -> Iterator[pa.Array]:
         cls = message_class(name, descriptors)
         for batch in rows:
             with collector_paused():
-                values = column_to_values(batch, schema, name)
+                values = column_to_rows(batch, schema, cls.DESCRIPTOR)
                 payloads = [None if v is None else cls(**v).SerializeToString() for v in values]
             yield pa.array(payloads, pa.binary())
 
@@ -291,7 +389,7 @@ def decode_message(
     """
     form = form or telemetry_format()
     if not _in_jvm(engine, form):
-        return _decode_udf(form, permissive(options))(payload)
+        return _decode_udf(form, options)(payload)
     from pyspark.sql.protobuf.functions import from_protobuf
 
     whole = from_protobuf(

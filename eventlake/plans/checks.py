@@ -14,9 +14,10 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import TimestampType
+from pyspark.sql.types import StructType, TimestampType
 
 from eventlake.functions.buckets import iceberg_bucket
+from eventlake.functions.protobuf import decode_message, described_format, encode_message
 from eventlake.operators.decode import decode_json, decode_telemetry
 from eventlake.operators.encode import (
     json_payload,
@@ -473,6 +474,147 @@ def telemetry_optional_fields(spark: SparkSession, tables: str) -> DataFrame:
     return comparable(flat.select("event_id", "flow_name", "flow_timestamp", "vin_hash", uris))
 
 
+#: A message with a field of every kind, as another party may describe it. It holds its own type.
+READING = """
+name: "reading.proto" package: "party" syntax: "proto3"
+dependency: "google/protobuf/timestamp.proto" dependency: "google/protobuf/duration.proto"
+enum_type { name: "Kind"
+  value { name: "CLICK" number: 0 } value { name: "ERROR" number: 1 }
+  value { name: "PURCHASE" number: 2 } value { name: "SIGNUP" number: 3 }
+  value { name: "VIEW" number: 4 } }
+message_type { name: "Part"
+  field { name: "name" number: 1 label: LABEL_OPTIONAL type: TYPE_STRING }
+  field { name: "amount" number: 2 label: LABEL_OPTIONAL type: TYPE_SINT32 } }
+message_type { name: "Reading"
+  nested_type { name: "TagsEntry" options { map_entry: true }
+    field { name: "key" number: 1 label: LABEL_OPTIONAL type: TYPE_STRING }
+    field { name: "value" number: 2 label: LABEL_OPTIONAL type: TYPE_SINT64 } }
+  nested_type { name: "ByNumberEntry" options { map_entry: true }
+    field { name: "key" number: 1 label: LABEL_OPTIONAL type: TYPE_UINT32 }
+    field { name: "value" number: 2 label: LABEL_OPTIONAL type: TYPE_MESSAGE type_name: ".party.Part" } }
+  oneof_decl { name: "_note" }
+  field { name: "id" number: 1 label: LABEL_OPTIONAL type: TYPE_FIXED64 }
+  field { name: "user" number: 2 label: LABEL_OPTIONAL type: TYPE_UINT32 }
+  field { name: "kind" number: 3 label: LABEL_OPTIONAL type: TYPE_ENUM type_name: ".party.Kind" }
+  field { name: "value" number: 4 label: LABEL_OPTIONAL type: TYPE_DOUBLE }
+  field { name: "half" number: 5 label: LABEL_OPTIONAL type: TYPE_FLOAT }
+  field { name: "high" number: 6 label: LABEL_OPTIONAL type: TYPE_BOOL }
+  field { name: "raw" number: 7 label: LABEL_OPTIONAL type: TYPE_BYTES }
+  field { name: "note" number: 8 label: LABEL_OPTIONAL type: TYPE_STRING oneof_index: 0
+          proto3_optional: true }
+  field { name: "at" number: 9 label: LABEL_OPTIONAL type: TYPE_MESSAGE
+          type_name: ".google.protobuf.Timestamp" }
+  field { name: "took" number: 10 label: LABEL_OPTIONAL type: TYPE_MESSAGE
+          type_name: ".google.protobuf.Duration" }
+  field { name: "tags" number: 11 label: LABEL_REPEATED type: TYPE_MESSAGE
+          type_name: ".party.Reading.TagsEntry" }
+  field { name: "by_number" number: 12 label: LABEL_REPEATED type: TYPE_MESSAGE
+          type_name: ".party.Reading.ByNumberEntry" }
+  field { name: "kinds" number: 13 label: LABEL_REPEATED type: TYPE_ENUM type_name: ".party.Kind" }
+  field { name: "parts" number: 14 label: LABEL_REPEATED type: TYPE_MESSAGE type_name: ".party.Part" }
+  field { name: "cause" number: 15 label: LABEL_OPTIONAL type: TYPE_MESSAGE
+          type_name: ".party.Reading" } }
+"""
+READING_MESSAGE = "party.Reading"
+
+
+def reading_descriptors() -> bytes:
+    from google.protobuf import descriptor_pb2, duration_pb2, text_format, timestamp_pb2
+
+    files = descriptor_pb2.FileDescriptorSet()
+    for module in (timestamp_pb2, duration_pb2):
+        module.DESCRIPTOR.CopyToProto(files.file.add())
+    text_format.Parse(READING, files.file.add())
+    return files.SerializeToString()
+
+
+@check("""
+SELECT nullif(event_id, 0) AS id, CAST(nullif(user_id, 0) AS INTEGER) AS user,
+       CASE WHEN event_type <> 'click' THEN upper(event_type) END AS kind,
+       CASE WHEN value <> 0 THEN value END AS value,
+       CASE WHEN value <> 0 THEN CAST(CAST(value / 2 AS FLOAT) AS DOUBLE) END AS half,
+       CASE WHEN value > 20 THEN TRUE END AS high,
+       props AS raw, CASE WHEN event_type <> 'view' THEN '' END AS note,
+       CASE WHEN event_type <> 'error' THEN ts END AS "at",
+       CAST(event_id - 5000 AS BIGINT) AS took_seconds,
+       CASE WHEN event_type = 'signup' THEN NULL ELSE -user_id END AS tag,
+       concat(event_type, event_id) AS part_name, CAST(-1 AS INTEGER) AS part_amount,
+       concat(upper(event_type), ';CLICK') AS kinds,
+       CAST(CASE WHEN event_type = 'view' THEN 0 ELSE 2 END AS INTEGER) AS n_parts,
+       CASE WHEN event_type = 'purchase' THEN nullif(user_id, 0) END AS cause,
+       CASE WHEN event_type = 'purchase' THEN nullif(event_id, 0) END AS cause_of_cause
+FROM events
+""")
+def protobuf_all_types(spark: SparkSession, tables: str) -> DataFrame:
+    """Messages with fields of every kind, in columns derived from their descriptors, and back.
+
+    Unset fields of proto3 that were sent as 0, false or empty come back as NULL, the optional one
+    does not. Purchases hold a message of their own type, which holds another.
+    """
+    form = described_format(
+        READING_MESSAGE, reading_descriptors(), {"recursive.fields.max.depth": "3"}
+    )
+    part = F.struct(
+        F.concat("event_type", "event_id").alias("name"), F.lit(-1).alias("amount")
+    )
+    kind, kind_name = F.col("event_type"), F.upper("event_type")
+    level = {
+        "user": F.col("user_id").cast("int"),
+        "kind": kind_name,
+        "half": (F.col("value") / 2).cast("float"),
+        "high": F.col("value") > 20,
+        "raw": F.col("props").cast("binary"),
+        "note": F.when(kind != "view", ""),
+        "at": F.when(kind != "error", F.col("ts")),
+        "took": F.make_dt_interval(secs=F.col("event_id") - 5000),
+        "tags": F.when(kind != "signup", F.create_map(kind, -F.col("user_id"))),
+        "by_number": F.create_map(F.lit(7), part),
+        "kinds": F.array(kind_name, F.lit("CLICK")),
+        "parts": F.when(kind != "view", F.array(part, part)),
+    }
+
+    def message(schema: StructType, **values: Column) -> Column:
+        """A struct of the schema; what is not given is unset."""
+        return F.struct(
+            *[
+                (values[f.name] if f.name in values else F.lit(None).cast(f.dataType)).alias(f.name)
+                for f in schema.fields
+            ]
+        )
+
+    schema = form.schema
+    inner = schema["cause"].dataType
+    deepest = message(inner["cause"].dataType, id=F.col("event_id"))
+    cause = message(inner, id=F.col("user_id"), cause=deepest)
+    whole = message(
+        schema,
+        id=F.col("event_id"),
+        value=F.col("value"),
+        cause=F.when(kind == "purchase", cause),
+        **level,
+    )
+    sent = events(spark, tables).select(encode_message(whole, form).alias("payload"))
+    read = sent.select(decode_message("payload", form).alias("r"))
+    return comparable(
+        read.select(
+            *[f"r.{name}" for name in ("id", "user", "kind", "value")],
+            F.col("r.half").cast("double").alias("half"),
+            "r.high",
+            F.col("r.raw").cast("string").alias("raw"),
+            "r.note",
+            "r.at",
+            F.unix_seconds(F.timestamp_seconds(F.lit(0)) + F.col("r.took")).alias("took_seconds"),
+            F.get(F.map_values("r.tags"), F.lit(0)).alias("tag"),
+            F.col("r.by_number")[7]["name"].alias("part_name"),
+            F.col("r.by_number")[7]["amount"].alias("part_amount"),
+            F.col("r.kinds").alias("kinds"),
+            F.size("r.parts").alias("n_parts"),
+            F.col("r.cause.id").alias("cause"),
+            F.col("r.cause.cause.id").alias("cause_of_cause"),
+        )
+    )
+
+
 @check(FLOW_SQL)
 def telemetry_ingest(spark: SparkSession, tables: str) -> DataFrame:
     """Publish telemetry, land it as a stream in the bucketed table, read the table."""
