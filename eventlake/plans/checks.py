@@ -341,6 +341,37 @@ def keyed_envelope(spark: SparkSession, tables: str) -> DataFrame:
     )
 
 
+@check("""
+SELECT concat('key', event_id) AS key, event_id, CAST(1 AS BIGINT) AS n_published FROM events
+""")
+def replay_safe_publish(spark: SparkSession, tables: str) -> DataFrame:
+    """A publisher crashes behind a micro-batch and publishes it again: each message is there once."""
+    work = Workspace(spark)
+    streamed = table_stream(spark, tables, "events.parquet", STREAM_BYTES)
+    made = as_events(streamed.withColumn("ts", F.col("ts").cast("timestamp")))
+    rows = to_envelope(made, json_payload(), message_key("event_id"))
+    published: list[int] = []
+
+    def crash(batch: int) -> None:
+        raise RuntimeError(f"crash after batch {batch}")
+
+    for on_batch in (crash, published.append):
+        query = publish_stream(rows, work.topic, work.checkpoint, on_batch=on_batch)
+        try:
+            query.awaitTermination()
+        except StreamingQueryException as error:
+            if on_batch is not crash or "crash after batch 0" not in str(error):
+                raise
+    if published != [0]:
+        raise AssertionError(f"batch 0 was not published again: {published}")
+    read = messages(spark, work.topic).groupBy("key").count()
+    return read.select(
+        F.col("key").cast("string").alias("key"),
+        F.substring_index(F.col("key").cast("string"), "key", -1).cast("bigint").alias("event_id"),
+        F.col("count").alias("n_published"),
+    )
+
+
 # --- telemetry --------------------------------------------------------------------------------
 
 FLOW_SQL = """

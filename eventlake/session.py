@@ -60,13 +60,49 @@ def folder_exists(spark: SparkSession, path: str) -> bool:
     return file_system.exists(folder)
 
 
-def move_folder(spark: SparkSession, source: str, target: str) -> None:
-    """Rename a folder; one step where the file system renames in one step."""
-    folder, file_system = _hadoop_path(spark, source)
-    if not file_system.rename(folder, _hadoop_path(spark, target)[0]):
+def file_sizes(spark: SparkSession, path: str) -> dict[str, int]:
+    """Name and size of the files in a folder; none if it does not exist."""
+    folder, file_system = _hadoop_path(spark, path)
+    if not file_system.exists(folder):
+        return {}
+    found = [status for status in file_system.listStatus(folder) if status.isFile()]
+    return {status.getPath().getName(): status.getLen() for status in found}
+
+
+def move_file(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a file. Stores that copy for it show the copy when it is whole."""
+    path, file_system = _hadoop_path(spark, source)
+    if not file_system.rename(path, _hadoop_path(spark, target)[0]):
         raise OSError(f"{source} could not be renamed to {target}")
 
 
+#: Ends a note, so that one that was cut short is told from a whole one.
+NOTE_END = "end"
+
+
+def write_note(spark: SparkSession, path: str, lines: list[str]) -> None:
+    """Write a small text file, in place of one that is there."""
+    file, file_system = _hadoop_path(spark, path)
+    out = file_system.create(file, True)
+    try:
+        out.write("".join(f"{line}\n" for line in [*lines, NOTE_END]).encode())
+    finally:
+        out.close()
+
+
+def read_note(spark: SparkSession, path: str) -> list[str] | None:
+    """The lines of a note; None if it is not there, or not whole."""
+    file, file_system = _hadoop_path(spark, path)
+    if not file_system.exists(file):
+        return None
+    source = file_system.open(file)
+    try:
+        lines = bytes(source.readAllBytes()).decode().splitlines()
+    finally:
+        source.close()
+    return lines[:-1] if lines[-1:] == [NOTE_END] else None
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder and what is in it, if it exists."""
     folder, file_system = _hadoop_path(spark, path)

@@ -60,7 +60,8 @@ class KafkaTopic:
 class DirectoryTopic:
     """Envelope rows in Parquet files; files already there count as the earliest messages.
 
-    Batches are files in the folder itself, a streamed micro-batch is a folder of its own below it.
+    Batches are files in the folder itself, a streamed micro-batch is a folder of its own below it,
+    whose files appear once the batch is committed.
     """
 
     path: str

@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+import shutil
+from pathlib import Path
+
 import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
@@ -83,12 +86,15 @@ def test_published_stream(spark, tmp_path):
     assert numbers(messages(spark, topic)) == list(range(30))
 
 
-def stream_of(spark, folder, first, count):
-    """A stream over a new folder of numbers."""
+def stream_of(spark, folder, first, count, files=None):
+    """A stream over a new folder of numbers, in three micro-batches, or in one of so many files."""
     path = str(folder / f"numbers-{first}")
     spark.range(first, first + count, numPartitions=3).write.parquet(path)
-    reader = spark.readStream.schema("id bigint").option("maxFilesPerTrigger", 1)
-    return to_envelope(reader.parquet(path), F.col("id").cast("string"))
+    reader = spark.readStream.schema("id bigint").option("maxFilesPerTrigger", 3 if files else 1)
+    rows = reader.parquet(path)
+    if files:
+        rows = rows.repartition(files)
+    return to_envelope(rows, F.col("id").cast("string"))
 
 
 @pytest.fixture
@@ -147,29 +153,100 @@ def test_command_line_publishers_share_a_topic(spark, tmp_path, landing, monkeyp
 
 def test_a_replayed_micro_batch_is_published_once(spark, tmp_path, landing, monkeypatch):
     topic, land = landing
-    made, checkpoint = stream_of(spark, tmp_path, 0, 12), str(tmp_path / "c")
-    whole, moves = topics.move_folder, []
-
-    def crash(at):
-        def move(*arguments):
-            moves.append(arguments)
-            if len(moves) == at:
-                raise OSError("no more")
-            whole(*arguments)
-            if len(moves) == at + 1:
-                raise OSError("too late")
+    made, checkpoint = stream_of(spark, tmp_path, 0, 12, files=6), str(tmp_path / "c")
+    whole, moves = topics.move_file, []
+
+    def crash(at, copies):
+        """Move `at` files; the next one is copied without its source being deleted, or not at all."""
+
+        def move(spark, source, target):
+            moves.append(source)
+            if len(moves) <= at:
+                return whole(spark, source, target)
+            if copies and len(moves) == at + 1:
+                shutil.copy(source, target)
+            raise OSError("no more")
 
         return move
 
-    for move in (crash(1), crash(1), crash(0)):
+    seen = []
+    monkeypatch.setattr(topics, "MOVERS", 1)
+    for move in (crash(0, False), crash(2, True), crash(1, False), crash(1, True)):
         moves.clear()
-        monkeypatch.setattr(topics, "move_folder", move)
-        with pytest.raises(StreamingQueryException):
+        monkeypatch.setattr(topics, "move_file", move)
+        with pytest.raises(StreamingQueryException, match="no more"):
             publish_stream(made, topic, checkpoint).awaitTermination()
-        land()
-    monkeypatch.setattr(topics, "move_folder", whole)
+        seen.append(len(land()))
+    # Readers meet the files as they come, each once.
+    assert seen[0] == 0 and seen == sorted(seen) and 0 < seen[1] < 12
+    monkeypatch.setattr(topics, "move_file", whole)
     publish_stream(made, topic, checkpoint).awaitTermination()
-    assert land() == list(range(12))
+    assert land() == list(range(12)) == numbers(messages(spark, topic))
+    folder = Path(topic.path)
+    assert not list((folder / "_staging").iterdir())
+    assert [note.suffix for note in (folder / "_notes").iterdir() if note.suffix != ".crc"] == [".done"]
+
+
+@pytest.mark.parametrize("moment", ["staged", "noted", "moved", "done"])
+def test_a_publisher_that_dies_loses_and_doubles_nothing(spark, tmp_path, landing, monkeypatch, moment):
+    """Before the note is whole, behind it, behind the moves, and behind all."""
+    topic, land = landing
+    rows = numbered(spark, 0, 30).repartition(5)
+    write, make, done = topics.write_note, topics.make_folder, []
+
+    def write_note(spark, path, lines):
+        if moment == "staged":
+            Path(path).parent.mkdir(parents=True, exist_ok=True)
+            Path(path).write_text("part-0000")  # cut short
+            raise OSError("died")
+        if moment == "moved" and path.endswith(".done"):
+            raise OSError("died")
+        write(spark, path, lines)
+        if moment == "done" and path.endswith(".done"):
+            raise OSError("died")
+
+    def make_folder(*arguments):
+        if moment == "noted":
+            raise OSError("died")
+        return make(*arguments)
+
+    monkeypatch.setattr(topics, "write_note", write_note)
+    monkeypatch.setattr(topics, "make_folder", make_folder)
+    for _ in range(2):
+        if moment == "done" and done:
+            break
+        with pytest.raises(OSError, match="died"):
+            topics.publish_micro_batch(rows, topic, "run", 3)
+        done.append(land())
+    monkeypatch.undo()
+    topics.publish_micro_batch(numbered(spark, 0, 30).repartition(2), topic, "run", 3)
+    topics.publish_micro_batch(numbered(spark, 0, 30).repartition(3), topic, "run", 3)
+    assert land() == list(range(30)) == numbers(messages(spark, topic))
+
+
+def test_lost_files_are_not_passed_over(spark, tmp_path, monkeypatch):
+    topic = DirectoryTopic(str(tmp_path / "news"))
+    monkeypatch.setattr(topics, "move_file", lambda *_: (_ for _ in ()).throw(OSError("died")))
+    with pytest.raises(OSError, match="died"):
+        topics.publish_micro_batch(numbered(spark, 0, 9), topic, "run", 0)
+    monkeypatch.undo()
+    shutil.rmtree(f"{topic.path}/_staging")
+    with pytest.raises(OSError, match="committed files are gone"):
+        topics.publish_micro_batch(numbered(spark, 0, 9), topic, "run", 0)
+
+
+def test_batches_of_an_earlier_version_are_not_published_again(spark, tmp_path):
+    topic = DirectoryTopic(str(tmp_path / "news"))
+    numbered(spark, 0, 9).write.parquet(f"{topic.path}/run-{7:010d}")
+    topics.publish_micro_batch(numbered(spark, 0, 9), topic, "run", 7)
+    assert numbers(messages(spark, topic)) == list(range(9))
+
+
+def test_an_empty_micro_batch(spark, tmp_path):
+    topic = DirectoryTopic(str(tmp_path / "news"))
+    for _ in range(2):
+        topics.publish_micro_batch(numbered(spark, 0, 0), topic, "run", 0)
+    assert messages(spark, topic).count() == 0
 
 
 def test_a_topic_of_sparks_own_file_sink_is_refused(spark, tmp_path):
