@@ -36,11 +36,16 @@ from eventlake.sinks.quarantine import as_messages
 from eventlake.sinks.tables import ParquetTable, event_table, flow_table, quarantine_table
 from eventlake.sinks.topics import publish, publish_stream
 from eventlake.sources.files import table_stream
+from eventlake.sources.generated import rate_batches
 from eventlake.sources.topics import DirectoryTopic, messages
 from eventlake.streaming.batches import BatchMetric
+from eventlake.streaming.progress import Progress, StopSwitch, await_end, watch
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+#: Numbers that one task of the rate source makes, about.
+RATE_ROWS_A_TASK = 1_000_000
+
 #: What one micro-batch of a streamed table may hold.
 STREAM_BYTES = 1 << 40
 
@@ -160,7 +165,11 @@ class Workspace:
         self.open.remove(self)
 
     def land_events(
-        self, table: ParquetTable, on_batch=None, quarantine: ParquetTable | None = None
+        self,
+        table: ParquetTable,
+        on_batch=None,
+        quarantine: ParquetTable | None = None,
+        switch: StopSwitch | None = None,
     ) -> StreamingQuery:
         return ingest_events(
             self.spark,
@@ -171,6 +180,7 @@ class Workspace:
             clock=pinned(),
             on_batch=on_batch or self.metrics.append,
             quarantine=quarantine,
+            switch=switch,
         )
 
     def crash_first(self, land: Callable[[Callable | None], StreamingQuery]) -> None:
@@ -700,6 +710,35 @@ def word_rows_stream(spark: SparkSession, tables: str) -> DataFrame:
     return comparable(reader.csv(f"{folder}/words"))
 
 
+@check("""
+SELECT concat('word_', event_id) AS word, TIMESTAMP '2024-06-01 12:34:56' AS "timestamp"
+FROM events WHERE event_type IN ('click', 'purchase')
+""")
+def rate_words(spark: SparkSession, tables: str) -> DataFrame:
+    """Numbers of the rate source, as many as events go up to, through the word job.
+
+    A stream of generated numbers is joined to the clicks and purchases of the table by their number,
+    so that words of these come out; one micro-batch of numbers is drained. The bound of the source
+    is the table's largest number, so the work grows with it.
+    """
+    numbered = events(spark, tables).where(F.col("event_type").isin("click", "purchase"))
+    largest = numbered.agg(F.max("event_id")).first()[0]
+    made = rate_batches(
+        spark,
+        1 if largest is None else largest + 1,
+        max(1, (largest or 0) // RATE_ROWS_A_TASK),
+    )
+    numbers = made.select("value").join(
+        numbered.select(F.col("event_id").alias("value")), "value"
+    )
+    folder = Workspace(spark).folder
+    write_words(
+        numbers, f"{folder}/words", f"{folder}/checkpoint", every=None, clock=pinned()
+    ).awaitTermination()
+    reader = spark.read.schema("word string, timestamp timestamp").option("timeZone", "UTC")
+    return comparable(reader.csv(f"{folder}/words"))
+
+
 # --- files ------------------------------------------------------------------------------------
 
 
@@ -738,6 +777,59 @@ def batch_metrics(spark: SparkSession, tables: str) -> DataFrame:
     )
 
 
+@check("""
+SELECT count(*) AS n_reported, count(*) AS n_landed, TRUE AS ranges_join, TRUE AS took_time
+FROM events
+""")
+def batch_progress(spark: SparkSession, tables: str) -> DataFrame:
+    """Spark's reports on the micro-batches of a stream that is stopped between two and restarted.
+
+    Their rows add up to the table's, each begins where the one before ended, and each took time.
+    """
+    work = Workspace(spark)
+    table = work.table(event_table)
+    rows = as_events(events(spark, tables))
+    kind = F.coalesce("event_type", F.lit(""))
+    for some in (kind == "purchase", kind == "view", ~kind.isin("purchase", "view")):
+        publish_events(rows.where(some), work.topic)
+    work.topic = DirectoryTopic(work.topic.path, max_files=1)
+    reports: list[Progress] = []
+    listener = watch(spark, reports.append)
+    try:
+        for _ in range(2):
+            switch = StopSwitch()
+            # The first stream is told to stop while its first batch is at work.
+            first = not work.metrics
+
+            def on_batch(metric: BatchMetric, switch=switch, first=first) -> None:
+                work.metrics.append(metric)
+                if first:
+                    switch.thrown.set()
+
+            query = work.land_events(table, on_batch, switch=switch)
+            await_end(query)
+            if not listener.wait(str(query.id)):
+                raise AssertionError("the end of the stream was not reported")
+            listener.ended.clear()
+            if first and len(work.metrics) != 1:
+                raise AssertionError(f"the stream went on: {work.metrics}")
+    finally:
+        spark.streams.removeListener(listener)
+    work.landed()
+    if [report.batch for report in reports] != list(range(len(reports))) or len(reports) < 3:
+        raise AssertionError(f"batches are missing: {reports}")
+    joins = [
+        earlier.sources[0].end == later.sources[0].start
+        for earlier, later in zip(reports, reports[1:], strict=False)
+    ]
+    return table.read(spark).agg(
+        F.lit(sum(report.rows for report in reports)).cast("bigint").alias("n_reported"),
+        F.count(F.lit(1)).alias("n_landed"),
+        F.lit(all(joins)).alias("ranges_join"),
+        F.lit(all(report.seconds > 0 for report in reports)).alias("took_time"),
+    )
+
+
 @check("SELECT CAST(event_id AS VARCHAR) AS id, value FROM events")
 def checkpoint_resume(spark: SparkSession, tables: str) -> DataFrame:
     """A restart lands only what was published since."""
@@ -845,6 +937,21 @@ def bucket_scan(spark: SparkSession, tables: str) -> DataFrame:
     return comparable(land_flows(spark, tables, pinned()).read(spark, flow_aui="flow_purchase"))
 
 
+@check(FLOW_SQL + """
+WHERE user_id % 2 = 0 AND event_type IN (
+  SELECT event_type FROM events WHERE event_type < 'p' GROUP BY event_type
+)
+""")
+def bucket_join(spark: SparkSession, tables: str) -> DataFrame:
+    """Join the flow table to the flows of some event types: only their buckets are read."""
+    table = land_flows(spark, tables, pinned())
+    chosen = events(spark, tables).where(F.col("event_type") < "p")
+    keys = chosen.select(F.concat(F.lit("flow_"), "event_type").alias("flow_aui"))
+    found = table.matching(spark, keys, "flow_aui")
+    user = F.substring_index("vin_hash", "VIN", -1).cast("bigint")
+    return comparable(found.where(user % 2 == 0))
+
+
 @check("""
 WITH keys AS (
   SELECT event_id, concat('flow_', event_type, '_', user_id) AS s FROM events

@@ -17,6 +17,7 @@ from eventlake.sinks.tables import LakeTable
 from eventlake.sources.topics import Topic, message_stream
 from eventlake.streaming.batches import BatchMetric, append_batches, log_batch
 from eventlake.streaming.control import JSON_EVENT_INTERVAL, TELEMETRY_INTERVAL
+from eventlake.streaming.progress import StopSwitch
 
 
 CORRUPT, WHOLE = "corrupt_message", "whole_message"
@@ -90,6 +91,7 @@ def ingest_events(
     clock: Column | None = None,
     on_batch: Callable[[BatchMetric], None] = log_batch,
     quarantine: LakeTable | None = None,
+    switch: StopSwitch | None = None,
 ) -> StreamingQuery:
     """Land JSON events; the caller waits on the query it returns.
 
@@ -99,10 +101,11 @@ def ingest_events(
     table.create(spark)
     messages = message_stream(spark, topic)
     if quarantine is None:
-        return append_batches(event_rows(messages, clock), table, checkpoint, every, on_batch)
-    quarantine.create(spark)
-    rows = event_rows_or_messages(messages, clock)
-    return append_batches(rows, Quarantine(table, quarantine), checkpoint, every, on_batch)
+        rows, sink = event_rows(messages, clock), table
+    else:
+        quarantine.create(spark)
+        rows, sink = event_rows_or_messages(messages, clock), Quarantine(table, quarantine)
+    return append_batches(rows, sink, checkpoint, every, on_batch, switch)
 
 
 def ingest_telemetry(
@@ -118,6 +121,7 @@ def ingest_telemetry(
     on_batch: Callable[[BatchMetric], None] = log_batch,
     options: Mapping[str, str] = READ_OPTIONS,
     quarantine: LakeTable | None = None,
+    switch: StopSwitch | None = None,
 ) -> StreamingQuery:
     """Land Protobuf telemetry; the caller waits on the query it returns.
 
@@ -127,8 +131,9 @@ def ingest_telemetry(
     table.create(spark)
     messages = message_stream(spark, topic)
     if quarantine is None:
-        rows = flow_rows(messages, clock, drop_null, form, engine, options)
-        return append_batches(rows, table, checkpoint, every, on_batch)
-    quarantine.create(spark)
-    rows = flow_rows_or_messages(messages, clock, drop_null, form, engine, options)
-    return append_batches(rows, Quarantine(table, quarantine), checkpoint, every, on_batch)
+        rows, sink = flow_rows(messages, clock, drop_null, form, engine, options), table
+    else:
+        quarantine.create(spark)
+        rows = flow_rows_or_messages(messages, clock, drop_null, form, engine, options)
+        sink = Quarantine(table, quarantine)
+    return append_batches(rows, sink, checkpoint, every, on_batch, switch)

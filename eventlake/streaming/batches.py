@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from eventlake.streaming.control import trigger
+from eventlake.streaming.progress import StopSwitch
 
 log = logging.getLogger(__name__)
 
@@ -55,16 +56,20 @@ def append_batches(
     checkpoint: str,
     every: str | None,
     on_batch: Callable[[BatchMetric], None] = log_batch,
+    switch: StopSwitch | None = None,
 ) -> StreamingQuery:
     """Append each micro-batch of `stream` to `sink`, then report it to `on_batch`.
 
     The append and the checkpoint commit are separate steps, so a crash in between replays the
     batch. The sink is told the query id, which outlives restarts from the same checkpoint, and
-    the batch id, and lands each pair once. It counts the rows while it writes them.
+    the batch id, and lands each pair once. It counts the rows while it writes them. A `switch` ends
+    the stream between two batches.
     """
     run: Future[str] = Future()
 
     def land(rows: DataFrame, batch: int) -> None:
+        if switch is not None:
+            switch.begin_batch()
         landed = sink.append(rows, run.result(), batch)
         if not isinstance(landed, Landed):
             landed = Landed(landed)

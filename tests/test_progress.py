@@ -1,0 +1,128 @@
+"""Reports of running streams, and stopping them between two micro-batches."""
+
+from __future__ import annotations
+
+import threading
+import time
+
+import pytest
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import functions as F
+
+from eventlake.plans.ingest import ingest_events
+from eventlake.plans.produce import publish_events
+from eventlake.sinks.tables import ParquetTable, event_table
+from eventlake.sources.topics import DirectoryTopic
+from eventlake.streaming.progress import StopSwitch, await_end, watch
+
+
+class Job:
+    def __init__(self, spark, folder, name):
+        self.spark, self.folder = spark, folder
+        self.topic = DirectoryTopic(str(folder / "topic"), max_files=1)
+        self.table = ParquetTable(event_table(name), str(folder / "table"))
+
+    def publish(self, first, count, files=1):
+        rows = self.spark.range(first, first + count, numPartitions=files)
+        publish_events(
+            rows.select(
+                F.col("id").cast("string").alias("id"),
+                F.lit("2024-01-01T00:00:00Z").cast("timestamp").alias("timestamp"),
+                F.col("id").cast("double").alias("value"),
+            ),
+            self.topic,
+        )
+
+    def start(self, on_batch=lambda metric: None, every=None, switch=None):
+        return ingest_events(
+            self.spark, self.topic, self.table, str(self.folder / "checkpoint"), every=every,
+            on_batch=on_batch, switch=switch,
+        )
+
+    def ids(self):
+        return sorted(int(r.id) for r in self.table.read(self.spark).collect())
+
+
+@pytest.fixture
+def job(spark, tmp_path, table_name):
+    return Job(spark, tmp_path, table_name)
+
+
+def test_reports(spark, job):
+    job.publish(0, 30, files=3)
+    reports = []
+    listener = watch(spark, reports.append)
+    try:
+        query = job.start()
+        query.awaitTermination()
+        assert listener.wait(str(query.id))
+    finally:
+        spark.streams.removeListener(listener)
+    assert [(p.batch, p.rows) for p in reports] == [(0, 10), (1, 10), (2, 10)]
+    assert {p.run for p in reports} == {query.id} and all(p.seconds > 0 for p in reports)
+    ranges = [p.sources[0] for p in reports]
+    assert ranges[0].start is None and [r.end for r in ranges] == [{"logOffset": n} for n in range(3)]
+    assert [r.start for r in ranges[1:]] == [r.end for r in ranges[:-1]]
+    assert all("topic" in r.source and r.rows == 10 for r in ranges)
+
+
+def test_a_stop_during_a_batch_waits_for_its_end(job):
+    job.publish(0, 50, files=5)
+    switch, landed = StopSwitch(), []
+    at_work, go_on = threading.Event(), threading.Event()
+
+    def on_batch(metric):
+        landed.append(metric.batch)
+        if metric.batch == 1:
+            at_work.set()
+            go_on.wait(20)
+
+    query = job.start(on_batch, switch=switch)
+    assert at_work.wait(30)
+    stopping = threading.Thread(target=switch.stop, args=(query,))
+    stopping.start()
+    time.sleep(0.3)
+    assert query.isActive
+    go_on.set()
+    stopping.join(30)
+    assert not query.isActive and landed == [0, 1]
+    await_end(query)
+    assert len(job.ids()) == 20
+    # The batch that ended the stream is the next one's first; nothing is lost or there twice.
+    job.start(lambda metric: landed.append(metric.batch)).awaitTermination()
+    assert landed == [0, 1, 2, 3, 4] and job.ids() == list(range(50))
+
+
+def test_an_idle_stream_is_stopped(job):
+    job.publish(0, 5)
+    switch, landed = StopSwitch(), threading.Event()
+    query = job.start(lambda metric: landed.set(), every="1 hour", switch=switch)
+    assert landed.wait(30)
+    assert switch.stop(query, 30)
+    await_end(query)
+    assert job.ids() == list(range(5))
+
+
+def test_a_stop_gives_up_in_time(job):
+    job.publish(0, 5)
+    switch, at_work, go_on = StopSwitch(), threading.Event(), threading.Event()
+
+    def on_batch(metric):
+        at_work.set()
+        go_on.wait(20)
+
+    query = job.start(on_batch, switch=switch)
+    assert at_work.wait(30)
+    assert not switch.stop(query, 0.2)
+    go_on.set()
+    await_end(query)
+
+
+def test_other_errors_are_raised(job):
+    job.publish(0, 5)
+
+    def fail(metric):
+        raise RuntimeError("of its own")
+
+    with pytest.raises(StreamingQueryException, match="of its own"):
+        await_end(job.start(fail, switch=StopSwitch()))

@@ -1,7 +1,10 @@
 from __future__ import annotations
 
 import datetime as dt
-from threading import Event
+import re
+from collections import Counter
+from pathlib import Path
+from statistics import median
 
 import pyarrow.parquet as pq
 import pytest
@@ -17,7 +20,9 @@ from eventlake.sinks.tables import (
     TableSpec,
     event_table,
     flow_table,
+    hot_pieces,
     open_table,
+    partition_mark,
 )
 
 FLOW_DECLARED = (
@@ -213,6 +218,82 @@ def test_a_hot_partition_is_split_over_writers(spark, tmp_path, table_name):
     assert table.read(spark).count() == 60_000
 
 
+@pytest.mark.parametrize("sketch_first", [True, False])
+def test_a_hot_flow_from_two_map_tasks_is_written_by_many(spark, tmp_path, table_name, sketch_first):
+    """Two thirds of the rows are one flow's. The second batch knows it from the first."""
+    table = ParquetTable(flow_table(table_name), str(tmp_path / "t"), sketch_first=sketch_first)
+    table.create(spark)
+    keys = ["hot", "hot"] * 40 + [f"k{i}" for i in range(40)]
+    settings = {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "300k",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "100k",
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.shuffle.partitions": "64",
+    }
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        for batch in range(1 if sketch_first else 2):
+            pad = F.sha2(F.col("correlation_ids")[0], 512)
+            rows = flows(spark, 60_000, keys).withColumn("vin_hash", pad).coalesce(2)
+            assert table.append(rows, "run", batch) == 60_000
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+    rows_of_tasks = Counter()
+    for file in (tmp_path / "t" / "ingest_run=run" / f"ingest_batch={batch}").rglob("*.parquet"):
+        # part-<task>-…: what one task wrote, over all partitions.
+        rows_of_tasks[file.name.split("-")[1]] += pq.read_metadata(file).num_rows
+    assert len(rows_of_tasks) > 8
+    assert max(rows_of_tasks.values()) <= 2 * median(rows_of_tasks.values())
+    assert table.read(spark).count() == 60_000 * (batch + 1)
+    mark = spark.range(1).select(partition_mark([F.lit(bucket_of(16, "hot"))])).first()[0]
+    assert table.hot[mark] == max(table.hot.values()) > 30
+
+
+def test_no_partition_is_hot_among_equals():
+    assert hot_pieces([(1, 10), (2, 11), (3, 9)], 30, 200) == {}
+    assert hot_pieces([(1, 100), (2, 10), (3, 10)], 120, 12) == {1: 10}
+    assert hot_pieces([(7, 50)], 50, 8) == {7: 8}
+    assert hot_pieces([], 0, 8) == {}
+
+
+def test_hot_rows_land_once_after_lost_tasks(spark, tmp_path, table_name):
+    """The salt is a hash of the row, so a task that runs again sends it to the same writer."""
+    table = ParquetTable(flow_table(table_name), str(tmp_path / "t"), sketch_first=True)
+    table.create(spark)
+    rows = flows(spark, 3000, ["hot", "hot", "b", "c", "d"])
+    rows = rows.withColumn("vin_hash", fails_at_first(F.col("asset_id")))
+    assert table.append(rows, "run", 0) == 3000
+    assert table.hot
+    assert numbers(table.read(spark)) == list(range(3000))
+
+
+def test_joins_read_the_buckets_of_their_keys(spark, tmp_path, table_name, monkeypatch):
+    table = ParquetTable(flow_table(table_name), str(tmp_path / "t"))
+    table.create(spark)
+    keys = [*"abcdefghij", None]
+    table.append(flows(spark, 110, keys), "run", 0)
+    wanted = spark.createDataFrame([("a", 1), ("a", 2), ("c", 1), (None, 1), ("none", 1)], "flow_aui string, n int")
+    expected = [i for i in range(110) if keys[i % 11] in ("a", "c")]
+    found = table.matching(spark, wanted, "flow_aui")
+    assert found.columns == table.spec.columns.names
+    assert numbers(found) == expected
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan.lower()
+    buckets = {bucket_of(16, key) for key in ("a", "c", "none")}
+    scanned = {str(Path(file).parent).split("flow_aui_bucket=")[1].split("/")[0] for file in found.inputFiles()}
+    assert len(buckets) < len({bucket_of(16, key) for key in "abcdefghij"}) and scanned
+    monkeypatch.setattr(tables, "BROADCAST_KEYS", 1)
+    many = table.matching(spark, wanted, "flow_aui")
+    assert numbers(many) == expected
+    plan = many._jdf.queryExecution().executedPlan().toString()
+    (filters,) = re.findall(r"PartitionFilters: \[([^\]]*)\]", plan)
+    assert all(str(number) in filters for number in buckets) and "flow_aui_bucket" in filters
+    assert numbers(table.matching(spark, wanted.where("n > 5"), "flow_aui")) == []
+
+
 @pytest.mark.parametrize("spec", [event_table, flow_table])
 def test_append_counts_rows_and_takes_empty_batches(spark, tmp_path, table_name, spec):
     table = ParquetTable(spec(table_name), str(tmp_path / "t"))
@@ -293,36 +374,135 @@ def test_lost_tasks_neither_drop_nor_repeat_rows(spark, tmp_path, table_name, sp
     assert sorted(landed) == list(range(100))
 
 
-class Snapshots:
-    """Stands in for the session, the frame and the writer of an Iceberg append."""
+class Lake:
+    """Stands in for a session with an Iceberg table, its snapshots and its ledger.
+
+    It is the frame and the writer of an append as well. Tables are asked as frames of Spark's.
+    """
 
-    def __init__(self, spark, landed):
-        self.spark, self.landed, self.calls = spark, landed, []
+    def __init__(self, spark):
+        self.spark, self.calls, self.clock = spark, [], dt.datetime(2024, 1, 1)
         self.sparkSession, self.columns = self, EVENT_COLUMNS.names
+        self.snapshots, self.entries, self.tags, self.crash = [], {}, {}, None
+
+    def tick(self):
+        self.clock += dt.timedelta(minutes=1)
+        return self.clock
 
     def table(self, name):
-        self.calls.append(("table", name))
-        rows = [({"ingest-run": "run", "ingest-batch": "6", "added-records": "1"},), *self.landed]
-        return self.spark.createDataFrame(rows, "summary map<string, string>")
+        if name == "lake.db.events.snapshots":
+            kind = "summary map<string, string>, committed_at timestamp, parent_id long"
+            return self.spark.createDataFrame(self.snapshots, kind)
+        assert name == "lake.db.events_ledger"
+        rows = [(run, *entry) for run, entry in self.entries.items()]
+        kind = "ingest_run string, ingest_batch long, landed_rows long, landed_at timestamp"
+        return self.spark.createDataFrame(rows, kind)
+
+    def createDataFrame(self, rows, kind):
+        ((run, batch, n),) = rows
+        return Entry(self, run, batch, n)
+
+    def expire(self, keep):
+        self.snapshots = self.snapshots[-keep:]
+
+    def select(self, *names):
+        return self
+
+    def writeTo(self, name):
+        assert name == "lake.db.events"
+        self.tags = {}
+        return self
+
+    def option(self, name, value):
+        self.tags[name.removeprefix("snapshot-property.")] = value
+        return self
 
     def append(self):
-        self.calls.append(("append",))
-        options = [call for call in self.calls if call[0] == "option"]
-        tags = {name.removeprefix("snapshot-property."): value for _, name, value in options}
-        self.landed.append((tags | {"added-records": "5"},))
+        parent = len(self.calls) or None
+        self.calls.append(dict(self.tags))
+        self.snapshots.append((self.tags | {"added-records": "5"}, self.tick(), parent))
+
 
-    def __getattr__(self, name):
-        return lambda *args: self.calls.append((name, *args)) or self
+class Entry:
+    def __init__(self, lake, *values):
+        self.lake, self.values = lake, values
 
+    def select(self, *columns):
+        return self
 
-def test_iceberg_append_lands_a_tagged_batch_once(spark):
-    rows = Snapshots(spark, [])
-    table = IcebergTable(event_table("lake.db.events"))
-    assert [table.append(rows, "run", 7) for _ in range(2)] == [5, 5]
-    assert rows.calls.count(("append",)) == 1
-    assert ("writeTo", "lake.db.events") in rows.calls
-    tables = {call[1] for call in rows.calls if call[0] == "table"}
-    assert tables == {"lake.db.events.snapshots"}
+    def writeTo(self, name):
+        assert name == "lake.db.events_ledger"
+        return self
+
+    def overwritePartitions(self):
+        if self.lake.crash:
+            raise self.lake.crash
+        run, batch, n = self.values
+        self.lake.entries[run] = (batch, n, self.lake.tick())
+
+
+@pytest.fixture
+def lake(spark):
+    return Lake(spark)
+
+
+ICEBERG = IcebergTable(event_table("lake.db.events"))
+
+
+def test_iceberg_append_lands_a_batch_once(lake):
+    assert [ICEBERG.append(lake, "run", batch) for batch in (6, 7, 7)] == [5, 5, 5]
+    assert ICEBERG.append(lake, "run", 6) == 0
+    assert lake.calls == [{"ingest-run": "run", "ingest-batch": b} for b in ("6", "7")]
+    assert ICEBERG.append(lake, "other", 0) == 5
+    assert {run: entry[0] for run, entry in lake.entries.items()} == {"run": 7, "other": 0}
+
+
+def test_iceberg_replay_after_the_tags_are_gone(lake):
+    for batch in range(3):
+        ICEBERG.append(lake, "run", batch)
+    lake.snapshots.append(({}, lake.tick(), 3))
+    lake.expire(1)
+    assert ICEBERG.append(lake, "run", 2) == 5
+    assert len(lake.calls) == 3
+
+
+def test_iceberg_crash_between_table_and_ledger(lake):
+    ICEBERG.append(lake, "run", 0)
+    lake.crash = RuntimeError("crash")
+    with pytest.raises(RuntimeError, match="crash"):
+        ICEBERG.append(lake, "run", 1)
+    lake.crash = None
+    # The tags tell, and the ledger is mended.
+    assert ICEBERG.append(lake, "run", 1) == 5
+    assert len(lake.calls) == 2 and lake.entries["run"][0] == 1
+
+
+def test_iceberg_says_so_if_nobody_can_tell(lake):
+    ICEBERG.append(lake, "run", 0)
+    lake.crash = RuntimeError("crash")
+    with pytest.raises(RuntimeError, match="crash"):
+        ICEBERG.append(lake, "run", 1)
+    lake.crash = None
+    lake.snapshots.append(({}, lake.tick(), 2))
+    lake.expire(1)
+    with pytest.raises(RuntimeError, match="batch 1 of run run may have landed"):
+        ICEBERG.append(lake, "run", 1)
+    assert len(lake.calls) == 2
+
+
+def test_iceberg_expiry_before_the_last_entry_is_no_doubt(lake):
+    for batch in range(4):
+        ICEBERG.append(lake, "run", batch)
+    lake.expire(2)
+    assert ICEBERG.append(lake, "run", 4) == 5
+    assert len(lake.calls) == 5
+
+
+def test_iceberg_ledger_is_asked_by_partition_only():
+    assert ICEBERG.ledger.iceberg_ddl() == (
+        "CREATE TABLE IF NOT EXISTS lake.db.events_ledger (`ingest_run` string, `ingest_batch` "
+        "bigint, `landed_rows` bigint, `landed_at` timestamp) USING iceberg PARTITIONED BY (`ingest_run`)"
+    )
 
 
 def test_iceberg_reads_by_key(spark):
@@ -336,12 +516,7 @@ def test_iceberg_reads_by_key(spark):
 def test_an_observation_that_never_comes_does_not_stop_the_append(
     spark, tmp_path, table_name, monkeypatch
 ):
-    class Silent(tables.Observation):
-        @property
-        def get(self):
-            Event().wait()
-
-    monkeypatch.setattr(tables, "Observation", Silent)
+    monkeypatch.setattr(tables, "told", lambda observation: False)
     monkeypatch.setattr(tables, "METRIC_WAIT", 0.2)
     table = ParquetTable(flow_table(table_name), str(tmp_path / "t"))
     table.create(spark)
