@@ -1,12 +1,17 @@
 """Secret scans that also look into encoded layers.
 
-Every text starts a worklist. A layer is scanned, then unwrapped in every way that applies: percent
-escapes and character escapes are undone over the whole layer, base64 runs are decoded, and decoded
-bytes that are a compressed stream are inflated. Each result is a new layer, until nothing new comes.
-A layer that was met before, with the same text from the same place, is not taken again, so layers
-that unwrap to themselves end. Each character of a layer knows the span of the original text it came
-from, and what is found in a layer is reported as a span of the original.
-"""
+Every text starts a worklist of layers. A layer is scanned, then unwrapped in every way that applies:
+percent escapes and character escapes are undone over the whole layer, base64 runs are decoded. An
+escape that gives the first character of another is followed to its end at once, so texts with
+thousands of nested escapes take one layer. Each result is a new layer, until nothing new comes; a
+layer that was met before, with the same text from the same place, is not taken again. Each character
+of a layer knows the span of the original text it came from, and what is found in a layer is reported
+as a span of the original.
+
+Layers of bytes may hold compressed streams. These wait on a stack of their own and are read in
+windows, each of which starts a worklist again. A window that a text has shown before is not scanned
+again, and a stream that was met before is not opened again.
+""" 
 
 from __future__ import annotations
 
@@ -41,10 +46,20 @@ ACCESS_LEAST = 16
 HEX = re.compile(r"[0-9a-f]{32,}")
 
 PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
+BYTE = re.compile(r"%([0-9A-Fa-f]{2})")
 ESCAPE = re.compile(
     r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})"
-    r"|&#x([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});"
+    r"|&#x([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});|%u([0-9A-Fa-f]{4})"
 )
+#: What makes an escape behind each first character; the decimal one is the named group.
+TAILS = {
+    "%": re.compile(r"([0-9A-Fa-f]{2})|u([0-9A-Fa-f]{4})"),
+    "\\": re.compile(
+        r"u\{([0-9A-Fa-f]{1,6})\}|u([0-9A-Fa-f]{4})|U([0-9A-Fa-f]{8})|x([0-9A-Fa-f]{2})"
+    ),
+    "&": re.compile(r"#x([0-9A-Fa-f]{1,6});|#(?P<decimal>[0-9]{1,7});"),
+}
+FIRST = re.compile(r"%(?:25|26|5[Cc])")
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 SAFE_ALPHABET = str.maketrans("-_", "+/")
 #: Lines of base64 that only line breaks, real or written as escapes, keep apart.
@@ -62,8 +77,6 @@ COMPRESSED = re.compile(
     r"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]|BZh[1-9](?:1AY&SY|\x17rE8P\x90)|\xfd7zXZ\x00"
     r"|\x28\xb5\x2f\xfd|[\x50-\x5f]\x2a\x4d\x18"
 )
-#: Bytes that a compressed layer may inflate to; beyond it the layer stays closed. None: any number.
-MOST_INFLATED: int | None = None
 #: Bytes of an inflated layer that are scanned at once, and those that the next window sees again.
 WINDOW, OVERLAP = 1 << 20, 1 << 16
 #: Bytes that a decompressor gets at once, which bounds what zlib and Zstandard return at once.
@@ -103,80 +116,127 @@ def matches(text: str) -> Iterator[tuple[str, int, int]]:
         yield "hex", *found.span()
 
 
-def spliced(layer: Layer, parts: list[tuple[int, int, str, list[int]]]) -> Layer:
-    """The layer with parts replaced: start, end, new text, and the offset of each new character.
+@dataclass
+class Part:
+    """A part of a layer and the text that takes its place; `edges` are the places in the layer where
+    the new characters begin, and the end of the last."""
 
-    Offsets count characters of the part and end with its length.
-    """
-    text, starts, ends, at = [], [], [], 0
-    for start, end, new, offsets in parts:
-        for array, kept in zip((starts, ends), layer.places(at, start), strict=True):
-            array.append(kept)
-        text += [layer.text[at:start], new]
-        spans = [
-            layer.span(start + low, start + high)
-            for low, high in zip(offsets, offsets[1:], strict=False)
-        ]
-        starts.append(np.array([low for low, _ in spans], np.int64))
-        ends.append(np.array([high for _, high in spans], np.int64))
-        at = end
-    for array, kept in zip((starts, ends), layer.places(at, len(layer.text)), strict=True):
-        array.append(kept)
-    text.append(layer.text[at:])
-    return Layer("".join(text), np.concatenate(starts), np.concatenate(ends), layer.depth + 1)
+    start: int
+    end: int
+    new: str
+    edges: list[int]
+
+
+def spliced(layer: Layer, parts: list[Part], text: str | None = None) -> Layer:
+    """The layer with parts replaced; `text` stands in for its text, character by character."""
+    text = layer.text if text is None else text
+    pieces, lows, highs, at = [], [], [], 0
+    for part in [*parts, Part(len(text), len(text), "", [])]:
+        kept = np.arange(at, part.start)
+        pieces += [text[at : part.start], part.new]
+        lows += [kept, part.edges[:-1]]
+        highs += [kept + 1, part.edges[1:]]
+        at = part.end
+    low, high = (np.concatenate(edges).astype(np.int64) for edges in (lows, highs))
+    # Characters keep the order of what they come from.
+    if layer.starts is not None:
+        low, high = layer.starts[low], layer.ends[high - 1]
+    return Layer("".join(pieces), low, high, layer.depth + 1)
+
+
+def code_of(found: re.Match, decimal: bool) -> int:
+    return int(next(group for group in found.groups() if group), 10 if decimal else 16)
+
+
+def followed(text: str, code: int, end: int) -> tuple[int, int]:
+    """The character that an escape comes to, if it gives the first one of another, and its end."""
+    while code < 128 and (tail := TAILS.get(chr(code))) and (found := tail.match(text, end)):
+        code, end = code_of(found, "decimal" in (found.lastgroup or "")), found.end()
+    return code, end
 
 
 def without_percent(layer: Layer) -> Iterator[Layer]:
-    """Percent escapes undone, each a byte; runs around compressed bytes also as a layer each."""
-    if "%" not in layer.text:
+    """Percent escapes undone, each a byte; with pluses beside them as spaces, too.
+
+    Runs around compressed bytes are also a layer each.
+    """
+    text = layer.text
+    if "%" not in text:
         return
-    parts = []
-    for found in PERCENT.finditer(layer.text):
-        new = bytes.fromhex(found.group().replace("%", "")).decode("latin-1")
-        parts.append((*found.span(), new, list(range(0, 3 * len(new) + 1, 3))))
+    parts: list[Part] = []
+    found = PERCENT.search(text)
+    while found:
+        start, end = found.span()
+        run = found.group()
+        if not FIRST.search(run):
+            new = bytes.fromhex(run.replace("%", "")).decode("latin-1")
+            edges = list(range(start, end + 1, 3))
+        else:
+            codes, edges, at = [], [start], start
+            while escape := BYTE.match(text, at):
+                code, at = followed(text, int(escape.group(1), 16), escape.end())
+                if not character(code):
+                    # Half of a surrogate pair, or no character at all: only the byte is undone.
+                    code, at = int(escape.group(1), 16), escape.end()
+                codes.append(chr(code))
+                edges.append(at)
+            new, end = "".join(codes), at
+        parts.append(Part(start, end, new, edges))
+        found = PERCENT.search(text, end)
     if not parts:
         return
     yield spliced(layer, parts)
-    end = 0
-    for place, (start, *_) in enumerate(parts):
-        if start < end:
+    end, spaced = 0, list(text)
+    for place, part in enumerate(parts):
+        if part.start < end:
             continue
-        before, end = end, PERCENT_RUN.match(layer.text, start).end()
-        while start > before and "!" <= layer.text[start - 1] <= "~":
+        start, before = part.start, end
+        end = max(part.end, PERCENT_RUN.match(text, start).end())
+        while start > before and "!" <= text[start - 1] <= "~":
             start -= 1
-        run = layer.text[start:end]
+        run = text[start:end]
         inner = [
-            (low - start, high - start, new, offsets)
-            for low, high, new, offsets in parts[place : bisect_left(parts, (end,))]
+            Part(p.start - start, p.end - start, p.new, [edge - start for edge in p.edges])
+            for p in parts[place : bisect_left(parts, end, key=lambda p: p.start)]
         ]
         starts, ends = layer.places(start, end)
         # A plus that is not escaped may be a space.
-        for text in {run, run.replace("+", " ")}:
-            new = spliced(Layer(text, starts, ends, layer.depth), inner)
+        spaced[start:end] = run.replace("+", " ")
+        for some in {run, run.replace("+", " ")}:
+            new = spliced(Layer(some, starts, ends, layer.depth), inner)
             if COMPRESSED.search(new.text):
                 yield replace(new, close=int(ends[-1]))
+    if (form := "".join(spaced)) != text:
+        yield spliced(layer, parts, form)
+
+
+def character(code: int) -> bool:
+    return code < 0xD800 or 0xE000 <= code < 0x110000
 
 
 def without_escapes(layer: Layer) -> Iterator[Layer]:
     """Character escapes undone; two that are a surrogate pair are one character."""
-    if "\\" not in layer.text and "&#" not in layer.text:
+    text = layer.text
+    if "\\" not in text and "&#" not in text and "%u" not in text:
         return
-    parts: list[tuple[int, int, str, list[int]]] = []
-    for found in ESCAPE.finditer(layer.text):
-        digits = next(group for group in found.groups() if group)
-        code = int(digits, 10 if found.group(6) else 16)
+    parts: list[Part] = []
+    found = ESCAPE.search(text)
+    while found:
         start, end = found.span()
+        code, end = followed(text, code_of(found, found.group(6) is not None), end)
         before = parts[-1] if parts else None
-        if 0xDC00 <= code < 0xE000 and before and before[1] == start and len(before[2]) == 1:
-            high = ord(before[2])
+        if 0xDC00 <= code < 0xE000 and before and before.end == start and len(before.new) == 1:
+            high = ord(before.new)
             if 0xD800 <= high < 0xDC00:
                 pair = chr(0x10000 + (high - 0xD800 << 10) + code - 0xDC00)
-                parts[-1] = (before[0], end, pair, [0, end - before[0]])
+                parts[-1] = Part(before.start, end, pair, [before.start, end])
+                found = ESCAPE.search(text, end)
                 continue
         if code < 0x110000:
-            parts.append((start, end, chr(code), [0, end - start]))
+            parts.append(Part(start, end, chr(code), [start, end]))
+        found = ESCAPE.search(text, end)
     # Half of a surrogate pair alone is no character.
-    parts = [part for part in parts if not 0xD800 <= ord(part[2]) < 0xE000]
+    parts = [part for part in parts if character(ord(part.new))]
     if parts:
         yield spliced(layer, parts)
 
@@ -251,37 +311,47 @@ def inflated(source: list[memoryview]) -> Iterator[bytes]:
     return used, early
 
 
-def content(data: memoryview, within: frozenset) -> tuple[dict[str, int], int, bool]:
-    """Least depth of each kind in an inflated layer, its bytes, and whether its end is missing.
-
-    The layer is scanned in overlapping windows. One that ends within another compressed stream is
-    made larger until that stream ends.
-    """
-    kinds: dict[str, int] = {}
-    if MOST_INFLATED is not None and sum(map(len, inflated([data]))) > MOST_INFLATED:
-        return kinds, len(data), False
-    pieces, held, size, ended = iter(inflated([data])), bytearray(), WINDOW, None
+def measured(data: memoryview) -> tuple[int, bool, bytes | None]:
+    """How many bytes the streams take, whether the last ends early, and their content if it is small."""
+    held, pieces = bytearray(), iter(inflated([data]))
     while True:
-        while len(held) < size and ended is None:
+        try:
+            piece = next(pieces)
+        except StopIteration as stop:
+            used, early = stop.value or (len(data), False)
+            return used, early, None if held is None else bytes(held)
+        if held is not None:
+            held += piece
+            if len(held) > WINDOW:
+                held = None
+
+
+class Windows:
+    """The content of a compressed stream, in overlapping windows."""
+
+    def __init__(self, data: bytes, content: bytes | None):
+        self.pieces = iter([content]) if content is not None else iter(inflated([memoryview(data)]))
+        self.held, self.size, self.last = bytearray(), WINDOW, False
+
+    def current(self) -> bytes:
+        while len(self.held) < self.size and not self.last:
             try:
-                held += next(pieces)
-            except StopIteration as stop:
-                ended = stop.value or (len(data), False)
-        held = bytearray(SPACES.sub(FEW_SPACES, held))
-        if len(held) < size and ended is None:
-            continue
-        found, early = layers_of(held.decode("latin-1"), within)
-        if early and ended is None:
-            size = 2 * len(held)
-            continue
-        for (kind, _, _), depth in found.items():
-            kinds[kind] = min(depth, kinds.get(kind, depth))
-        if ended is not None:
-            return kinds, *ended
-        cut = len(held) - OVERLAP
+                self.held += next(self.pieces)
+            except StopIteration:
+                self.last = True
+            if len(self.held) >= self.size or self.last:
+                self.held = bytearray(SPACES.sub(FEW_SPACES, self.held))
+        return bytes(self.held)
+
+    def enlarge(self) -> None:
+        """The window ends within something that has to be seen whole."""
+        self.size = 2 * len(self.held)
+
+    def advance(self) -> None:
+        cut = len(self.held) - OVERLAP
         # A window starts with a line if one starts nearby.
-        cut = held.find(b"\n", cut, cut + OVERLAP // 2) + 1 or cut
-        held, size = held[cut:], WINDOW
+        cut = self.held.find(b"\n", cut, cut + OVERLAP // 2) + 1 or cut
+        self.held, self.size = self.held[cut:], WINDOW
 
 
 def opens(head: memoryview) -> bool:
@@ -295,22 +365,30 @@ def opens(head: memoryview) -> bool:
             return stop.value is not None and stop.value[1]
 
 
-def compressed(layer: Layer, within: frozenset):
-    """Start, end, least depths by kind, and whether the end is missing, of compressed streams."""
+@dataclass(frozen=True)
+class Stream:
+    """A compressed stream in a layer, or several in a row."""
+
+    data: bytes
+    content: bytes | None  # if it is small
+    span: tuple[int, int]
+    depth: int
+    cut: bool  # whether its end is missing
+
+
+def streams_in(layer: Layer) -> Iterator[Stream]:
     if layer.close is None or not (found := COMPRESSED.search(layer.text)):
         return
     data = memoryview(layer.text.encode("latin-1"))
-    digest = hashlib.sha256(data).digest()
     while found:
         start = at = found.start()
-        name = (digest, start)
-        if name not in within and opens(data[start : start + STEP]):
-            kinds, used, early = content(data[start:], within | {name})
+        if opens(data[start : start + STEP]):
+            used, early, content = measured(data[start:])
             at += used
             low, high = layer.span(start, max(at, start + 1))
             if at == len(data):
                 high = max(high, layer.close)
-            yield low, high, kinds, early
+            yield Stream(bytes(data[start:at]), content, (low, high), layer.depth + 1, early)
         found = COMPRESSED.search(layer.text, max(at, start + 1))
 
 
@@ -365,32 +443,75 @@ def from_base64(layer: Layer) -> Iterator[Layer]:
 UNWRAP = (without_percent, without_escapes, without_nuls, from_base64)
 
 
-def layers_of(
-    text: str, within: frozenset = frozenset()
-) -> tuple[dict[tuple[str, int, int], int], bool]:
-    """Least depth by kind, start and end, and whether a compressed stream is cut by the end.
+def digest(data: bytes | str) -> bytes:
+    if isinstance(data, str):
+        data = data.encode("utf-8", "surrogatepass")
+    return hashlib.sha256(data).digest()
 
-    `within` names the compressed streams that the text was inflated from.
-    """
+
+def unwrapped(
+    text: str, raw: bool = False
+) -> tuple[dict[tuple[str, int, int], int], list[Stream]]:
+    """Least depth by kind, start and end in all layers of a text that take no inflating, and the
+    compressed streams in them. `raw`: the characters are bytes."""
     found: dict[tuple[str, int, int], int] = {}
-    early = False
-    work, met = deque([Layer(text, close=len(text) if within else None)]), {(text, 0, len(text))}
+    streams: list[Stream] = []
+    work = deque([Layer(text, close=len(text) if raw else None)])
+    met = {(digest(text), 0, len(text))}
     while work:
         layer = work.popleft()
         for kind, start, end in matches(layer.text):
             name = (kind, *layer.span(start, end))
             found[name] = min(layer.depth, found.get(name, layer.depth))
-        for low, high, kinds, cut in compressed(layer, within):
-            early |= cut and high >= len(text) - 4
-            for kind, depth in kinds.items():
-                name, depth = (kind, low, high), layer.depth + 1 + depth
-                found[name] = min(depth, found.get(name, depth))
+        streams += streams_in(layer)
         for unwrap in UNWRAP:
             for new in unwrap(layer):
-                if new.text and (name := (new.text, *new.span(0, len(new.text)))) not in met:
-                    met.add(name)
-                    work.append(new)
-    return found, early
+                if new.text:
+                    name = (digest(new.text), *new.span(0, len(new.text)))
+                    if name not in met:
+                        met.add(name)
+                        work.append(new)
+    return found, streams
+
+
+def layers_of(text: str) -> dict[tuple[str, int, int], int]:
+    """Least depth by kind, start and end of all secrets in a text and its layers."""
+    found, streams = unwrapped(text)
+    #: Streams that are being read, each within the one before, and what has been read and opened.
+    open_: list[tuple[Windows, tuple[int, int], int]] = []
+    ends: dict[tuple, bool] = {}
+    met: set[tuple] = set()
+
+    def enter(some: list[Stream], span: tuple[int, int] | None, depth: int) -> None:
+        for stream in some:
+            # Within a stream everything comes from where the outermost one stands.
+            whole = span or stream.span
+            name = (digest(stream.data), *whole)
+            if name not in met:
+                met.add(name)
+                open_.append((Windows(stream.data, stream.content), whole, depth + stream.depth))
+
+    enter(streams, None, 0)
+    while open_:
+        windows, span, depth = open_[-1]
+        window = windows.current()
+        name = (digest(window), *span)
+        inner: list[Stream] = []
+        if name not in ends:
+            kinds, inner = unwrapped(window.decode("latin-1"), raw=True)
+            for (kind, _, _), below in kinds.items():
+                least = found.get((kind, *span), depth + below)
+                found[kind, *span] = min(depth + below, least)
+            ends[name] = any(s.cut and s.span[1] >= len(window) - 4 for s in inner)
+        if windows.last:
+            open_.pop()
+        elif ends[name]:
+            windows.enlarge()
+            inner = [stream for stream in inner if not stream.cut]
+        else:
+            windows.advance()
+        enter(inner, span, depth)
+    return found
 
 
 def scan(text: str) -> list[tuple[str, int, int, int]]:
@@ -398,7 +519,7 @@ def scan(text: str) -> list[tuple[str, int, int, int]]:
 
     A span that more than one layer shows is listed once, with its least depth.
     """
-    found, _ = layers_of(text)
+    found = layers_of(text)
     order = {kind: place for place, kind in enumerate(KINDS)}
     return sorted(
         ((*span, depth) for span, depth in found.items()),
