@@ -42,7 +42,13 @@ def in_range(scores: np.ndarray) -> np.ndarray:
 
 
 class Tree:
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, leaf_rows: int = LEAF_ROWS):
+    def __init__(
+        self,
+        ids: np.ndarray,
+        numbers: np.ndarray,
+        vectors: np.ndarray,
+        leaf_rows: int = LEAF_ROWS,
+    ):
         order = np.arange(len(ids))
         self.vectors = whole_numbers(vectors)
         lows, highs = [], []
@@ -70,11 +76,11 @@ class Tree:
                 work.append((start + middle, end, node, 1))
                 work.append((start, start + middle, node, 0))
         self.lows, self.highs = np.array(lows), np.array(highs)
-        self.ids, self.vectors = ids[order], self.vectors[order]
+        self.ids, self.numbers, self.vectors = ids[order], numbers[order], self.vectors[order]
         self.least_id = [int(self.ids[start:end].min()) for start, end in self.ranges]
 
     def search(
-        self, ids: np.ndarray, queries: np.ndarray, least: np.ndarray, k: int
+        self, numbers: np.ndarray, queries: np.ndarray, least: np.ndarray, k: int
     ) -> Iterator[tuple[int, list[tuple[int, int]]]]:
         asked = whole_numbers(queries)
         if asked.dtype != self.vectors.dtype or asked.dtype == object:
@@ -89,7 +95,7 @@ class Tree:
         # A score that is no double was rounded on its way here.
         least = np.where(np.abs(least) < 2.0**53, least, np.nextafter(least, -np.inf)).tolist()
         for place, query in enumerate(asked):
-            yield place, self.best(int(ids[place]), query, bounds[place], least[place], k)
+            yield place, self.best(int(numbers[place]), query, bounds[place], least[place], k)
 
     def best(self, own: int, query, bounds, least: float, k: int) -> list[tuple[int, int]]:
         """The k best by score, then by smaller id; `kept` is a heap whose first is the worst."""
@@ -110,9 +116,9 @@ class Tree:
             scores = in_range(self.vectors[start:end] @ query)
             floor = max(least, kept[0][0]) if len(kept) == k else least
             for row in np.flatnonzero(scores >= floor).tolist():
-                entry = (int(scores[row]), -int(self.ids[start + row]))
-                if -entry[1] == own:
+                if self.numbers[start + row] == own:
                     continue
+                entry = (int(scores[row]), -int(self.ids[start + row]))
                 if len(kept) < k:
                     heapq.heappush(kept, entry)
                 elif entry > kept[0]:

@@ -50,8 +50,8 @@ def words(bits: np.ndarray) -> np.ndarray:
 
 
 class Codes:
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray):
-        self.ids, self.vectors = ids, scaled(vectors)
+    def __init__(self, ids: np.ndarray, numbers: np.ndarray, vectors: np.ndarray):
+        self.ids, self.numbers, self.vectors = ids, numbers, scaled(vectors)
         self.norms = norms(self.vectors)
         self.width = vectors.shape[1]
         self.rotation = rotation(self.width)
@@ -87,23 +87,23 @@ class Codes:
         return (self.vectors[rows] * query).sum(axis=1) / (self.norms[rows] * length)
 
     def search(
-        self, ids: np.ndarray, queries: np.ndarray, least: np.ndarray, k: int
+        self, numbers: np.ndarray, queries: np.ndarray, least: np.ndarray, k: int
     ) -> Iterator[tuple[int, list[tuple[int, float]]]]:
         queries = scaled(queries)
-        for start in range(0, len(ids), 32):
+        for start in range(0, len(numbers), 32):
             some = queries[start : start + 32]
             estimate, error = self.estimates(some / norms(some)[:, None])
             for place, query in enumerate(some):
                 yield (
                     start + place,
                     self.best(
-                        ids[start + place], query, estimate[place], error[place],
+                        numbers[start + place], query, estimate[place], error[place],
                         least[start + place], k,
                     ),
                 )
 
     def best(self, own, query, estimate, error, least: float, k: int) -> list[tuple[int, float]]:
-        other = self.ids != own
+        other = self.numbers != own
         reach = np.where(other, estimate + error, -np.inf)
         # The likeliest rows first: their k-th cosine is one to beat.
         first = np.argsort(-np.where(other, estimate, -np.inf), kind="stable")[: 4 * k]

@@ -108,18 +108,18 @@ QUERIES = {
 ORACLE_SQL: dict[str, str] = {
     "op2_top_products": """
         WITH rows AS (
-            SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+            SELECT row_number() OVER () AS number, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
             FROM embeddings
             WHERE embedding IS NOT NULL AND len(embedding) > 0
               AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
         ), scored AS (
-            SELECT q.vec_id AS query_id, c.vec_id,
+            SELECT q.number, q.vec_id AS query_id, c.vec_id,
                    list_inner_product(q.v, c.v)::BIGINT AS score
-            FROM rows q JOIN rows c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+            FROM rows q JOIN rows c ON q.number <> c.number AND len(q.v) = len(c.v)
             WHERE q.vec_id % 50 = 0
         ), ranked AS (
             SELECT query_id, vec_id, score,
-                   row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank
+                   row_number() OVER (PARTITION BY number ORDER BY score DESC, vec_id)::INT AS rank
             FROM scored
         )
         SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5

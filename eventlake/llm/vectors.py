@@ -1,6 +1,7 @@
 """Exact work on blocks of vectors, shared by the searches: shards, routing, and the best k.
 
-Candidates are dealt to shards of about `shard_rows` rows by a hash of their id. A task reads a
+Rows are told apart by a number, as ids may repeat. Candidates are dealt to shards of about
+`shard_rows` rows by a hash of their number. A task reads a
 shard's candidates, builds an index over them, and then streams the queries sent to that shard past
 it, so it holds one shard and one batch of queries however many there are. Each query first searches
 the shard it lives in; the score of its k-th best there goes with it to the other shards, which
@@ -25,17 +26,25 @@ QUERY_BLOCK = 256
 
 
 class Index(Protocol):
+    """Made of the candidates' ids, numbers and vectors."""
+
     def search(
-        self, ids: np.ndarray, queries: np.ndarray, least: np.ndarray, k: int
+        self, numbers: np.ndarray, queries: np.ndarray, least: np.ndarray, k: int
     ) -> Iterator[tuple[int, list[tuple[int, float]]]]:
-        """Per query its place and its best (id, score); none scores below its `least`."""
+        """Per query its place and its best (id, score); none scores below its `least`.
+
+        The candidate of a query's own number is left out.
+        """
+
+
+MakeIndex = Callable[[np.ndarray, np.ndarray, np.ndarray], Index]
 
 
 def taking_part(table: DataFrame, vec_id: str, vector: str, zero: bool) -> DataFrame:
-    """vec_id and vector (doubles) of the rows that can be searched, one row an id.
+    """vec_id and vector (doubles) of the rows that can be searched.
 
     Rows with a NULL id, a NULL or empty vector, or a NULL or non-finite component take no part,
-    nor do zero vectors unless `zero`. Of several rows of one id the one with the least vector does.
+    nor do zero vectors unless `zero`. Rows that repeat an id, or are wholly equal, all do.
     """
     real = F.col("vector").isNotNull() & (F.size("vector") > 0)
     real &= F.forall(
@@ -43,15 +52,10 @@ def taking_part(table: DataFrame, vec_id: str, vector: str, zero: bool) -> DataF
     ) & ~F.exists("vector", lambda x: F.isnan(x))
     if not zero:
         real &= F.exists("vector", lambda x: x != 0)
-    return (
-        table.select(
-            F.col(vec_id).cast("long").alias("vec_id"),
-            F.col(vector).cast("array<double>").alias("vector"),
-        )
-        .where(F.col("vec_id").isNotNull() & real)
-        .groupBy("vec_id")
-        .agg(F.min("vector").alias("vector"))
-    )
+    return table.select(
+        F.col(vec_id).cast("long").alias("vec_id"),
+        F.col(vector).cast("array<double>").alias("vector"),
+    ).where(F.col("vec_id").isNotNull() & real)
 
 
 def matrix(vectors: pa.Array) -> np.ndarray:
@@ -64,18 +68,20 @@ def searched(
     candidates: DataFrame,
     queries: DataFrame,
     k: int,
-    make_index: Callable[[np.ndarray, np.ndarray], Index],
+    make_index: MakeIndex,
     kind: str,
 ) -> DataFrame:
-    """query_id, vec_id, score: what each query finds in the shard that it is sent to."""
+    """query, query_id, vec_id, score: what each query (by number) finds in the shard it is sent to."""
     sent = candidates.select(
-        "_width", "_shard", F.lit(0).alias("_asks"), "vec_id", "vector",
+        "_width", "_shard", F.lit(0).alias("_asks"), "number", "vec_id", "vector",
         F.lit(None).cast("double").alias("_least"),
     ).unionByName(
-        queries.select("_width", "_shard", F.lit(1).alias("_asks"), "vec_id", "vector", "_least")
+        queries.select(
+            "_width", "_shard", F.lit(1).alias("_asks"), "number", "vec_id", "vector", "_least"
+        )
     )
     dealt = sent.repartition("_width", "_shard").sortWithinPartitions(
-        "_width", "_shard", "_asks", "vec_id"
+        "_width", "_shard", "_asks", "number"
     )
     score_type = pa.int64() if kind == "long" else pa.float64()
 
@@ -95,38 +101,42 @@ def searched(
                 part = batch.slice(low, high - low)
                 if not asks:
                     held.append(
-                        (part.column("vec_id").to_numpy(), matrix(part.column("vector")))
+                        (
+                            part.column("vec_id").to_numpy(),
+                            part.column("number").to_numpy(),
+                            matrix(part.column("vector")),
+                        )
                     )
                     continue
                 if not held and index is None:
                     continue
                 if index is None:
-                    index = make_index(
-                        np.concatenate([ids for ids, _ in held]),
-                        np.concatenate([rows for _, rows in held]),
-                    )
+                    index = make_index(*map(np.concatenate, zip(*held, strict=True)))
                     held = []
                 for start in range(0, len(part), QUERY_BLOCK):
                     block = part.slice(start, QUERY_BLOCK)
                     ids = block.column("vec_id").to_numpy()
+                    numbers = block.column("number").to_numpy()
                     least = block.column("_least").fill_null(-np.inf).to_numpy()
-                    asked, found, scores = [], [], []
+                    queries, asked, found, scores = [], [], [], []
                     for place, best in index.search(
-                        ids, matrix(block.column("vector")), least, k
+                        numbers, matrix(block.column("vector")), least, k
                     ):
+                        queries += [numbers[place]] * len(best)
                         asked += [ids[place]] * len(best)
                         found += [name for name, _ in best]
                         scores += [score for _, score in best]
                     yield pa.RecordBatch.from_arrays(
                         [
+                            pa.array(queries, pa.int64()),
                             pa.array(asked, pa.int64()),
                             pa.array(found, pa.int64()),
                             pa.array(scores, score_type),
                         ],
-                        ["query_id", "vec_id", "score"],
+                        ["query", "query_id", "vec_id", "score"],
                     )
 
-    return dealt.mapInArrow(run, f"query_id long, vec_id long, score {kind}")
+    return dealt.mapInArrow(run, f"query long, query_id long, vec_id long, score {kind}")
 
 
 def best_k(
@@ -134,32 +144,34 @@ def best_k(
     k: int,
     every: int,
     shard_rows: int,
-    make_index: Callable[[np.ndarray, np.ndarray], Index],
+    make_index: MakeIndex,
     kind: str,
 ) -> DataFrame:
     """query_id, rank, vec_id and score of the k best candidates of each query.
 
     Queries are the rows whose id `every` divides, candidates all rows of the same width but the
-    query's own. Equal scores go by the smaller id. A query without candidates has no row.
+    query's own row. Equal scores go by the smaller id. A query without candidates has no row. Rows
+    are taken one by one where ids repeat: each is a query with ranks of its own, and each is a
+    candidate, also for a query of its id.
     """
-    rows = committed(rows)
+    rows = committed(rows.withColumn("number", F.monotonically_increasing_id()))
     shards = max(1, -(-rows.count() // shard_rows))
     placed = rows.withColumn("_width", F.size("vector")).withColumn(
-        "_shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int")
+        "_shard", F.pmod(F.xxhash64("number"), F.lit(shards)).cast("int")
     )
     asking = placed.where(F.col("vec_id") % every == 0)
     unbounded = asking.withColumn("_least", F.lit(None).cast("double"))
     at_home = committed(searched(placed, unbounded, k, make_index, kind))
-    best_at_home = at_home.groupBy("query_id").agg(
+    best_at_home = at_home.groupBy("query").agg(
         F.when(F.count(F.lit(1)) >= k, F.min("score").cast("double")).alias("_least")
     )
     elsewhere = (
-        asking.join(best_at_home.withColumnRenamed("query_id", "vec_id"), "vec_id", "left")
+        asking.join(best_at_home.withColumnRenamed("query", "number"), "number", "left")
         .withColumnRenamed("_shard", "_home")
         .withColumn("_shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
         .where(F.col("_shard") != F.col("_home"))
     )
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    best = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
     return (
         at_home.unionByName(searched(placed, elsewhere, k, make_index, kind))
         .withColumn("rank", F.row_number().over(best))
