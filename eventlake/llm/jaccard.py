@@ -557,7 +557,11 @@ def joined_labels(
     )
     # Only now texts move, and only those of classes that may be linked.
     wanted = classes.join(placed.select("node"), "node", "left_semi")
-    texts = committed(documents.join(wanted, ["doc_id", "key"]).select("node", "set", "text"))
+    same = F.col("d.key") == F.col("w.key")
+    same &= F.col("d.doc_id").eqNullSafe(F.col("w.doc_id"))
+    texts = committed(
+        documents.alias("d").join(wanted.alias("w"), same).select("node", "set", "text")
+    )
     # Every shard joins the classes that live there.
     living = placed.join(routes, ["node", "home"], "left_semi")
     first = living.join(texts, "node").select(
@@ -621,8 +625,8 @@ def similar_groups(
 
     component_id is the smallest id that is reachable by links, the document's own included.
     Documents without words (NULL, empty or white space) have 0 n-grams and link to nothing. Equal
-    texts are linked. Rows of one id count as one document in links. A row without an id is linked
-    to rows of an equal set only, and its component is NULL if none of them has an id. An empty
+    texts are linked. Rows of one id count as one document in links. Rows without an id are documents
+    of their own, which link like others; a component is NULL if none of its rows has an id. An empty
     table gives an empty one.
     """
     rows = documents.select(
@@ -648,26 +652,21 @@ def similar_groups(
     posted = posted * (100 - settings.percent + settings.more) // 100
     buckets = max(64, posted // settings.bucket_postings)
     live = live_postings(rows, order, often, buckets, settings)
-    # A class goes by its smallest document, or by a number if texts of one id are in several.
-    first = F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "key"))
+    # A class goes by its smallest document, or by a number if that is no name of one class alone.
+    first = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "key")
     classes = committed(
         sets.where(size > 0)
         .groupBy("set")
         .agg(F.min(first).alias("first"))
         .select("set", "first.doc_id", "first.key")
     )
-    by_id = classes.where("doc_id IS NOT NULL").groupBy("doc_id").count()
-    numbered = not by_id.where("count > 1").isEmpty()
+    by_id = classes.groupBy("doc_id").count()
+    numbered = not by_id.where("doc_id IS NULL OR count > 1").isEmpty()
     if numbered:
-        number = F.when(F.col("doc_id").isNotNull(), F.monotonically_increasing_id())
-        classes = committed(classes.withColumn("node", number))
+        classes = committed(classes.withColumn("node", F.monotonically_increasing_id()))
     else:
         classes = classes.withColumn("node", F.col("doc_id"))
-    shared = committed(
-        live.join(classes.where("node IS NOT NULL"), "set").select(
-            "token", "node", "size", "shared"
-        )
-    )
+    shared = committed(live.join(classes, "set").select("token", "node", "size", "shared"))
     labels = joined_labels(shared, rows, classes, settings)
     members = classes.join(labels, "node", "left").select(
         "set", "doc_id", F.coalesce("label", "node").alias("component_id")

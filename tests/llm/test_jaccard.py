@@ -1,7 +1,7 @@
 """Groups of near duplicates against all pairs."""
 
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -115,6 +115,24 @@ def test_rows_of_one_id_and_none(documents):
     assert similar_groups(docs.where("doc_id = 77")).collect() == []
 
 
+def test_rows_without_id_link_like_others(documents):
+    """A row without an id is a near copy of two documents that are none of each other."""
+    words = [f"w{i}" for i in range(60)]
+    rows = [(1, " ".join(words[:50])), (None, " ".join(words[:55])), (3, " ".join(words)),
+            (None, " ".join(f"n{i}" for i in range(40))), (None, " ".join(f"n{i}" for i in range(41))),
+            (None, "alone by itself"), (None, None), (4, "q " + " ".join(words[20:]))]
+    # Stand-ins for the rows without an id, larger than all ids.
+    named = [(1000 + place if doc_id is None else doc_id, text) for place, (doc_id, text) in enumerate(rows)]
+    want = Counter()
+    for (doc_id, _), (_, size, component) in zip(
+        sorted(rows, key=lambda r: named[rows.index(r)]), sorted(brute(named, 5, 85)), strict=True
+    ):
+        want[doc_id, size, component if component < 1000 else None] += 1
+    found = similar_groups(documents(rows), Settings(percent=85)).collect()
+    assert Counter(map(tuple, found)) == want
+    assert want[3, 56, 1] == 1
+
+
 def test_different_texts_of_one_id(documents):
     short = " ".join(f"s{i}" for i in range(24))
     long = " ".join(f"l{i}" for i in range(1004))
