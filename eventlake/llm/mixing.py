@@ -2,13 +2,16 @@
 
 The documents of a source queue in shuffled order. A document's virtual finish time is the words of
 its source up to and including it, divided by the source's target, so that every source has reached
-its target at time 1. A source that is to be taken more than once queues again behind itself. All
-documents are sorted by finish time, and the mix is what comes before the total budget is used up.
+its target at time 1. As documents are taken whole, half of each document's words count as finished
+before its time: a source then misses its target by about half a document, not a whole one. A source
+that is to be taken more than once queues again behind itself. All documents are sorted by their
+time, and the mix is what comes before the total budget is used up.
 
 Running sums are taken in two steps, over the sums of chunks and then within a chunk. A chunk is a
 range of the shuffle key in a source, or a partition of the sorted queue, so a source that holds most
-documents is dealt to many tasks. Only tables with a row per source, chunk or partition are summed
-in one task.
+documents is dealt to many tasks. The key is a hash of the row, so that reruns agree; rows that are
+equal very often are cut by their numbers instead. Only tables with a row per source, chunk or
+partition are summed in one task. The queue holds numbers, not texts.
 """
 
 from __future__ import annotations
@@ -33,6 +36,7 @@ class Settings:
     share: float = 1.0  # of all words: the budget
     repeats: int = 3  # of a document, at most
     chunk_rows: int = 2_000  # of a source, about
+    hot_share: int = 1_000  # rows that are equal more often than one in so many are hot
     seed: int = 23
 
 
@@ -88,29 +92,76 @@ def source_targets(sized: DataFrame, settings: Settings) -> DataFrame:
 
 
 def running_total(
-    rows: DataFrame, group: str, chunk: str, order: list[str], value: str
+    rows: DataFrame, group: str, chunk: list[str], order: list[str], value: str
 ) -> DataFrame:
     """Add `_total`, the sum of `value` in the group up to each row; chunks are in group order."""
-    earlier = Window.partitionBy(group).orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy(group).orderBy(*chunk).rowsBetween(Window.unboundedPreceding, -1)
     before = committed(
-        rows.groupBy(group, chunk)
+        rows.groupBy(group, *chunk)
         .agg(F.sum(value).alias("_chunk_total"))
         .withColumn("_before", F.coalesce(F.sum("_chunk_total").over(earlier), F.lit(0)))
         .drop("_chunk_total")
     )
     within = (
-        Window.partitionBy(group, chunk)
+        Window.partitionBy(group, *chunk)
         .orderBy(*order)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     return (
         rows.withColumn("_within", F.sum(value).over(within))
-        .join(before, [group, chunk])
+        .join(before, [group, *chunk])
         .withColumn("_total", F.col("_before") + F.col("_within"))
         .drop("_before", "_within")
     )
 
 
+def holds_map(kind: T.DataType) -> bool:
+    """Whether values of the type cannot be hashed."""
+    if isinstance(kind, T.ArrayType):
+        return holds_map(kind.elementType)
+    if isinstance(kind, T.StructType):
+        return any(holds_map(field.dataType) for field in kind.fields)
+    return isinstance(kind, (T.MapType, T.VariantType))
+
+
+def hashable_parts(column: Column, kind: T.DataType) -> list[Column]:
+    if isinstance(kind, T.StructType):
+        return [
+            part
+            for field in kind.fields
+            for part in hashable_parts(column.getField(field.name), field.dataType)
+        ]
+    return [] if holds_map(kind) else [column]
+
+
+def sliced(placed: DataFrame, rows: int, settings: Settings) -> DataFrame:
+    """Cut chunks further where rows are hot: `_after`, how many hot keys a row comes behind (twice,
+    and one if it has one itself), and `_slice`, a range of numbers among rows of a hot key.
+
+    There are fewer than `hot_share` hot keys, so each source's fit into one row.
+    """
+    often = max(settings.chunk_rows, rows // settings.hot_share)
+    place = F.struct("_order", "_key")
+    hot = committed(
+        placed.groupBy("_rank", "_order", "_key")
+        .count()
+        .where(F.col("count") > often)
+        .groupBy("_rank")
+        .agg(F.collect_list(place).alias("_hot"))
+    )
+    before = F.size(F.filter("_hot", lambda key: key < place))
+    own = F.array_contains("_hot", place)
+    return (
+        placed.join(F.broadcast(hot), "_rank", "left")
+        .withColumn("_after", F.coalesce(2 * before + own.cast("int"), F.lit(0)))
+        .withColumn(
+            "_slice",
+            F.when(own, F.floor(F.col("_n") / settings.chunk_rows).cast("long")).otherwise(0),
+        )
+        .drop("_hot")
+    )
+
+
 def cut_of(queue: DataFrame, budget: float) -> tuple[float, int] | None:
     """Finish time and key of the first entry that exceeds the budget; None if all fit."""
     ordered = committed(
@@ -153,24 +204,30 @@ def mix(
     """Add source_size, target, copies and taken, replacing such columns.
 
     `size` names the column with each document's words, see `word_count`. `copies` is how often the
-    mix takes a document, `taken` its words times that. Rows stay as they are. NULL is a source of
-    its own, after all others. A document of size 0 or NULL is not taken. Equal rows queue one after
-    the other in no particular order, which changes nothing that can be seen. Reruns over the same
-    rows agree. An empty table gives an empty one. The rows are read several times.
+    mix takes a document, `taken` its words times that. Rows stay as they are, and their columns may
+    have any other name and type. NULL is a source of its own, after all others. A document of size 0
+    or NULL is not taken. Equal rows, those that differ in maps alone among them, queue one after the
+    other in no particular order, which changes nothing that can be seen. Reruns over the same rows
+    agree. An empty table gives an empty one.
     """
     new = ("source_size", "target", "copies", "taken")
     kept = [name for name in documents.columns if name.lower() not in new]
     hashable = [
-        F.col(field.name)
+        leaf
         for field in documents.schema
-        if field.name in kept and not isinstance(field.dataType, T.MapType)
+        if field.name in kept
+        for leaf in hashable_parts(F.col(field.name), field.dataType)
     ]
-    sized = documents.select(
-        *kept,
-        F.col(source).alias("_source"),
-        F.coalesce(F.col(size).cast("long"), F.lit(0)).alias("_size"),
-        F.xxhash64(F.lit(settings.seed), *hashable).alias("_key"),
+    numbered = committed(
+        documents.select(
+            F.struct(*kept).alias("_row"),
+            F.col(source).alias("_source"),
+            F.coalesce(F.col(size).cast("long"), F.lit(0)).alias("_size"),
+            F.xxhash64(F.lit(settings.seed), *hashable).alias("_key"),
+            F.monotonically_increasing_id().alias("_n"),
+        )
     )
+    sized = numbered.drop("_row")
     sources = committed(source_targets(sized.select("_source", "_size"), settings))
     budget = sources.agg(F.sum("_words")).first()[0] or 0
     known = sources.withColumnRenamed("_source", "_named")
@@ -180,10 +237,17 @@ def mix(
         .withColumn("_order", uniform(F.lit(settings.seed), F.col("_key")))
         .withColumn("_chunk", F.floor(F.col("_order") * F.col("_chunks")).cast("long"))
     )
-    queued = running_total(placed, "_rank", "_chunk", ["_order", "_key"], "_size")
+    placed = sliced(placed, numbered.count(), settings)
+    chunk = ["_chunk", "_after", "_slice"]
+    queued = committed(
+        running_total(placed, "_rank", chunk, ["_order", "_key", "_n"], "_size").select(
+            "_n", "_key", "_size", "_words", "_target", "_total"
+        )
+    )
     rounds = F.sequence(F.lit(0), F.lit(settings.repeats - 1))
     finishes = F.transform(
-        rounds, lambda i: (i * F.col("_words") + F.col("_total")) / F.col("_target")
+        rounds,
+        lambda i: (i * F.col("_words") + F.col("_total") - F.col("_size") / 2) / F.col("_target"),
     )
     real = (F.col("_size") > 0) & (F.col("_target") > 0)
     entries = queued.where(real).select(
@@ -199,13 +263,14 @@ def mix(
                 finishes, lambda t: (t < time) | ((t == time) & (F.col("_key") < key))
             )
         )
-    return queued.select(
-        *kept,
+    told = queued.select(
+        "_n",
         F.col("_words").alias("source_size"),
         F.col("_target").alias("target"),
         F.when(real, copies).otherwise(0).alias("copies"),
         F.when(real, F.col("_size") * copies).otherwise(0).alias("taken"),
     )
+    return numbered.select("_n", "_row").join(told, "_n").select("_row.*", *new)
 
 
 def mix_report(documents: DataFrame, settings: Settings = Settings()) -> DataFrame:

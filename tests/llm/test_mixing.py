@@ -77,7 +77,10 @@ def test_queue_is_cut_where_the_budget_ends(spark):
         queue.append((row, sizes[row.source]))
     want = targets(sizes, settings)
     entries = sorted(
-        ((turn * sizes[row.source] + through) / want[row.source], row.key, row.doc_id, row.size)
+        (
+            (turn * sizes[row.source] + through - row.size / 2) / want[row.source],
+            row.key, row.doc_id, row.size,
+        )
         for row, through in queue
         for turn in range(settings.repeats)
     )
@@ -110,6 +113,51 @@ def test_missing_and_repeated_rows(spark):
     assert [(r.taken, r.target) for r in nothing] == [(0, 0.0)] * 2
 
 
+def test_names_and_types_of_other_columns(spark):
+    rows = [(i, f"s{i % 3}", 1 + i % 20) for i in range(60)]
+    plain = spark.createDataFrame(rows, "doc_id long, source string, size long")
+    names = ["_source", "_size", "_key", "_words", "_rank", "_row", "_n", "_order", "_chunk", "_named"]
+    docs = plain.withColumns({name: F.lit(name) for name in names}).withColumns(
+        {"m": F.create_map(F.lit("k"), "doc_id"), "deep": F.array(F.struct(F.create_map("size", "size")))}
+    )
+    got = mixing.mix(docs)
+    assert got.columns == [*docs.columns, "source_size", "target", "copies", "taken"]
+    found = got.collect()
+    check(rows, found)
+    assert all(r["_rank"] == "_rank" and r.m == {"k": r.doc_id} for r in found)
+
+
+def test_equal_rows_are_dealt_to_many_tasks(spark):
+    """Two thirds of the rows are equal, and two further rows are frequent."""
+    rows = [(1, "a", 7)] * 6000 + [(2, "a", 5)] * 900 + [(3, "b", 4)] * 800
+    rows += [(10 + i, "a" if i % 2 else "b", 1 + i % 30) for i in range(1300)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, size long").repartition(6)
+    settings = Settings(chunk_rows=100, hot_share=20)
+    got = mixing.mix(docs, settings)
+    found = got.collect()
+    check(rows, found, settings)
+    plain = mixing.mix(docs.repartition(2), Settings(chunk_rows=100)).collect()
+    assert Counter(map(tuple, found)) == Counter(map(tuple, plain))
+    placed = spark.createDataFrame(
+        [(0, 0.5, 1, n, 0) for n in range(5000)] + [(0, 0.1 + n / 9000, n, n, 0) for n in range(5000, 5100)],
+        "_rank int, _order double, _key long, _n long, _chunk long",
+    )
+    largest = mixing.sliced(placed, 5100, settings).groupBy("_chunk", "_after", "_slice").count()
+    assert largest.agg(F.max("count")).first()[0] == 100
+
+
+def test_sources_miss_their_targets_by_half_a_document(spark):
+    rows = [(i, f"s{i % 5}", 100) for i in range(500)] + [(1000, "s0", 3000), (1001, "s4", 4000)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, size long")
+    taken, targets_ = Counter(), {}
+    for row in mixing.mix(docs).collect():
+        taken[row.source] += row.taken
+        targets_[row.source] = row.target
+    for source, target in targets_.items():
+        largest = max(size for _, name, size in rows if name == source)
+        assert abs(taken[source] - target) <= largest / 2 + 100
+
+
 def test_query(spark, tables):
     rows = spark.read.parquet(f"{tables}/documents.parquet").collect()
     source = {r.doc_id: r.source for r in rows}
