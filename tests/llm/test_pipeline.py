@@ -50,7 +50,42 @@ def test_one_document_of_each_group_stays(spark, docs, tables):
 def test_repeated_rows_and_rows_without_id(spark, documents, tables):
     rows = [(1, "a b c d e f"), (1, "a b c d e f"), (1, "other"), (None, "x y"), (None, "x y"), (2, None)]
     kept = stage("near_duplicates")(spark, documents(rows), tables).collect()
-    assert Counter(r.doc_id for r in kept) == {1: 1, None: 2, 2: 1}
+    assert Counter((r.doc_id, r.text) for r in kept) == {
+        (1, "a b c d e f"): 1, (1, "other"): 1, (None, "x y"): 1, (2, None): 1,
+    }
+
+
+def test_two_texts_of_one_id_stay_unless_they_are_linked(spark, documents, tables):
+    long = " ".join(f"w{i}" for i in range(80))
+    rows = [(7, long), (7, "another text altogether"), (3, long + " tail"), (None, long + " end"),
+            (None, "without an id"), (None, "without an id"), (8, ""), (8, ""), (9, None)]
+    kept = stage("near_duplicates")(spark, documents(rows), tables).collect()
+    assert Counter((r.doc_id, r.text) for r in kept) == {
+        (3, long + " tail"): 1, (7, "another text altogether"): 1, (None, "without an id"): 1,
+        (8, ""): 2, (9, None): 1,
+    }
+
+
+def test_map_columns_and_clashing_names_pass_every_stage(spark, documents, tables):
+    texts = ["the quick brown fox and the dog that it sees in the town"] * 2 + [
+        f"the {w} of the house is in the town and it is the best of all {w}" for w in ("cat", "dog", "man")
+    ]
+    names = ["_row", "_n", "_id", "_size", "_key", "_rank", "component_id", "size", "copies", "_copy", "secrets"]
+    docs = documents([(i, text) for i, text in enumerate(texts * 40)]).withColumns(
+        {name: F.lit(name) for name in names}
+    )
+    docs = docs.withColumn("tags", F.create_map(F.lit("k"), "doc_id"))
+    for name, step in corpus_pipeline.STAGES[:-1]:
+        found = step(spark, docs, tables)
+        assert found.columns == docs.columns, name
+        rows = found.collect()
+        assert rows and all(r.tags == {"k": r.doc_id} and r["_rank"] == "_rank" for r in rows), name
+    assert stage("tokens")(spark, docs, tables).count() == docs.count()
+
+
+def test_empty_tables_pass_every_stage(spark, docs, tables):
+    for name, step in corpus_pipeline.STAGES[1:]:
+        assert step(spark, docs.where("doc_id < 0"), tables).collect() == [], name
 
 
 def test_secrets_are_gone(spark, docs, tables):
