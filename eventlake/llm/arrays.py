@@ -48,6 +48,25 @@ def slices(column: pa.Array, most: int) -> Iterator[tuple[int, int]]:
         yield start, len(lengths)
 
 
+def blocks_of(flat: np.ndarray, most: int, cuts: Callable[[np.ndarray], np.ndarray]) -> Iterator[tuple[int, int]]:
+    """Ranges of about `most` bytes of one text, each ending where `cuts` allows, or with the text.
+
+    `cuts` tells of each byte whether a range may begin with it.
+    """
+    start = 0
+    while start < len(flat):
+        end = start + most
+        while end < len(flat):
+            window = np.flatnonzero(cuts(flat[end : end + 4096]))
+            if len(window):
+                end += int(window[0])
+                break
+            end += 4096
+        end = min(end, len(flat))
+        yield start, end
+        start = end
+
+
 def words_of(column: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     """Words `[^\\x20\\x09-\\x0D]+` of a `text_array`.
 

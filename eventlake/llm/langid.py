@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventlake.llm.arrays import flat_bytes, slices, text_array
+from eventlake.llm.arrays import blocks_of, flat_bytes, slices, text_array
 from eventlake.llm.tables import held_out, trained_on
 
 UNKNOWN = "und"
@@ -54,6 +54,19 @@ class Model:
     settings: Settings
 
 
+def gram_buckets(codes: np.ndarray, order: int, bits: int) -> np.ndarray:
+    """The bucket of the n-gram at each byte."""
+    codes = codes.astype(np.uint32)
+    mixed = np.full(len(codes), order, np.uint32)
+    for step in range(order):
+        ahead = len(codes) - step
+        mixed[:ahead] = mixed[:ahead] * np.uint32(0x01000193) + codes[step:]
+    mixed *= np.uint32(0x9E3779B1)
+    mixed ^= mixed >> np.uint32(15)
+    mixed *= np.uint32(0x85EBCA6B)
+    return mixed >> np.uint32(32 - bits)
+
+
 def grams(texts: pa.Array, settings: Settings):
     """Per order: the n-gram bucket at each byte, where texts start, and their byte lengths.
 
@@ -62,26 +75,41 @@ def grams(texts: pa.Array, settings: Settings):
     lowered = pc.utf8_lower(texts)
     flat, offsets = flat_bytes(pc.binary_join_element_wise(lowered, PAD, ""))
     starts, lengths = offsets[:-1], np.diff(offsets) - len(PAD)
-    codes = flat.astype(np.uint32)
     for order in settings.orders:
-        mixed = np.full(len(codes), order, np.uint32)
-        for step in range(order):
-            mixed[: len(codes) - step] = mixed[: len(codes) - step] * np.uint32(
-                0x01000193
-            ) + codes[step:]
-        mixed *= np.uint32(0x9E3779B1)
-        mixed ^= mixed >> np.uint32(15)
-        mixed *= np.uint32(0x85EBCA6B)
-        yield mixed >> np.uint32(32 - settings.bits), starts, lengths
+        yield gram_buckets(flat, order, settings.bits), starts, lengths
+
+
+#: Bytes of a long text that are taken at once.
+BLOCK = 1 << 18
+
+
+def bucket_counts(text: pa.Array, settings: Settings) -> np.ndarray:
+    """How many n-grams of one text are in each bucket; memory does not grow with the text."""
+    counts = np.zeros(1 << settings.bits, np.int64)
+    flat, _ = flat_bytes(text)
+    ahead = max(settings.orders) - 1
+    left = np.zeros(0, np.uint8)
+    # Blocks begin with a character, and lower case goes character by character.
+    for start, end in blocks_of(flat, BLOCK, lambda some: some & 0xC0 != 0x80):
+        whole = pa.array([flat[start:end].tobytes()]).cast(pa.string())
+        left = np.concatenate((left, flat_bytes(pc.utf8_lower(whole))[0]))
+        ready = max(0, len(left) - ahead)
+        for order in settings.orders:
+            buckets = gram_buckets(left, order, settings.bits)[:ready]
+            counts += np.bincount(buckets, minlength=len(counts))
+        left = left[ready:]
+    padded = np.concatenate((left, np.frombuffer(PAD.encode(), np.uint8)))
+    for order in settings.orders:
+        buckets = gram_buckets(padded, order, settings.bits)[: len(left)]
+        counts += np.bincount(buckets, minlength=len(counts))
+    return counts
 
 
 def bag(text: str, settings: Settings) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of one text and their shares of its n-grams."""
-    found = [
-        buckets[: lengths[0]] for buckets, _, lengths in grams(pa.array([text]), settings)
-    ]
-    buckets, counts = np.unique(np.concatenate(found), return_counts=True)
-    return buckets.astype(np.int64), (counts / max(1, counts.sum())).astype(np.float32)
+    counts = bucket_counts(pa.array([text]), settings)
+    buckets = np.flatnonzero(counts)
+    return buckets, (counts[buckets] / max(1, counts.sum())).astype(np.float32)
 
 
 def softmax(x: np.ndarray) -> np.ndarray:
@@ -193,25 +221,36 @@ def train(
     return fit(sample(documents, settings, text, language, doc_id), settings)
 
 
+#: Scores that are gathered at once.
+SCORES = 4_000_000
+LETTER = r"\p{L}"
+
+
 def predict(texts: pa.Array, model: Model | None) -> tuple[list[str], np.ndarray]:
     """Language and score of every text; `und` and 0 for NULL or a text without a letter."""
     texts = text_array(texts)
     names, best = [UNKNOWN] * len(texts), np.zeros(len(texts))
     if model is None:
         return names, best
-    for start, end in slices(texts, 1 << 20):
+    # A row of scores for each byte: with many languages fewer bytes at once. A text that is longer
+    # than there are buckets counts these instead, which gives the same sums.
+    for start, end in slices(texts, max(1, min(1 << 20, SCORES // len(model.languages)))):
         part = texts.slice(start, end - start)
         total = np.zeros((end - start, len(model.languages)))
         count = np.zeros(end - start)
-        for buckets, starts, lengths in grams(part, model.settings):
-            bounds = np.stack([starts, starts + lengths], axis=1).ravel()
-            sums = np.add.reduceat(model.scores[buckets], bounds, axis=0)[::2]
-            total += np.where(lengths[:, None] > 0, sums, 0)
-            count += lengths
+        if end - start == 1 and pc.binary_length(part)[0].as_py() > 1 << model.settings.bits:
+            counts = bucket_counts(part, model.settings)
+            total[0], count[0] = counts @ model.scores, counts.sum()
+        else:
+            for buckets, starts, lengths in grams(part, model.settings):
+                bounds = np.stack([starts, starts + lengths], axis=1).ravel()
+                sums = np.add.reduceat(model.scores[buckets], bounds, axis=0)[::2]
+                total += np.where(lengths[:, None] > 0, sums, 0)
+                count += lengths
         chances = softmax(
             (total / np.maximum(1, count)[:, None] + model.bias) / model.temperature
         )
-        letters = pc.match_substring_regex(part, r"\p{L}").to_numpy(zero_copy_only=False)
+        letters = pc.match_substring_regex(part, LETTER).to_numpy(zero_copy_only=False)
         for row in np.flatnonzero(letters).tolist():
             names[start + row] = model.languages[int(chances[row].argmax())]
             best[start + row] = chances[row].max()
@@ -221,7 +260,7 @@ def predict(texts: pa.Array, model: Model | None) -> tuple[list[str], np.ndarray
 def identify(documents: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
     """Add `lang_pred string`, `score double` and `accepted boolean`, replacing such columns.
 
-    Text that is NULL, empty or without a letter gets `und`, 0 and is not accepted, as does every
+    Very long texts are read in blocks. Text that is NULL, empty or without a letter gets `und`, 0 and is not accepted, as does every
     row if there was nothing to learn from. Equal scores go to the label that sorts first. Repeated
     rows are scored each; an empty table gives an empty one.
     """

@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventlake.llm.arrays import flat_bytes, slices, text_array, words_of
+from eventlake.llm.arrays import blocks_of, flat_bytes, slices, text_array, words_of
 from eventlake.llm.tables import held_out, trained_on
 
 #: How a text is written, besides its hashed byte pairs.
@@ -67,16 +67,20 @@ def share(count: np.ndarray, total: np.ndarray) -> np.ndarray:
     return count / np.maximum(1, total)
 
 
-def features(texts: pa.Array, bits: int) -> np.ndarray:
-    """A row of features per text: its shape, then square roots of its byte pairs' shares."""
-    texts = text_array(texts)
+def pair_buckets(first: np.ndarray, second: np.ndarray, bits: int) -> np.ndarray:
+    code = first.astype(np.uint32) << np.uint32(8) | second
+    return code * np.uint32(0x9E3779B1) >> np.uint32(32 - bits)
+
+
+def tallies(texts: pa.Array, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Counts of every text that its shape is made of, a column each, and of its byte pairs."""
     rows = len(texts)
     flat, offsets = flat_bytes(texts)
     length = np.diff(offsets)
     owner = np.repeat(np.arange(rows), length)
 
     def per_text(mask: np.ndarray) -> np.ndarray:
-        return share(np.bincount(owner[mask], minlength=rows), length)
+        return np.bincount(owner[mask], minlength=rows)
 
     letter = ((flat | 32) >= 97) & ((flat | 32) <= 122)
     digit = (flat >= 48) & (flat <= 57)
@@ -89,17 +93,17 @@ def features(texts: pa.Array, bits: int) -> np.ndarray:
     same = (index[1:] == index[:-1]) & (word_owner[1:] == word_owner[:-1])
 
     def of_words(mask: np.ndarray) -> np.ndarray:
-        return share(np.bincount(word_owner[mask[index]], minlength=rows), words)
+        return np.bincount(word_owner[mask[index]], minlength=rows)
 
     def matching(pattern: str) -> np.ndarray:
         return pc.match_substring_regex(vocabulary, pattern).to_numpy(zero_copy_only=False)
 
     wide = pc.binary_length(vocabulary).to_numpy(zero_copy_only=False)
-    shape = [
-        np.log1p(words),
-        share(length, words) / 10,
-        share(np.bincount(distinct, minlength=rows), words),
-        share(np.bincount(word_owner[1:][same], minlength=rows), words),
+    counts = [
+        length,
+        words,
+        np.bincount(distinct, minlength=rows),
+        np.bincount(word_owner[1:][same], minlength=rows),
         per_text(letter & (flat < 97)),
         per_text(digit),
         per_text(mark),
@@ -110,16 +114,61 @@ def features(texts: pa.Array, bits: int) -> np.ndarray:
         of_words(wide <= 3),
         of_words(wide > 7),
     ]
-    # Shares count by their roots, so that traces of junk show beside texts full of it.
-    shape = shape[:2] + [np.sqrt(share_of) for share_of in shape[2:]]
     size = 1 << bits
-    pairs = np.zeros((rows, size))
+    pairs = np.zeros((rows, size), np.int64)
     if len(flat) > 1:
         inside = owner[1:] == owner[:-1]
-        code = flat[:-1].astype(np.uint32) << np.uint32(8) | flat[1:]
-        bucket = code * np.uint32(0x9E3779B1) >> np.uint32(32 - bits)
-        cell = owner[1:][inside] * size + bucket[inside]
+        cell = owner[1:][inside] * size + pair_buckets(flat[:-1], flat[1:], bits)[inside]
         pairs = np.bincount(cell, minlength=rows * size).reshape(rows, size)
+    return np.stack(counts, axis=1), pairs
+
+
+#: Bytes of a long text that are taken at once.
+BLOCK = 1 << 20
+DISTINCT, SAME = 2, 3
+BLANK = np.zeros(256, bool)
+BLANK[[9, 10, 11, 12, 13, 32]] = True
+
+
+def long_tallies(text: pa.Array, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """`tallies` of one text, taken block by block; it holds eight bytes for each distinct word."""
+    import xxhash
+
+    flat, _ = flat_bytes(text)
+    counts = pairs = 0
+    seen, last = np.zeros(0, np.uint64), None
+    for start, end in blocks_of(flat, BLOCK, lambda some: BLANK[some]):
+        block = pa.array([flat[start:end].tobytes()]).cast(pa.string())
+        some, more = tallies(block, bits)
+        vocabulary, index, _ = words_of(block)
+        if len(index):
+            known = vocabulary.to_pylist()
+            some[0, SAME] += known[index[0]] == last
+            last = known[index[-1]]
+            used = np.unique(index).tolist()
+            hashes = (xxhash.xxh3_64_intdigest(known[word]) for word in used)
+            seen = np.union1d(seen, np.fromiter(hashes, np.uint64, len(used)))
+        if start:
+            more[0, pair_buckets(flat[start - 1 : start], flat[start : start + 1], bits)] += 1
+        counts, pairs = counts + some, pairs + more
+    counts[0, DISTINCT] = len(seen)
+    return counts, pairs
+
+
+def features(texts: pa.Array, bits: int) -> np.ndarray:
+    """A row of features per text: its shape, then square roots of its byte pairs' shares."""
+    texts = text_array(texts)
+    if len(texts) == 1 and pc.binary_length(texts)[0].as_py() > BLOCK:
+        counts, pairs = long_tallies(texts, bits)
+    else:
+        counts, pairs = tallies(texts, bits)
+    length, words, distinct, same, *rest = counts.T
+    by_length, by_words = rest[:5], rest[5:]
+    shape = [np.log1p(words), share(length, words) / 10]
+    # Shares count by their roots, so that traces of junk show beside texts full of it.
+    shape += [np.sqrt(share(count, words)) for count in (distinct, same)]
+    shape += [np.sqrt(share(count, length)) for count in by_length]
+    shape += [np.sqrt(share(count, words)) for count in by_words]
     pairs = np.sqrt(pairs / np.maximum(1, length[:, None] - 1))
     return np.hstack([np.stack(shape, axis=1), pairs]).astype(np.float32)
 
@@ -279,7 +328,7 @@ def score(texts: pa.Array, model: Model | None) -> np.ndarray:
 def grade(documents: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
     """Add `score double` and `predicted int`, replacing such columns.
 
-    NULL text scores as empty text does. Without anything to learn from every score is 0.5. Equal
+    NULL text scores as empty text does, very long texts are read in blocks. Without anything to learn from every score is 0.5. Equal
     texts get equal scores; an empty table gives an empty one.
     """
 

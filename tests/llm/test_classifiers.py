@@ -80,6 +80,49 @@ def test_features_do_not_depend_on_the_batch():
     assert np.array_equal(quality.features(longer, 8), alone)
 
 
+def long_texts():
+    import random
+
+    draw = random.Random(8)
+    words = ["Wort", "wort", "été", "naïve", "a", "b2", "x.y", "日本語", "--", "İstanbul", "W" * 30]
+    return ["".join(draw.choice(words) + draw.choice(" \n\t ") * draw.randint(0, 2) for _ in range(4000)),
+            "same " * 3000, "é" * 9000, " " * 5000 + "z", "\n".join("ab" * 50 for _ in range(200))]
+
+
+@pytest.mark.parametrize("block", [64, 1000])
+def test_long_texts_have_the_same_features_in_blocks(monkeypatch, block):
+    for text in long_texts():
+        one = pa.array([text])
+        whole = quality.features(one, 8)
+        monkeypatch.setattr(quality, "BLOCK", block)
+        assert np.array_equal(quality.features(one, 8), whole), text[:20]
+        monkeypatch.undo()
+
+
+def plain_risk(prior, x, z):
+    """Non-negative risk of outputs for positives and unlabelled rows, by its definition."""
+    loss = lambda out, label: np.log1p(np.exp(-label * out)).mean()
+    return prior * loss(x, 1) + max(0.0, loss(z, -1) - prior * loss(x, -1))
+
+
+def test_slope_is_the_gradient_of_the_plain_risk():
+    draw = np.random.default_rng(2)
+    for prior, shift in ((0.3, 0.0), (0.5, 1.0), (0.2, -1.0)):
+        x, z = draw.normal(shift, 1, 7), draw.normal(0.5, 1, 9)
+        rest = np.logaddexp(0, z).mean() - prior * np.logaddexp(0, x).mean()
+        assert rest > 0
+        on_x, on_z = quality.non_negative(prior, 0.0)(x, z)
+        for values, found in ((x, on_x), (z, on_z)):
+            for place in range(len(values)):
+                before = values[place]
+                values[place] = before + 1e-6
+                up = plain_risk(prior, x, z)
+                values[place] = before - 1e-6
+                down = plain_risk(prior, x, z)
+                values[place] = before
+                assert found[place] == pytest.approx((up - down) / 2e-6, abs=1e-6)
+
+
 def test_prior_of_a_known_mixture():
     draw = np.random.default_rng(0)
     positive = draw.normal(2, 1, (2000, 3))
@@ -178,6 +221,44 @@ def test_language_scores_do_not_depend_on_the_batch():
     assert names[:3] == list(SAMPLES)
 
 
+def test_long_texts_have_the_same_language_in_blocks(monkeypatch):
+    model = fitted([(text, name) for _, text, name, _, _ in spoken(60)])
+    for text in [*long_texts(), "der Hund und die Katze " * 2000]:
+        buckets, shares = langid.bag(text, model.settings)
+        found = [b[: n[0]] for b, _, n in langid.grams(pa.array([text]), model.settings)]
+        want, counts = np.unique(np.concatenate(found), return_counts=True)
+        assert np.array_equal(buckets, want)
+        assert np.allclose(shares, counts / counts.sum(), rtol=1e-6)
+        monkeypatch.setattr(langid, "BLOCK", 777)
+        assert np.array_equal(langid.bag(text, model.settings)[1], shares)
+        monkeypatch.undo()
+        name, score = langid.predict(pa.array([text + " "]), model)
+        monkeypatch.setattr(langid, "bucket_counts", None)
+        monkeypatch.setattr(langid.pc, "binary_length", lambda column: pa.array([0] * len(column)))
+        try:
+            plain_name, plain_score = langid.predict(pa.array([text + " "]), model)
+        finally:
+            monkeypatch.undo()
+        assert name == plain_name and np.allclose(score, plain_score, atol=1e-9)
+
+
+def test_memory_of_long_texts_and_many_labels():
+    import tracemalloc
+
+    draw = np.random.default_rng(1)
+    settings = langid.Settings()
+    labels = [f"l{i:03}" for i in range(1000)]
+    scores = draw.normal(size=(1 << settings.bits, len(labels)))
+    model = langid.Model(labels, scores, np.zeros(len(labels)), 1.0, 0.0, settings)
+    texts = pa.array(["ein kurzer Text " * 30] * 300 + ["ein langer Text " * 1_500_000])
+    tracemalloc.start()
+    langid.predict(texts, model)
+    quality.features(texts.slice(300), 8)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 300e6
+
+
 def test_one_language_and_one_row():
     model = fitted([("hello there", "en")])
     assert langid.predict(pa.array(["something", None]), model)[0] == ["en", "und"]
