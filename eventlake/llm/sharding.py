@@ -8,7 +8,8 @@ shard is permuted again: by a random key, whose leading part deals a shard to ma
 
 The matrix is drawn by halving: the shards' counts of a range of partitions are split between both
 halves of the range, shard by shard, each split one hypergeometric draw. Levels are DataFrame steps,
-so ranges of one level are drawn side by side. A draw inverts its distribution function over the
+so ranges of one level are drawn side by side: every few levels they are dealt to as many tasks as
+there are ranges, up to `DRAWERS`. Draws are fixed by the seed, so a lost one comes out the same. A draw inverts its distribution function over the
 counts within twelve standard deviations (and twenty) of the mode, beyond which no probability is
 left in double precision, with a uniform number hashed from seed, range and shard.
 """
@@ -27,6 +28,13 @@ from eventlake.llm.tables import committed
 BLOCK_ROWS = 1_000
 
 
+#: Levels of the matrix that are drawn before its ranges are dealt to tasks anew, and such tasks.
+DEAL_LEVELS, DRAWERS = 4, 512
+
+#: Bytes of a matrix that may be broadcast.
+BROADCAST_BYTES = 64 << 20
+
+
 def let(value: Column, use: Callable[[Column], Column]) -> Column:
     """`use(value)`, with the value computed once."""
     return F.element_at(F.transform(F.array(value), use), 1)
@@ -147,10 +155,13 @@ def split_counts(columns: Column, drawn: Column, *seeds: Column) -> Column:
 def communication_matrix(sizes: DataFrame, shards: int, seed: int) -> DataFrame:
     """From rows (part, n): part, and `counts`, how many rows it sends to each shard.
 
-    The only thing in one place is an array of the parts' sizes, a few bytes for each partition.
+    The only thing in one place is an array of the parts' sizes, a few bytes for each partition, and
+    the draws of the first levels. Ranges have equal numbers of parts, so tasks have equal work.
     """
     total = F.aggregate("parts", F.lit(0).cast("long"), lambda s, p: s + p["n"])
+    # Ranges are numbered from 0 on each level, in order.
     nodes = sizes.agg(F.array_sort(F.collect_list(F.struct("part", "n"))).alias("parts")).select(
+        F.lit(0).cast("long").alias("node"),
         "parts",
         F.transform(
             F.sequence(F.lit(0), F.lit(shards - 1)),
@@ -159,7 +170,10 @@ def communication_matrix(sizes: DataFrame, shards: int, seed: int) -> DataFrame:
             ).cast("long"),
         ).alias("counts"),
     )
-    for _ in range(max(0, sizes.count() - 1).bit_length()):
+    for level in range(max(0, sizes.count() - 1).bit_length()):
+        if level and level % DEAL_LEVELS == 0:
+            tasks = min(1 << level, DRAWERS)
+            nodes = nodes.repartitionById(tasks, F.pmod("node", F.lit(tasks)).cast("int"))
         half = F.floor(F.size("parts") / 2).cast("int")
         left = F.slice("parts", 1, half)
         taken = split_counts(
@@ -170,8 +184,11 @@ def communication_matrix(sizes: DataFrame, shards: int, seed: int) -> DataFrame:
             F.element_at("parts", -1)["part"],
         )
         halves = F.array(
-            F.struct(left.alias("parts"), F.col("taken").alias("counts")),
             F.struct(
+                (F.col("node") * 2).alias("node"), left.alias("parts"), F.col("taken").alias("counts")
+            ),
+            F.struct(
+                (F.col("node") * 2 + 1).alias("node"),
                 F.slice("parts", half + 1, F.size("parts")).alias("parts"),
                 F.zip_with("counts", "taken", lambda all_, some: all_ - some).alias("counts"),
             ),
@@ -181,10 +198,13 @@ def communication_matrix(sizes: DataFrame, shards: int, seed: int) -> DataFrame:
             nodes.withColumn("taken", F.when(~single, taken))
             .select(
                 F.explode(
-                    F.when(single, F.array(F.struct("parts", "counts"))).otherwise(halves)
-                ).alias("node")
+                    F.when(
+                        single,
+                        F.array(F.struct((F.col("node") * 2).alias("node"), "parts", "counts")),
+                    ).otherwise(halves)
+                ).alias("half")
             )
-            .select("node.*")
+            .select("half.*")
         )
     return nodes.where(F.size("parts") > 0).select(
         F.element_at("parts", 1)["part"].alias("part"), "counts"
@@ -220,6 +240,8 @@ def shuffle_into_shards(
             F.col("part").alias("_part"), ends.alias("_ends")
         )
     )
+    if sizes.count() * shards * 8 <= BROADCAST_BYTES:
+        matrix = F.broadcast(matrix)
     # Deal out: the places of a part up to the first end are the first shard's, and so on.
     total = sizes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     blocks = max(1, -(-total // (shards * block_rows)))
@@ -250,7 +272,7 @@ def shuffle_into_shards(
 
 
 def shard_report(documents: DataFrame, shards: int = 40) -> DataFrame:
-    """Shard and slot of every document, by the law of equal row counts."""
+    """Shard and slot of every document, by the law of equal row counts. NULL has no bytes."""
     spread = shuffle_into_shards(documents.select("doc_id", "text"), shards)
     return spread.select(
         "doc_id",

@@ -64,6 +64,31 @@ def test_matrix_has_both_margins(spark):
     assert columns == [total // 7 + (i < total % 7) for i in range(7)]
 
 
+def test_the_matrix_is_drawn_by_many_tasks(spark):
+    """Ranges are dealt out every few levels; lost or repeated draws come out the same."""
+    sizes = spark.createDataFrame([(i, 50 + 13 * i % 50) for i in range(1000)], "part int, n long")
+    matrix = sharding.communication_matrix(sizes, 3, seed=1)
+    drawn = matrix.withColumn("task", F.spark_partition_id())
+    tasks = [r["count"] for r in drawn.groupBy("task").count().collect()]
+    assert len(tasks) == 256 and max(tasks) <= 2 * sorted(tasks)[len(tasks) // 2]
+    rows = {r["part"]: r["counts"] for r in matrix.collect()}
+    assert rows == {r["part"]: r["counts"] for r in matrix.collect()}
+    assert all(sum(rows[i]) == 50 + 13 * i % 50 for i in range(1000))
+    total = sum(map(sum, rows.values()))
+    assert [sum(c) for c in zip(*rows.values(), strict=True)] == [total // 3 + (i < total % 3) for i in range(3)]
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_sizes_with_and_without_a_broadcast(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(sharding, "BROADCAST_BYTES", 1 << 20 if broadcast else 0)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        got = sharding.shuffle_into_shards(spark.range(500).repartition(20), 7, block_rows=20).collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sorted(row["id"] for row in got) == list(range(500)) and slots_are_gapless(got)
+
+
 def test_every_slot_is_equally_likely(spark):
     """Rows of each partition fall to each shard and half of it alike."""
     rows = spark.range(3000).repartition(3).withColumn("part", F.spark_partition_id())
