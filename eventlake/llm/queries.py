@@ -227,4 +227,60 @@ ORACLE_SQL: dict[str, str] = {
         FROM texts
         WINDOW best AS (PARTITION BY content ORDER BY size DESC, doc_id NULLS LAST)
     """,
+    "op13_spelling": r"""
+        WITH RECURSIVE crc AS (
+            SELECT list_transform(range(0, 256), lambda n: list_reduce(range(0, 8),
+                lambda c, i: xor(c >> 1, 3988292384 * (c & 1)), n)) AS t
+        ), runs AS (
+            SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                     'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS n
+            FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\x{C0}-\x{FF}]+')) AS run
+                  FROM documents)
+            GROUP BY ALL HAVING length(run) >= 6
+        ), summed AS (
+            SELECT run, n, xor(list_reduce(
+                flatten(list_transform(string_split(concat(doc_id, ':', run), ''),
+                    lambda c: CASE WHEN ord(c) < 128 THEN [ord(c)::BIGINT]
+                                   ELSE [195::BIGINT, ord(c)::BIGINT - 64] END)),
+                lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295::BIGINT
+            ), 4294967295) AS h
+            FROM runs, crc
+        ), spelled AS (
+            SELECT CASE WHEN h % 199 = 0
+                        THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2)
+                        ELSE run END AS word, n
+            FROM summed
+        ), words AS (
+            SELECT word, total AS n
+            FROM (SELECT word, sum(n)::BIGINT AS total FROM spelled GROUP BY word)
+            WHERE length(word) >= 6 AND total >= 5
+        ), shorter AS (
+            SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+            FROM (SELECT *, unnest(range(1, length(word) + 1)) AS i FROM words)
+        ), near AS (
+            SELECT a.word, b.word AS other, b.n AS other_n
+            FROM shorter a JOIN shorter b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+            UNION SELECT s.word, w.word, w.n FROM shorter s JOIN words w ON s.rest = w.word
+            UNION SELECT w.word, s.word, s.n FROM shorter s JOIN words w ON s.rest = w.word
+        ), best AS (
+            SELECT word, count(*) AS n_near,
+                   first(struct_pack(form := other, n := other_n) ORDER BY other_n DESC, other) AS b
+            FROM near GROUP BY word
+        ), formed AS (
+            SELECT w.word, w.n, coalesce(n_near, 0) AS n_near,
+                   CASE WHEN b.n >= 5 * w.n THEN b.form END AS form,
+                   CASE WHEN b.n >= 5 * w.n THEN b.n END AS form_n
+            FROM words w LEFT JOIN best USING (word)
+        ), followed AS (
+            SELECT word, word AS root FROM formed
+            UNION ALL
+            SELECT followed.word, formed.form
+            FROM followed JOIN formed ON formed.word = followed.root
+            WHERE formed.form IS NOT NULL
+        ), ends AS (
+            SELECT followed.word, followed.root
+            FROM followed JOIN formed ON formed.word = followed.root WHERE formed.form IS NULL
+        )
+        SELECT word, n, n_near, form, form_n, root FROM formed JOIN ends USING (word)
+    """,
 }
