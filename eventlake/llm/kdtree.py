@@ -141,4 +141,5 @@ def top_products(
     `taking_part` for rows that take no part, `best_k` for ties and empty tables.
     """
     rows = taking_part(table, vec_id, vector, zero=True)
-    return best_k(rows, k, every, shard_rows, partial(Tree, leaf_rows=leaf_rows), "long")
+    tree = partial(Tree, leaf_rows=leaf_rows)
+    return best_k(rows, k, every, shard_rows, tree, "long", whole_numbers)

@@ -42,6 +42,11 @@ def norms(vectors: np.ndarray) -> np.ndarray:
     return np.sqrt((vectors * vectors).sum(axis=1))
 
 
+def unit(vectors: np.ndarray) -> np.ndarray:
+    vectors = scaled(vectors)
+    return vectors / norms(vectors)[:, None]
+
+
 def words(bits: np.ndarray) -> np.ndarray:
     """Rows of bits packed into rows of 64-bit words."""
     padded = np.zeros((len(bits), -(-bits.shape[1] // 64) * 64), bool)
@@ -132,6 +137,5 @@ def nearest(
     vectors take no part; see `taking_part` for other rows that do not, `best_k` for ties and empty
     tables.
     """
-    return best_k(
-        taking_part(table, vec_id, vector, zero=False), k, every, shard_rows, Codes, "double"
-    )
+    rows = taking_part(table, vec_id, vector, zero=False)
+    return best_k(rows, k, every, shard_rows, Codes, "double", unit)

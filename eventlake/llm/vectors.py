@@ -1,16 +1,19 @@
 """Exact work on blocks of vectors, shared by the searches: shards, routing, and the best k.
 
-Rows are told apart by a number, as ids may repeat. Candidates are dealt to shards of about
-`shard_rows` rows by a hash of their number. A task reads a
-shard's candidates, builds an index over them, and then streams the queries sent to that shard past
-it, so it holds one shard and one batch of queries however many there are. Each query first searches
-the shard it lives in; the score of its k-th best there goes with it to the other shards, which
-return only what is not worse.
+Rows are told apart by a number, as ids may repeat. Candidates are dealt to shards by median splits,
+learned from a bounded sample, of the space in which the measure is an inner product, so a shard's
+bounding box is tight where vectors cluster; a shard that still holds too many, as of equal vectors, is
+cut by a hash of the number. A task reads a shard's candidates, builds an index over them, and then
+streams the queries sent to that shard past it, so it holds one shard and one block of queries however
+many there are. Each query first searches the shard it lives in; the score of its k-th best there goes
+with it to the other shards whose box reaches that score, which return only what is not worse.
+Queries travel in blocks: a row a block and shard, not a row a query and shard.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 from typing import Protocol
 
 import numpy as np
@@ -24,6 +27,13 @@ from eventlake.llm.tables import committed
 #: Queries that an index gets at once, at most.
 QUERY_BLOCK = 256
 
+#: Shards that rows are dealt to for the sake of many tasks, and shards that there may be at most:
+#: beyond `LARGE_ROWS` a shard grows rather.
+SPREAD, MOST_SHARDS, LARGE_ROWS = 256, 16_384, 65_536
+
+#: Vectors that the splits are learned from, and their bytes, at most.
+SAMPLE_ROWS, SAMPLE_BYTES, SEED = 20_000, 64 << 20, 31
+
 
 class Index(Protocol):
     """Made of the candidates' ids, numbers and vectors."""
@@ -39,6 +49,9 @@ class Index(Protocol):
 
 MakeIndex = Callable[[np.ndarray, np.ndarray, np.ndarray], Index]
 
+#: Vectors to where the measure is an inner product, rows of doubles or of objects.
+Space = Callable[[np.ndarray], np.ndarray]
+
 
 def taking_part(table: DataFrame, vec_id: str, vector: str, zero: bool) -> DataFrame:
     """vec_id and vector (doubles) of the rows that can be searched.
@@ -64,40 +77,279 @@ def matrix(vectors: pa.Array) -> np.ndarray:
     return flat.reshape(len(vectors), -1)
 
 
+# --- shards -------------------------------------------------------------------------------------
+
+
+@dataclass
+class Splits:
+    """A tree of median splits; a node is a component and a threshold, or a leaf's number."""
+
+    nodes: list[tuple[int, float, int, int] | int]
+
+    @staticmethod
+    def learn(sample: np.ndarray, leaves: int) -> Splits:
+        nodes: list = []
+        numbered = 0
+
+        def grow(rows: np.ndarray, wanted: int) -> int:
+            nonlocal numbered
+            place = len(nodes)
+            nodes.append(None)
+            spread = rows.max(axis=0) - rows.min(axis=0) if len(rows) else np.zeros(1)
+            if wanted < 2 or not spread.max() > 0:
+                nodes[place] = numbered
+                numbered += 1
+                return place
+            component = int(np.argmax(spread))
+            values = np.sort(rows[:, component])
+            threshold = float(values[len(rows) * (wanted // 2) // wanted])
+            # A value that many share goes to one side as a whole, and to the larger one.
+            left = rows[:, component] < threshold
+            if not left.any():
+                threshold = float(values[values > threshold][0])
+                left = rows[:, component] < threshold
+            nodes[place] = (
+                component,
+                threshold,
+                grow(rows[left], wanted // 2),
+                grow(rows[~left], wanted - wanted // 2),
+            )
+            return place
+
+        grow(sample, leaves)
+        return Splits(nodes)
+
+    def leaf_of(self, rows: np.ndarray) -> np.ndarray:
+        found = np.zeros(len(rows), np.int32)
+        work = [(0, np.arange(len(rows)))]
+        while work:
+            place, some = work.pop()
+            node = self.nodes[place]
+            if isinstance(node, int):
+                found[some] = node
+                continue
+            component, threshold, low, high = node
+            left = rows[some, component] < threshold
+            work += [(low, some[left]), (high, some[~left])]
+        return found
+
+
+def rows_of_a_shard(rows: int, least: int) -> int:
+    """`least` rows while that gives few shards, then more, up to `LARGE_ROWS` and beyond."""
+    return max(least, min(LARGE_ROWS, -(-rows // SPREAD)), -(-rows // MOST_SHARDS))
+
+
+def learned_splits(rows: DataFrame, shard_rows: int, space: Space) -> dict[int, Splits]:
+    """Splits of every width that has more rows than a shard; there are no more than shards."""
+    large = rows.groupBy("_width").count().where(F.col("count") > shard_rows).collect()
+    splits = {}
+    for width, count in large:
+        wanted = min(SAMPLE_ROWS, max(1000, SAMPLE_BYTES // (8 * width)))
+        share = min(1.0, wanted / count)
+        drawn = rows.where(F.col("_width") == width).sample(share, SEED).limit(2 * wanted)
+        vectors = [row["vector"] for row in drawn.select("vector").collect()]
+        if vectors:
+            sample = space(np.array(vectors, np.float64))
+            if sample.dtype != object:
+                splits[width] = Splits.learn(sample, -(-count // shard_rows))
+    return splits
+
+
+def placed_in_shards(rows: DataFrame, shard_rows: int, space: Space) -> DataFrame:
+    """The rows with `_leaf`, the end of the splits that they come to, and `_part` of it."""
+    splits = learned_splits(rows, shard_rows, space)
+
+    @F.arrow_udf("int")
+    def leaf_of(vectors: pa.Array) -> pa.Array:
+        found = np.zeros(len(vectors), np.int32)
+        lengths = vectors.value_lengths().to_numpy(zero_copy_only=False)
+        for width in set(lengths.tolist()) & splits.keys():
+            some = np.flatnonzero(lengths == width)
+            inside = space(matrix(vectors.take(pa.array(some))))
+            if inside.dtype != object:
+                found[some] = splits[width].leaf_of(inside)
+        return pa.array(found)
+
+    rows = rows.withColumn("_leaf", leaf_of("vector"))
+    parts = rows.groupBy("_width", "_leaf").agg(
+        F.ceil(F.count(F.lit(1)) / (2 * shard_rows)).cast("int").alias("_parts")
+    )
+    # One row a shard, and fewer for those that are cut.
+    cut = committed(parts.where("_parts > 1"))
+    return (
+        rows.join(F.broadcast(cut), ["_width", "_leaf"], "left")
+        .withColumn(
+            "_part",
+            F.coalesce(F.pmod(F.xxhash64("number"), F.col("_parts")), F.lit(0)).cast("int"),
+        )
+        .drop("_parts")
+    )
+
+
+@dataclass(frozen=True)
+class Box:
+    low: np.ndarray
+    high: np.ndarray
+    parts: int  # of the leaf
+
+
+def boxes_of(placed: DataFrame, space: Space) -> dict[int, dict[int, Box]]:
+    """By width and leaf, the box of a leaf's vectors. Tasks send a box a leaf, not vectors."""
+    fields = "_width int, _leaf int, low binary, high binary, parts int"
+
+    def run(batches: Iterator[pa.RecordBatch], read) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple[int, int], tuple[np.ndarray, np.ndarray, int]] = {}
+        for batch in batches:
+            for key, low, high, parts in read(batch):
+                if key in held:
+                    low, high = np.minimum(low, held[key][0]), np.maximum(high, held[key][1])
+                    parts = max(parts, held[key][2])
+                held[key] = low, high, parts
+        rows = [(*key, low.tobytes(), high.tobytes(), n) for key, (low, high, n) in held.items()]
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array([row[i] for row in rows], kind)
+                for i, kind in enumerate(
+                    (pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.int32())
+                )
+            ],
+            ["_width", "_leaf", "low", "high", "parts"],
+        )
+
+    def vectors(batch: pa.RecordBatch):
+        keys = np.stack([batch.column(name).to_numpy() for name in ("_width", "_leaf")], axis=1)
+        parts = batch.column("_part").to_numpy()
+        for width, leaf in np.unique(keys, axis=0).tolist():
+            some = np.flatnonzero((keys == (width, leaf)).all(axis=1))
+            rows = space(matrix(batch.column("vector").take(pa.array(some))))
+            if rows.dtype == object:
+                # No double bounds these: the box is all of the space.
+                low, high = np.full(width, -np.inf), np.full(width, np.inf)
+            else:
+                low, high = rows.min(axis=0), rows.max(axis=0)
+            yield (width, leaf), low, high, int(parts[some].max()) + 1
+
+    def boxes(batch: pa.RecordBatch):
+        for row in batch.to_pylist():
+            low, high = (np.frombuffer(row[name]) for name in ("low", "high"))
+            yield (row["_width"], row["_leaf"]), low, high, row["parts"]
+
+    partial = placed.select("_width", "_leaf", "_part", "vector").mapInArrow(
+        lambda batches: run(batches, vectors), fields
+    )
+    whole = partial.repartition("_width", "_leaf").mapInArrow(
+        lambda batches: run(batches, boxes), fields
+    )
+    found: dict[int, dict[int, Box]] = {}
+    for row in whole.collect():
+        low, high = (np.frombuffer(bytes(row[name])) for name in ("low", "high"))
+        found.setdefault(row["_width"], {})[row["_leaf"]] = Box(low, high, row["parts"])
+    return found
+
+
+# --- queries ------------------------------------------------------------------------------------
+
+#: A block of queries on its way to a shard. Its columns hold packed numbers.
+BLOCK = (
+    "_width int, _leaf int, _part int, numbers binary, ids binary, leasts binary, vectors binary"
+)
+
+
+def block_rows(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = [pa.int32()] * 3 + [pa.binary()] * 4
+    names = [part.split()[0] for part in BLOCK.split(", ")]
+    return pa.RecordBatch.from_arrays(
+        [pa.array([row[i] for row in rows], kind) for i, kind in enumerate(kinds)], names
+    )
+
+
+def sent(asking: DataFrame, targets: Callable) -> DataFrame:
+    """Blocks of the queries (number, vec_id, vector, _least, _width, _leaf, _part).
+
+    `targets` gives, for queries of one width, the shards (leaf, part) that get some of them, and
+    which: it is told their vectors, least scores, leaves and parts.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            widths = batch.column("_width").to_numpy()
+            for width in np.unique(widths).tolist():
+                some = np.flatnonzero(widths == width)
+                part = batch.take(pa.array(some))
+                vectors = matrix(part.column("vector"))
+                numbers, ids, leaves, parts = (
+                    part.column(name).to_numpy() for name in ("number", "vec_id", "_leaf", "_part")
+                )
+                least = part.column("_least").fill_null(-np.inf).to_numpy(zero_copy_only=False)
+                for leaf, piece, chosen in targets(width, vectors, least, leaves, parts):
+                    for start in range(0, len(chosen), QUERY_BLOCK):
+                        these = chosen[start : start + QUERY_BLOCK]
+                        packed = (numbers, ids, least.astype(np.float64), vectors)
+                        yield block_rows(
+                            [(width, leaf, piece, *(values[these].tobytes() for values in packed))]
+                        )
+
+    columns = ["number", "vec_id", "vector", "_least", "_width", "_leaf", "_part"]
+    return asking.select(*columns).mapInArrow(run, BLOCK)
+
+
+def to_own_shard(width, vectors, least, leaves, parts):
+    keys = np.stack([leaves, parts], axis=1)
+    for leaf, part in np.unique(keys, axis=0).tolist():
+        yield leaf, part, np.flatnonzero((leaves == leaf) & (parts == part))
+
+
+def to_reaching_shards(boxes: dict[int, dict[int, Box]], space: Space):
+    """Every other shard whose box holds a point that scores as high as a query's k-th best."""
+
+    def targets(width, vectors, least, leaves, parts):
+        known = boxes.get(width, {})
+        inside = space(vectors)
+        for leaf, box in known.items():
+            if inside.dtype == object or not np.isfinite(box.low).all():
+                reaching = np.ones(len(vectors), bool)
+            else:
+                bound = np.maximum(inside, 0) @ box.high + np.minimum(inside, 0) @ box.low
+                # Room for what rounding may take off.
+                room = 1e-9 * (np.abs(inside) @ np.maximum(np.abs(box.low), np.abs(box.high)) + 1e-300)
+                reaching = bound + room >= least
+            for part in range(box.parts):
+                chosen = np.flatnonzero(reaching & ((leaves != leaf) | (parts != part)))
+                if len(chosen):
+                    yield leaf, part, chosen
+
+    return targets
+
+
 def searched(
-    candidates: DataFrame,
-    queries: DataFrame,
-    k: int,
-    make_index: MakeIndex,
-    kind: str,
+    candidates: DataFrame, blocks: DataFrame, k: int, make_index: MakeIndex, kind: str
 ) -> DataFrame:
-    """query, query_id, vec_id, score: what each query (by number) finds in the shard it is sent to."""
-    sent = candidates.select(
-        "_width", "_shard", F.lit(0).alias("_asks"), "number", "vec_id", "vector",
-        F.lit(None).cast("double").alias("_least"),
+    """query, query_id, vec_id, score: what queries (by number) find in the shards they are sent to."""
+    nothing = [F.lit(None).cast("binary").alias(n) for n in ("numbers", "ids", "leasts", "vectors")]
+    asked = blocks.select("_width", "_leaf", "_part").distinct()
+    live = candidates.join(asked, ["_width", "_leaf", "_part"], "left_semi")
+    together = live.select(
+        "_width", "_leaf", "_part", F.lit(0).alias("_asks"), "number", "vec_id", "vector", *nothing
     ).unionByName(
-        queries.select(
-            "_width", "_shard", F.lit(1).alias("_asks"), "number", "vec_id", "vector", "_least"
-        )
+        blocks.select("*", F.lit(1).alias("_asks")), allowMissingColumns=True
     )
-    dealt = sent.repartition("_width", "_shard").sortWithinPartitions(
-        "_width", "_shard", "_asks", "number"
+    dealt = together.repartition("_width", "_leaf", "_part").sortWithinPartitions(
+        "_width", "_leaf", "_part", "_asks", "number"
     )
     score_type = pa.int64() if kind == "long" else pa.float64()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, held, index = None, [], None
+        names = ("_width", "_leaf", "_part", "_asks")
         for batch in batches:
-            keys = np.stack(
-                [batch.column(name).to_numpy() for name in ("_width", "_shard", "_asks")], axis=1
-            )
+            keys = np.stack([batch.column(name).to_numpy() for name in names], axis=1)
             cuts = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
             for low, high in zip([0, *cuts], [*cuts, len(keys)], strict=True):
                 if low == high:
                     continue
-                width, shard, asks = keys[low].tolist()
-                if key != (width, shard):
-                    key, held, index = (width, shard), [], None
+                *shard, asks = keys[low].tolist()
+                if key != shard:
+                    key, held, index = shard, [], None
                 part = batch.slice(low, high - low)
                 if not asks:
                     held.append(
@@ -108,19 +360,17 @@ def searched(
                         )
                     )
                     continue
-                if not held and index is None:
-                    continue
                 if index is None:
+                    if not held:
+                        continue
                     index = make_index(*map(np.concatenate, zip(*held, strict=True)))
                     held = []
-                for start in range(0, len(part), QUERY_BLOCK):
-                    block = part.slice(start, QUERY_BLOCK)
-                    ids = block.column("vec_id").to_numpy()
-                    numbers = block.column("number").to_numpy()
-                    least = block.column("_least").fill_null(-np.inf).to_numpy()
+                for block in part.select(["numbers", "ids", "leasts", "vectors"]).to_pylist():
+                    numbers, ids = (np.frombuffer(block[n], np.int64) for n in ("numbers", "ids"))
+                    least, vectors = (np.frombuffer(block[n]) for n in ("leasts", "vectors"))
                     queries, asked, found, scores = [], [], [], []
                     for place, best in index.search(
-                        numbers, matrix(block.column("vector")), least, k
+                        numbers, vectors.reshape(len(numbers), -1), least, k
                     ):
                         queries += [numbers[place]] * len(best)
                         asked += [ids[place]] * len(best)
@@ -146,6 +396,7 @@ def best_k(
     shard_rows: int,
     make_index: MakeIndex,
     kind: str,
+    space: Space,
 ) -> DataFrame:
     """query_id, rank, vec_id and score of the k best candidates of each query.
 
@@ -154,23 +405,24 @@ def best_k(
     are taken one by one where ids repeat: each is a query with ranks of its own, and each is a
     candidate, also for a query of its id.
     """
-    rows = committed(rows.withColumn("number", F.monotonically_increasing_id()))
-    shards = max(1, -(-rows.count() // shard_rows))
-    placed = rows.withColumn("_width", F.size("vector")).withColumn(
-        "_shard", F.pmod(F.xxhash64("number"), F.lit(shards)).cast("int")
+    rows = committed(
+        rows.select(
+            "*", F.monotonically_increasing_id().alias("number"), F.size("vector").alias("_width")
+        )
     )
+    size = rows_of_a_shard(rows.count(), shard_rows)
+    placed = committed(placed_in_shards(rows, size, space))
     asking = placed.where(F.col("vec_id") % every == 0)
     unbounded = asking.withColumn("_least", F.lit(None).cast("double"))
-    at_home = committed(searched(placed, unbounded, k, make_index, kind))
+    at_home = committed(searched(placed, sent(unbounded, to_own_shard), k, make_index, kind))
     best_at_home = at_home.groupBy("query").agg(
         F.when(F.count(F.lit(1)) >= k, F.min("score").cast("double")).alias("_least")
     )
-    elsewhere = (
-        asking.join(best_at_home.withColumnRenamed("query", "number"), "number", "left")
-        .withColumnRenamed("_shard", "_home")
-        .withColumn("_shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-        .where(F.col("_shard") != F.col("_home"))
-    )
+    bounded = asking.join(best_at_home.withColumnRenamed("query", "number"), "number", "left")
+    # Queries of a shard go on together, so that their blocks are full.
+    together = bounded.sortWithinPartitions("_width", "_leaf", "_part")
+    reaching = to_reaching_shards(boxes_of(placed, space), space)
+    elsewhere = committed(sent(together, reaching))
     best = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
     return (
         at_home.unionByName(searched(placed, elsewhere, k, make_index, kind))

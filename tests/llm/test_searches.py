@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from eventlake.llm import kdtree, onebit
+from eventlake.llm import kdtree, onebit, vectors
 from eventlake.llm.queries import ORACLE_SQL, QUERIES
 
 VECTORS = "vec_id long, embedding array<double>"
@@ -171,3 +171,71 @@ def test_queries(spark, tables):
     assert len(found) == len(want)
     both = {(r[0], r[2]) for r in found} & {(r[0], r[2]) for r in want}
     assert len(both) >= 0.9 * len(want)
+
+
+def clustered(size, width, groups, seed=5):
+    draw = np.random.default_rng(seed)
+    centers = draw.standard_normal((groups, width)) * 4
+    vectors = centers[draw.integers(0, groups, size)] + 0.02 * draw.standard_normal((size, width))
+    return list(enumerate(vectors.tolist()))
+
+
+@pytest.mark.parametrize("search", ["exact", "codes"])
+def test_queries_go_to_the_shards_that_they_need(spark, search, monkeypatch):
+    """On clustered vectors far fewer blocks of queries travel than queries times shards."""
+    monkeypatch.setattr(vectors, "SPREAD", 10**9)
+    rows = clustered(3000, 8, 30)
+    docs = spark.createDataFrame(rows, VECTORS).repartition(4)
+    space = kdtree.whole_numbers if search == "exact" else onebit.unit
+    blocks, plain = [], vectors.sent
+
+    def counting(asking, targets):
+        found = plain(asking, targets)
+        blocks.append(found)
+        return found
+
+    monkeypatch.setattr(vectors, "sent", counting)
+    if search == "exact":
+        found = sorted(map(tuple, kdtree.top_products(docs, shard_rows=100).collect()))
+        assert found == brute(rows, product)
+    else:
+        found = {(r.query_id, r.vec_id) for r in onebit.nearest(docs, shard_rows=100).collect()}
+        want = {(one, other) for one, _, other, _ in brute(rows, cosine)}
+        assert len(found & want) >= 0.9 * len(want)
+    home, elsewhere = blocks
+    asked = elsewhere.select((F.octet_length("numbers") / 8).alias("n"))
+    queries, shards = 60, 30
+    assert home.agg(F.sum(F.octet_length("numbers") / 8)).first()[0] == queries
+    moved = asked.agg(F.count("n"), F.sum("n")).first()
+    assert moved[1] < queries * shards / 2 and moved[0] < moved[1]
+    assert space(np.ones((1, 2))).shape == (1, 2)
+
+
+def test_shards_of_equal_vectors_are_cut(spark):
+    rows = [(i, [1.0, 2.0]) for i in range(600)] + [(1000 + i, [float(i), -1.0]) for i in range(300)]
+    docs = spark.createDataFrame(rows, VECTORS)
+    numbered = vectors.taking_part(docs, "vec_id", "embedding", True).withColumns(
+        {"number": F.col("vec_id"), "_width": F.size("vector")}
+    )
+    placed = vectors.placed_in_shards(numbered, 50, kdtree.whole_numbers)
+    sizes = [r["count"] for r in placed.groupBy("_leaf", "_part").count().collect()]
+    assert sum(sizes) == 900 and max(sizes) <= 150
+    found = sorted(map(tuple, kdtree.top_products(docs, shard_rows=50).collect()))
+    assert found == brute(rows, product)
+
+
+def test_median_splits():
+    draw = np.random.default_rng(0)
+    rows = draw.standard_normal((5000, 3))
+    leaves = vectors.Splits.learn(rows, 16).leaf_of(rows)
+    assert np.bincount(leaves).min() > 250 and len(np.bincount(leaves)) == 16
+    same = np.ones((100, 2))
+    assert set(vectors.Splits.learn(same, 8).leaf_of(same).tolist()) == {0}
+    assert set(vectors.Splits.learn(np.zeros((0, 2)), 4).leaf_of(same).tolist()) == {0}
+
+
+def test_shards_grow_with_the_table():
+    assert vectors.rows_of_a_shard(10_000, 4096) == 4096
+    assert vectors.rows_of_a_shard(10_000_000, 4096) == 39_063
+    assert vectors.rows_of_a_shard(100_000_000, 4096) == 65_536
+    assert -(-10**10 // vectors.rows_of_a_shard(10**10, 4096)) <= vectors.MOST_SHARDS
