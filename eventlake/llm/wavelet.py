@@ -4,7 +4,8 @@ A shard file holds one wavelet matrix: a plane of bits per bit of the largest id
 first, where every plane orders the ids by the planes above it, zeros before ones. With the count of
 ones before each block of a plane, the file answers, reading only the blocks it needs, which id
 stands at a position, how often an id occurs before a position, and where its n-th occurrence is.
-Blocks are compressed each by itself. Beside the planes the file keeps the ids and starts of its
+Blocks are compressed each by itself. `ids_at`, `count_ids` and `find_id` ask all files so. Beside the
+planes the file keeps the ids and starts of its
 documents.
 
 Layout, all integers little-endian: magic, version, tokens, documents, planes (five u64), then per
@@ -17,7 +18,8 @@ from __future__ import annotations
 import json
 import os
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import cached_property
 from itertools import chain
 
 import numpy as np
@@ -99,11 +101,18 @@ def build(tokens: np.ndarray, documents: np.ndarray, lengths: np.ndarray) -> byt
 
 
 class WaveletMatrix:
-    """Look-ups in a shard file's bytes. Decompresses a block when it is first needed."""
+    """Look-ups in a shard file, given as its bytes or as an open file that is read from any place.
 
-    def __init__(self, stored: bytes):
-        self.stored = memoryview(stored)
-        magic, version, self.size, documents, self.width = self._numbers(0, 5).tolist()
+    The file's head is read at once, the document table and each block when they are first needed.
+    """
+
+    def __init__(self, stored: bytes | pa.NativeFile):
+        if isinstance(stored, pa.NativeFile):
+            self.read = lambda start, end: stored.read_at(end - start, start)
+        else:
+            view = memoryview(stored)
+            self.read = lambda start, end: bytes(view[start:end])
+        magic, version, self.size, self.n_documents, self.width = self._numbers(0, 5).tolist()
         if magic != MAGIC or version != VERSION:
             raise ValueError("not a wavelet matrix file of this version")
         self.blocks = -(-self.size // BLOCK)
@@ -114,24 +123,35 @@ class WaveletMatrix:
         at += self.ones.size * 8
         places = self._numbers(at, self.width * self.blocks + 1)
         at += places.size * 8
-        table_size = int(self._numbers(at, 1)[0])
-        table = unpack(bytes(self.stored[at + 8 : at + 8 + table_size]), documents * 16)
-        self.documents = np.frombuffer(table, "<i8", documents)
-        self.lengths = np.frombuffer(table, "<u8", documents, documents * 8).astype(np.int64)
-        self.places = places.astype(np.int64) + at + 8 + table_size
+        self.table_at, table_size = at + 8, int(self._numbers(at, 1)[0])
+        self.places = places.astype(np.int64) + self.table_at + table_size
         self.cache: dict[tuple[int, int], np.ndarray] = {}
 
     def _numbers(self, at: int, count: int) -> np.ndarray:
-        return np.frombuffer(self.stored, "<u8", count, at)
+        return np.frombuffer(self.read(at, at + 8 * count), "<u8")
+
+    @cached_property
+    def _table(self) -> bytes:
+        return unpack(self.read(self.table_at, int(self.places[0])), self.n_documents * 16)
+
+    @property
+    def documents(self) -> np.ndarray:
+        return np.frombuffer(self._table, "<i8", self.n_documents)
+
+    @cached_property
+    def lengths(self) -> np.ndarray:
+        half = self.n_documents * 8
+        return np.frombuffer(self._table, "<u8", self.n_documents, half).astype(np.int64)
+
+    def _stored(self, place: int) -> bytes:
+        return self.read(int(self.places[place]), int(self.places[place + 1]))
 
     def _block(self, plane: int, block: int) -> np.ndarray:
         """The bits of one block as an array of 0 and 1."""
         if (plane, block) not in self.cache:
             bits = min(BLOCK, self.size - block * BLOCK)
             place = plane * self.blocks + block
-            raw = unpack(
-                bytes(self.stored[self.places[place] : self.places[place + 1]]), -(-bits // 8)
-            )
+            raw = unpack(self._stored(place), -(-bits // 8))
             self.cache[plane, block] = np.unpackbits(
                 np.frombuffer(raw, np.uint8), count=bits, bitorder="little"
             )
@@ -202,10 +222,7 @@ class WaveletMatrix:
         row = np.zeros(self.size, kind)
         for plane in range(self.width - 1, -1, -1):
             raw = b"".join(
-                unpack(
-                    bytes(self.stored[self.places[place] : self.places[place + 1]]),
-                    -(-min(BLOCK, self.size - block * BLOCK) // 8),
-                )
+                unpack(self._stored(place), -(-min(BLOCK, self.size - block * BLOCK) // 8))
                 for block, place in enumerate(
                     range(plane * self.blocks, (plane + 1) * self.blocks)
                 )
@@ -451,8 +468,7 @@ def read_shards(manifest: DataFrame, folder: str) -> DataFrame:
 
     `start` counts the ids of all documents before it. The running sum is over one row per file.
     """
-    before = Window.orderBy("part", "piece").rowsBetween(Window.unboundedPreceding, -1)
-    placed = manifest.withColumn("first", F.coalesce(F.sum("tokens").over(before), F.lit(0)))
+    placed = with_starts(manifest)
     # One file a task, as far as hashing deals them evenly.
     files = max(1, manifest.count())
     null_id = -(1 << 63)
@@ -498,6 +514,105 @@ def read_shards(manifest: DataFrame, folder: str) -> DataFrame:
     )
 
 
+def with_starts(manifest: DataFrame) -> DataFrame:
+    """The files and `first`, the number of ids in all files before."""
+    before = Window.orderBy("part", "piece").rowsBetween(Window.unboundedPreceding, -1)
+    return manifest.withColumn("first", F.coalesce(F.sum("tokens").over(before), F.lit(0)))
+
+
+def looked_up(
+    files: DataFrame,
+    folder: str,
+    fields: str,
+    look: Callable[[WaveletMatrix, dict], list[tuple]],
+) -> DataFrame:
+    """What `look` finds in each file, given its row; it reads from the file only what it needs."""
+    names = files.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, _ = pa.fs.FileSystem.from_uri(folder)
+        for batch in batches:
+            for row in batch.to_pylist():
+                with store.open_input_file(row["path"]) as source:
+                    found = look(WaveletMatrix(source), row)
+                columns = [name.split()[0] for name in fields.split(", ")]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([values[place] for values in found], pa.int64())
+                        for place in range(len(columns))
+                    ],
+                    columns,
+                )
+
+    return files.repartition("path").select(*names).mapInArrow(run, fields)
+
+
+def ids_at(manifest: DataFrame, folder: str, positions: list[int]) -> DataFrame:
+    """position, id: the ids at these positions of all documents' ids, one after the other.
+
+    Positions beyond the last one have no row. Only files that hold a position are opened, and of
+    each plane of theirs the blocks on the way.
+    """
+    asked = F.array(*map(F.lit, positions)).cast("array<bigint>")
+    here = F.filter(
+        asked, lambda p: (p >= F.col("first")) & (p < F.col("first") + F.col("tokens"))
+    )
+    files = with_starts(manifest).withColumn("here", here).where(F.size("here") > 0)
+    return looked_up(
+        files.select("path", "first", "here"),
+        folder,
+        "position long, id long",
+        lambda matrix, row: [(p, matrix.access(p - row["first"])) for p in set(row["here"])],
+    )
+
+
+def counts_by_file(manifest: DataFrame, folder: str, ids: list[int]) -> DataFrame:
+    """part, piece, id, n of the files that hold some of these ids, by two ranks a plane."""
+
+    def look(matrix: WaveletMatrix, row: dict) -> list[tuple]:
+        counts = ((number, matrix.count(number)) for number in dict.fromkeys(ids))
+        return [(row["part"], row["piece"], number, n) for number, n in counts if n]
+
+    return looked_up(
+        manifest.select("part", "piece", "path"),
+        folder,
+        "part long, piece long, id long, n long",
+        look,
+    )
+
+
+def count_ids(manifest: DataFrame, folder: str, ids: list[int]) -> DataFrame:
+    """id, n: how often these ids occur in all files; ids that do not occur have no row."""
+    return counts_by_file(manifest, folder, ids).groupBy("id").agg(F.sum("n").alias("n"))
+
+
+def find_id(manifest: DataFrame, folder: str, number: int, nths: list[int]) -> DataFrame:
+    """nth, position of an id's nth occurrences (from 0) in all files; none beyond the last one.
+
+    The files' counts of the id say which files hold these occurrences; only those are opened again.
+    """
+    counts = committed(counts_by_file(manifest, folder, [number]))
+    before = Window.orderBy("part", "piece").rowsBetween(Window.unboundedPreceding, -1)
+    asked = F.array(*map(F.lit, nths)).cast("array<bigint>")
+    here = F.filter(asked, lambda n: (n >= F.col("earlier")) & (n < F.col("earlier") + F.col("n")))
+    holding = counts.withColumn("earlier", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    files = (
+        with_starts(manifest)
+        .join(holding, ["part", "piece"])
+        .withColumn("here", here)
+        .where(F.size("here") > 0)
+    )
+    return looked_up(
+        files.select("path", "first", "earlier", "here"),
+        folder,
+        "nth long, position long",
+        lambda matrix, row: [
+            (n, row["first"] + matrix.occurrence(number, n - row["earlier"]))
+            for n in set(row["here"])
+        ],
+    )
+
+
 def wavelet_report(documents: DataFrame, path: str, end_id: int = 2) -> DataFrame:
     """Write all documents' ids to shard files, read the files back, and digest what they hold."""
     with open(path, encoding="utf-8") as file:

@@ -3,6 +3,7 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -49,6 +50,52 @@ def test_files_are_smaller_than_their_ids_and_refuse_others():
         wavelet.WaveletMatrix(b"0" * 200)
 
 
+class Counted(pa.PythonFile):
+    """An open file that counts the bytes read from it."""
+
+    read_bytes = 0
+
+    def read_at(self, size, at):
+        Counted.read_bytes += size
+        return super().read_at(size, at)
+
+
+def test_look_ups_read_single_blocks(tmp_path):
+    tokens = np.random.default_rng(0).zipf(1.2, 2_000_000) % 49_408
+    stored = wavelet.build(tokens, np.arange(1000), np.full(1000, 2000))
+    (tmp_path / "a.wm").write_bytes(stored)
+    with open(tmp_path / "a.wm", "rb") as file:
+        matrix = wavelet.WaveletMatrix(Counted(file, "r"))
+        head = Counted.read_bytes
+        assert head < len(stored) / 50
+        assert matrix.access(1_234_567) == tokens[1_234_567]
+        assert Counted.read_bytes - head < len(stored) / 20
+        assert matrix.count(7) == (tokens == 7).sum()
+        assert matrix.occurrence(7, 100) == np.flatnonzero(tokens == 7)[100]
+        assert matrix.lengths.tolist() == [2000] * 1000
+
+
+def test_all_files_are_asked(spark, documents):
+    rows = [(i, f"the cat {'and the dog ' * (i % 5)}sat on mat {i}") for i in range(120)]
+    folder = scratch_folder(spark)
+    with open(PATH, encoding="utf-8") as file:
+        manifest = wavelet.write_shards(documents(rows), file.read(), folder, 2, shard_tokens=200)
+    assert manifest.count() > 5
+    library = tokenizers.Tokenizer.from_file(PATH)
+    flat = np.array([t for _, text in rows for t in [*library.encode(text, add_special_tokens=False).ids, 2]])
+    positions = [0, 1, 199, 200, 777, len(flat) - 1, len(flat), 777]
+    got = dict(map(tuple, wavelet.ids_at(manifest, folder, positions).collect()))
+    assert got == {p: flat[p] for p in positions if p < len(flat)}
+    ids = [2, int(flat[0]), int(flat[3]), 40_000, 10**6]
+    counted = dict(map(tuple, wavelet.count_ids(manifest, folder, ids).collect()))
+    assert counted == {i: (flat == i).sum() for i in ids if (flat == i).any()}
+    places = np.flatnonzero(flat == flat[0])
+    nths = [0, 1, 50, len(places) - 1, len(places)]
+    found = dict(map(tuple, wavelet.find_id(manifest, folder, int(flat[0]), nths).collect()))
+    assert found == {n: places[n] for n in nths if n < len(places)}
+    assert wavelet.find_id(manifest, folder, 10**6, [0]).collect() == []
+
+
 def brute(rows):
     library = tokenizers.Tokenizer.from_file(PATH)
     out, start = [], 0
