@@ -48,7 +48,9 @@ def slices(column: pa.Array, most: int) -> Iterator[tuple[int, int]]:
         yield start, len(lengths)
 
 
-def blocks_of(flat: np.ndarray, most: int, cuts: Callable[[np.ndarray], np.ndarray]) -> Iterator[tuple[int, int]]:
+def blocks_of(
+    flat: np.ndarray, most: int, cuts: Callable[[np.ndarray], np.ndarray]
+) -> Iterator[tuple[int, int]]:
     """Ranges of about `most` bytes of one text, each ending where `cuts` allows, or with the text.
 
     `cuts` tells of each byte whether a range may begin with it.

@@ -260,9 +260,9 @@ def predict(texts: pa.Array, model: Model | None) -> tuple[list[str], np.ndarray
 def identify(documents: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
     """Add `lang_pred string`, `score double` and `accepted boolean`, replacing such columns.
 
-    Very long texts are read in blocks. Text that is NULL, empty or without a letter gets `und`, 0 and is not accepted, as does every
-    row if there was nothing to learn from. Equal scores go to the label that sorts first. Repeated
-    rows are scored each; an empty table gives an empty one.
+    Very long texts are read in blocks. Text that is NULL, empty or without a letter gets `und`, 0
+    and is not accepted, as does every row if there was nothing to learn from. Equal scores go to
+    the label that sorts first. Repeated rows are scored each; an empty table gives an empty one.
     """
 
     @F.arrow_udf("struct<lang_pred: string, score: double, accepted: boolean>")

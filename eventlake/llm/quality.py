@@ -328,8 +328,8 @@ def score(texts: pa.Array, model: Model | None) -> np.ndarray:
 def grade(documents: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
     """Add `score double` and `predicted int`, replacing such columns.
 
-    NULL text scores as empty text does, very long texts are read in blocks. Without anything to learn from every score is 0.5. Equal
-    texts get equal scores; an empty table gives an empty one.
+    NULL text scores as empty text does, very long texts are read in blocks. Without anything to
+    learn from every score is 0.5. Equal texts get equal scores; an empty table gives an empty one.
     """
 
     @F.arrow_udf("double")

@@ -312,7 +312,7 @@ def inflated(source: list[memoryview]) -> Iterator[bytes]:
 
 
 def measured(data: memoryview) -> tuple[int, bool, bytes | None]:
-    """How many bytes the streams take, whether the last ends early, and their content if it is small."""
+    """How many bytes the streams take, whether the last ends early, and the content if small."""
     held, pieces = bytearray(), iter(inflated([data]))
     while True:
         try:

@@ -9,9 +9,10 @@ shard is permuted again: by a random key, whose leading part deals a shard to ma
 The matrix is drawn by halving: the shards' counts of a range of partitions are split between both
 halves of the range, shard by shard, each split one hypergeometric draw. Levels are DataFrame steps,
 so ranges of one level are drawn side by side: every few levels they are dealt to as many tasks as
-there are ranges, up to `DRAWERS`. Draws are fixed by the seed, so a lost one comes out the same. A draw inverts its distribution function over the
-counts within twelve standard deviations (and twenty) of the mode, beyond which no probability is
-left in double precision, with a uniform number hashed from seed, range and shard.
+there are ranges, up to `DRAWERS`. Draws are fixed by the seed, so a lost one comes out the same. A
+draw inverts its distribution function over the counts within twelve standard deviations (and twenty)
+of the mode, beyond which no probability is left in double precision, with a uniform number hashed
+from seed, range and shard.
 """
 
 from __future__ import annotations

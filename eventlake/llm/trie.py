@@ -178,7 +178,9 @@ def prefixes(rows: DataFrame, pieces: DataFrame) -> DataFrame:
             (F.col("n") < F.col("total")).alias("split"),
             *[of_head(lane, grafted).alias(f"h{lane}") for lane in lanes],
         )
-        .withColumns({f"f{lane}": hashed(lane, F.col("depth"), F.col("m1"), F.col("m2")) for lane in lanes})
+        .withColumns(
+            {f"f{lane}": hashed(lane, F.col("depth"), F.col("m1"), F.col("m2")) for lane in lanes}
+        )
     )
     # What the parts before hold of a conversation that lies in several.
     earlier = Window.partitionBy("conv").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)

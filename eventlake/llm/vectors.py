@@ -311,8 +311,8 @@ def to_reaching_shards(boxes: dict[int, dict[int, Box]], space: Space):
             else:
                 bound = np.maximum(inside, 0) @ box.high + np.minimum(inside, 0) @ box.low
                 # Room for what rounding may take off.
-                room = 1e-9 * (np.abs(inside) @ np.maximum(np.abs(box.low), np.abs(box.high)) + 1e-300)
-                reaching = bound + room >= least
+                far = np.maximum(np.abs(box.low), np.abs(box.high))
+                reaching = bound + 1e-9 * (np.abs(inside) @ far) + 1e-300 >= least
             for part in range(box.parts):
                 chosen = np.flatnonzero(reaching & ((leaves != leaf) | (parts != part)))
                 if len(chosen):
@@ -324,7 +324,7 @@ def to_reaching_shards(boxes: dict[int, dict[int, Box]], space: Space):
 def searched(
     candidates: DataFrame, blocks: DataFrame, k: int, make_index: MakeIndex, kind: str
 ) -> DataFrame:
-    """query, query_id, vec_id, score: what queries (by number) find in the shards they are sent to."""
+    """query (a number), query_id, vec_id, score: what queries find in the shards they are sent to."""
     nothing = [F.lit(None).cast("binary").alias(n) for n in ("numbers", "ids", "leasts", "vectors")]
     asked = blocks.select("_width", "_leaf", "_part").distinct()
     live = candidates.join(asked, ["_width", "_leaf", "_part"], "left_semi")
