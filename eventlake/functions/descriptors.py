@@ -155,7 +155,8 @@ def check_columns(
             raise TypeError(f"{name}: {kind.simpleString()} is not the type of {field.full_name}")
 
     for column in schema.fields:
-        field, kind, name = layout.fields_by_name.get(column.name), column.dataType, path + column.name
+        field = layout.fields_by_name.get(column.name)
+        kind, name = column.dataType, path + column.name
         if field is None:
             raise TypeError(f"{layout.full_name} has no field for {name}")
         if is_map(field) and isinstance(kind, MapType):
