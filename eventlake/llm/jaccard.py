@@ -59,7 +59,8 @@ class Settings:
     frequent: int = 3  # documents of a task's share from which on an n-gram is frequent
     ordered: int = 1 << 17  # frequent n-grams that the order knows; decides speed only
     bucket_postings: int = 400_000  # of a bucket, about
-    shard_sets: int = 2000  # classes of a shard, about
+    shard_sets: int = 800  # classes of a shard, about
+    askers: int = 600  # questions that one task puts to a shard, about
 
 
 def combined(words: list[np.ndarray], seed: int) -> np.ndarray:
@@ -405,16 +406,15 @@ class Shard:
 
 
 def by_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, int, pa.RecordBatch]]:
-    """Runs of rows of one shard and one role; the input is sorted by both."""
+    """Runs of rows of one shard, slice and role; the input is sorted by them."""
+    names = ("home", "part", "slice", "asks")
     for batch in batches:
-        keys = np.stack(
-            [batch.column(name).to_numpy() for name in ("home", "part", "asks")], axis=1
-        )
+        keys = np.stack([batch.column(name).to_numpy() for name in names], axis=1)
         cuts = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
         for start, end in zip([0, *cuts.tolist()], [*cuts.tolist(), len(keys)], strict=True):
             if end > start:
-                home, part, asks = keys[start].tolist()
-                yield (home, part), asks, batch.slice(start, end - start)
+                *shard, asks = keys[start].tolist()
+                yield tuple(shard), asks, batch.slice(start, end - start)
 
 
 class Links:
@@ -471,8 +471,9 @@ class Links:
 def searched(rows: DataFrame, settings: Settings, each_other: bool) -> DataFrame:
     """Links that the shards find: a and b, the labels that two linked sets came with.
 
-    `rows` are home, part, asks (0: lives there, 1: asks), set, label and text. With `each_other`
-    what lives in a shard asks there, too.
+    `rows` are home, part, slice, asks (0: lives there, 1: asks), set, label and text. With
+    `each_other` what lives in a shard asks there, too. Slices of a shard hold all that lives there,
+    and some of what asks.
     """
 
     def link_batch(links: list[tuple[int, int]]) -> pa.RecordBatch:
@@ -494,10 +495,9 @@ def searched(rows: DataFrame, settings: Settings, each_other: bool) -> DataFrame
         if each_other:
             yield link_batch(list(links.ask_each_other()))
 
-    dealt = rows.repartition("home", "part").sortWithinPartitions("home", "part", "asks", "set")
-    return dealt.select("home", "part", "asks", "set", "label", "text").mapInArrow(
-        run, "a long, b long"
-    )
+    shard = ["home", "part", "slice"]
+    dealt = rows.repartition(*shard).sortWithinPartitions(*shard, "asks", "set")
+    return dealt.select(*shard, "asks", "set", "label", "text").mapInArrow(run, "a long, b long")
 
 
 def relabelled(labels: DataFrame, links: DataFrame) -> DataFrame:
@@ -565,7 +565,13 @@ def joined_labels(
     # Every shard joins the classes that live there.
     living = placed.join(routes, ["node", "home"], "left_semi")
     first = living.join(texts, "node").select(
-        "home", "part", F.lit(0).alias("asks"), "set", F.col("node").alias("label"), "text"
+        "home",
+        "part",
+        F.lit(0).alias("slice"),
+        F.lit(0).alias("asks"),
+        "set",
+        F.col("node").alias("label"),
+        "text",
     )
     labels = relabelled(
         placed.select("node", F.col("node").alias("label")),
@@ -589,11 +595,29 @@ def joined_labels(
         asking = committed(asking.select("home", "part", F.lit(1).alias("asks"), "node", "label"))
         if asking.isEmpty():
             break
-        asked = asking.select("home", "part").distinct()
-        living = there.join(asked, ["home", "part"], "left_semi").select(
-            "home", "part", F.lit(0).alias("asks"), "node", "label"
+        # What many ask is copied, so that each copy has few questions to answer.
+        slices = committed(
+            asking.groupBy("home", "part").agg(
+                F.ceil(F.count(F.lit(1)) / settings.askers).cast("int").alias("slices")
+            )
+        )
+        living = there.join(slices, ["home", "part"]).select(
+            "home",
+            "part",
+            F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"),
+            F.lit(0).alias("asks"),
+            "node",
+            "label",
+        )
+        sliced = asking.join(slices, ["home", "part"]).select(
+            "home",
+            "part",
+            F.pmod(F.xxhash64("node"), F.col("slices")).cast("int").alias("slice"),
+            "asks",
+            "node",
+            "label",
         )
-        rows = living.unionByName(asking).join(texts, "node")
+        rows = living.unionByName(sliced).join(texts, "node")
         links = committed(searched(rows, settings, each_other=False))
         labels = relabelled(labels, links)
     return labels

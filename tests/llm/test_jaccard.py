@@ -91,7 +91,7 @@ def test_one_large_group_over_many_shards(documents):
     draw = random.Random(4)
     text = " ".join(f"w{i}" for i in range(120))
     rows = [(i, edited(draw, text, 2)) for i in range(300)] + [(900, text), (901, text)]
-    settings = Settings(words=4, percent=70, shard_sets=20)
+    settings = Settings(words=4, percent=70, shard_sets=20, askers=7)
     assert grouped(documents(rows), settings) == brute(rows, 4, 70)
 
 
