@@ -139,11 +139,17 @@ def rows_of_a_shard(rows: int, least: int) -> int:
     return max(least, min(LARGE_ROWS, -(-rows // SPREAD)), -(-rows // MOST_SHARDS))
 
 
-def learned_splits(rows: DataFrame, shard_rows: int, space: Space) -> dict[int, Splits]:
-    """Splits of every width that has more rows than a shard; there are no more than shards."""
-    large = rows.groupBy("_width").count().where(F.col("count") > shard_rows).collect()
+def large_widths(rows: DataFrame, shard_rows: int) -> dict[int, int]:
+    """Rows of every width that has more of them than a shard; there are no more than shards."""
+    large = rows.groupBy("_width").count().where(F.col("count") > shard_rows)
+    return {row["_width"]: row["count"] for row in large.collect()}
+
+
+def learned_splits(
+    rows: DataFrame, large: dict[int, int], shard_rows: int, space: Space
+) -> dict[int, Splits]:
     splits = {}
-    for width, count in large:
+    for width, count in large.items():
         wanted = min(SAMPLE_ROWS, max(1000, SAMPLE_BYTES // (8 * width)))
         share = min(1.0, wanted / count)
         drawn = rows.where(F.col("_width") == width).sample(share, SEED).limit(2 * wanted)
@@ -155,9 +161,14 @@ def learned_splits(rows: DataFrame, shard_rows: int, space: Space) -> dict[int,
     return splits
 
 
-def placed_in_shards(rows: DataFrame, shard_rows: int, space: Space) -> DataFrame:
-    """The rows with `_leaf`, the end of the splits that they come to, and `_part` of it."""
-    splits = learned_splits(rows, shard_rows, space)
+def placed_in_shards(
+    rows: DataFrame, large: dict[int, int], shard_rows: int, space: Space
+) -> DataFrame:
+    """The rows with `_leaf`, the end of the splits that they come to, and `_part` of it.
+
+    Widths that are not large have one shard.
+    """
+    splits = learned_splits(rows, large, shard_rows, space)
 
     @F.arrow_udf("int")
     def leaf_of(vectors: pa.Array) -> pa.Array:
@@ -193,8 +204,11 @@ class Box:
     parts: int  # of the leaf
 
 
-def boxes_of(placed: DataFrame, space: Space) -> dict[int, dict[int, Box]]:
-    """By width and leaf, the box of a leaf's vectors. Tasks send a box a leaf, not vectors."""
+def boxes_of(
+    placed: DataFrame, large: dict[int, int], space: Space
+) -> dict[int, dict[int, Box]]:
+    """By large width and leaf, the box of a leaf's vectors. Tasks send a box a leaf, not vectors."""
+    placed = placed.where(F.col("_width").isin(list(large)))
     fields = "_width int, _leaf int, low binary, high binary, parts int"
 
     def run(batches: Iterator[pa.RecordBatch], read) -> Iterator[pa.RecordBatch]:
@@ -411,7 +425,8 @@ def best_k(
         )
     )
     size = rows_of_a_shard(rows.count(), shard_rows)
-    placed = committed(placed_in_shards(rows, size, space))
+    large = large_widths(rows, size)
+    placed = committed(placed_in_shards(rows, large, size, space))
     asking = placed.where(F.col("vec_id") % every == 0)
     unbounded = asking.withColumn("_least", F.lit(None).cast("double"))
     at_home = committed(searched(placed, sent(unbounded, to_own_shard), k, make_index, kind))
@@ -421,7 +436,7 @@ def best_k(
     bounded = asking.join(best_at_home.withColumnRenamed("query", "number"), "number", "left")
     # Queries of a shard go on together, so that their blocks are full.
     together = bounded.sortWithinPartitions("_width", "_leaf", "_part")
-    reaching = to_reaching_shards(boxes_of(placed, space), space)
+    reaching = to_reaching_shards(boxes_of(placed, large, space), space)
     elsewhere = committed(sent(together, reaching))
     best = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
     return (

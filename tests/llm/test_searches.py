@@ -217,7 +217,9 @@ def test_shards_of_equal_vectors_are_cut(spark):
     numbered = vectors.taking_part(docs, "vec_id", "embedding", True).withColumns(
         {"number": F.col("vec_id"), "_width": F.size("vector")}
     )
-    placed = vectors.placed_in_shards(numbered, 50, kdtree.whole_numbers)
+    large = vectors.large_widths(numbered, 50)
+    assert large == {2: 900}
+    placed = vectors.placed_in_shards(numbered, large, 50, kdtree.whole_numbers)
     sizes = [r["count"] for r in placed.groupBy("_leaf", "_part").count().collect()]
     assert sum(sizes) == 900 and max(sizes) <= 150
     found = sorted(map(tuple, kdtree.top_products(docs, shard_rows=50).collect()))
