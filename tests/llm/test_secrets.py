@@ -4,6 +4,7 @@ import base64
 import bz2
 import gzip
 import hashlib
+import html
 import lzma
 import random
 import re
@@ -270,7 +271,7 @@ ENCODERS = [
     (urllib.parse.quote_plus, urllib.parse.unquote_plus),
     (lambda t: "".join(f"%{b:02X}" for b in t.encode()), urllib.parse.unquote),
     (lambda t: "".join(f"\\u{ord(c):04x}" for c in t), lambda t: bytes(int(u, 16) for u in t.split("\\u")[1:]).decode()),
-    (entities, __import__("html").unescape),
+    (entities, html.unescape),
     (lambda t: wrapped(t.encode()), lambda t: base64.b64decode(t).decode()),
     (lambda t: wrapped(gzip.compress(t.encode())), lambda t: gzip.decompress(base64.b64decode(t)).decode()),
     (lambda t: wrapped(lzma.compress(t.encode("utf-16-le"))), lambda t: lzma.decompress(base64.b64decode(t)).decode("utf-16-le")),
