@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import types
 from collections.abc import Callable, Iterator
@@ -20,6 +21,39 @@ def worker_cache(name: str) -> dict:
     return holder.__dict__.setdefault(name, {})
 
 
+def release_memory() -> None:
+    """Give what was freed back to the system, which Arrow and the C library else keep."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux" and (trim := getattr(ctypes.CDLL(None), "malloc_trim", None)):
+        trim(0)
+
+
+#: Bytes of batches after which a task gives freed memory back.
+RELEASED = 1 << 22
+
+
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """`run`, for `mapInArrow`, with freed memory given back on its way and when it is done.
+
+    A worker outlives its tasks, so what it keeps would add up with what the next step takes.
+    """
+
+    def released(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = 0
+        for batch in batches:
+            yield batch
+            held += batch.nbytes
+            if held >= RELEASED:
+                release_memory()
+                held = 0
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(released(batches))
+        release_memory()
+
+    return task
+
+
 def text_array(column: pa.Array) -> pa.Array:
     """The column as one string array with 32-bit offsets, NULL as empty text."""
     if isinstance(column, pa.ChunkedArray):
@@ -111,7 +145,7 @@ def add_columns(
     fields: str,
     make: Callable[[pa.Array], list[pa.Array]],
     text: str,
-    most: int = 1 << 21,
+    most: int = 1 << 19,
 ) -> DataFrame:
     """`rows` and the columns that `make` gives for their texts; columns of the same names go.
 
@@ -137,7 +171,7 @@ def add_columns(
                 )
 
     schema = T.StructType([field for field in rows.schema if field.name in kept] + new.fields)
-    return asked.select(*dict.fromkeys([*kept, read_as])).mapInArrow(run, schema)
+    return asked.select(*dict.fromkeys([*kept, read_as])).mapInArrow(lean(run), schema)
 
 
 class Memo:

@@ -38,7 +38,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventlake.llm.arrays import ragged, slices, text_array, words_of
+from eventlake.llm.arrays import lean, ragged, slices, text_array, words_of
 from eventlake.llm.components import connected_components
 from eventlake.llm.tables import committed
 
@@ -186,7 +186,7 @@ def summarise(documents: DataFrame, settings: Settings) -> DataFrame:
         if held:
             yield frequent()
 
-    return committed(documents.mapInArrow(run, schema))
+    return committed(documents.mapInArrow(lean(run), schema))
 
 
 def prefixes(sets: list[np.ndarray], order: np.ndarray, often: np.ndarray, settings: Settings):
@@ -312,9 +312,9 @@ def live_postings(
             ["token", "set", "size", "shared"],
         )
 
-    sent = documents.select("text").mapInArrow(send, "bucket int, postings binary")
+    sent = documents.select("text").mapInArrow(lean(send), "bucket int, postings binary")
     dealt = sent.repartition(buckets, "bucket").sortWithinPartitions("bucket")
-    return committed(dealt.mapInArrow(meet, "token long, set binary, size int, shared long"))
+    return committed(dealt.mapInArrow(lean(meet), "token long, set binary, size int, shared long"))
 
 
 def merge_skip(lists: list[list[int]], need: int) -> Iterator[tuple[int, int]]:
@@ -497,7 +497,7 @@ def searched(rows: DataFrame, settings: Settings, each_other: bool) -> DataFrame
 
     shard = ["home", "part", "slice"]
     dealt = rows.repartition(*shard).sortWithinPartitions(*shard, "asks", "set")
-    return dealt.select(*shard, "asks", "set", "label", "text").mapInArrow(run, "a long, b long")
+    return dealt.select(*shard, "asks", "set", "label", "text").mapInArrow(lean(run), "a long, b long")
 
 
 def relabelled(labels: DataFrame, links: DataFrame) -> DataFrame:

@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventlake.llm.arrays import blocks_of, flat_bytes, slices, text_array
+from eventlake.llm.arrays import blocks_of, flat_bytes, release_memory, slices, text_array
 from eventlake.llm.tables import held_out, trained_on
 
 UNKNOWN = "und"
@@ -268,6 +268,7 @@ def identify(documents: DataFrame, model: Model | None, text: str = "text") -> D
     @F.arrow_udf("struct<lang_pred: string, score: double, accepted: boolean>")
     def language_of(texts: pa.Array) -> pa.Array:
         names, best = predict(texts, model)
+        release_memory()
         known = np.array([name != UNKNOWN for name in names], bool)
         accepted = known & (best >= (model.threshold if model else 0))
         return pa.StructArray.from_arrays(

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventlake.llm.arrays import add_columns
+from eventlake.llm.arrays import add_columns, release_memory, slices
 
 #: Kinds in the order in which spans of one start are listed.
 KINDS = ("assign", "access", "hex")
@@ -574,9 +574,14 @@ def redact(documents: DataFrame, text: str = "text", mark: str = "[secret]") ->
 
     @F.arrow_udf("string")
     def clean(texts: pa.Array) -> pa.Array:
-        return pa.array(
-            [t if t is None else redacted(t, mark) for t in texts.to_pylist()], pa.string()
-        )
+        parts = [pa.array([], pa.string())]
+        for start, end in slices(texts, 1 << 19):
+            some = texts.slice(start, end - start).to_pylist()
+            parts.append(
+                pa.array([t if t is None else redacted(t, mark) for t in some], pa.string())
+            )
+        release_memory()
+        return pa.concat_arrays(parts)
 
     return documents.withColumn(text, clean(F.col(text)))
 
